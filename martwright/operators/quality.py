@@ -258,14 +258,14 @@ def distribution_drift(before: DataFrame, after: DataFrame, key: str) -> DataFra
 
     A category that one side lacks counts as half a row there.
     """
-    def share(df: DataFrame, out: str) -> DataFrame:
-        sizes = df.groupBy(F.col(key).alias("category")).agg(F.count("*").alias(f"n_{out}"))
-        return sizes.withColumn(f"rows_{out}", df.agg(F.count("*")).scalar())
-
-    both = share(before, "before").join(share(after, "after"), "category", "full_outer")
-    p, q = (
-        ratio(F.coalesce(F.col(f"n_{s}").cast("double"), F.lit(0.5)), df.agg(F.count("*")).scalar())
-        for s, df in (("before", before), ("after", after)))
+    def sizes(df: DataFrame, out: str) -> DataFrame:
+        return df.groupBy(F.col(key).alias("category")).agg(F.count("*").alias(out))
+
+    def share(n: str, df: DataFrame) -> Column:
+        return ratio(F.coalesce(F.col(n).cast("double"), F.lit(0.5)), df.agg(F.count("*")).scalar())
+
+    p, q = share("n_before", before), share("n_after", after)
+    both = sizes(before, "n_before").join(sizes(after, "n_after"), "category", "full_outer")
     return both.select(
         "category", F.coalesce("n_before", F.lit(0)).alias("n_before"), F.coalesce("n_after", F.lit(0)).alias("n_after"),
         half_up((q - p) * F.log(ratio(q, p)), 6).alias("psi"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martwright.operators.ordered import BUCKET, POS, ordered
@@ -24,7 +24,7 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return ordered(counts, ["column", "value"])
 
 
-def order_statistics(counts: DataFrame, ranks: Mapping[str, Column]) -> DataFrame:
+def order_statistics(counts: DataFrame, ranks: Mapping[str, str]) -> DataFrame:
     """For each column the values at 0-based `ranks`, given as expressions over its row count `rows`.
 
     Returns (column, rows, <one column per rank>).
@@ -36,7 +36,7 @@ def order_statistics(counts: DataFrame, ranks: Mapping[str, Column]) -> DataFram
         "before": F.coalesce(F.sum("in_bucket").over(upto), F.lit(0)),
         "rows": F.sum("in_bucket").over(whole),
     })
-    wanted = F.array(*[F.struct(F.lit(name).alias("name"), rank.cast("bigint").alias("rank")) for name, rank in ranks.items()])
+    wanted = F.array(*[F.struct(F.lit(name).alias("name"), F.expr(rank).alias("rank")) for name, rank in ranks.items()])
     targets = (
         placed.withColumn("want", F.explode(wanted))
         .select("column", BUCKET, "before", "in_bucket", "rows", "want.*")
@@ -55,8 +55,6 @@ def order_statistics(counts: DataFrame, ranks: Mapping[str, Column]) -> DataFram
     )
 
 
-MEDIAN = {
-    "median_lo": F.floor((F.col("rows") - 1) / 2),
-    "median_hi": F.floor(F.col("rows") / 2),
-}
-QUARTILES = {"q1": F.floor(F.col("rows") / 4), "q3": F.floor(F.col("rows") * 3 / 4)}
+# Ranks by SQL expression over the row count.
+MEDIAN = {"median_lo": "(rows - 1) div 2", "median_hi": "rows div 2"}
+QUARTILES = {"q1": "rows div 4", "q3": "3 * rows div 4"}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from martwright.plans.live import CITIES, MAJOR_CURRENCIES, WEATHER_CODES
+
 
 def dbl(x: str) -> str:
     return f"CAST({x} AS DOUBLE)"
@@ -344,5 +346,426 @@ ADVANCED_SQL = {
 }
 
 
+def check(category: str, name: str, status: str, severity: str, details: str, source: str) -> str:
+    return (f"SELECT '{category}' AS category, {name} AS \"check\", {status} AS status, {severity} AS severity, "
+            f"{details} AS details FROM {source}")
+
+
+def fixed(x: str, places: int) -> str:
+    return f"printf('%.{places}f', {hu(x, places)})"
+
+
+def txt(x: str) -> str:
+    return f"CAST({x} AS VARCHAR)"
+
+
+def complete_sql(table: str, column: str, text: bool) -> str:
+    missing = f"{column} IS NULL" + (f" OR {column} = ''" if text else "")
+    share = f"coalesce({pct('missing', 'n', 2)}, {dbl('0')})"
+    return check(
+        "Completeness", f"'{table}.{column} null check'",
+        f"CASE WHEN {share} = 0 THEN 'PASS' WHEN {share} < 5 THEN 'WARN' ELSE 'FAIL' END",
+        f"CASE WHEN {share} = 0 THEN 'INFO' WHEN {share} < 5 THEN 'MEDIUM' ELSE 'HIGH' END",
+        f"missing || '/' || n || ' nulls (' || {txt(share)} || '%)'",
+        f"(SELECT count(*) AS n, count(*) FILTER (WHERE {missing}) AS missing FROM {table})")
+
+
+def unique_sql(table: str, column: str) -> str:
+    return check(
+        "Uniqueness", f"'{table}.{column} uniqueness'", "CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END",
+        "CASE WHEN n > 0 THEN 'HIGH' ELSE 'INFO' END", "n || ' duplicates found'",
+        f"(SELECT count({column}) - count(DISTINCT {column}) AS n FROM {table})")
+
+
+def orphan_sql(child: str, key: str, parent: str, parent_key: str) -> str:
+    return check(
+        "Referential Integrity", f"'{child}.{key} -> {parent}.{parent_key}'", "CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END",
+        "CASE WHEN n > 0 THEN 'CRITICAL' ELSE 'INFO' END", "n || ' orphan records'",
+        f"(SELECT count(*) AS n FROM {child} c LEFT JOIN {parent} p ON c.{key} = p.{parent_key} WHERE p.{parent_key} IS NULL)")
+
+
+def rule_sql(name: str, table: str, violation: str, on_fail: str, details: str, severity: str | None = None) -> str:
+    name = name.replace("'", "''")
+    return check(
+        "Business Rules", f"'{name}'", f"CASE WHEN n = 0 THEN 'PASS' ELSE '{on_fail}' END",
+        f"'{severity}'" if severity else "CASE WHEN n > 0 THEN 'HIGH' ELSE 'INFO' END", f"n || ' {details}'",
+        f"(SELECT count(*) FILTER (WHERE {violation}) AS n FROM {table})")
+
+
+TEXT = {"first_name", "last_name", "email", "country", "city", "age_group", "product_name", "category", "subcategory"}
+COMPLETENESS = " UNION ALL ".join(
+    complete_sql(table, column, column in TEXT)
+    for table, columns in {
+        "dim_customers": ["first_name", "last_name", "email", "country", "city", "age_group"],
+        "dim_products": ["product_name", "category", "subcategory", "unit_price", "cost_price"],
+        "fact_sales": ["customer_id", "product_id", "date_id", "quantity", "total_amount", "profit"],
+        "fact_user_activity": ["customer_id", "date_id", "session_duration_sec", "pages_viewed"],
+    }.items() for column in columns)
+UNIQUENESS = " UNION ALL ".join(unique_sql(*pair) for pair in [
+    ("dim_customers", "customer_id"), ("dim_customers", "email"), ("dim_products", "product_id"),
+    ("fact_sales", "sale_id"), ("fact_user_activity", "activity_id")])
+INTEGRITY = " UNION ALL ".join(orphan_sql(child, key, parent, key) for child, key, parent in [
+    ("fact_sales", "customer_id", "dim_customers"), ("fact_sales", "product_id", "dim_products"),
+    ("fact_sales", "date_id", "dim_date"), ("fact_sales", "channel_id", "dim_channels"),
+    ("fact_user_activity", "customer_id", "dim_customers"), ("fact_user_activity", "date_id", "dim_date"),
+    ("fact_user_activity", "channel_id", "dim_channels")])
+
+IQR_BOUNDS = f"""
+    SELECT count(*) AS rows, any_value(q1) AS q1, any_value(q3) AS q3, any_value(lo) AS lower_bound, any_value(hi) AS upper_bound,
+           count(*) FILTER (WHERE total_amount < lo OR total_amount > hi) AS outliers
+    FROM (SELECT {dbl('total_amount')} AS total_amount FROM fact_sales),
+         (SELECT q1, q3, q1 - {dbl('1.5')} * (q3 - q1) AS lo, q3 + {dbl('1.5')} * (q3 - q1) AS hi
+          FROM (SELECT {dbl('min(total_amount) FILTER (WHERE i = n // 4)')} AS q1,
+                       {dbl('min(total_amount) FILTER (WHERE i = 3 * n // 4)')} AS q3
+                FROM (SELECT total_amount, row_number() OVER (ORDER BY total_amount) - 1 AS i, count(*) OVER () AS n FROM fact_sales)))"""
+IQR_PCT = pct("outliers", "rows", 2)
+IQR = check(
+    "Outliers", "'Sales amount IQR outliers'", f"CASE WHEN {IQR_PCT} > 5 THEN 'WARN' ELSE 'PASS' END",
+    f"CASE WHEN {IQR_PCT} > 5 THEN 'MEDIUM' ELSE 'INFO' END",
+    f"outliers || ' outliers (' || {txt(IQR_PCT)} || '%), bounds=[' || {fixed('lower_bound', 2)} || ', ' || {fixed('upper_bound', 2)} || ']'",
+    f"({IQR_BOUNDS})")
+ZSCORE = check(
+    "Outliers", "'Session duration Z-score outliers (|z|>3)'", f"CASE WHEN n > rows * {dbl('0.01')} THEN 'WARN' ELSE 'PASS' END",
+    "'MEDIUM'", f"n || ' outliers (mean=' || {fixed('m', 0)} || 's, std=' || {fixed('sd', 0)} || 's)'",
+    f"""(SELECT count(*) AS rows, any_value(m) AS m, any_value(sd) AS sd,
+                count(*) FILTER (WHERE abs({div('session_duration_sec - m', 'sd')}) > 3) AS n
+         FROM fact_user_activity, (SELECT avg(session_duration_sec) AS m, stddev_pop(session_duration_sec) AS sd FROM fact_user_activity))""")
+CV = check(
+    "Distribution", "'Category sales distribution (CV)'", "CASE WHEN cv < 50 THEN 'PASS' ELSE 'WARN' END", "'MEDIUM'",
+    f"'CV=' || {fixed('cv', 1)} || '% across ' || k || ' categories'",
+    f"""(SELECT count(*) AS k, {div('stddev_pop(n)', 'avg(n)')} * {dbl('100')} AS cv FROM (
+         SELECT category, count(*) AS n FROM fact_sales s JOIN dim_products p ON s.product_id = p.product_id GROUP BY category))""")
+HHI = check(
+    "Distribution", "'Revenue concentration (HHI index)'", "CASE WHEN hhi < 2500 THEN 'PASS' ELSE 'WARN' END", "'INFO'",
+    f"'HHI=' || {fixed('hhi', 0)} || ' (>2500=concentrated, <1500=diverse)'",
+    f"""(SELECT sum(pow({div('amount', 'everything')}, 2)) * 10000 AS hhi FROM (
+         SELECT country, sum(total_amount) AS amount, sum(sum(total_amount)) OVER () AS everything
+         FROM fact_sales s JOIN dim_customers c ON s.customer_id = c.customer_id GROUP BY country))""")
+BENFORD = check(
+    "Distribution", "'Benford''s Law compliance (sales amounts)'", "CASE WHEN gap < 0.05 THEN 'PASS' ELSE 'WARN' END", "'INFO'",
+    f"'Max digit deviation=' || {fixed('gap', 4)} || ' (threshold=0.05)'",
+    f"""(SELECT max(abs({div('coalesce(n, 0)', 'everything')} - log10(1 + {dbl('1')} / d))) AS gap
+         FROM (SELECT unnest(range(1, 10)) AS d)
+         LEFT JOIN (SELECT CAST(regexp_extract(CAST(total_amount AS VARCHAR), '[1-9]') AS BIGINT) AS digit, count(*) AS n
+                    FROM fact_sales WHERE total_amount > 0 GROUP BY digit) ON d = digit
+         CROSS JOIN (SELECT count(*) AS everything FROM fact_sales WHERE total_amount > 0))""")
+COVERAGE = check(
+    "Temporal", "'Sales date coverage'", f"CASE WHEN {pct('covered', 'days')} > 90 THEN 'PASS' ELSE 'WARN' END", "'MEDIUM'",
+    f"covered || '/' || days || ' dates covered (' || {txt(pct('covered', 'days'))} || '%)'",
+    f"(SELECT count(DISTINCT full_date) AS covered, (SELECT count(*) FROM dim_date) AS days FROM {BY_DATE})")
+WEEKEND = check(
+    "Temporal", "'Weekend sales ratio'", "'PASS'", "'INFO'", f"{txt(pct('w', 'n'))} || '% of sales on weekends (expected ~28.6%)'",
+    f"(SELECT count(*) FILTER (WHERE is_weekend = 1) AS w, count(*) AS n FROM {BY_DATE})")
+RULES = " UNION ALL ".join([
+    rule_sql("No negative sale amounts", "fact_sales", "total_amount < 0", "FAIL", "negative sales found"),
+    rule_sql("Positive sale quantities", "fact_sales", "quantity <= 0", "FAIL", "zero/negative quantities"),
+    rule_sql("Product margin validation (cost < price)", "dim_products", "cost_price >= unit_price", "WARN", "products with cost >= price"),
+    rule_sql("Bounce sessions page view check (<= 3)", "fact_user_activity", "bounce = 1 AND pages_viewed > 3", "WARN",
+             "bounce sessions with >3 pages", "MEDIUM"),
+])
+AUDIT = " UNION ALL ".join([COMPLETENESS, UNIQUENESS, INTEGRITY, IQR, ZSCORE, CV, HHI, BENFORD, COVERAGE, WEEKEND, RULES])
+
+
+def profile_sql(table: str, column: str) -> str:
+    d = f"({dbl(column)} - m)"
+    return f"""
+        SELECT '{table}.{column}' AS "column", count({column}) AS count, {hu(f'min({column})')} AS min, {hu(f'max({column})')} AS max,
+               any_value(m) AS mean, {hu(f'median({dbl(column)})')} AS median, {hu(f'sqrt(avg({d} * {d}))')} AS std,
+               {hu(f'sum({column})')} AS total,
+               coalesce({hu(div(f'avg({d} * {d} * {d})', f'pow(sqrt(avg({d} * {d})), 3)'), 3)}, {dbl('0')}) AS skewness
+        FROM {table}, (SELECT {avg(f'sum({column})', f'count({column})')} AS m FROM {table})"""
+
+
+PROFILES = " UNION ALL ".join(profile_sql(t, c) for t, c in [
+    ("fact_sales", "total_amount"), ("fact_sales", "quantity"), ("fact_sales", "profit"), ("fact_sales", "discount"),
+    ("fact_user_activity", "session_duration_sec"), ("fact_user_activity", "pages_viewed")])
+VALIDATE = " UNION ALL ".join(
+    f"SELECT '{name}' AS \"check\", {dbl(value)} AS value, CASE WHEN {value} IS NULL THEN 'WARN' ELSE 'PASS' END AS status FROM {source}"
+    for name, value, source in [
+        ("Customers count", "count(*)", "dim_customers"), ("Products count", "count(*)", "dim_products"),
+        ("Sales count", "count(*)", "fact_sales"), ("Activities count", "count(*)", "fact_user_activity"),
+        ("Total revenue", "sum(total_amount)", "fact_sales"), ("Total profit", "sum(profit)", "fact_sales"),
+        ("Orphan sales (should be 0)", "count(*)", "fact_sales WHERE customer_id NOT IN (SELECT customer_id FROM dim_customers)"),
+        ("Avg session duration", avg("sum(session_duration_sec)", "count(session_duration_sec)", 0), "fact_user_activity")])
+
+QUALITY_SQL = {
+    "completeness": star(COMPLETENESS),
+    "completeness_documents": " UNION ALL ".join(
+        complete_sql("documents", c, c != "n_chars") for c in ["text", "lang", "source", "n_chars"]),
+    "uniqueness": star(UNIQUENESS),
+    "referential_integrity": star(INTEGRITY),
+    "referential_integrity_labels": orphan_sql("labels", "doc_id", "documents", "doc_id"),
+    "iqr_bounds": star(IQR_BOUNDS),
+    "outliers": star(f"{IQR} UNION ALL {ZSCORE}"),
+    "category_cv": star(CV),
+    "hhi_concentration": star(HHI),
+    "benford": star(BENFORD),
+    "date_coverage": star(COVERAGE),
+    "weekend_ratio": star(WEEKEND),
+    "business_rules": star(RULES),
+    "email_rules": star(" UNION ALL ".join([
+        rule_sql("dim_customers.email contains @", "dim_customers", "email NOT LIKE '%@%'", "FAIL", "addresses without @"),
+        rule_sql("dim_customers.email address format", "dim_customers",
+                 r"NOT coalesce(regexp_matches(email, '^[^@\s]+@[^@\s]+\.[^@\s]+$'), false)", "FAIL", "malformed addresses")])),
+    "profile_numeric": star(PROFILES),
+    "audit": star(AUDIT),
+    "audit_summary": star(f"""
+        SELECT count(*) AS total_checks, count(*) FILTER (WHERE status = 'PASS') AS passed,
+               count(*) FILTER (WHERE status = 'WARN') AS warnings, count(*) FILTER (WHERE status = 'FAIL') AS failures,
+               {pct("count(*) FILTER (WHERE status = 'PASS')", 'count(*)')} AS score
+        FROM ({AUDIT})"""),
+    "checks_by_category": star(f"SELECT category, count(*) AS checks FROM ({AUDIT}) GROUP BY category"),
+    "post_load_validate": star(VALIDATE),
+    "distribution_drift": f"""
+        SELECT category, n_before, n_after, {hu('(q - p) * ln(q / p)', 6)} AS psi
+        FROM (SELECT category, n_before, n_after, {div('n_before', 'sum(n_before) OVER ()')} AS p,
+                     {div('n_after', 'sum(n_after) OVER ()')} AS q
+              FROM (SELECT l_returnflag AS category, count(*) FILTER (WHERE l_shipdate < TIMESTAMP '1998-06-01') AS n_before,
+                           count(*) FILTER (WHERE l_shipdate >= TIMESTAMP '1998-06-01') AS n_after
+                    FROM lineitem GROUP BY l_returnflag))""",
+}
+
+
+def title_sql(x: str) -> str:
+    return (f"array_to_string(list_transform(regexp_extract_all({x}, '(\\p{{L}}+|\\P{{L}}+)'), "
+            f"lambda r: upper(substr(r, 1, 1)) || lower(substr(r, 2))), '')")
+
+
+LANDED = """
+    SELECT l_orderkey AS sale_id, l_suppkey AS customer_id, l_partkey AS product_id, CAST(l_linenumber AS BIGINT) AS date_id,
+           CAST(1 AS BIGINT) AS channel_id, l_returnflag, CAST(l_quantity AS INTEGER) AS quantity, unit_price, cost_price,
+           CAST(l_discount AS DECIMAL(4,2)) AS discount, CAST(l_tax AS DECIMAL(18,2)) AS profit
+    FROM lineitem LEFT JOIN dim_products ON l_partkey = product_id"""
+SALE_TOTAL = "CAST(quantity * unit_price * (1 - discount) AS DECIMAL(18,2))"
+LOADED = " UNION ALL ".join(
+    f"SELECT 'loaded' AS phase, '{t}' AS table_name, count(*) AS rows FROM {t}"
+    for t in ["dim_customers", "dim_products", "dim_date", "dim_channels", "fact_sales", "fact_user_activity"])
+
+LOAD_SQL = {
+    "build_dim_date": star("SELECT * FROM dim_date"),
+    "clean_customers": star(f"""
+        SELECT customer_id, {title_sql("age_group || ' o''' || first_name")} AS first_name,
+               {title_sql("country || '-' || city")} AS last_name, email, {title_sql('country')} AS country,
+               {title_sql('city')} AS city, age_group, signup_date
+        FROM dim_customers WHERE signup_date IS NOT NULL"""),
+    "clean_sales": star(f"""
+        SELECT * EXCLUDE (l_returnflag, cost_price), {SALE_TOTAL} AS total_amount FROM landed WHERE l_returnflag <> 'R'""", landed=LANDED),
+    "quarantined_sales": star("""
+        SELECT * EXCLUDE (l_returnflag, cost_price) REPLACE (CAST(NULL AS INTEGER) AS quantity),
+               CAST(NULL AS DECIMAL(18,2)) AS total_amount, 'quantity' AS problem
+        FROM landed WHERE l_returnflag = 'R'""", landed=LANDED),
+    "derive_sale_amounts": star(f"""
+        SELECT sale_id, product_id, quantity, unit_price, discount, cost_price, total_amount,
+               CAST(total_amount - CAST(quantity * cost_price AS DECIMAL(18,2)) AS DECIMAL(18,2)) AS profit
+        FROM (SELECT *, {SALE_TOTAL} AS total_amount FROM landed)""", landed=LANDED),
+    "full_refresh_load": star(LOADED),
+    "load_star_from_csv": star(VALIDATE.replace("fact_sales", "reloaded").replace("dim_customers", "known"), reloaded=f"""
+        SELECT * REPLACE ({SALE_TOTAL} AS total_amount) FROM fact_sales""",
+        known="SELECT * FROM dim_customers WHERE signup_date IS NOT NULL"),
+}
+
+INITIAL = """
+    SELECT c.* EXCLUDE (signup_date), TIMESTAMP '1990-01-01' AS effective_from, TIMESTAMP '9999-12-31' AS effective_to,
+           1 AS is_current, 1 AS version, 'INSERT' AS change_type
+    FROM dim_customers c"""
+# Changes chain per customer: carry city and age group forward, drop changes without effect, number the rest.
+HISTORY_PARTS = {
+    "initial": INITIAL,
+    "changes": """
+        SELECT o_custkey AS customer_id, o_orderdate AS changed_at, o_orderkey,
+               CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS city,
+               CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS age_group
+        FROM orders""",
+    "steps": """
+        SELECT customer_id, city, age_group, effective_from AS moment, -1 AS seq FROM initial UNION ALL
+        SELECT customer_id, city, age_group, changed_at, o_orderkey FROM changes
+        WHERE customer_id IN (SELECT customer_id FROM initial)""",
+    "filled": """
+        SELECT customer_id, moment, seq, last_value(city IGNORE NULLS) OVER w AS city, last_value(age_group IGNORE NULLS) OVER w AS age_group
+        FROM steps WINDOW w AS (PARTITION BY customer_id ORDER BY moment, seq ROWS UNBOUNDED PRECEDING)""",
+    "compared": """
+        SELECT *, lag(city) OVER w AS old_city, lag(age_group) OVER w AS old_age FROM filled
+        WINDOW w AS (PARTITION BY customer_id ORDER BY moment, seq)""",
+    "effective": """
+        SELECT *, CAST(row_number() OVER w AS INTEGER) AS version, lead(moment) OVER w AS next_at FROM compared
+        WHERE seq = -1 OR city IS DISTINCT FROM old_city OR age_group IS DISTINCT FROM old_age
+        WINDOW w AS (PARTITION BY customer_id ORDER BY moment, seq)""",
+    "history": """
+        SELECT i.* REPLACE (e.city AS city, e.age_group AS age_group, e.moment AS effective_from,
+                            coalesce(e.next_at, TIMESTAMP '9999-12-31') AS effective_to,
+                            CASE WHEN e.next_at IS NULL THEN 1 ELSE 0 END AS is_current, e.version AS version,
+                            CASE WHEN e.version = 1 THEN 'INSERT' ELSE 'UPDATE' END AS change_type)
+        FROM effective e JOIN initial i ON e.customer_id = i.customer_id""",
+}
+
+
+def json_pairs(city: str, age: str) -> str:
+    pair = lambda k, v: f"'\"{k}\":' || to_json({v})"
+    both = f"{pair('city', city)} || ',' || {pair('age_group', age)}"
+    return (f"'{{' || CASE WHEN city IS DISTINCT FROM old_city AND age_group IS DISTINCT FROM old_age THEN {both} "
+            f"WHEN city IS DISTINCT FROM old_city THEN {pair('city', city)} ELSE {pair('age_group', age)} END || '}}'")
+
+
+LATEST = """
+    SELECT customer_id, max_by(city, (changed_at, o_orderkey)) FILTER (WHERE city IS NOT NULL) AS new_city,
+           max_by(age_group, (changed_at, o_orderkey)) FILTER (WHERE age_group IS NOT NULL) AS new_age
+    FROM changes GROUP BY customer_id"""
+HISTORY_SQL = {
+    "scd2_initial_load": star("SELECT * FROM initial", initial=INITIAL),
+    "scd2_initial_load_products": star("""
+        SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price, CAST(cost_price AS DOUBLE) AS cost_price),
+               TIMESTAMP '1990-01-01' AS effective_from, TIMESTAMP '9999-12-31' AS effective_to,
+               1 AS is_current, 1 AS version, 'INSERT' AS change_type
+        FROM dim_products"""),
+    "scd2_apply_changes": star("SELECT * FROM history", **HISTORY_PARTS),
+    "scd_change_log": star(f"""
+        SELECT customer_id AS record_id, 'UPDATE' AS change_type,
+               concat_ws(',', CASE WHEN city IS DISTINCT FROM old_city THEN 'city' END,
+                         CASE WHEN age_group IS DISTINCT FROM old_age THEN 'age_group' END) AS changed_fields,
+               {json_pairs('old_city', 'old_age')} AS old_values, {json_pairs('city', 'age_group')} AS new_values, moment AS changed_at
+        FROM effective WHERE version > 1""", **HISTORY_PARTS),
+    "scd_current": star("SELECT * FROM history WHERE is_current = 1", **HISTORY_PARTS),
+    "scd_history": star("SELECT * FROM history WHERE customer_id = 1 ORDER BY version", **HISTORY_PARTS),
+    "scd_as_of": star("""
+        SELECT * FROM history WHERE effective_from <= TIMESTAMP '1998-01-01' AND TIMESTAMP '1998-01-01' < effective_to""",
+        **HISTORY_PARTS),
+    "scd_join_as_of": star("""
+        SELECT o_orderkey, o_custkey AS customer_id, o_orderdate AS ordered_at, version
+        FROM orders LEFT JOIN history ON o_custkey = customer_id AND effective_from <= o_orderdate AND o_orderdate < effective_to""",
+        **HISTORY_PARTS),
+    "scd1_apply": star("""
+        SELECT c.* EXCLUDE (signup_date) REPLACE (coalesce(new_city, city) AS city, coalesce(new_age, age_group) AS age_group)
+        FROM dim_customers c LEFT JOIN latest l ON c.customer_id = l.customer_id""", changes=HISTORY_PARTS["changes"], latest=LATEST),
+    "scd3_apply": star("""
+        SELECT c.* EXCLUDE (signup_date) REPLACE (coalesce(new_city, city) AS city, coalesce(new_age, age_group) AS age_group),
+               CASE WHEN new_city <> city THEN city END AS previous_city,
+               CASE WHEN new_age <> age_group THEN age_group END AS previous_age_group
+        FROM dim_customers c LEFT JOIN latest l ON c.customer_id = l.customer_id""", changes=HISTORY_PARTS["changes"], latest=LATEST),
+}
+
+UNIQUE_EVENTS = "SELECT * FROM sent"
+FIGURES = f"""
+    count(*) AS total_events, coalesce({dbl('sum(CAST(value AS DECIMAL(18,2)))')}, 0) AS total_revenue,
+    count(DISTINCT customer_id) AS unique_customers, count(*) FILTER (WHERE event_type = 'page_view') AS page_views,
+    count(*) FILTER (WHERE event_type = 'purchase') AS purchases,
+    count(*) FILTER (WHERE event_type = 'add_to_cart') AS add_to_cart, count(*) FILTER (WHERE event_type = 'search') AS searches"""
+
+
+def windows_sql(width: str, source: str = "sent") -> str:
+    return f"SELECT time_bucket(INTERVAL '{width}', event_time) AS window_start, {FIGURES} FROM {source} GROUP BY window_start"
+
+
+LATE = """
+    SELECT *, lag(event_time) OVER (ORDER BY arrival, event_id) AS watermark,
+           coalesce(event_time < lag(event_time) OVER (ORDER BY arrival, event_id), false) AS is_late
+    FROM sent"""
+STORED = """
+    SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, customer_id, event_time, processing_time, channel, page, session_id, value
+    FROM sent"""
+EVENT_SQL = {
+    "dedup_events": star("SELECT * FROM sent"),
+    "window_aggregate": star(windows_sql("10 seconds")),
+    "window_aggregate_sliding": star(windows_sql("1 hour", """(
+        SELECT s.* REPLACE (date_trunc('hour', event_time) - k * INTERVAL 1 HOUR AS event_time)
+        FROM sent s, (SELECT unnest([0, 1]) AS k))""")),
+    "events_by_type": star("""
+        SELECT date_trunc('hour', event_time) AS window_start, event_type, count(*) AS events FROM sent GROUP BY window_start, event_type"""),
+    "events_by_channel": star("""
+        SELECT date_trunc('hour', event_time) AS window_start, channel, count(*) AS events FROM sent GROUP BY window_start, channel"""),
+    "minute_bucket": star("""
+        SELECT date_trunc('minute', event_time) + to_seconds(second(event_time) // 25 * 25) AS window_start, count(*) AS events
+        FROM sent GROUP BY window_start"""),
+    "late_events": star(LATE),
+    "all_windows": star(windows_sql("1 minute") + " ORDER BY window_start"),
+    "stream_windows_latest": star(windows_sql("10 seconds") + " ORDER BY window_start DESC LIMIT 50"),
+    "stream_summary": star(f"""
+        SELECT (SELECT count(*) FROM sent) AS processed, (SELECT count(*) FROM stream_events) - (SELECT count(*) FROM sent) AS duplicates,
+               (SELECT count(*) FILTER (WHERE is_late) FROM ({LATE})) AS late_events, count(*) AS windows,
+               {hu('sum(CAST(total_revenue AS DECIMAL(18,2)))')} AS total_revenue, max(unique_customers) AS peak_customers
+        FROM ({windows_sql('10 seconds')})"""),
+    "insert_ignore": star("SELECT * FROM sent WHERE channel <> 'web'"),
+    "upsert_replace": star("""
+        SELECT * FROM mobile UNION ALL SELECT * FROM web WHERE window_start NOT IN (SELECT window_start FROM mobile)""",
+        web=windows_sql("1 hour", "sent WHERE channel = 'web'"),
+        mobile=windows_sql("1 hour", "sent WHERE channel = 'mobile'")),
+    "stream_events_sink": star(STORED),
+    "stream_events_sink_bounded": star(STORED),
+    "stream_windows_sink": star(windows_sql("10 minutes")),
+    "stream_lateness": star(f"SELECT count(*) AS processed, count(*) FILTER (WHERE is_late) AS late_events FROM ({LATE.replace('arrival, event_id', 'arrival, CAST(event_id AS VARCHAR)')})"),
+}
+
+INGESTED = "TIMESTAMP '2024-01-01' AS ingested_at"
+CRYPTO = f"""
+    SELECT CAST(p_partkey AS VARCHAR) AS id, p_brand AS symbol, p_name AS name, p_retailprice AS current_price_usd,
+           p_size * {dbl('1000')} AS market_cap, p_size * {dbl('10')} AS total_volume,
+           {dbl('p_partkey % 21 - 10')} AS price_change_24h, {dbl('p_partkey % 21 - 10')} / 4 AS price_change_pct_24h,
+           p_retailprice AS high_24h, p_retailprice AS low_24h, {dbl('p_size')} AS circulating_supply,
+           CAST(p_partkey + 1 AS INTEGER) AS rank, p_type AS last_updated, {INGESTED}
+    FROM part"""
+COUNTRIES = f"""
+    SELECT c_name AS name, n_name AS official_name, CASE WHEN filled THEN c_mktsegment || ', ' || n_name ELSE '' END AS capital,
+           CASE WHEN filled THEN r_name ELSE '' END AS region, n_name AS subregion, CAST(floor(c_acctbal) AS BIGINT) AS population,
+           {dbl('floor(c_acctbal / 10)')} AS area, CASE WHEN filled THEN c_mktsegment ELSE '' END AS languages,
+           CASE WHEN filled THEN n_name || ' (' || r_name || ')' ELSE '' END AS currencies, c_mktsegment AS flag_emoji,
+           CASE WHEN filled THEN {dbl('c_nationkey')} ELSE 0 END AS latitude, {dbl('0')} AS longitude,
+           CASE WHEN filled THEN r_name ELSE '' END AS timezone, {INGESTED}
+    FROM (SELECT *, c_custkey % 4 <> 0 AS filled FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
+CITY_ROWS = ", ".join(
+    f"({i}, '{name}', '{country}', CAST({lat} AS DOUBLE), CAST({lon} AS DOUBLE))"
+    for i, (name, country, lat, lon) in enumerate(CITIES))
+CODE_ROWS = ", ".join(f"({code}, '{text}')" for code, text in WEATHER_CODES.items())
+WEATHER = f"""
+    SELECT city, country, latitude, longitude, value AS temperature_c, value / 2 AS wind_speed_kmh, {dbl('k')} AS humidity_pct,
+           k AS weather_code, coalesce(description, 'Code ' || k) AS weather_desc,
+           strftime(ts, '%Y-%m-%dT%H:%M') AS measured_at, {INGESTED}
+    FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
+    JOIN (VALUES {CITY_ROWS}) c(position, city, country, latitude, longitude) ON user_id % 20 = position
+    LEFT JOIN (VALUES {CODE_ROWS}) w(code, description) ON k = code"""
+RATES = f"""
+    SELECT 'USD' AS base_currency, target_currency, rate, strftime(ts, '%Y-%m-%d') AS rate_date, {INGESTED}
+    FROM (SELECT ts, upper(substr(event_type, 1, 3)) AS target_currency, value AS rate FROM events UNION ALL
+          SELECT ts, 'EUR', value * 2 FROM events)"""
+GITHUB = f"""
+    SELECT CAST(doc_id AS VARCHAR) AS repo_name, source || '/' || doc_id AS full_name, substr(text, 1, 200) AS description,
+           nullif(lang, 'en') AS language, n_chars AS stars, n_chars % 97 AS forks, doc_id % 7 AS open_issues, doc_id AS watchers,
+           source AS created_at, source AS updated_at, source AS html_url, {INGESTED}
+    FROM documents"""
+LIVE_SQL = {
+    "flatten_crypto": CRYPTO,
+    "flatten_countries": COUNTRIES,
+    "flatten_weather": WEATHER,
+    "flatten_exchange_rates": RATES,
+    "flatten_github": GITHUB,
+    "crypto_ranked": f"SELECT * EXCLUDE (id, ingested_at) FROM ({CRYPTO}) ORDER BY rank, name LIMIT 30",
+    "crypto_summary": f"""
+        SELECT count(*) AS total_coins, {hu('sum(market_cap)', 0)} AS total_market_cap, {hu('sum(total_volume)', 0)} AS total_volume_24h,
+               {hu('avg(price_change_pct_24h)')} AS avg_change_pct, count(*) FILTER (WHERE price_change_pct_24h > 0) AS gainers,
+               count(*) FILTER (WHERE price_change_pct_24h <= 0) AS losers
+        FROM ({CRYPTO})""",
+    "countries_ranked": f"""
+        SELECT * EXCLUDE (official_name, timezone, ingested_at) FROM ({COUNTRIES}) WHERE population > 0 ORDER BY population DESC, name""",
+    "countries_by_region": f"""
+        SELECT region, count(*) AS country_count, {big('sum(population)')} AS total_population, {hu('sum(area)', 0)} AS total_area,
+               {avg('sum(population)', 'count(population)', 0)} AS avg_population
+        FROM ({COUNTRIES}) WHERE region <> '' AND population > 0 GROUP BY region ORDER BY total_population DESC""",
+    "weather_current": f"""
+        SELECT city, country, temperature_c, wind_speed_kmh, humidity_pct, weather_desc, measured_at FROM ({WEATHER}) ORDER BY city""",
+    "exchange_rates": f"SELECT target_currency, rate, rate_date FROM ({RATES}) ORDER BY target_currency",
+    "exchange_rates_major": f"""
+        SELECT target_currency, rate, rate_date FROM ({RATES}) WHERE target_currency IN ({', '.join(repr(c) for c in MAJOR_CURRENCIES)})
+        ORDER BY target_currency""",
+    "github_ranked": f"""
+        SELECT * EXCLUDE (created_at, updated_at, ingested_at) FROM ({GITHUB}) ORDER BY stars DESC, full_name""",
+    "github_by_language": f"""
+        SELECT coalesce(language, 'Unknown') AS language, count(*) AS repo_count, {big('sum(stars)')} AS total_stars,
+               {big('sum(forks)')} AS total_forks, {avg('sum(stars)', 'count(stars)', 0)} AS avg_stars
+        FROM ({GITHUB}) GROUP BY language ORDER BY total_stars DESC""",
+    "lineage_summary": f"""
+        SELECT CAST(o_orderkey AS VARCHAR) AS task_id, o_orderpriority AS description, o_orderstatus AS status, 1 AS attempt,
+               CASE WHEN o_orderstatus <> 'P' THEN o_totalprice ELSE {dbl('0')} END AS duration_sec, CAST(NULL AS VARCHAR) AS error
+        FROM orders""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**SALES_SQL, **ADVANCED_SQL}
+    return {**SALES_SQL, **ADVANCED_SQL, **QUALITY_SQL, **LOAD_SQL, **HISTORY_SQL, **EVENT_SQL, **LIVE_SQL}

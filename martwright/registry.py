@@ -5,11 +5,18 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from martwright.operators import cleaning, keyed, quality, scd
 from martwright.oracle import SEGMENT_TIERS
-from martwright.plans import advanced, sales, views
-from martwright.sources.star import Star
+from martwright.plans import advanced, audit, live, load, sales, views
+from martwright.session import scratch_path
+from martwright.sources import schemas
+from martwright.sources import tables as store
+from martwright.sources.star import ARRIVAL_MOD, Star, as_stream_event
+from martwright.streaming import events as ev
+from martwright.streaming import run
 
 AS_OF = dt.date(2001, 8, 1)  # reference day of recency, after the last order
 
@@ -77,8 +84,299 @@ def _advanced_queries() -> dict[str, Query]:
     }
 
 
+def _quality_queries() -> dict[str, Query]:
+    def of_star(check: Callable[..., DataFrame]) -> Query:
+        return lambda s: check(s.tables())
+
+    def emails(s: Star) -> DataFrame:
+        customers = s.customers()
+        return quality.contains_at(customers, "dim_customers").unionByName(quality.emails_valid(customers, "dim_customers"))
+
+    def drift(s: Star) -> DataFrame:
+        lines, middle = s.raw("lineitem"), F.lit(dt.datetime(1998, 6, 1))
+        before, after = lines.filter(F.col("l_shipdate") < middle), lines.filter(F.col("l_shipdate") >= middle)
+        return quality.distribution_drift(before, after, "l_returnflag")
+
+    return {
+        "completeness": of_star(audit.completeness),
+        "completeness_documents": lambda s: quality.completeness(
+            s.raw("documents"), "documents", ["text", "lang", "source", "n_chars"]),
+        "uniqueness": of_star(audit.uniqueness),
+        "referential_integrity": of_star(audit.referential_integrity),
+        "referential_integrity_labels": lambda s: quality.referential_integrity(
+            s.raw("labels"), "labels", "doc_id", s.raw("documents"), "documents", "doc_id"),
+        "iqr_bounds": lambda s: quality.iqr_bounds(s.sales("total_amount"), "total_amount"),
+        "outliers": of_star(audit.outliers),
+        "category_cv": of_star(audit.category_cv),
+        "hhi_concentration": of_star(audit.hhi_concentration),
+        "benford": of_star(audit.benford),
+        "date_coverage": of_star(audit.date_coverage),
+        "weekend_ratio": of_star(audit.weekend_ratio),
+        "business_rules": of_star(audit.business_rules),
+        "email_rules": emails,
+        "profile_numeric": of_star(audit.profiles),
+        "audit": of_star(audit.audit),
+        "audit_summary": lambda s: quality.audit_summary(audit.audit(s.tables())),
+        "checks_by_category": lambda s: quality.checks_by_category(audit.audit(s.tables())),
+        "post_load_validate": of_star(audit.post_load_validate),
+        "distribution_drift": drift,
+    }
+
+
+def _landed_customers(s: Star) -> DataFrame:
+    """Customers as messy text, the way a landing file has them."""
+    return s.customers(signup=True).select(
+        F.col("customer_id").cast("string").alias("customer_id"),
+        F.concat(F.lit(" \t"), F.lower("age_group"), F.lit(" o'"), F.upper("first_name"), F.lit("  ")).alias("first_name"),
+        F.concat(F.upper("country"), F.lit("-"), F.lower("city"), F.lit("\n")).alias("last_name"),
+        F.concat(F.lit("  "), F.upper("email")).alias("email"),
+        F.lower("country").alias("country"),
+        F.upper("city").alias("city"),
+        "age_group",
+        F.col("signup_date").cast("string").alias("signup_date"),
+    )
+
+
+def _landed_sales(s: Star) -> DataFrame:
+    """Sales as text; the returned lines lack a usable quantity."""
+    lines = s.raw("lineitem").withColumn("_key", F.col("l_orderkey").cast("string"))
+    part = s.raw("part").select(F.col("p_partkey").alias("l_partkey"), "p_retailprice")
+    text = lambda c: F.col(c).cast("string")
+    return lines.join(part, "l_partkey", "left").select(
+        F.col("_key").alias("sale_id"), text("l_suppkey").alias("customer_id"), text("l_partkey").alias("product_id"),
+        text("l_linenumber").alias("date_id"), F.lit("1").alias("channel_id"),
+        F.when(F.col("l_returnflag") == "R", "x").otherwise(F.col("l_quantity").cast("int").cast("string")).alias("quantity"),
+        F.concat(F.lit(" "), text("p_retailprice")).alias("unit_price"), text("l_discount").alias("discount"),
+        text("l_tax").alias("profit"))
+
+
+def _load_queries() -> dict[str, Query]:
+    def clean_customers(s: Star) -> DataFrame:
+        return cleaning.split(cleaning.customers(_landed_customers(s)))[0]
+
+    def clean_sales(s: Star, side: int) -> DataFrame:
+        return cleaning.split(cleaning.sales(_landed_sales(s)))[side]
+
+    def derived(s: Star) -> DataFrame:
+        lines = s.sales("sale_id", "product_id", "quantity", "unit_price", "discount")
+        cost = s.products().select("product_id", "cost_price")
+        return cleaning.derive_sale_amounts(lines.join(cost, "product_id", "left"))
+
+    def full_refresh(s: Star) -> DataFrame:
+        root = scratch_path(s.spark, "warehouse")
+        log = load.load_tables(s.spark, s.tables(), root).frame(s.spark)
+        return log.select("phase", "table_name", "rows")
+
+    def from_csv(s: Star) -> DataFrame:
+        landing, root = scratch_path(s.spark, "landing"), scratch_path(s.spark, "warehouse")
+        tables = s.tables()
+        for table, ddl in schemas.STAR.items():
+            store.write_csv(store.pick(tables, table, *schemas.names(ddl)), f"{landing}/{schemas.STAR_FILES[table]}")
+        load.load_star(s.spark, landing, root)
+        return load.validate(s.spark, root)
+
+    return {
+        "build_dim_date": lambda s: s.dates(),
+        "clean_customers": clean_customers,
+        "clean_sales": lambda s: clean_sales(s, 0),
+        "quarantined_sales": lambda s: clean_sales(s, 1),
+        "derive_sale_amounts": derived,
+        "full_refresh_load": full_refresh,
+        "load_star_from_csv": from_csv,
+    }
+
+
+def _history_queries() -> dict[str, Query]:
+    start = dt.datetime(1990, 1, 1)
+    tracked = ["first_name", "last_name", "email", "country", "city", "age_group"]
+
+    def initial(s: Star) -> DataFrame:
+        return scd.scd2_init(s.customers(), start)
+
+    def changes(s: Star) -> DataFrame:
+        """Every order reports a change of its customer; some fields are left out."""
+        status = F.col("o_orderstatus")
+        return s.raw("orders").select(
+            F.col("o_custkey").alias("customer_id"),
+            F.col("o_orderdate").cast("timestamp").alias("changed_at"),
+            F.when(status == "F", F.col("o_orderpriority")).alias("city"),
+            F.when(status != "P", status).alias("age_group"),
+            "o_orderkey",
+        )
+
+    def applied(s: Star) -> tuple[DataFrame, DataFrame]:
+        return scd.scd2_apply(initial(s), changes(s), "customer_id", tracked, "changed_at", tie_break=["o_orderkey"])
+
+    def joined(s: Star) -> DataFrame:
+        facts = s.raw("orders").select("o_orderkey", F.col("o_custkey").alias("customer_id"),
+                                       F.col("o_orderdate").cast("timestamp").alias("ordered_at"))
+        return scd.scd_join_as_of(facts, applied(s)[0], "customer_id", "ordered_at")
+
+    return {
+        "scd2_initial_load": initial,
+        "scd2_initial_load_products": lambda s: scd.scd2_init(
+            s.products().withColumns({c: F.col(c).cast("double") for c in ("unit_price", "cost_price")}), start),
+        "scd2_apply_changes": lambda s: applied(s)[0],
+        "scd_change_log": lambda s: applied(s)[1],
+        "scd_current": lambda s: scd.scd_current(applied(s)[0]),
+        "scd_history": lambda s: scd.scd_history(applied(s)[0], "customer_id", 1),
+        "scd_as_of": lambda s: scd.scd_as_of(applied(s)[0], dt.datetime(1998, 1, 1)),
+        "scd_join_as_of": joined,
+        "scd1_apply": lambda s: scd.scd1_apply(s.customers(), changes(s).withColumn(
+            "changed_at", F.struct("changed_at", "o_orderkey")), "customer_id", tracked, "changed_at"),
+        "scd3_apply": lambda s: scd.scd3_apply(s.customers(), changes(s).withColumn(
+            "changed_at", F.struct("changed_at", "o_orderkey")), "customer_id", tracked, "changed_at").drop(
+                *[f"previous_{c}" for c in tracked if c not in ("city", "age_group")]),
+    }
+
+
+def _event_queries() -> dict[str, Query]:
+    order = ["arrival", "event_id"]
+
+    def unique(s: Star) -> DataFrame:
+        return ev.dedup_events(s.stream_events(), order="arrival")
+
+    def windows(s: Star, size: str = "10 seconds", slide: str | None = None) -> DataFrame:
+        return ev.window_aggregate(unique(s), size, slide)
+
+    def cells(s: Star) -> DataFrame:
+        return ev.window_cells(unique(s), "1 hour")
+
+    def late(s: Star) -> DataFrame:
+        return ev.late_events(unique(s), order)
+
+    def upserted(s: Star) -> DataFrame:
+        def of(channel: str) -> DataFrame:
+            return ev.window_aggregate(unique(s).filter(F.col("channel") == channel), "1 hour")
+
+        return keyed.upsert(of("web"), of("mobile"), ["window_start"], "window_start")
+
+    def inserted(s: Star) -> DataFrame:
+        target = unique(s).filter(F.col("channel") == "web")
+        return keyed.insert_ignore(target, s.stream_events(), ["event_id"], "arrival")
+
+    # Streams over the events file. Duplicates are sent as in `Star.stream_events`.
+    def stream(s: Star) -> DataFrame:
+        schema = s.raw("events").schema
+        source = s.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(s.folder)
+        sent = as_stream_event(source)
+        again = sent.filter(F.col("event_id") % 10 == 0).withColumn("arrival", F.col("arrival") + ARRIVAL_MOD)
+        return sent.unionByName(again).withColumn("event_id", F.col("event_id").cast("string"))
+
+    def streamed(s: Star, start, read, *args, **options) -> DataFrame:
+        sink = scratch_path(s.spark, "stream")
+        start(stream(s), sink, f"{sink}/checkpoint", *args, **options).awaitTermination()
+        return read(s.spark, sink)
+
+    return {
+        "dedup_events": unique,
+        "window_aggregate": windows,
+        "window_aggregate_sliding": lambda s: windows(s, "2 hours", "1 hour"),
+        "events_by_type": lambda s: ev.window_breakdown(cells(s), "event_type"),
+        "events_by_channel": lambda s: ev.window_breakdown(cells(s), "channel"),
+        "minute_bucket": lambda s: unique(s).groupBy(ev.minute_bucket("event_time", 25).alias("window_start")).agg(
+            F.count("*").alias("events")),
+        "late_events": late,
+        "all_windows": lambda s: ev.all_windows(windows(s, "1 minute")),
+        "stream_windows_latest": lambda s: ev.stream_windows_latest(windows(s)),
+        "stream_summary": lambda s: ev.stream_summary(s.stream_events(), unique(s), late(s), windows(s)),
+        "insert_ignore": inserted,
+        "upsert_replace": upserted,
+        "stream_events_sink": lambda s: streamed(s, run.run_events, run.read_events),
+        "stream_events_sink_bounded": lambda s: streamed(s, run.run_events, run.read_events, delay="1 hour"),
+        "stream_windows_sink": lambda s: streamed(s, run.run_windows, run.read_windows, size="10 minutes"),
+        "stream_lateness": lambda s: streamed(s, run.run_lateness, run.read_lateness, order),
+    }
+
+
+def _as_landed(rows: DataFrame, ddl: str, **fields: Column) -> DataFrame:
+    """Documents written as JSON text and read back with the landing schema."""
+    return rows.select(F.from_json(F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()])), ddl).alias("_doc")).select("_doc.*")
+
+
+def _live_queries() -> dict[str, Query]:
+    at = dt.datetime(2024, 1, 1)
+    c = F.col
+
+    def crypto(s: Star) -> DataFrame:
+        price, size = c("p_retailprice"), c("p_size").cast("double")
+        change = (c("p_partkey") % 21 - 10).cast("double")
+        return live.flatten_crypto(_as_landed(
+            s.raw("part"), schemas.RAW_CRYPTO, id=c("p_partkey").cast("string"), symbol=c("p_brand"), name=c("p_name"),
+            current_price=price, market_cap=size * 1000.0, total_volume=size * 10.0, price_change_24h=change,
+            price_change_percentage_24h=change / 4.0, high_24h=price, low_24h=price, circulating_supply=size,
+            market_cap_rank=(c("p_partkey") + 1).cast("int"), last_updated=c("p_type")), at)
+
+    def countries(s: Star) -> DataFrame:
+        rows = s.raw("customer").join(s.raw("nation"), c("c_nationkey") == c("n_nationkey")).join(
+            s.raw("region"), c("n_regionkey") == c("r_regionkey"))
+        some = c("c_custkey") % 4 != 0
+        return live.flatten_countries(_as_landed(
+            rows, schemas.RAW_COUNTRIES,
+            name=F.struct(c("c_name").alias("common"), c("n_name").alias("official")),
+            capital=F.when(some, F.array("c_mktsegment", "n_name")),
+            region=F.when(some, c("r_name")), subregion=c("n_name"),
+            population=F.floor(c("c_acctbal")).cast("bigint"), area=F.floor(c("c_acctbal") / 10).cast("double"),
+            languages=F.when(some, F.create_map(F.lit("a"), c("c_mktsegment"))),
+            currencies=F.when(some, F.create_map(c("r_name"), F.struct(c("n_name").alias("name")))),
+            flag=c("c_mktsegment"), latlng=F.when(some, F.array(c("c_nationkey").cast("double"))),
+            timezones=F.when(some, F.array("r_name", "n_name"))), at)
+
+    def weather(s: Star) -> DataFrame:
+        code = F.get_json_object("props", "$.k").cast("int")
+        place = F.nullif((c("user_id") % 20).cast("int"), F.lit(0))
+        current = F.struct(
+            F.date_format("ts", "yyyy-MM-dd'T'HH:mm").alias("time"), c("value").alias("temperature_2m"),
+            (c("value") / 2).alias("wind_speed_10m"), code.cast("double").alias("relative_humidity_2m"), code.alias("weather_code"))
+        return live.flatten_weather(_as_landed(
+            s.raw("events"), schemas.RAW_WEATHER, latitude=c("value"), longitude=c("value"), location_id=place, current=current), at)
+
+    def rates(s: Star) -> DataFrame:
+        code = F.upper(F.substring("event_type", 1, 3))
+        return live.flatten_exchange_rates(_as_landed(
+            s.raw("events"), schemas.RAW_EXCHANGE_RATES, amount=F.lit(1.0), base=F.lit("USD"), date=F.date_format("ts", "yyyy-MM-dd"),
+            rates=F.create_map(code, c("value"), F.lit("EUR"), c("value") * 2)), at)
+
+    def github(s: Star) -> DataFrame:
+        item = F.struct(
+            c("doc_id").cast("string").alias("name"), F.concat_ws("/", "source", c("doc_id").cast("string")).alias("full_name"),
+            c("text").alias("description"), F.nullif(c("lang"), F.lit("en")).alias("language"),
+            c("n_chars").alias("stargazers_count"), (c("n_chars") % 97).alias("forks_count"), (c("doc_id") % 7).alias("open_issues_count"),
+            c("doc_id").alias("watchers_count"), c("source").alias("created_at"), c("source").alias("updated_at"),
+            c("source").alias("html_url"))
+        return live.flatten_github(_as_landed(s.raw("documents"), schemas.RAW_GITHUB, items=F.array(item)), at)
+
+    def lineage(s: Star) -> DataFrame:
+        task = F.struct(
+            F.lit("nightly").alias("dag_id"), c("o_orderkey").cast("string").alias("task_id"), c("o_orderpriority").alias("description"),
+            c("o_orderstatus").alias("status"), F.lit(1).alias("attempt"), F.lit(None).cast("string").alias("start_time"),
+            F.lit(None).cast("string").alias("end_time"), F.when(c("o_orderstatus") != "P", c("o_totalprice")).alias("duration_sec"),
+            F.lit(None).cast("string").alias("error"))
+        docs = _as_landed(s.raw("orders"), schemas.LINEAGE, dag_id=F.lit("nightly"), lineage=F.array(task))
+        return live.lineage_summary(docs.select(F.inline("lineage")))
+
+    return {
+        "flatten_crypto": crypto,
+        "flatten_countries": countries,
+        "flatten_weather": weather,
+        "flatten_exchange_rates": rates,
+        "flatten_github": github,
+        "crypto_ranked": lambda s: live.crypto_ranked(crypto(s)),
+        "crypto_summary": lambda s: live.crypto_summary(crypto(s)),
+        "countries_ranked": lambda s: live.countries_ranked(countries(s)),
+        "countries_by_region": lambda s: live.countries_by_region(countries(s)),
+        "weather_current": lambda s: live.weather_current(weather(s)),
+        "exchange_rates": lambda s: live.exchange_rates(rates(s)),
+        "exchange_rates_major": lambda s: live.exchange_rates(rates(s), live.MAJOR_CURRENCIES),
+        "github_ranked": lambda s: live.github_ranked(github(s)),
+        "github_by_language": lambda s: live.github_by_language(github(s)),
+        "lineage_summary": lineage,
+    }
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(query: Query) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, folder: query(Star(spark, folder))
 
-    return {name: bind(query) for name, query in {**_sales_queries(), **_advanced_queries()}.items()}
+    groups = (_sales_queries, _advanced_queries, _quality_queries, _load_queries, _history_queries, _event_queries, _live_queries)
+    return {name: bind(query) for group in groups for name, query in group().items()}
