@@ -8,9 +8,15 @@ from pyspark.sql import functions as F
 from martwright.functions.numeric import col
 
 
+# The characters that count as white space.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000")
+
+
 def strip_ws(value: Column | str) -> Column:
-    """Drop any whitespace at both ends, not spaces alone."""
-    return F.regexp_replace(col(value), r"^\s+|\s+$", "")
+    """Drop any white space at both ends, not spaces alone."""
+    return F.btrim(col(value), F.lit(WHITESPACE))
 
 
 def title_case(value: Column | str) -> Column:

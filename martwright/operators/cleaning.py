@@ -16,11 +16,14 @@ PROBLEM = "problem"
 
 
 def _typed(df: DataFrame, types: dict[str, str], strict: bool) -> DataFrame:
-    """Cast `types` and add `problem`, the list of columns that did not cast."""
+    """Cast `types` and add `problem`, the list of columns that did not cast.
+
+    Casts ignore white space around a value.
+    """
     if strict:
-        return df.withColumns({c: strip_ws(c).cast(t) for c, t in types.items()}).withColumn(
+        return df.withColumns({c: F.col(c).cast(t) for c, t in types.items()}).withColumn(
             PROBLEM, F.array().cast("array<string>"))
-    cast = {c: strip_ws(c).try_cast(t) for c, t in types.items()}
+    cast = {c: F.col(c).try_cast(t) for c, t in types.items()}
     failed = F.array_compact(F.array(*[F.when(v.isNull(), F.lit(c)) for c, v in cast.items()]))
     return df.withColumn(PROBLEM, failed).withColumns(cast)
 

@@ -1,19 +1,20 @@
 """Order-dependent operators without a single-partition window.
 
-`ordered` sorts the rows globally once and labels each with the sort partition it fell into (bucket)
-and its place there (pos). Every operator below then works in two levels: a window inside the
-bucket, and a carry from bucket to bucket over a small table with at most two rows per bucket. The
-sort order must be unique, so equal values, or one key that owns a third of all rows, spread over as
-many buckets as their size asks for.
-
-The bucket tables have one row per sort partition, a number the session configuration fixes
-(`spark.sql.shuffle.partitions`), never one that grows with the data. That makes them safe to
-broadcast and to scan in one task.
+`Ordered.of` sorts the rows globally once and labels each with the sort partition it fell into
+(bucket) and its place there (pos). Every operator then works in two levels: a window inside the
+bucket, and a carry from bucket to bucket over a small table. The sort order must be unique, so equal
+values, or one key that owns a third of all rows, spread over as many buckets as their size asks for.
+
+Bucket tables have one row per sort partition, a number that the session configuration fixes
+(`spark.sql.shuffle.partitions`) and that does not grow with the data. So they may be broadcast,
+scanned in one task, or read to the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,132 +24,151 @@ from martwright.session import cut
 BUCKET, POS = "_bucket", "_pos"
 
 
-def ordered(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
-    """Global sort with `_bucket` and `_pos` columns, written once so that both stay fixed."""
-    row_id = F.monotonically_increasing_id()
-    rows = df.orderBy(*order).withColumn("_row", row_id)
-    return cut(
-        rows.withColumn(BUCKET, F.shiftright("_row", 33).cast("int"))
-        .withColumn(POS, F.col("_row").bitwiseAND(F.lit((1 << 33) - 1)))
-        .drop("_row")
-    )
+@dataclass(frozen=True)
+class Ordered:
+    """Globally sorted rows; `by` names the leading sort columns that form groups, if any.
 
-
-def unlabel(frame: DataFrame) -> DataFrame:
-    return frame.drop(BUCKET, POS)
-
-
-def _in_bucket(by: Sequence[str]) -> Window:
-    return Window.partitionBy(BUCKET, *by).orderBy(POS)
-
-
-def _across(by: Sequence[str]) -> Window:
-    return Window.partitionBy(*by).orderBy(BUCKET)
-
-
-def _edges(frame: DataFrame, by: Sequence[str], *aggs: Column) -> DataFrame:
-    """Per bucket, aggregates of the groups that reach over a bucket border.
-
-    The frame is sorted by `by` first, so a group that spans buckets is the last one of a bucket and
-    the first of the next: at most one such group per border.
+    `spans` lists the groups that reach over a bucket border. Sorted by group first, at most one
+    group crosses each border.
     """
-    if not by:
-        return frame.groupBy(BUCKET).agg(*aggs)
-    ends = frame.groupBy(BUCKET).agg(
-        F.min_by(F.struct(*by), POS).alias("first"), F.max_by(F.struct(*by), POS).alias("last"))
-    nxt = F.lead("first").over(Window.orderBy(BUCKET))
-    spanning = ends.withColumn("next", nxt).filter(F.col("last") == F.col("next")).select("last.*").distinct()
-    return frame.join(F.broadcast(spanning), list(by), "left_semi").groupBy(BUCKET, *by).agg(*aggs)
-
-
-def _carry(frame: DataFrame, edges: DataFrame, by: Sequence[str]) -> DataFrame:
-    return frame.join(F.broadcast(edges), [BUCKET, *by], "left")
-
 
-def row_number(frame: DataFrame, out: str) -> DataFrame:
-    """Global row number: the place in the bucket plus the rows of all earlier buckets."""
-    before = F.sum("_n").over(Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1))
-    offsets = _edges(frame, [], F.count("*").alias("_n")).select(BUCKET, F.coalesce(before, F.lit(0)).alias("_before"))
-    return _carry(frame, offsets, []).withColumn(out, F.col(POS) + F.col("_before") + 1).drop("_before")
-
-
-def ntile_of(rank: Column, rows: Column, tiles: int) -> Column:
+    rows: DataFrame
+    by: tuple[str, ...] = ()
+    spans: DataFrame | None = None
+
+    @classmethod
+    def of(cls, df: DataFrame, order: Sequence[Column | str], by: Sequence[str] = ()) -> Ordered:
+        """Sort by `order`, which starts with `by` and is unique, and write the labelled rows once."""
+        rows = df.orderBy(*order).withColumn("_row", F.monotonically_increasing_id())
+        rows = cut(
+            rows.withColumn(BUCKET, F.shiftright("_row", 33).cast("int"))
+            .withColumn(POS, F.col("_row").bitwiseAND(F.lit((1 << 33) - 1)))
+            .drop("_row")
+        )
+        return cls(rows, tuple(by), spanning(rows, by) if by else None)
+
+    def plain(self) -> DataFrame:
+        return self.rows.drop(BUCKET, POS)
+
+    def cut(self) -> Ordered:
+        """Write the rows, so that what follows does not work them out again."""
+        return replace(self, rows=cut(self.rows))
+
+    def filter(self, condition: Column) -> Ordered:
+        return replace(self, rows=self.rows.filter(condition))
+
+    def with_columns(self, columns: dict[str, Column]) -> Ordered:
+        return replace(self, rows=self.rows.withColumns(columns))
+
+    # numbering ----------------------------------------------------------------------------------
+
+    @cached_property
+    def _sizes(self) -> list[tuple[int, int]]:
+        return sorted(tuple(r) for r in self.rows.groupBy(BUCKET).agg(F.count("*")).collect())
+
+    def count(self) -> int:
+        return sum(n for _, n in self._sizes)
+
+    def row_number(self, out: str) -> Ordered:
+        """Global row number: the place in the bucket after the rows of all earlier buckets."""
+        offsets, before = [], 0
+        for bucket, n in self._sizes:
+            offsets.append((bucket, before))
+            before += n
+        table = self.rows.sparkSession.createDataFrame(offsets, f"{BUCKET} int, _before bigint")
+        rows = self.rows.join(F.broadcast(table), BUCKET).withColumn(out, F.col(POS) + F.col("_before") + 1)
+        return replace(self, rows=rows.drop("_before"))
+
+    # carries ------------------------------------------------------------------------------------
+
+    def _edges(self, *aggs: Column) -> DataFrame:
+        """Aggregates per bucket, or per bucket and group for the groups that cross a border."""
+        if not self.by:
+            return self.rows.groupBy(BUCKET).agg(*aggs)
+        crossing = self.rows.join(F.broadcast(self.spans), list(self.by), "left_semi")
+        return crossing.groupBy(BUCKET, *self.by).agg(*aggs)
+
+    def _in_bucket(self):
+        return Window.partitionBy(BUCKET, *self.by).orderBy(POS)
+
+    def _across(self):
+        return Window.partitionBy(*self.by).orderBy(BUCKET)
+
+    def _carry(self, rows: DataFrame, edges: DataFrame) -> DataFrame:
+        return rows.join(F.broadcast(edges), [BUCKET, *self.by], "left")
+
+    def running_sum(self, value: str, out: str) -> Ordered:
+        """Row-wise running sum, anew in every group."""
+        rows = self._in_bucket().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        before = F.sum("_sum").over(self._across().rowsBetween(Window.unboundedPreceding, -1))
+        offsets = self._edges(F.sum(value).alias("_sum")).select(BUCKET, *self.by, before.alias("_before"))
+        summed = self._carry(self.rows.withColumn(out, F.sum(value).over(rows)), offsets)
+        whole = F.col(out) + F.coalesce(F.col("_before"), F.lit(0))
+        return replace(self, rows=summed.withColumn(out, whole).drop("_before"))
+
+    def running_sum_with_peers(self, value: str, out: str) -> Ordered:
+        """Running sum over rows of falling `value`, where equal values share the sum through their last.
+
+        This is the default RANGE frame. What equal values have in later buckets is added from there.
+        """
+        peers = Window.partitionBy(BUCKET).orderBy(F.desc(value))
+        before = F.sum("_sum").over(Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1))
+        offsets = self._edges(F.sum(value).alias("_sum")).select(BUCKET, before.alias("_before"))
+        tied = Ordered(self.rows, (value,), spanning(self.rows, [value]))
+        later = F.sum("_tied").over(tied._across().rowsBetween(1, Window.unboundedFollowing))
+        ties = tied._edges(F.sum(value).alias("_tied")).select(BUCKET, value, later.alias("_later"))
+        summed = tied._carry(self._carry(self.rows.withColumn(out, F.sum(value).over(peers)), offsets), ties)
+        whole = F.col(out) + F.coalesce(F.col("_before"), F.lit(0)) + F.coalesce(F.col("_later"), F.lit(0))
+        return replace(self, rows=summed.withColumn(out, whole).drop("_before", "_later"))
+
+    def _shift(self, cols: Sequence[str], out: str, shift, border) -> Ordered:
+        row = F.struct(*cols)
+        at_border = self._edges(border(row, POS).alias("_row")).select(
+            BUCKET, *self.by, shift("_row").over(self._across()).alias("_carried"))
+        shifted = self._carry(self.rows.withColumn(out, shift(row).over(self._in_bucket())), at_border)
+        return replace(self, rows=shifted.withColumn(out, F.coalesce(out, "_carried")).drop("_carried"))
+
+    def previous(self, cols: Sequence[str], out: str) -> Ordered:
+        """`lag(1)` of `cols` as a struct column, NULL on the first row of a group."""
+        return self._shift(cols, out, F.lag, F.max_by)
+
+    def following(self, cols: Sequence[str], out: str) -> Ordered:
+        """`lead(1)` of `cols` as a struct column, NULL on the last row of a group."""
+        return self._shift(cols, out, F.lead, F.min_by)
+
+    def fill_forward(self, cols: Sequence[str]) -> Ordered:
+        """Replace NULLs in `cols` by the last value before them in the group."""
+        upto = self._in_bucket().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        before = self._across().rowsBetween(Window.unboundedPreceding, -1)
+        ends = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(POS))).alias(f"_{c}") for c in cols]
+        carried = self._edges(*ends).select(
+            BUCKET, *self.by, *[F.last(f"_{c}", ignorenulls=True).over(before).alias(f"_{c}") for c in cols])
+        local = self.rows.withColumns({c: F.last(c, ignorenulls=True).over(upto) for c in cols})
+        filled = self._carry(local, carried).withColumns({c: F.coalesce(F.col(c), F.col(f"_{c}")) for c in cols})
+        return replace(self, rows=filled.drop(*[f"_{c}" for c in cols]))
+
+
+def spanning(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Groups of `by` that continue in the next bucket; at most one per bucket."""
+    ends = rows.groupBy(BUCKET).agg(
+        F.min_by(F.struct(*by), POS).alias("first"), F.max_by(F.struct(*by), POS).alias("last")).collect()
+    ends.sort(key=lambda r: r[BUCKET])
+    crossing = {tuple(a["last"]) for a, b in zip(ends, ends[1:]) if a["last"] == b["first"]}
+    return rows.sparkSession.createDataFrame(sorted(crossing), rows.select(*by).schema)
+
+
+def ntile_of(rank: Column, rows: int, tiles: int) -> Column:
     """NTILE from a row number and the row count: the first `rows % tiles` tiles hold one row more."""
-    small, extra = F.floor(rows / tiles), rows % tiles
+    small, extra = divmod(rows, tiles)
     wide = extra * (small + 1)
-    return (
-        F.when(rank <= wide, F.floor(F.try_divide(rank - 1, small + 1)) + 1)
-        .otherwise(extra + F.floor(F.try_divide(rank - wide - 1, small)) + 1)
-        .cast("int")
-    )
+    in_wide = F.floor((rank - 1) / F.lit(small + 1)) + 1
+    if small == 0:
+        return in_wide.cast("int")
+    return F.when(rank <= wide, in_wide).otherwise(extra + F.floor((rank - wide - 1) / F.lit(small)) + 1).cast("int")
 
 
 def ntile(df: DataFrame, order: Sequence[Column | str], tiles: int, out: str) -> DataFrame:
-    """NTILE over the whole frame."""
-    numbered = row_number(ordered(df, order), "_rank")
-    rows = df_count(numbered)
-    return unlabel(numbered.withColumn(out, ntile_of(F.col("_rank"), rows, tiles)).drop("_rank"))
-
-
-def df_count(df: DataFrame) -> Column:
-    """Row count as a scalar subquery."""
-    return df.agg(F.count("*")).scalar()
-
-
-def running_sum(frame: DataFrame, value: str, out: str, by: Sequence[str] = ()) -> DataFrame:
-    """Row-wise running sum, restarted for every `by` group."""
-    rows = _in_bucket(by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = F.sum("_sum").over(_across(by).rowsBetween(Window.unboundedPreceding, -1))
-    offsets = _edges(frame, by, F.sum(value).alias("_sum")).select(BUCKET, *by, before.alias("_before"))
-    local = frame.withColumn(out, F.sum(value).over(rows))
-    return _carry(local, offsets, by).withColumn(
-        out, F.col(out) + F.coalesce(F.col("_before"), F.lit(0))).drop("_before")
-
-
-def running_sum_with_peers(frame: DataFrame, value: str, out: str) -> DataFrame:
-    """Running sum of a descending `value` where equal values share the sum through the last of them.
-
-    This is the default RANGE frame. Equal values that reach into later buckets are added from there.
-    """
-    peers = Window.partitionBy(BUCKET).orderBy(F.desc(value))
-    before = F.sum("_sum").over(Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1))
-    offsets = _edges(frame, [], F.sum(value).alias("_sum")).select(BUCKET, before.alias("_before"))
-    later = F.sum("_tied").over(_across([value]).rowsBetween(1, Window.unboundedFollowing))
-    ties = _edges(frame, [value], F.sum(value).alias("_tied")).select(BUCKET, value, later.alias("_later"))
-    local = frame.withColumn(out, F.sum(value).over(peers))
-    joined = _carry(_carry(local, offsets, []), ties, [value])
-    zero = F.lit(0)
-    return joined.withColumn(
-        out, F.col(out) + F.coalesce(F.col("_before"), zero) + F.coalesce(F.col("_later"), zero)
-    ).drop("_before", "_later")
-
-
-def _shift(frame: DataFrame, cols: Sequence[str], out: str, by: Sequence[str], back: bool) -> DataFrame:
-    row = F.struct(*cols)
-    shift = F.lag if back else F.lead
-    border_row = (F.max_by if back else F.min_by)(row, POS).alias("_row")
-    border = _edges(frame, by, border_row).select(BUCKET, *by, shift("_row").over(_across(by)).alias("_carried"))
-    local = frame.withColumn(out, shift(row).over(_in_bucket(by)))
-    return _carry(local, border, by).withColumn(out, F.coalesce(out, "_carried")).drop("_carried")
-
-
-def previous(frame: DataFrame, cols: Sequence[str], out: str, by: Sequence[str] = ()) -> DataFrame:
-    """`lag(1)` of `cols` as a struct column, NULL on the first row of a group."""
-    return _shift(frame, cols, out, by, back=True)
-
-
-def following(frame: DataFrame, cols: Sequence[str], out: str, by: Sequence[str] = ()) -> DataFrame:
-    """`lead(1)` of `cols` as a struct column, NULL on the last row of a group."""
-    return _shift(frame, cols, out, by, back=False)
-
-
-def fill_forward(frame: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Replace NULLs in `cols` by the last value seen before in the same group."""
-    upto = _in_bucket(by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ends = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(POS))).alias(f"_{c}") for c in cols]
-    before = _across(by).rowsBetween(Window.unboundedPreceding, -1)
-    carried = _edges(frame, by, *ends).select(
-        BUCKET, *by, *[F.last(f"_{c}", ignorenulls=True).over(before).alias(f"_{c}") for c in cols])
-    local = frame.withColumns({c: F.last(c, ignorenulls=True).over(upto) for c in cols})
-    filled = _carry(local, carried, by).withColumns({c: F.coalesce(F.col(c), F.col(f"_{c}")) for c in cols})
-    return filled.drop(*[f"_{c}" for c in cols])
+    """NTILE over all rows of `df`."""
+    rows = Ordered.of(df, order)
+    numbered = rows.row_number("_rank")
+    return numbered.with_columns({out: ntile_of(F.col("_rank"), rows.count(), tiles)}).plain().drop("_rank")

@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType, StructType
 
 from martwright.functions.numeric import first_digit, half_up, percent, ratio
 from martwright.functions.text import blank
-from martwright.operators.quantiles import MEDIAN, QUARTILES, order_statistics, value_counts
+from martwright.operators.quantiles import MEDIAN, QUARTILES, ValueCounts, order_statistics
 
 CHECK = ["category", "check", "status", "severity", "details"]
 
@@ -81,12 +81,12 @@ def referential_integrity(child: DataFrame, child_table: str, child_key: str,
 
 def iqr_bounds(df: DataFrame, column: str, k: float = 1.5) -> DataFrame:
     """One row: rows, quartiles v[n/4] and v[3n/4], fences and the number of values beyond them."""
-    counts = value_counts(df, [column])
+    counts = ValueCounts.of(df, [column])
     quartiles = order_statistics(counts, QUARTILES)
     q1, q3 = (quartiles.select(F.col(q).cast("double")).scalar() for q in ("q1", "q3"))
     low, high = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
     value = F.col("value").cast("double")
-    return counts.agg(
+    return counts.rows.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
         q1.alias("q1"), q3.alias("q3"), low.alias("lower_bound"), high.alias("upper_bound"),
         F.coalesce(F.sum(F.when((value < low) | (value > high), F.col("n"))), F.lit(0)).alias("outliers"))
@@ -196,15 +196,14 @@ def profile_numeric(df: DataFrame, table: str, columns: Sequence[str]) -> DataFr
     Deviation and skewness are taken about the mean rounded to 2 digits. The table is scanned once;
     both passes run over its distinct values.
     """
-    counts = value_counts(df, columns)
+    counts = ValueCounts.of(df, columns)
     value, n = F.col("value"), F.col("n")
-    first = counts.groupBy("column").agg(
-        F.sum("n").alias("count"), F.min("value").alias("min"), F.max("value").alias("max"),
-        F.sum(value * n).alias("total"))
+    first = counts.totals.groupBy("column").agg(
+        F.sum("n").alias("count"), F.min("min").alias("min"), F.max("max").alias("max"), F.sum("total").alias("total"))
     means = first.withColumn("mean", half_up(ratio("total", "count"), 2))
     distance = value.cast("double") - F.col("mean")
     moments = (
-        counts.join(F.broadcast(means.select("column", "mean", "count")), "column")  # one row per listed column
+        counts.rows.join(F.broadcast(means.select("column", "mean", "count")), "column")  # one row per listed column
         .groupBy("column")
         .agg(
             ratio(F.sum(F.pow(distance, F.lit(2.0)) * n), F.first("count")).alias("m2"),

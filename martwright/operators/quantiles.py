@@ -8,31 +8,45 @@ totals, and only that bucket is scanned for it.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martwright.operators.ordered import BUCKET, POS, ordered
+from martwright.operators.ordered import BUCKET, POS, Ordered
+from martwright.session import cut
 
 EXACT = "decimal(18,4)"  # measures are compared and summed at this precision
 
 
-def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, value, n) for every non-NULL value of the numeric `columns`, sorted and written once."""
-    cells = df.select(*[F.col(c).cast(EXACT).alias(c) for c in columns]).unpivot([], list(columns), "column", "value")
-    counts = cells.filter(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count("*").alias("n"))
-    return ordered(counts, ["column", "value"])
+@dataclass(frozen=True)
+class ValueCounts:
+    """`rows` has (column, value, n) for every distinct value, sorted; `totals` sums them up per
+    column and sort bucket, a table of at most columns x buckets rows."""
 
+    rows: DataFrame
+    totals: DataFrame
 
-def order_statistics(counts: DataFrame, ranks: Mapping[str, str]) -> DataFrame:
-    """For each column the values at 0-based `ranks`, given as expressions over its row count `rows`.
+    @classmethod
+    def of(cls, df: DataFrame, columns: Sequence[str]) -> ValueCounts:
+        """Count the non-NULL values of the numeric `columns` in one scan."""
+        cells = df.select(*[F.col(c).cast(EXACT).alias(c) for c in columns]).unpivot([], list(columns), "column", "value")
+        counts = cells.filter(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count("*").alias("n"))
+        rows = Ordered.of(counts, ["column", "value"]).rows
+        totals = rows.groupBy("column", BUCKET).agg(
+            F.sum("n").alias("n"), F.min("value").alias("min"), F.max("value").alias("max"),
+            F.sum(F.col("value") * F.col("n")).alias("total"))
+        return cls(rows, cut(totals))
+
+
+def order_statistics(counts: ValueCounts, ranks: Mapping[str, str]) -> DataFrame:
+    """For each column the values at 0-based `ranks`, given as SQL over its row count `rows`.
 
     Returns (column, rows, <one column per rank>).
     """
-    totals = counts.groupBy("column", BUCKET).agg(F.sum("n").alias("in_bucket"))
     whole = Window.partitionBy("column")
     upto = whole.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    placed = totals.withColumns({
+    placed = counts.totals.select("column", BUCKET, F.col("n").alias("in_bucket")).withColumns({
         "before": F.coalesce(F.sum("in_bucket").over(upto), F.lit(0)),
         "rows": F.sum("in_bucket").over(whole),
     })
@@ -45,7 +59,7 @@ def order_statistics(counts: DataFrame, ranks: Mapping[str, str]) -> DataFrame:
     # One target row per column and rank: a few rows, whatever the data.
     running = F.sum("n").over(Window.partitionBy("column", "name").orderBy(POS).rowsBetween(Window.unboundedPreceding, 0))
     hits = (
-        counts.join(F.broadcast(targets), ["column", BUCKET])
+        counts.rows.join(F.broadcast(targets), ["column", BUCKET])
         .withColumn("upto", F.col("before") + running)
         .filter(F.col("upto") > F.col("rank"))
     )

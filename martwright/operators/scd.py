@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martwright.operators import ordered as seq
+from martwright.operators.ordered import Ordered
 
 OPEN_END = "9999-12-31 00:00:00"
 VALIDITY = ["effective_from", "effective_to", "is_current", "version", "change_type"]
@@ -51,14 +51,12 @@ def scd2_apply(history: DataFrame, changes: DataFrame, key: str, tracked: Sequen
     of the current version; a replayed batch therefore changes nothing. `tie_break` orders changes of
     one key and time; by default their values do.
     """
-    tracked = list(tracked)
-    given = [c for c in tracked if c in changes.columns]
+    tracked = [c for c in tracked if c in changes.columns]  # the others never change
     batch = changes.filter(F.col(key).isNotNull()).select(
         key,
         F.col(at).cast("timestamp").alias("effective_from"),
-        *[(F.col(c).cast(history.schema[c].dataType) if c in given else
-           F.lit(None).cast(history.schema[c].dataType)).alias(c) for c in tracked],
-        F.struct(*[F.col(c) for c in (tie_break or given)]).alias("_tie"),
+        *[F.col(c).cast(history.schema[c].dataType).alias(c) for c in tracked],
+        F.struct(*(tie_break or tracked)).alias("_tie"),
     )
     current = history.filter(F.col("is_current") == 1)
     # The row each chain starts from: the current version of a key that has changes.
@@ -70,22 +68,20 @@ def scd2_apply(history: DataFrame, changes: DataFrame, key: str, tracked: Sequen
         known.withColumn("_base", F.lit(None).cast("int")))
 
     order = [F.asc(key), F.col("_base").isNull().asc(), F.asc("effective_from"), F.asc_nulls_first("_tie")]
-    chain = seq.ordered(rows, order)
+    chain = Ordered.of(rows, order, by=[key])
     # State after each change, and the state before it. Columns that no change gives stay put.
-    chain = seq.fill_forward(chain, [*tracked, "_base"], by=[key])
-    chain = seq.previous(chain, tracked, "_old", by=[key])
+    chain = chain.fill_forward([*tracked, "_base"]).previous(tracked, "_old")
     differs = {c: ~F.col(f"_old.{c}").cast("string").eqNullSafe(F.col(c).cast("string")) for c in tracked}
     changed = F.array_compact(F.array(*[F.when(d, F.lit(c)) for c, d in differs.items()]))
     first = F.col("_old").isNull()
-    steps = chain.withColumn("_changed", F.when(~first, changed)).filter(first | (F.size("_changed") > 0))
-    steps = steps.withColumn("_step", F.when(F.col("_changed").isNull(), 0).otherwise(1))
-    steps = seq.running_sum(steps, "_step", "_steps", by=[key])
-    steps = seq.following(steps, ["effective_from"], "_next", by=[key])
-    steps = seq.unlabel(steps).withColumns({
+    chain = chain.with_columns({"_changed": F.when(~first, changed), "_step": F.when(first, 0).otherwise(1)})
+    chain = chain.filter((F.col("_step") == 0) | (F.size("_changed") > 0)).cut()
+    chain = chain.running_sum("_step", "_steps").following(["effective_from"], "_next")
+    steps = chain.with_columns({
         "version": (F.col("_base") + F.col("_steps")).cast("int"),
         "effective_to": F.coalesce(F.col("_next.effective_from"), _open_end()),
         "is_current": F.when(F.col("_next").isNull(), 1).otherwise(0),
-    })
+    }).plain()
 
     carried = [c for c in history.columns if c not in {key, *tracked, *VALIDITY, "surrogate_key"}]
     new = steps.filter(F.col("_step") == 1).withColumn("change_type", F.lit("UPDATE"))
@@ -148,8 +144,8 @@ def scd_join_as_of(facts: DataFrame, history: DataFrame, key: str, at: str, out:
         key, F.col("effective_from").alias("_at"), F.lit(0).alias("_side"), F.col("version").cast("int").alias(out),
         F.lit(None).cast(events.schema["_fact"].dataType).alias("_fact"))
     keyed = events.filter(F.col(key).isNotNull()).unionByName(starts)
-    rows = seq.fill_forward(seq.ordered(keyed, [key, "_at", "_side", out, "_fact"]), [out], by=[key])
-    found = rows.filter(F.col("_side") == 1).select("_fact.*", out)
+    rows = Ordered.of(keyed, [key, "_at", "_side", out, "_fact"], by=[key]).fill_forward([out])
+    found = rows.plain().filter(F.col("_side") == 1).select("_fact.*", out)
     lost = facts.filter(F.col(key).isNull()).withColumn(out, F.lit(None).cast("int"))
     return found.unionByName(lost)
 

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martwright.functions.numeric import half_up, mean, percent, ratio, total
-from martwright.operators import ordered as seq
 from martwright.operators.basket import pair_counts
+from martwright.operators.ordered import Ordered, ntile
 from martwright.plans.views import full_name
 
 
@@ -96,7 +96,7 @@ def rfm(customers: DataFrame, sales: DataFrame, dates: DataFrame, as_of: dt.date
         "monetary",
     )
     for order, score in ((F.desc("recency_days"), "r_score"), (F.asc("frequency"), "f_score"), (F.asc("monetary"), "m_score")):
-        scored = seq.ntile(scored, [order, F.asc("customer_id")], tiles, score)
+        scored = ntile(scored, [order, F.asc("customer_id")], tiles, score)
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     segment = (
         F.when((r >= 4) & (f >= 4) & (m >= 4), "Champions")
@@ -162,12 +162,12 @@ def pareto(sales: DataFrame, customers: DataFrame, cut_share: float = 0.8) -> Da
     """Customers by falling revenue with running revenue, shares and the 80/20 group."""
     bought = sales.groupBy("customer_id").agg(F.sum("total_amount").alias("amount"))
     rows = bought.join(customers.select("customer_id", full_name().alias("name")), "customer_id")
-    rows = seq.ordered(rows, [F.desc("amount"), F.asc("customer_id")])
-    everything = rows.agg(F.sum("amount")).scalar().cast("double")
-    customers_ranked = seq.df_count(rows)
-    rows = seq.running_sum_with_peers(seq.row_number(rows, "rank_num"), "amount", "running")
+    ranked = Ordered.of(rows, [F.desc("amount"), F.asc("customer_id")])
+    everything = ranked.rows.agg(F.sum("amount")).scalar().cast("double")
+    customers_ranked = F.lit(ranked.count())
+    curve = ranked.row_number("rank_num").running_sum_with_peers("amount", "running").plain()
     share = ratio("running", everything)
-    return seq.unlabel(rows).select(
+    return curve.select(
         "rank_num",
         "customer_id",
         "name",

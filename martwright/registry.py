@@ -257,8 +257,7 @@ def _event_queries() -> dict[str, Query]:
 
     # Streams over the events file. Duplicates are sent as in `Star.stream_events`.
     def stream(s: Star) -> DataFrame:
-        schema = s.raw("events").schema
-        source = s.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(s.folder)
+        source = s.spark.readStream.schema(schemas.TABLES["events"]).option("pathGlobFilter", "events.parquet").parquet(s.folder)
         sent = as_stream_event(source)
         again = sent.filter(F.col("event_id") % 10 == 0).withColumn("arrival", F.col("arrival") + ARRIVAL_MOD)
         return sent.unionByName(again).withColumn("event_id", F.col("event_id").cast("string"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from martwright.functions.numeric import half_up
 from martwright.operators import keyed
-from martwright.operators import ordered as seq
+from martwright.operators.ordered import Ordered
 from martwright.sources import schemas
 
 # Window columns by the event type they count.
@@ -121,8 +121,7 @@ def late_events(df: DataFrame, order: Sequence[str], time: str = "event_time") -
     The watermark is the time of the event processed just before; it may fall again and drops
     nothing. `order` must be unique.
     """
-    frame = seq.previous(seq.ordered(df, list(order)), [time], "_previous")
-    return seq.unlabel(frame).withColumns({
+    return Ordered.of(df, list(order)).previous([time], "_previous").plain().withColumns({
         "watermark": F.col(f"_previous.{time}"),
         "is_late": F.coalesce(F.col(time) < F.col(f"_previous.{time}"), F.lit(False)),
     }).drop("_previous")
