@@ -54,12 +54,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write `df` once to reliable storage and go on from there.
+    """Write `df` once to the shared folder and go on from the written table.
 
-    Values that depend on how rows were laid out (partition ids, positions) must not be computed
-    twice; a reliable checkpoint also survives the loss of the executors that produced it.
+    Values that depend on how rows were laid out (partition ids, positions) must not be worked out
+    twice, and a written table outlives the executors that produced it. Parquet rather than a
+    checkpoint: later steps read only the columns they need, and Spark knows the table's size when it
+    chooses a join.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

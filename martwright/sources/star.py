@@ -192,7 +192,7 @@ class Star:
         return {
             "dim_customers": lambda *columns: self.customers("signup_date" in columns).select(*columns),
             "dim_products": self.products(),
-            "dim_date": self.dates(),
+            "dim_date": lambda *columns: self.dates().select(*columns),
             "dim_channels": self.channels(),
             "fact_sales": self.sales,
             "fact_user_activity": self.activity(),
