@@ -296,14 +296,15 @@ def channel_attribution(sales: DataFrame, channels: DataFrame) -> DataFrame:
 def revenue_forecast(sales: DataFrame, dates: DataFrame, horizon: int = 3) -> DataFrame:
     """Straight-line trend of monthly revenue, continued for `horizon` months.
 
-    Months are numbered from the first one, which keeps the fit well conditioned.
+    Months are numbered from the first one, which keeps the fit well conditioned. Fewer than two
+    months give no line and no rows.
     """
     months = _monthly(sales, dates).select(
         (F.col("year") * 12 + F.col("month") - 1).alias("m"), F.col("amount").cast("double").alias("y"))
     since = F.col("m") - F.min("m").over(Window.partitionBy())
     line = months.select("m", "y", since.alias("x")).agg(
         F.regr_slope("y", "x").alias("slope"), F.regr_intercept("y", "x").alias("intercept"),
-        F.max("x").alias("last"), F.min("m").alias("first"))
+        F.max("x").alias("last"), F.min("m").alias("first")).filter(F.col("slope").isNotNull())
     ahead = line.select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"))
     x = F.col("last") + F.col("step")
     month = F.col("first") + x
