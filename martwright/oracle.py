@@ -559,6 +559,11 @@ LOAD_SQL = {
                CAST(total_amount - CAST(quantity * cost_price AS DECIMAL(18,2)) AS DECIMAL(18,2)) AS profit
         FROM (SELECT *, {SALE_TOTAL} AS total_amount FROM landed)""", landed=LANDED),
     "full_refresh_load": star(LOADED),
+    "materialize_views": star(f"""
+        SELECT 'materialized' AS phase, 'v_customer_summary' AS table_name, count(*) AS rows FROM dim_customers UNION ALL
+        SELECT 'materialized', 'v_product_performance', count(*) FROM dim_products UNION ALL
+        SELECT 'materialized', 'v_monthly_sales', count(DISTINCT (year, month, category, channel_id))
+        FROM {BY_DATE} JOIN dim_products p ON s.product_id = p.product_id"""),
     "load_star_from_csv": star(VALIDATE.replace("fact_sales", "reloaded").replace("dim_customers", "known"), reloaded=f"""
         SELECT * REPLACE ({SALE_TOTAL} AS total_amount) FROM fact_sales""",
         known="SELECT * FROM dim_customers WHERE signup_date IS NOT NULL"),

@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from martwright.operators import cleaning
+from martwright.plans import views
 from martwright.plans.audit import post_load_validate
 from martwright.sources import schemas
 from martwright.sources import tables as store
@@ -71,6 +72,31 @@ def load_star(spark: SparkSession, raw_folder: str, root: str, strict: bool = Fa
     return run.frame(spark)
 
 
+VIEWS = ("v_monthly_sales", "v_customer_summary", "v_product_performance")
+
+
+def view(tables: Mapping[str, DataFrame], name: str) -> DataFrame:
+    """One of the semantic views over warehouse tables."""
+    t = lambda table: store.pick(tables, table, *schemas.names(schemas.STAR[table]))
+    if name == "v_monthly_sales":
+        return views.monthly_sales_view(t("fact_sales"), t("dim_date"), t("dim_products"), t("dim_channels"))
+    if name == "v_customer_summary":
+        return views.customer_summary_view(t("dim_customers"), t("fact_sales"), t("fact_user_activity"))
+    if name == "v_product_performance":
+        return views.product_performance_view(t("dim_products"), t("fact_sales"))
+    raise KeyError(name)
+
+
+def materialize_views(spark: SparkSession, tables: Mapping[str, DataFrame], root: str) -> LoadRun:
+    """Write the three views as tables of one commit, to be refreshed after a load."""
+    run = LoadRun()
+    snapshot = run.at.strftime("%Y%m%d%H%M%S%f")
+    for name in VIEWS:
+        run.note("materialized", name, store.write_snapshot(view(tables, name), root, name, snapshot))
+    store.commit(spark, root, snapshot, VIEWS)
+    return run
+
+
 def validate(spark: SparkSession, root: str) -> DataFrame:
     """The post-load figures of the committed warehouse."""
     return post_load_validate(store.read_warehouse(spark, root))

@@ -17,15 +17,19 @@ def full_name() -> Column:
 
 
 def monthly_sales_view(sales: DataFrame, dates: DataFrame, products: DataFrame, channels: DataFrame) -> DataFrame:
-    """Orders, units, revenue, profit and average order by month, category and channel."""
-    by_key = sales.groupBy("date_id", "product_id", "channel_id").agg(
+    """Orders, units, revenue, profit and average order by month, category and channel.
+
+    The calendar is the one dimension that is always small, so the month is looked up first and the
+    fact leaves the map side as (month, product, channel).
+    """
+    month = ["year", "month", "month_name"]
+    by_key = sales.join(dates.select("date_id", *month), "date_id").groupBy(*month, "product_id", "channel_id").agg(
         F.count("sale_id").alias("n"), F.sum("quantity").alias("units"),
         F.count("total_amount").alias("n_amount"),
         F.sum("total_amount").alias("revenue"), F.sum("profit").alias("profit"))
-    keys = ["year", "month", "month_name", "category", "channel_name"]
+    keys = [*month, "category", "channel_name"]
     return (
-        by_key.join(dates.select("date_id", "year", "month", "month_name"), "date_id")
-        .join(products.select("product_id", "category"), "product_id")
+        by_key.join(products.select("product_id", "category"), "product_id")
         .join(channels.select("channel_id", "channel_name"), "channel_id")
         .groupBy(*keys)
         .agg(

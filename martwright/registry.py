@@ -167,6 +167,10 @@ def _load_queries() -> dict[str, Query]:
         log = load.load_tables(s.spark, s.tables(), root).frame(s.spark)
         return log.select("phase", "table_name", "rows")
 
+    def materialized(s: Star) -> DataFrame:
+        root = scratch_path(s.spark, "warehouse")
+        return load.materialize_views(s.spark, s.tables(), root).frame(s.spark).select("phase", "table_name", "rows")
+
     def from_csv(s: Star) -> DataFrame:
         landing, root = scratch_path(s.spark, "landing"), scratch_path(s.spark, "warehouse")
         tables = s.tables()
@@ -182,6 +186,7 @@ def _load_queries() -> dict[str, Query]:
         "quarantined_sales": lambda s: clean_sales(s, 1),
         "derive_sale_amounts": derived,
         "full_refresh_load": full_refresh,
+        "materialize_views": materialized,
         "load_star_from_csv": from_csv,
     }
 

@@ -130,6 +130,16 @@ def read_warehouse(spark: SparkSession, root: str, ddls: Mapping[str, str] = sch
     return {table: read_table(spark, root, table, ddl) for table, ddl in ddls.items()}
 
 
+def create_if_absent(spark: SparkSession, root: str, ddls: Mapping[str, str] = schemas.STAR) -> list[str]:
+    """Commit an empty snapshot for every declared table that has none; returns their names."""
+    absent = [table for table in ddls if current_snapshot(spark, root, table) is None]
+    for table in absent:
+        write_snapshot(spark.createDataFrame([], ddls[table]), root, table, "0")
+    if absent:
+        commit(spark, root, "0", absent)
+    return absent
+
+
 def register_views(tables: Mapping[str, DataFrame]) -> None:
     """Make tables available to `spark.sql` by name."""
     for name, df in tables.items():

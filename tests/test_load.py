@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from conftest import rows
 
-from martwright.plans import load, sales
+from martwright.plans import load, reports, sales
 from martwright.sources import schemas
 from martwright.sources import tables as store
 
@@ -94,3 +94,28 @@ def test_run_log_has_one_time_per_run():
 def test_names_of_nested_ddl():
     assert schemas.names(schemas.RAW_COUNTRIES)[:4] == ["name", "capital", "region", "subregion"]
     assert schemas.names(schemas.STAR["fact_sales"])[-2:] == ["total_amount", "profit"]
+
+
+def test_create_if_absent(spark, tmp_path):
+    root = str(tmp_path / "w")
+    assert set(store.create_if_absent(spark, root)) == set(schemas.STAR)
+    assert store.create_if_absent(spark, root) == []
+    assert store.read_warehouse(spark, root)["fact_sales"].count() == 0
+
+
+def test_every_report_runs_on_a_loaded_warehouse(spark, landing, tmp_path):
+    root = str(tmp_path / "warehouse")
+    load.load_star(spark, str(landing), root)
+    tables = reports.open_warehouse(spark, root)
+    load.materialize_views(spark, tables, root)
+    with_input = {"advanced/scd-history": {"customer_id": 1}, "products/top": {"limit": 5}}
+    empty = set()
+    for name in reports.REPORTS:
+        if reports.report(tables, name, **with_input.get(name, {})).count() == 0:
+            empty.add(name)
+    live_ones = {n for n in reports.REPORTS if n.startswith("live/") and n != "live/crypto/summary"}
+    assert empty == live_ones | {"advanced/stream-windows", "advanced/scd-history", "advanced/clv", "customers/lifetime-value",
+                                 "advanced/market-basket", "advanced/forecast"}
+    ddl = "year int, month int, month_name string, category string, channel_name string, total_orders bigint, total_revenue double"
+    kept = store.read_table(spark, root, "v_monthly_sales", ddl).first()
+    assert (kept.category, kept.total_orders, kept.total_revenue) == ("home", 1, 27.0)
