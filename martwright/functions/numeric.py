@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
@@ -28,15 +28,34 @@ def percent(numerator: Column | str, denominator: Column | str, places: int = 1)
     return half_up(ratio(numerator, denominator) * 100.0, places)
 
 
-def total(value: Column | str) -> Column:
-    """Exact decimal sum shown as a double."""
-    return F.sum(col(value)).cast("double")
+def cents(df: DataFrame, name: str) -> Column:
+    """A DECIMAL(18,2) column of `df` in whole cents.
+
+    Sums of long cents are exact like decimal sums and cost a third of them per row; beyond 9e16 they
+    raise an overflow error. A frame that has the cents already carries them as `<name>_cents`.
+    """
+    ready = f"{name}_cents"
+    return F.col(ready) if ready in df.columns else (F.col(name) * 100).cast("bigint")
+
+
+def units(amount_in_cents: Column | str) -> Column:
+    """Cents as a double amount."""
+    return col(amount_in_cents).cast("double") / 100.0
+
+
+def total(amount_in_cents: Column | str) -> Column:
+    """Sum of cents as a double amount."""
+    return units(F.sum(col(amount_in_cents)))
 
 
 def mean(sum_value: Column | str, count: Column | str, places: int = 2) -> Column:
     return half_up(ratio(sum_value, count), places)
 
 
+def mean_amount(sum_in_cents: Column | str, count: Column | str) -> Column:
+    return mean(units(sum_in_cents), count)
+
+
 def sale_total(quantity: Column | str, unit_price: Column | str, discount: Column | str) -> Column:
     """quantity x price x (1 - discount) in decimal arithmetic, to the cent."""
     gross = col(quantity).cast("decimal(10,0)") * col(unit_price).cast(MONEY)

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martwright.functions.numeric import half_up, mean, percent, ratio, total
+from martwright.functions.numeric import cents, half_up, mean, mean_amount, percent, ratio, units
 from martwright.operators.basket import pair_counts
 from martwright.operators.ordered import Ordered, ntile
 from martwright.plans.views import full_name
@@ -15,7 +15,8 @@ from martwright.plans.views import full_name
 
 def _monthly(sales: DataFrame, dates: DataFrame) -> DataFrame:
     keys = ["year", "month", "month_name"]
-    by_date = sales.groupBy("date_id").agg(F.sum("total_amount").alias("amount"), F.sum("profit").alias("gain"))
+    by_date = sales.groupBy("date_id").agg(
+        F.sum(cents(sales, "total_amount")).alias("amount"), F.sum(cents(sales, "profit")).alias("gain"))
     return by_date.join(dates.select("date_id", *keys), "date_id").groupBy(*keys).agg(
         F.sum("amount").alias("amount"), F.sum("gain").alias("gain"))
 
@@ -35,12 +36,12 @@ def monthly_trend(sales: DataFrame, dates: DataFrame) -> DataFrame:
             "year",
             "month",
             "month_name",
-            F.col("amount").cast("double").alias("revenue"),
-            F.col("gain").cast("double").alias("profit"),
-            F.sum("amount").over(in_order).cast("double").alias("cumulative_revenue"),
-            half_up(ratio(F.sum("amount").over(three), F.count("amount").over(three)), 2).alias("moving_avg_3m"),
-            change.cast("double").alias("mom_change"),
-            percent(change, last).alias("mom_pct_change"),
+            units("amount").alias("revenue"),
+            units("gain").alias("profit"),
+            units(F.sum("amount").over(in_order)).alias("cumulative_revenue"),
+            mean_amount(F.sum("amount").over(three), F.count("amount").over(three)).alias("moving_avg_3m"),
+            units(change).alias("mom_change"),
+            percent(units(change), units(last)).alias("mom_pct_change"),
             F.rank().over(Window.orderBy(F.desc("amount"))).cast("bigint").alias("revenue_rank"),
         )
         .orderBy("year", "month")
@@ -84,7 +85,7 @@ def rfm(customers: DataFrame, sales: DataFrame, dates: DataFrame, as_of: dt.date
     bought = sales.groupBy("customer_id").agg(
         F.max("date_id").alias("date_id"),
         F.countDistinct("sale_id").alias("frequency"),
-        F.sum("total_amount").alias("monetary"))
+        F.sum(cents(sales, "total_amount")).alias("monetary"))
     scored = bought.join(dates.select("date_id", "full_date"), "date_id").join(
         customers.select("customer_id", full_name().alias("customer_name"), "country"), "customer_id"
     ).select(
@@ -107,7 +108,7 @@ def rfm(customers: DataFrame, sales: DataFrame, dates: DataFrame, as_of: dt.date
         .otherwise("Potential Loyalists")
     )
     return scored.withColumns({
-        "monetary": F.col("monetary").cast("double"),
+        "monetary": units("monetary"),
         "rfm_total": r + f + m,
         "rfm_segment": segment,
     })
@@ -160,19 +161,19 @@ def market_basket(sales: DataFrame, products: DataFrame, min_count: int = 3, top
 
 def pareto(sales: DataFrame, customers: DataFrame, cut_share: float = 0.8) -> DataFrame:
     """Customers by falling revenue with running revenue, shares and the 80/20 group."""
-    bought = sales.groupBy("customer_id").agg(F.sum("total_amount").alias("amount"))
+    bought = sales.groupBy("customer_id").agg(F.sum(cents(sales, "total_amount")).alias("amount"))
     rows = bought.join(customers.select("customer_id", full_name().alias("name")), "customer_id")
     ranked = Ordered.of(rows, [F.desc("amount"), F.asc("customer_id")])
-    everything = ranked.rows.agg(F.sum("amount")).scalar().cast("double")
+    everything = units(ranked.rows.agg(F.sum("amount")).scalar())
     customers_ranked = F.lit(ranked.count())
     curve = ranked.row_number("rank_num").running_sum_with_peers("amount", "running").plain()
-    share = ratio("running", everything)
+    share = ratio(units("running"), everything)
     return curve.select(
         "rank_num",
         "customer_id",
         "name",
-        F.col("amount").cast("double").alias("revenue"),
-        F.col("running").cast("double").alias("cumulative_revenue"),
+        units("amount").alias("revenue"),
+        units("running").alias("cumulative_revenue"),
         half_up(share * 100.0, 1).alias("cumulative_pct"),
         percent("rank_num", customers_ranked).alias("customer_percentile"),
         F.when(share <= cut_share, "Top 80% Revenue").otherwise("Bottom 20% Revenue").alias("pareto_group"),
@@ -191,7 +192,7 @@ def pareto_sampled(curve: DataFrame, points: int = 100) -> DataFrame:
 def _daily(sales: DataFrame, dates: DataFrame) -> DataFrame:
     return (
         sales.groupBy("date_id")
-        .agg(F.sum("total_amount").alias("amount"))
+        .agg(F.sum(cents(sales, "total_amount")).alias("amount"))
         .join(dates.select("date_id", "full_date", "day_of_week"), "date_id")
         .groupBy("full_date", "day_of_week")
         .agg(F.sum("amount").alias("amount"))
@@ -205,9 +206,9 @@ def ts_decompose(sales: DataFrame, dates: DataFrame, half_window: int = 15) -> D
     """
     near = Window.orderBy("full_date").rowsBetween(-half_window, half_window)
     weekday = Window.partitionBy("day_of_week")
-    trend = half_up(ratio(F.sum("amount").over(near), F.count("amount").over(near)), 2)
-    seasonal = half_up(ratio(F.sum("amount").over(weekday), F.count("amount").over(weekday)), 2)
-    revenue = F.col("amount").cast("double")
+    trend = mean_amount(F.sum("amount").over(near), F.count("amount").over(near))
+    seasonal = mean_amount(F.sum("amount").over(weekday), F.count("amount").over(weekday))
+    revenue = units("amount")
     return (
         _daily(sales, dates)
         .select(
@@ -228,8 +229,8 @@ def customer_metrics(customers: DataFrame, sales: DataFrame, dates: DataFrame) -
         .groupBy("customer_id")
         .agg(
             F.countDistinct("sale_id").alias("total_purchases"),
-            F.sum("total_amount").alias("amount"),
-            F.count("total_amount").alias("n_amount"),
+            F.sum(cents(sales, "total_amount")).alias("amount"),
+            F.count(cents(sales, "total_amount")).alias("n_amount"),
             F.min("full_date").alias("first_purchase"),
             F.max("full_date").alias("last_purchase"),
             F.countDistinct(F.trunc("full_date", "month")).alias("active_months"),
@@ -244,13 +245,13 @@ def clv(customers: DataFrame, sales: DataFrame, dates: DataFrame, months: int =
     rows = (
         customer_metrics(customers, sales, dates)
         .filter(F.col("total_purchases") > 1)
-        .withColumn("avg_purchase_value", mean("amount", "n_amount"))
+        .withColumn("avg_purchase_value", mean_amount("amount", "n_amount"))
         .select(
             "customer_id",
             "name",
             "country",
             "total_purchases",
-            F.col("amount").cast("double").alias("total_spent"),
+            units("amount").alias("total_spent"),
             "avg_purchase_value",
             "active_months",
             F.datediff("last_purchase", "first_purchase").alias("lifespan_days"),
@@ -265,25 +266,26 @@ def clv(customers: DataFrame, sales: DataFrame, dates: DataFrame, months: int =
 
 def channel_attribution(sales: DataFrame, channels: DataFrame) -> DataFrame:
     """Conversions, revenue and profit per channel with shares and ranks (one row per channel)."""
+    amount = cents(sales, "total_amount")
     by_channel = sales.groupBy("channel_id").agg(
         F.count("sale_id").alias("conversions"),
-        F.sum("total_amount").alias("amount"),
+        F.sum(amount).alias("amount"),
         F.countDistinct("customer_id").alias("unique_customers"),
-        mean(F.sum("total_amount"), F.count("total_amount")).alias("avg_order_value"),
-        F.sum("profit").alias("gain"))
+        mean_amount(F.sum(amount), F.count(amount)).alias("avg_order_value"),
+        F.sum(cents(sales, "profit")).alias("gain"))
     everything = Window.partitionBy()
-    margin = ratio("gain", "amount")
+    margin = ratio(units("gain"), units("amount"))
     return (
         by_channel.join(channels, "channel_id")
         .select(
             "channel_name",
             "channel_type",
             "conversions",
-            F.col("amount").cast("double").alias("attributed_revenue"),
+            units("amount").alias("attributed_revenue"),
             "unique_customers",
             "avg_order_value",
-            F.col("gain").cast("double").alias("attributed_profit"),
-            percent("amount", F.sum("amount").over(everything)).alias("revenue_share_pct"),
+            units("gain").alias("attributed_profit"),
+            percent(units("amount"), units(F.sum("amount").over(everything))).alias("revenue_share_pct"),
             percent("conversions", F.sum("conversions").over(everything)).alias("conversion_share_pct"),
             half_up(margin * 100.0, 1).alias("profit_margin_pct"),
             F.rank().over(Window.orderBy(F.desc("amount"))).cast("bigint").alias("revenue_rank"),
@@ -300,7 +302,7 @@ def revenue_forecast(sales: DataFrame, dates: DataFrame, horizon: int = 3) -> Da
     months give no line and no rows.
     """
     months = _monthly(sales, dates).select(
-        (F.col("year") * 12 + F.col("month") - 1).alias("m"), F.col("amount").cast("double").alias("y"))
+        (F.col("year") * 12 + F.col("month") - 1).alias("m"), units("amount").alias("y"))
     since = F.col("m") - F.min("m").over(Window.partitionBy())
     line = months.select("m", "y", since.alias("x")).agg(
         F.regr_slope("y", "x").alias("slope"), F.regr_intercept("y", "x").alias("intercept"),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martwright.functions.numeric import mean, percent, total
+from martwright.functions.numeric import cents, mean, mean_amount, percent, total, units
 
 SEGMENTS = ("Platinum", "Gold", "Silver")  # and Bronze below the last tier
 TIERS = (5000, 2000, 500)
@@ -17,22 +17,28 @@ MAX_TOP = 50
 def overview(sales: DataFrame, customers: DataFrame, products: DataFrame, activity: DataFrame) -> DataFrame:
     """The eight headline figures in one row, one pass per table."""
     rows = F.count("*")
+    amount = cents(sales, "total_amount")
     return sales.agg(
-        total("total_amount").alias("total_revenue"),
-        total("profit").alias("total_profit"),
+        total(amount).alias("total_revenue"),
+        total(cents(sales, "profit")).alias("total_profit"),
         rows.alias("total_orders"),
         customers.agg(rows).scalar().alias("total_customers"),
         products.agg(rows).scalar().alias("total_products"),
-        mean(F.sum("total_amount"), F.count("total_amount")).alias("avg_order_value"),
+        mean_amount(F.sum(amount), F.count(amount)).alias("avg_order_value"),
         activity.agg(rows).scalar().alias("total_sessions"),
         activity.agg(percent(F.sum("bounce"), rows)).scalar().alias("bounce_rate"),
     )
 
 
 def _by_key(sales: DataFrame, key: str, *more: Column) -> DataFrame:
+    """Sale count and amount in cents per key, with further aggregates."""
+    amount = cents(sales, "total_amount")
     return sales.groupBy(key).agg(
-        F.count("sale_id").alias("n"), F.count("total_amount").alias("n_amount"),
-        F.sum("total_amount").alias("amount"), *more)
+        F.count("sale_id").alias("n"), F.count(amount).alias("n_amount"), F.sum(amount).alias("amount"), *more)
+
+
+def _gain(sales: DataFrame) -> Column:
+    return F.sum(cents(sales, "profit")).alias("gain")
 
 
 def monthly_sales(sales: DataFrame, dates: DataFrame) -> DataFrame:
@@ -47,8 +53,8 @@ def monthly_sales(sales: DataFrame, dates: DataFrame) -> DataFrame:
         .groupBy(*keys)
         .agg(
             F.count("sale_id").alias("orders"),
-            total("total_amount").alias("revenue"),
-            total("profit").alias("profit"),
+            total(cents(sales, "total_amount")).alias("revenue"),
+            total(cents(sales, "profit")).alias("profit"),
             F.countDistinct("customer_id").alias("unique_customers"),
         )
         .orderBy("year", "month")
@@ -56,7 +62,7 @@ def monthly_sales(sales: DataFrame, dates: DataFrame) -> DataFrame:
 
 
 def sales_by_category(sales: DataFrame, products: DataFrame) -> DataFrame:
-    by_key = _by_key(sales, "product_id", F.sum("profit").alias("gain"))
+    by_key = _by_key(sales, "product_id", _gain(sales))
     return (
         by_key.join(products.select("product_id", "category"), "product_id")
         .groupBy("category")
@@ -64,7 +70,7 @@ def sales_by_category(sales: DataFrame, products: DataFrame) -> DataFrame:
             F.sum("n").alias("orders"),
             total("amount").alias("revenue"),
             total("gain").alias("profit"),
-            percent(F.sum("gain"), F.sum("amount")).alias("margin_pct"),
+            percent(total("gain"), total("amount")).alias("margin_pct"),
         )
         .orderBy(F.desc("revenue"), "category")
     )
@@ -78,8 +84,8 @@ def sales_by_channel(sales: DataFrame, channels: DataFrame) -> DataFrame:
             "channel_name",
             "channel_type",
             F.col("n").alias("orders"),
-            F.col("amount").cast("double").alias("revenue"),
-            mean("amount", "n_amount").alias("avg_order_value"),
+            units("amount").alias("revenue"),
+            mean_amount("amount", "n_amount").alias("avg_order_value"),
         )
         .orderBy(F.desc("revenue"), "channel_name")
     )
@@ -105,7 +111,7 @@ def daily_pattern(sales: DataFrame, dates: DataFrame) -> DataFrame:
         .agg(
             F.sum("n").alias("orders"),
             total("amount").alias("revenue"),
-            mean(F.sum("amount"), F.sum("n_amount")).alias("avg_order"),
+            mean_amount(F.sum("amount"), F.sum("n_amount")).alias("avg_order"),
         )
         .orderBy("day_of_week")
     )
@@ -115,7 +121,7 @@ def top_products(sales: DataFrame, products: DataFrame, limit: int = 10) -> Data
     """The `limit` best-selling products; the join comes after the top-k is chosen."""
     if not 1 <= limit <= MAX_TOP:
         raise ValueError(f"limit must lie between 1 and {MAX_TOP}")
-    sold = _by_key(sales, "product_id", F.sum("quantity").alias("units_sold"), F.sum("profit").alias("gain"))
+    sold = _by_key(sales, "product_id", F.sum("quantity").alias("units_sold"), _gain(sales))
     known = sold.join(products.select("product_id"), "product_id", "left_semi")
     best = known.orderBy(F.desc("amount"), "product_id").limit(limit)
     return (
@@ -126,8 +132,8 @@ def top_products(sales: DataFrame, products: DataFrame, limit: int = 10) -> Data
             "product_name",
             "category",
             "units_sold",
-            F.col("amount").cast("double").alias("revenue"),
-            F.col("gain").cast("double").alias("profit"),
+            units("amount").alias("revenue"),
+            units("gain").alias("profit"),
         )
     )
 
@@ -144,15 +150,15 @@ def tier(value: Column | str, tiers: Sequence[float] = TIERS) -> Column:
 def customer_segments(customers: DataFrame, sales: DataFrame, tiers: Sequence[float] = TIERS) -> DataFrame:
     """Customers, average value and average orders per lifetime-value tier; no sales count as 0."""
     bought = _by_key(sales, "customer_id").select("customer_id", "n", "amount")
-    value = F.coalesce("amount", F.lit(0).cast("decimal(28,2)"))
+    value = F.coalesce("amount", F.lit(0))
     return (
         customers.select("customer_id")
         .join(bought, "customer_id", "left")
-        .select(tier(value, tiers).alias("segment"), value.alias("value"), F.coalesce("n", F.lit(0)).alias("n"))
+        .select(tier(units(value), tiers).alias("segment"), value.alias("value"), F.coalesce("n", F.lit(0)).alias("n"))
         .groupBy("segment")
         .agg(
             F.count("*").alias("customer_count"),
-            mean(F.sum("value"), F.count("*")).alias("avg_ltv"),
+            mean_amount(F.sum("value"), F.count("*")).alias("avg_ltv"),
             mean(F.sum("n"), F.count("*"), 1).alias("avg_orders"),
         )
         .orderBy(F.desc("avg_ltv"))

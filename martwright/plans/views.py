@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martwright.functions.numeric import half_up, mean, percent, total
+from martwright.functions.numeric import cents, half_up, mean, mean_amount, percent, total, units
 
 
 def full_name() -> Column:
@@ -25,8 +25,8 @@ def monthly_sales_view(sales: DataFrame, dates: DataFrame, products: DataFrame,
     month = ["year", "month", "month_name"]
     by_key = sales.join(dates.select("date_id", *month), "date_id").groupBy(*month, "product_id", "channel_id").agg(
         F.count("sale_id").alias("n"), F.sum("quantity").alias("units"),
-        F.count("total_amount").alias("n_amount"),
-        F.sum("total_amount").alias("revenue"), F.sum("profit").alias("profit"))
+        F.count(cents(sales, "total_amount")).alias("n_amount"),
+        F.sum(cents(sales, "total_amount")).alias("revenue"), F.sum(cents(sales, "profit")).alias("profit"))
     keys = [*month, "category", "channel_name"]
     return (
         by_key.join(products.select("product_id", "category"), "product_id")
@@ -37,7 +37,7 @@ def monthly_sales_view(sales: DataFrame, dates: DataFrame, products: DataFrame,
             F.sum("units").alias("total_units"),
             total("revenue").alias("total_revenue"),
             total("profit").alias("total_profit"),
-            mean(F.sum("revenue"), F.sum("n_amount")).alias("avg_order_value"),
+            mean_amount(F.sum("revenue"), F.sum("n_amount")).alias("avg_order_value"),
         )
     )
 
@@ -50,7 +50,7 @@ def customer_summary_view(customers: DataFrame, sales: DataFrame, activity: Data
     without it the value is the true revenue. Neither variant builds the sale x session product.
     """
     bought = sales.groupBy("customer_id").agg(
-        F.countDistinct("sale_id").alias("total_orders"), F.sum("total_amount").alias("revenue"))
+        F.countDistinct("sale_id").alias("total_orders"), F.sum(cents(sales, "total_amount")).alias("revenue"))
     sessions = activity.groupBy("customer_id").agg(
         F.count("*").alias("n_sessions"),
         mean(F.sum("session_duration_sec"), F.count("session_duration_sec"), 0).alias("avg_session_sec"),
@@ -65,7 +65,7 @@ def customer_summary_view(customers: DataFrame, sales: DataFrame, activity: Data
             "country",
             "age_group",
             F.coalesce("total_orders", F.lit(0)).alias("total_orders"),
-            (F.col("revenue") * repeats).cast("double").alias("lifetime_value"),
+            units(F.col("revenue") * repeats).alias("lifetime_value"),
             "avg_session_sec",
             "avg_pages_viewed",
         )
@@ -76,7 +76,7 @@ def product_performance_view(products: DataFrame, sales: DataFrame) -> DataFrame
     """Per product, sold or not: times sold, units, revenue, profit and margin."""
     sold = sales.groupBy("product_id").agg(
         F.count("sale_id").alias("n"), F.sum("quantity").alias("total_units_sold"),
-        F.sum("total_amount").alias("revenue"), F.sum("profit").alias("profit"))
+        F.sum(cents(sales, "total_amount")).alias("revenue"), F.sum(cents(sales, "profit")).alias("profit"))
     return products.join(sold, "product_id", "left").select(
         "product_id",
         "product_name",
@@ -84,9 +84,9 @@ def product_performance_view(products: DataFrame, sales: DataFrame) -> DataFrame
         "subcategory",
         F.coalesce("n", F.lit(0)).alias("times_sold"),
         "total_units_sold",
-        F.col("revenue").cast("double").alias("total_revenue"),
-        F.col("profit").cast("double").alias("total_profit"),
-        percent("profit", "revenue").alias("profit_margin_pct"),
+        units("revenue").alias("total_revenue"),
+        units("profit").alias("total_profit"),
+        percent(units("profit"), units("revenue")).alias("profit_margin_pct"),
     )
 
 

@@ -26,28 +26,28 @@ Query = Callable[[Star], DataFrame]
 def _sales_queries() -> dict[str, Query]:
     def summary(s: Star, fan_out: bool = True) -> DataFrame:
         return views.customer_summary_view(
-            s.customers(), s.sales("customer_id", "sale_id", "total_amount"), s.activity(), fan_out)
+            s.customers(), s.sales("customer_id", "sale_id", "total_amount_cents"), s.activity(), fan_out)
 
     def performance(s: Star) -> DataFrame:
         return views.product_performance_view(
-            s.products(), s.sales("product_id", "sale_id", "quantity", "total_amount", "profit"))
+            s.products(), s.sales("product_id", "sale_id", "quantity", "total_amount_cents", "profit_cents"))
 
-    money = ("sale_id", "total_amount")
+    money = ("sale_id", "total_amount_cents")
     return {
         "v_monthly_sales": lambda s: views.monthly_sales_view(
-            s.sales("date_id", "product_id", "channel_id", "quantity", "profit", *money), s.calendar(), s.products(), s.channels()),
+            s.sales("date_id", "product_id", "channel_id", "quantity", "profit_cents", *money), s.calendar(), s.products(), s.channels()),
         "v_customer_summary": summary,
         "v_customer_summary_true_value": lambda s: summary(s, fan_out=False),
         "v_product_performance": performance,
         "products_by_category": lambda s: views.products_by_category(performance(s), s.products()),
-        "overview": lambda s: sales.overview(s.sales("total_amount", "profit"), s.customers(), s.products(), s.activity()),
-        "monthly_sales": lambda s: sales.monthly_sales(s.sales("date_id", "customer_id", "profit", *money), s.calendar()),
-        "sales_by_category": lambda s: sales.sales_by_category(s.sales("product_id", "profit", *money), s.products()),
+        "overview": lambda s: sales.overview(s.sales("total_amount_cents", "profit_cents"), s.customers(), s.products(), s.activity()),
+        "monthly_sales": lambda s: sales.monthly_sales(s.sales("date_id", "customer_id", "profit_cents", *money), s.calendar()),
+        "sales_by_category": lambda s: sales.sales_by_category(s.sales("product_id", "profit_cents", *money), s.products()),
         "sales_by_channel": lambda s: sales.sales_by_channel(s.sales("channel_id", *money), s.channels()),
         "sales_by_country": lambda s: sales.sales_by_country(s.sales("customer_id", *money), s.customers()),
         "sales_by_country_top": lambda s: sales.sales_by_country(s.sales("customer_id", *money), s.customers(), limit=10),
         "daily_pattern": lambda s: sales.daily_pattern(s.sales("date_id", *money), s.calendar()),
-        "top_products": lambda s: sales.top_products(s.sales("product_id", "quantity", "profit", *money), s.products()),
+        "top_products": lambda s: sales.top_products(s.sales("product_id", "quantity", "profit_cents", *money), s.products()),
         "customer_segments": lambda s: sales.customer_segments(s.customers(), s.sales("customer_id", *money), SEGMENT_TIERS),
         "customer_segments_view": lambda s: sales.customer_segments_view(summary(s), SEGMENT_TIERS),
         "engagement_by_channel": lambda s: sales.engagement_by_channel(s.activity(), s.channels()),
@@ -56,16 +56,16 @@ def _sales_queries() -> dict[str, Query]:
 
 
 def _advanced_queries() -> dict[str, Query]:
-    buys = ("customer_id", "date_id", "sale_id", "total_amount")
+    buys = ("customer_id", "date_id", "sale_id", "total_amount_cents")
 
     def rfm(s: Star) -> DataFrame:
         return advanced.rfm(s.customers(), s.sales(*buys), s.calendar(), AS_OF)
 
     def pareto(s: Star) -> DataFrame:
-        return advanced.pareto(s.sales("customer_id", "total_amount"), s.customers())
+        return advanced.pareto(s.sales("customer_id", "total_amount_cents"), s.customers())
 
     return {
-        "monthly_trend": lambda s: advanced.monthly_trend(s.sales("date_id", "total_amount", "profit"), s.calendar()),
+        "monthly_trend": lambda s: advanced.monthly_trend(s.sales("date_id", "total_amount_cents", "profit_cents"), s.calendar()),
         "cohort_retention": lambda s: advanced.cohort_retention(
             s.customers(signup=True), s.sales("customer_id", "date_id"), s.calendar()),
         "rfm": rfm,
@@ -74,12 +74,12 @@ def _advanced_queries() -> dict[str, Query]:
             s.sales("customer_id", "date_id", "product_id", "sale_id"), s.products()),
         "pareto": pareto,
         "pareto_sampled": lambda s: advanced.pareto_sampled(pareto(s)),
-        "ts_decompose": lambda s: advanced.ts_decompose(s.sales("date_id", "total_amount"), s.calendar()),
+        "ts_decompose": lambda s: advanced.ts_decompose(s.sales("date_id", "total_amount_cents"), s.calendar()),
         "clv": lambda s: advanced.clv(s.customers(), s.sales(*buys), s.calendar()),
         "clv_all": lambda s: advanced.clv(s.customers(), s.sales(*buys), s.calendar(), limit=None),
         "channel_attribution": lambda s: advanced.channel_attribution(
-            s.sales("channel_id", "customer_id", "sale_id", "total_amount", "profit"), s.channels()),
-        "revenue_forecast": lambda s: advanced.revenue_forecast(s.sales("date_id", "total_amount", "profit"), s.calendar()),
+            s.sales("channel_id", "customer_id", "sale_id", "total_amount_cents", "profit_cents"), s.channels()),
+        "revenue_forecast": lambda s: advanced.revenue_forecast(s.sales("date_id", "total_amount_cents", "profit_cents"), s.calendar()),
         "churn_risk": lambda s: advanced.churn_risk(s.customers(), s.sales("customer_id", "date_id"), s.calendar(), AS_OF),
     }
 

@@ -22,7 +22,7 @@ STAR_EPOCH = dt.date(1995, 1, 1)  # date_id 1
 
 SALE_COLUMNS = tuple(schemas.names(schemas.STAR["fact_sales"]))
 FROM_ORDERS = {"customer_id", "date_id", "channel_id"}
-FROM_PARTS = {"unit_price", "profit"}
+FROM_PARTS = {"unit_price", "profit", "profit_cents"}
 
 # The event types of the given stream under their retail names.
 EVENT_TYPES = {"view": "page_view", "click": "add_to_cart", "purchase": "purchase", "signup": "search", "error": "logout"}
@@ -33,7 +33,7 @@ CHANNELS = ("web", "mobile", "api")
 # which costs a third of decimal arithmetic per row, then shown as DECIMAL(18,2).
 
 
-def cents(value: Column) -> Column:
+def in_cents(value: Column) -> Column:
     """A double amount in whole cents, rounded half up."""
     return F.signum(value).cast("bigint") * F.floor(F.abs(value) * 100.0 + 0.5)
 
@@ -49,7 +49,7 @@ def as_money(amount_in_cents: Column) -> Column:
 
 
 def cost_cents(price: Column) -> Column:
-    return percent_of(cents(price), F.lit(COST_SHARE))
+    return percent_of(in_cents(price), F.lit(COST_SHARE))
 
 
 class Star:
@@ -121,10 +121,13 @@ class Star:
     # facts ------------------------------------------------------------------------------------
 
     def sales(self, *columns: str) -> DataFrame:
-        """One row per order line. The sale id is the order key, so it repeats within an order."""
+        """One row per order line. The sale id is the order key, so it repeats within an order.
+
+        Reports ask for `total_amount_cents` and `profit_cents` and sum those.
+        """
         wanted = columns or SALE_COLUMNS
-        off = cents(F.col("l_discount"))
-        total = percent_of(cents(F.col("l_extendedprice")), 100 - off)
+        off = in_cents(F.col("l_discount"))
+        total = percent_of(in_cents(F.col("l_extendedprice")), 100 - off)
         quantity = F.col("l_quantity").cast("int")
         rows = self.raw("lineitem")
         defined = {
@@ -133,6 +136,7 @@ class Star:
             "quantity": quantity,
             "discount": F.col("l_discount").cast("decimal(4,2)"),
             "total_amount": as_money(total),
+            "total_amount_cents": total,
         }
         if FROM_ORDERS & set(wanted):
             order = self.raw("orders").select(
@@ -146,9 +150,11 @@ class Star:
         if FROM_PARTS & set(wanted):
             part = self.raw("part").select("p_partkey", "p_retailprice")
             rows = rows.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+            profit = total - quantity * cost_cents(F.col("p_retailprice"))
             defined |= {
                 "unit_price": F.col("p_retailprice").cast(MONEY),
-                "profit": as_money(total - quantity * cost_cents(F.col("p_retailprice"))),
+                "profit": as_money(profit),
+                "profit_cents": profit,
             }
         return rows.select(*[defined[name].alias(name) for name in wanted])
 
