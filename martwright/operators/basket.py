@@ -61,10 +61,11 @@ def pair_counts(sales: DataFrame, min_count: int, top: int, wide: int = WIDE) ->
     superset of the `top` best pairs in which every listed pair has its full count."""
     lines = sales.filter(F.col("customer_id").isNotNull() & F.col("date_id").isNotNull())
     basket = cut(lines.groupBy(*BASKET, "product_id").agg(F.count("*").alias("n")))
-    big = cut(basket.groupBy(*BASKET).agg(F.count("*").alias("width")).filter(F.col("width") > wide).select(*BASKET))
+    big = basket.groupBy(*BASKET).agg(F.count("*").alias("width")).filter(F.col("width") > wide).select(*BASKET)
     if big.isEmpty():
         return _per_pair(_per_customer(_pairs(basket, basket, BASKET))).filter(F.col("co_occurrence") >= min_count)
 
+    big = cut(big)
     rest = basket.join(big, BASKET, "left_anti")
     ordinary = cut(_per_customer(_pairs(rest, rest, BASKET)))
     counted = _per_pair(ordinary)

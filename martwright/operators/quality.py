@@ -82,8 +82,8 @@ def referential_integrity(child: DataFrame, child_table: str, child_key: str,
 def iqr_bounds(df: DataFrame, column: str, k: float = 1.5) -> DataFrame:
     """One row: rows, quartiles v[n/4] and v[3n/4], fences and the number of values beyond them."""
     counts = ValueCounts.of(df, [column])
-    quartiles = order_statistics(counts, QUARTILES)
-    q1, q3 = (quartiles.select(F.col(q).cast("double")).scalar() for q in ("q1", "q3"))
+    quartiles = order_statistics(counts, QUARTILES).get(column, {})
+    q1, q3 = (F.lit(quartiles.get(q)).cast("double") for q in ("q1", "q3"))
     low, high = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
     value = F.col("value").cast("double")
     return counts.rows.agg(
@@ -197,32 +197,38 @@ def profile_numeric(df: DataFrame, table: str, columns: Sequence[str]) -> DataFr
     both passes run over its distinct values.
     """
     counts = ValueCounts.of(df, columns)
-    value, n = F.col("value"), F.col("n")
-    first = counts.totals.groupBy("column").agg(
-        F.sum("n").alias("count"), F.min("min").alias("min"), F.max("max").alias("max"), F.sum("total").alias("total"))
-    means = first.withColumn("mean", half_up(ratio("total", "count"), 2))
-    distance = value.cast("double") - F.col("mean")
-    moments = (
-        counts.rows.join(F.broadcast(means.select("column", "mean", "count")), "column")  # one row per listed column
-        .groupBy("column")
+    medians = order_statistics(counts, MEDIAN)
+    known = [
+        (column, counts.count(column), min(b.min for b in buckets), max(b.max for b in buckets),
+         sum(b.total for b in buckets), medians[column]["median_lo"], medians[column]["median_hi"])
+        for column, buckets in counts.totals.items()]
+    exact = "decimal(38,4)"
+    figures = df.sparkSession.createDataFrame(
+        known, f"column string, count bigint, min {exact}, max {exact}, total {exact}, median_lo {exact}, median_hi {exact}")
+    figures = figures.select(
+        "column", "count", half_up("min").alias("min"), half_up("max").alias("max"), half_up("total").alias("total"),
+        half_up(ratio("total", "count"), 2).alias("mean"),
+        half_up((F.col("median_lo").cast("double") + F.col("median_hi").cast("double")) / 2).alias("median"))
+    distance = F.col("value").cast("double") - F.col("mean")
+    std = F.sqrt("m2")
+    return (
+        counts.rows.join(F.broadcast(figures), "column")  # one row per profiled column
+        .groupBy(*figures.columns)
         .agg(
-            ratio(F.sum(F.pow(distance, F.lit(2.0)) * n), F.first("count")).alias("m2"),
-            ratio(F.sum(F.pow(distance, F.lit(3.0)) * n), F.first("count")).alias("m3"),
+            ratio(F.sum(F.pow(distance, F.lit(2.0)) * F.col("n")), F.col("count")).alias("m2"),
+            ratio(F.sum(F.pow(distance, F.lit(3.0)) * F.col("n")), F.col("count")).alias("m3"),
+        )
+        .select(
+            F.concat(F.lit(f"{table}."), F.col("column")).alias("column"),
+            "count",
+            "min",
+            "max",
+            "mean",
+            "median",
+            half_up(std).alias("std"),
+            "total",
+            F.coalesce(half_up(ratio("m3", F.pow(F.nullif(std, F.lit(0.0)), F.lit(3.0))), 3), F.lit(0.0)).alias("skewness"),
         )
-    )
-    medians = order_statistics(counts, MEDIAN).select(
-        "column", ((F.col("median_lo").cast("double") + F.col("median_hi").cast("double")) / 2).alias("median"))
-    std = F.sqrt("m2")
-    return means.join(moments, "column").join(medians, "column").select(
-        F.concat(F.lit(f"{table}."), F.col("column")).alias("column"),
-        "count",
-        half_up("min").alias("min"),
-        half_up("max").alias("max"),
-        "mean",
-        half_up("median").alias("median"),
-        half_up(std).alias("std"),
-        half_up("total").alias("total"),
-        F.coalesce(half_up(ratio("m3", F.pow(F.nullif(std, F.lit(0.0)), F.lit(3.0))), 3), F.lit(0.0)).alias("skewness"),
     )
 
 

@@ -7,68 +7,72 @@ totals, and only that bucket is scanned for it.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from martwright.operators.ordered import BUCKET, POS, Ordered
-from martwright.session import cut
 
 EXACT = "decimal(18,4)"  # measures are compared and summed at this precision
 
 
 @dataclass(frozen=True)
 class ValueCounts:
-    """`rows` has (column, value, n) for every distinct value, sorted; `totals` sums them up per
-    column and sort bucket, a table of at most columns x buckets rows."""
+    """`rows` has (column, value, n) for every distinct non-NULL value, sorted."""
 
     rows: DataFrame
-    totals: DataFrame
 
     @classmethod
     def of(cls, df: DataFrame, columns: Sequence[str]) -> ValueCounts:
-        """Count the non-NULL values of the numeric `columns` in one scan."""
+        """Count the values of the numeric `columns` in one scan."""
         cells = df.select(*[F.col(c).cast(EXACT).alias(c) for c in columns]).unpivot([], list(columns), "column", "value")
         counts = cells.filter(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count("*").alias("n"))
-        rows = Ordered.of(counts, ["column", "value"]).rows
-        totals = rows.groupBy("column", BUCKET).agg(
+        return cls(Ordered.of(counts, ["column", "value"]).rows)
+
+    @cached_property
+    def totals(self) -> dict[str, list[Row]]:
+        """Bucket totals per column, in sort order: columns x sort partitions rows at most."""
+        found: dict[str, list[Row]] = {}
+        sums = self.rows.groupBy("column", BUCKET).agg(
             F.sum("n").alias("n"), F.min("value").alias("min"), F.max("value").alias("max"),
             F.sum(F.col("value") * F.col("n")).alias("total"))
-        return cls(rows, cut(totals))
-
-
-def order_statistics(counts: ValueCounts, ranks: Mapping[str, str]) -> DataFrame:
-    """For each column the values at 0-based `ranks`, given as SQL over its row count `rows`.
-
-    Returns (column, rows, <one column per rank>).
-    """
-    whole = Window.partitionBy("column")
-    upto = whole.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    placed = counts.totals.select("column", BUCKET, F.col("n").alias("in_bucket")).withColumns({
-        "before": F.coalesce(F.sum("in_bucket").over(upto), F.lit(0)),
-        "rows": F.sum("in_bucket").over(whole),
-    })
-    wanted = F.array(*[F.struct(F.lit(name).alias("name"), F.expr(rank).alias("rank")) for name, rank in ranks.items()])
-    targets = (
-        placed.withColumn("want", F.explode(wanted))
-        .select("column", BUCKET, "before", "in_bucket", "rows", "want.*")
-        .filter((F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("in_bucket")))
-    )
-    # One target row per column and rank: a few rows, whatever the data.
-    running = F.sum("n").over(Window.partitionBy("column", "name").orderBy(POS).rowsBetween(Window.unboundedPreceding, 0))
+        for row in sorted(sums.collect(), key=lambda r: (r["column"], r[BUCKET])):
+            found.setdefault(row["column"], []).append(row)
+        return found
+
+    def count(self, column: str) -> int:
+        return sum(r.n for r in self.totals.get(column, []))
+
+
+def order_statistics(counts: ValueCounts, ranks: Mapping[str, Callable[[int], int]]) -> dict[str, dict]:
+    """For each column that has values: the value at every 0-based rank, a function of the row count."""
+    targets = []
+    for column, buckets in counts.totals.items():
+        for name, rank_of in ranks.items():
+            before, rank = 0, rank_of(counts.count(column))
+            for bucket in buckets:
+                if before <= rank < before + bucket.n:
+                    targets.append((column, bucket[BUCKET], name, rank - before))
+                before += bucket.n
+    if not targets:
+        return {}
+    wanted = counts.rows.sparkSession.createDataFrame(targets, f"column string, {BUCKET} int, name string, rank bigint")
+    upto = Window.partitionBy("column", "name").orderBy(POS).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     hits = (
-        counts.rows.join(F.broadcast(targets), ["column", BUCKET])
-        .withColumn("upto", F.col("before") + running)
+        counts.rows.join(F.broadcast(wanted), ["column", BUCKET])  # one row per column and rank
+        .withColumn("upto", F.sum("n").over(upto))
         .filter(F.col("upto") > F.col("rank"))
+        .groupBy("column", "name")
+        .agg(F.min("value").alias("value"))
     )
-    return hits.groupBy("column").agg(
-        F.first("rows").alias("rows"),
-        *[F.min(F.when(F.col("name") == name, F.col("value"))).alias(name) for name in ranks],
-    )
+    found: dict[str, dict] = {column: {} for column in counts.totals}
+    for row in hits.collect():
+        found[row["column"]][row["name"]] = row["value"]
+    return found
 
 
-# Ranks by SQL expression over the row count.
-MEDIAN = {"median_lo": "(rows - 1) div 2", "median_hi": "rows div 2"}
-QUARTILES = {"q1": "rows div 4", "q3": "3 * rows div 4"}
+MEDIAN = {"median_lo": lambda n: (n - 1) // 2, "median_hi": lambda n: n // 2}
+QUARTILES = {"q1": lambda n: n // 4, "q3": lambda n: 3 * n // 4}
