@@ -169,10 +169,10 @@ PARETO_PARTS = {
 }
 
 CLV = f"""
-    WITH_METRICS SELECT customer_id, name, country, total_purchases, {dbl('amount')} AS total_spent, avg_purchase_value,
+    SELECT customer_id, name, country, total_purchases, {dbl('amount')} AS total_spent, avg_purchase_value,
            active_months, lifespan_days, {hu(div('total_purchases', 'active_months'))} AS purchase_freq_monthly,
            {hu('avg_purchase_value * ' + div('total_purchases', 'active_months') + ' * ' + dbl('24'))} AS predicted_clv_24m
-    FROM metrics WHERE total_purchases > 1""".replace("WITH_METRICS", "")
+    FROM metrics WHERE total_purchases > 1"""
 METRICS = f"""
     SELECT c.customer_id, first_name || ' ' || last_name AS name, country, count(DISTINCT sale_id) AS total_purchases,
            sum(total_amount) AS amount, {avg('sum(total_amount)', 'count(total_amount)')} AS avg_purchase_value,

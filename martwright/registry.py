@@ -14,7 +14,7 @@ from martwright.plans import advanced, audit, live, load, sales, views
 from martwright.session import scratch_path
 from martwright.sources import schemas
 from martwright.sources import tables as store
-from martwright.sources.star import ARRIVAL_MOD, Star, as_stream_event
+from martwright.sources.star import Star, as_stream_event, with_repeats
 from martwright.streaming import events as ev
 from martwright.streaming import run
 
@@ -139,11 +139,10 @@ def _landed_customers(s: Star) -> DataFrame:
 
 def _landed_sales(s: Star) -> DataFrame:
     """Sales as text; the returned lines lack a usable quantity."""
-    lines = s.raw("lineitem").withColumn("_key", F.col("l_orderkey").cast("string"))
     part = s.raw("part").select(F.col("p_partkey").alias("l_partkey"), "p_retailprice")
     text = lambda c: F.col(c).cast("string")
-    return lines.join(part, "l_partkey", "left").select(
-        F.col("_key").alias("sale_id"), text("l_suppkey").alias("customer_id"), text("l_partkey").alias("product_id"),
+    return s.raw("lineitem").join(part, "l_partkey", "left").select(
+        text("l_orderkey").alias("sale_id"), text("l_suppkey").alias("customer_id"), text("l_partkey").alias("product_id"),
         text("l_linenumber").alias("date_id"), F.lit("1").alias("channel_id"),
         F.when(F.col("l_returnflag") == "R", "x").otherwise(F.col("l_quantity").cast("int").cast("string")).alias("quantity"),
         F.concat(F.lit(" "), text("p_retailprice")).alias("unit_price"), text("l_discount").alias("discount"),
@@ -260,12 +259,10 @@ def _event_queries() -> dict[str, Query]:
         target = unique(s).filter(F.col("channel") == "web")
         return keyed.insert_ignore(target, s.stream_events(), ["event_id"], "arrival")
 
-    # Streams over the events file. Duplicates are sent as in `Star.stream_events`.
     def stream(s: Star) -> DataFrame:
+        """The events file as a stream, sent like `Star.stream_events`."""
         source = s.spark.readStream.schema(schemas.TABLES["events"]).option("pathGlobFilter", "events.parquet").parquet(s.folder)
-        sent = as_stream_event(source)
-        again = sent.filter(F.col("event_id") % 10 == 0).withColumn("arrival", F.col("arrival") + ARRIVAL_MOD)
-        return sent.unionByName(again).withColumn("event_id", F.col("event_id").cast("string"))
+        return with_repeats(as_stream_event(source)).withColumn("event_id", F.col("event_id").cast("string"))
 
     def streamed(s: Star, start, read, *args, **options) -> DataFrame:
         sink = scratch_path(s.spark, "stream")

@@ -13,7 +13,8 @@ def build_session(app: str = "martwright", master: str | None = None, shuffle_pa
     """A UTC session with AQE on.
 
     On a cluster leave `master` and `shuffle_partitions` unset: spark-submit supplies the first, and
-    AQE coalesces from the cluster's own partition count.
+    AQE coalesces from the cluster's own partition count. Further settings go by keyword with `__`
+    for the dots: `spark__driver__memory="8g"`.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -32,20 +33,24 @@ def build_session(app: str = "martwright", master: str | None = None, shuffle_pa
     return builder.getOrCreate()
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}  # by application, for local sessions without a setting
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by `spark.checkpoint.dir`.
 
     Only a local master may fall back to a temporary folder: on a cluster that folder would exist on
     one machine and the data in it would be lost with that machine.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="martwright-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="martwright-")
+    return _LOCAL_FOLDERS[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -189,9 +189,7 @@ class Star:
 
     def stream_events(self) -> DataFrame:
         """The event stream as it arrives: out of event-time order, with every tenth event sent twice."""
-        sent = as_stream_event(self.raw("events"))
-        again = sent.filter(F.col("event_id") % 10 == 0).withColumn("arrival", F.col("arrival") + ARRIVAL_MOD)
-        return sent.unionByName(again)
+        return with_repeats(as_stream_event(self.raw("events")))
 
     def tables(self) -> dict[str, DataFrame | Callable[..., DataFrame]]:
         """All star tables; those whose columns cost joins as functions of the wanted columns."""
@@ -226,3 +224,9 @@ def as_stream_event(events: DataFrame) -> DataFrame:
         F.when(kind == "purchase", F.col("value")).alias("value"),
         ((F.col("event_id") * 7919) % ARRIVAL_MOD).alias("arrival"),
     )
+
+
+def with_repeats(sent: DataFrame) -> DataFrame:
+    """All events, and every tenth of them once more after the others."""
+    again = sent.filter(F.col("event_id") % 10 == 0).withColumn("arrival", F.col("arrival") + ARRIVAL_MOD)
+    return sent.unionByName(again)
