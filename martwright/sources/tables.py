@@ -10,7 +10,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,14 +28,18 @@ def pick(tables: Mapping, table: str, *columns: str) -> DataFrame:
     return source(*columns) if callable(source) else source.select(*columns)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists on whichever file system it names."""
+    context = spark.sparkContext
+    where = context._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(context._jsc.hadoopConfiguration()).exists(where)
+
+
 def read_parquet(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """A Parquet folder of a declared type; an empty frame when nothing was written there yet."""
-    try:
+    if exists(spark, path):
         return spark.read.schema(ddl).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], ddl)
+    return spark.createDataFrame([], ddl)
 
 
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:

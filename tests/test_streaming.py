@@ -1,6 +1,8 @@
 import datetime as dt
 import json
+import os
 import random
+import time
 
 import pytest
 from conftest import rows
@@ -33,7 +35,10 @@ def make(n, seed=1):
 
 
 def write(folder, name, events):
+    """A landed file; the stream takes files in order of their time, so that is set apart."""
     (folder / name).write_text("\n".join(json.dumps(e) for e in events))
+    at = time.time() - 100 + 10 * int(name.split(".")[0])
+    os.utime(folder / name, (at, at))
 
 
 @pytest.fixture
