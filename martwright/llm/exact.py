@@ -85,3 +85,11 @@ def deduplicate(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     groups = rows.groupBy("n_blocks", "name").agg(first, F.count("*").alias("group_size"))
     return rows.join(groups, ["n_blocks", "name"]).select(
         "doc_id", F.col("_first.doc_id").alias("keep_id"), "group_size", (F.col("_first.row") == F.col("row")).alias("kept"), "text_sha256")
+
+
+def distinct_texts(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of `df` that `deduplicate` keeps, with their columns; of rows with equal id and text one."""
+    kept = deduplicate(df, doc_id, text).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
+    marked = df.withColumn("_text_sha", F.sha2(normalised(F.col(text)).cast("binary"), 256))
+    same = F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_text_sha") == F.col("_sha"))
+    return marked.join(kept, same, "left_semi").dropDuplicates([doc_id, "_text_sha"]).drop("_text_sha")

@@ -306,3 +306,10 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     full = labelled.join(least, "label").select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "n_links")
     empty = docs.filter("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
     return full.unionByName(empty)
+
+
+def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of `df` whose id is the smallest of their component; rows without an id stay."""
+    found = near_duplicates(df, doc_id, text)
+    others = found.filter(F.col("doc_id") > F.col("component_id")).select(F.col("doc_id").alias("_dropped")).distinct()
+    return df.join(others, F.col(doc_id).cast("long") == F.col("_dropped"), "left_anti")

@@ -22,6 +22,7 @@ PROFILE = 400  # n-grams in a language's profile
 LOOKED_AT = 300  # most frequent n-grams of a document that are compared
 MOST_LANGUAGES = 2000  # profiles are sent to all tasks: at most 2000 x 400 rows
 UNKNOWN = "und"
+NEAR = 0.2  # documents with a lower score are in none of the languages
 
 _LETTER = np.full(256, 32, np.uint8)  # all but letters and bytes of longer characters count as space
 _LETTER[97:123] = np.arange(97, 123)
@@ -161,3 +162,11 @@ def predict(df: DataFrame, profiles: DataFrame, text: str = "text") -> DataFrame
 def held_out(doc_id: str = "doc_id", modulus: int = 4, rest: int = 2) -> Column:
     """Whether a row is kept from learning, by the CRC-32 of its id as text; a null id counts as empty."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % modulus == rest
+
+
+def in_known_language(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows of `df` whose text is in one of the languages that its labelled rows teach."""
+    profiles = learn(df.filter(~held_out(doc_id)), text, lang)
+    columns = [c for c in df.columns if c not in ("lang_pred", "score")]
+    found = predict(df.select(*columns), profiles, text)
+    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= NEAR)).select(*columns)
