@@ -38,9 +38,9 @@ shingles AS (
     FROM words)),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 met AS (
-  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n_both FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
 links AS (
-  SELECT x, y FROM met JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * both >= 80 * (p.n + q.n - both)),
+  SELECT x, y FROM met JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * n_both >= 80 * (p.n + q.n - n_both)),
 reach(x, y) AS (
   SELECT doc_id, doc_id FROM documents UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
 least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
