@@ -2,75 +2,98 @@
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-import re
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from martwright.llm.batches import lists, slabs, texts_of, with_columns
+from martwright.llm.batches import SLAB, lists, slabs, texts_of, with_columns
 from martwright.llm.prefix_bpe import Merges, bytes_as_text, from_ranks
+from martwright.llm.remembered import Remembered, per_text
 
-CACHED = 400_000  # stretches of text whose ids a Python worker remembers; the memory starts anew beyond
+PIECE = 1 << 20  # bytes that are cut into stretches at a time, or one text
 
-# A space with white space before it, and white space or nothing behind it, may lie inside a token.
-_INNER_SPACE = re.compile(r"\s (?=\s|\Z)")
-_BORDER = regex.compile(r"(?<!\p{White_Space}) | (?=\P{White_Space})")
+# First bytes of white space: ASCII, and those of U+0085, U+00A0, U+1680, U+2000 to U+205F, U+3000.
+_MAY_BE_SPACE = np.zeros(256, bool)
+_MAY_BE_SPACE[[9, 10, 11, 12, 13, 32, 0xC2, 0xE1, 0xE2, 0xE3]] = True
 
 
-class Codec(dict):
-    """Ids of a text by a rank file and a pattern, and bytes of ids.
-
-    As a dict it holds the ids (as 32-bit integers in bytes) of stretches that begin at a border.
-    """
+class Codec:
+    """Ids of texts by a rank file and a pattern."""
 
     def __init__(self, ranks: bytes, pattern: str):
-        super().__init__()
         self.merges = Merges(from_ranks(ranks.splitlines()))
         self.pieces = regex.compile(pattern.replace(r"\S", r"\P{White_Space}").replace(r"\s", r"\p{White_Space}"))
-        self.of_id = {r: t.encode("latin-1") for t, r in self.merges.rank.items()}
-        self._piece_ids: dict[str, list[int]] = {}
-
-    def piece(self, piece: str) -> list[int]:
-        """Ids of one match of the pattern."""
-        ids = self._piece_ids.get(piece)
-        if ids is None:
-            symbols = bytes_as_text(piece.encode())
-            whole = self.merges.rank.get(symbols)
-            ids = [whole] if whole is not None else self.merges.encode(symbols)
-            if len(piece) <= 64:
-                if len(self._piece_ids) >= CACHED:
-                    self._piece_ids.clear()
-                self._piece_ids[piece] = ids
-        return ids
-
-    def __missing__(self, stretch: str) -> bytes:
-        ids = array("i", [t for p in self.pieces.findall(stretch) for t in self.piece(p)]).tobytes()
-        if len(stretch) <= 64:
-            if len(self) >= CACHED:
-                self.clear()
-            self[stretch] = ids
-        return ids
-
-    def stretches(self, text: str) -> list[str]:
-        """`text` cut before spaces that always begin a new match of the pattern."""
-        if _INNER_SPACE.search(text):
-            cuts = [0, *(m.start() for m in _BORDER.finditer(text) if m.start()), len(text)]
-            return [text[a:b] for a, b in zip(cuts, cuts[1:])]
-        first, *rest = text.split(" ")
-        return [first, *(" " + x for x in rest)]
+        self.words = r"| ?\p{L}+|" in pattern  # a space and letters are one match, whatever stands around them
+        self.remembered = Remembered(self.learn)
+
+    def learn(self, stretches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of stretches: each match of the pattern is a whole token or else the encoding of its bytes."""
+        rank, parts, symbols = self.merges.rank, [], set()
+        for data in stretches:
+            text = data.decode()
+            if self.words and text[:1] == " " and text[1:].isalpha():
+                parts.append((bytes_as_text(data),))
+            else:
+                parts.append(tuple(bytes_as_text(p.encode()) for p in self.pieces.findall(text)))
+            symbols.update(parts[-1])
+        rest = sorted(s for s in symbols if s not in rank)
+        ids = dict(zip(rest, self.merges.encode_all(rest)))
+        flat: list[int] = []
+        counts = np.zeros(len(parts), np.int32)
+        for k, several in enumerate(parts):
+            before = len(flat)
+            for s in several:
+                whole = rank.get(s)
+                if whole is None:
+                    flat += ids[s]
+                else:
+                    flat.append(whole)
+            counts[k] = len(flat) - before
+        return np.array(flat, np.int32), counts
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and the number of ids of each."""
+        found, counts, i = [np.zeros(0, np.int32)], np.zeros(len(texts), np.int64), 0
+        data = [t.encode() for t in texts]
+        while i < len(data):
+            j, size = i + 1, len(data[i])
+            while j < len(data) and size + len(data[j]) <= PIECE:
+                size += len(data[j])
+                j += 1
+            if size:
+                raw, starts, ends, own = stretches(data[i:j])
+                ids, of = self.remembered(raw, starts, ends)
+                counts[i:j] = per_text(of, own)
+                found.append(ids)
+            i = j
+        return np.concatenate(found), counts
 
     def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.__getitem__, self.stretches(text))), np.int32)
+        return self.encode_all([text])[0]
+
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.of_id.__getitem__, ids))
+def stretches(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All texts in one array, starts and ends of their stretches, and the number of stretches of each text.
+
+    A stretch begins with a text or with a space that has something else than white space behind it.
+    There a match of the pattern always begins: white space before such a space ends its own match.
+    """
+    raw = np.frombuffer(b"".join(texts), np.uint8)
+    sizes = np.array([len(t) for t in texts], np.int64)
+    begins = np.cumsum(sizes) - sizes
+    border = np.zeros(len(raw) + 1, bool)
+    border[:-2] = (raw[:-1] == 32) & ~_MAY_BE_SPACE[raw[1:]]
+    last = (begins + sizes - 1)[sizes > 0]
+    border[last[raw[last] == 32]] = False  # what stands behind is another text
+    border[begins[sizes > 0]] = True
+    starts = np.flatnonzero(border[:-1])
+    return raw, starts, np.append(starts[1:], len(raw)), np.diff(np.searchsorted(starts, np.append(begins, len(raw))))
 
 
 class Document:
@@ -137,6 +160,12 @@ def codec(ranks: bytes, pattern: str) -> Codec:
     return Codec(ranks, pattern)
 
 
+@lru_cache(4)
+def spellings(ranks: bytes) -> dict[int, bytes]:
+    """The bytes of every id."""
+    return {r: t.encode("latin-1") for t, r in from_ranks(ranks.splitlines()).items()}
+
+
 def encode(df: DataFrame, ranks: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
     """`df` with the token ids of each whole text as array<int>.
 
@@ -146,23 +175,22 @@ def encode(df: DataFrame, ranks: str, pattern: str, text: str = "text", out: str
     table = Path(ranks).read_bytes()
 
     def make(part: pa.RecordBatch) -> list:
-        own = codec(table, pattern)
-        ids = [own.encode(t) for t in texts_of(part, text)]
-        return [lists(np.concatenate(ids), np.array([len(x) for x in ids]), pa.int32())]
+        ids, counts = codec(table, pattern).encode_all(texts_of(part, text))
+        return [lists(ids, counts, pa.int32())]
 
     return with_columns(df, text, f"`{out}` array<int>", make)
 
 
-def decode(df: DataFrame, ranks: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
+def decode(df: DataFrame, ranks: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """`df` with the bytes that the ids stand for; null ids give empty bytes, an unknown id fails the job."""
     table = Path(ranks).read_bytes()
     kept = [f for f in df.schema.fields if f.name != out]
     names = [f.name for f in kept] + [out]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(table, pattern)
-        for part in slabs(batches, ids):
-            found = [own.decode(x or ()) for x in part.column(part.schema.get_field_index(ids)).to_pylist()]
+        bytes_of = spellings(table).__getitem__
+        for part in slabs(batches, ids, SLAB // 8):
+            found = [b"".join(map(bytes_of, x or ())) for x in part.column(part.schema.get_field_index(ids)).to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column(n) for n in names[:-1]] + [pa.array(found, pa.binary())], names=names)
 
     return df.select(*names[:-1]).mapInArrow(run, StructType([*kept, StructField(out, BinaryType())]))

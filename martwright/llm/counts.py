@@ -18,17 +18,33 @@ from pyspark.sql import DataFrame
 
 from martwright.llm.batches import lists, texts_of, with_columns
 from martwright.llm.prefix_bpe import Merges
+from martwright.llm.remembered import Remembered, per_text
 
-CACHED = 400_000  # words whose counts a Python worker remembers; the memory starts anew beyond
+PIECE = 1 << 20  # bytes that are cut into words at a time, or one text
 SPACE = "▁"  # stands for a space in the model's pieces
 _WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
-class Counter(dict):
-    """Counts by one model. As a dict it holds the count of words that begin with a space sign."""
+def stretches(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All texts in one array, starts and ends of their words, and the number of words of each text.
+
+    Each text has its first space already. A word begins with a text, or with a space that has neither
+    a space nor the last byte of a space sign before it.
+    """
+    raw = np.frombuffer(b"".join(texts), np.uint8)
+    sizes = np.array([len(t) for t in texts], np.int64)
+    begins = np.cumsum(sizes) - sizes
+    border = raw == 32
+    border[1:] &= (raw[:-1] != 32) & (raw[:-1] != SPACE.encode()[-1])
+    border[begins[sizes > 0]] = True
+    starts = np.flatnonzero(border)
+    return raw, starts, np.append(starts[1:], len(raw)), np.diff(np.searchsorted(starts, np.append(begins, len(raw))))
+
+
+class Counter:
+    """Counts by one model."""
 
     def __init__(self, model: bytes):
-        super().__init__()
         from sentencepiece import SentencePieceProcessor
 
         sp = SentencePieceProcessor(model_proto=model)
@@ -38,31 +54,43 @@ class Counter(dict):
         if any(SPACE in p.lstrip(SPACE) for p in pieces):
             raise ValueError("pieces that go on behind a space cannot be counted word by word")
         self.merges = Merges({p: r for r, p in enumerate(sorted(pieces, key=lambda p: -pieces[p]))})
+        self.remembered = Remembered(self.learn)
 
     @staticmethod
     def weight(token: int) -> int:
         """Tokens that one symbol becomes: an unknown character is spelled in bytes."""
         return 1 if token >= 0 else len(chr(-1 - token).encode())
 
-    def __missing__(self, word: str) -> int:
-        count = sum(map(self.weight, self.merges.encode(word)))
-        if len(word) <= 64:
-            if len(self) >= CACHED:
-                self.clear()
-            self[word] = count
-        return count
+    def learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The count of each word, a stretch of text that no piece reaches out of."""
+        texts = [w.decode().replace(" ", SPACE) for w in words]
+        order = sorted(range(len(texts)), key=texts.__getitem__)
+        out = np.zeros(len(texts), np.int32)
+        for k, ids in zip(order, self.merges.encode_all([texts[k] for k in order])):
+            out[k] = len(ids) if not ids or min(ids) >= 0 else sum(map(self.weight, ids))
+        return out, np.ones(len(texts), np.int32)
+
+    def count_all(self, texts: list[str]) -> np.ndarray:
+        counts, i = np.zeros(len(texts), np.int64), 0
+        data = [(" " + t).encode() if t else b"" for t in texts]
+        while i < len(data):
+            j, size = i + 1, len(data[i])
+            while j < len(data) and size + len(data[j]) <= PIECE:
+                size += len(data[j])
+                j += 1
+            if size:
+                raw, starts, ends, own = stretches(data[i:j])
+                counts[i:j] = per_text(self.remembered(raw, starts, ends)[0], own)
+            i = j
+        return counts
+
+    def count(self, text: str) -> int:
+        return int(self.count_all([text])[0])
 
     @staticmethod
     def words(text: str) -> list[str]:
         """Words with the spaces before them; no piece reaches over their borders."""
-        if not text:
-            return []
-        if "  " in text or SPACE in text or text[0] == " " or text[-1] == " ":
-            return _WORDS.findall(SPACE + text.replace(" ", SPACE))
-        return [SPACE + w for w in text.split(" ")]
-
-    def count(self, text: str) -> int:
-        return sum(map(self.__getitem__, self.words(text)))
+        return _WORDS.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
     def prefix_counts(self, text: str) -> list[int]:
         """The count of every prefix of `text`, from one character on."""
@@ -76,7 +104,7 @@ class Counter(dict):
     def fitting(self, text: str, budget: int) -> int:
         """The largest number of leading characters that need at most `budget` tokens."""
         words = self.words(text)
-        sums = list(accumulate(map(self.__getitem__, words)))
+        sums = list(accumulate(sum(map(self.weight, self.merges.encode(w))) for w in words))
         full = bisect_right(sums, budget)
         if full == len(words):
             return len(text)
@@ -110,7 +138,7 @@ def token_counts(df: DataFrame, model: str, limit: int, text: str = "text") -> D
 
     def make(part: pa.RecordBatch) -> list:
         own, texts = counter(blob), texts_of(part, text)
-        counts = [own.count(t) for t in texts]
+        counts = own.count_all(texts).tolist()
         fits = [len(t) if n <= limit else own.fitting(t, limit) for t, n in zip(texts, counts)]
         return [pa.array(counts, pa.int64()), pa.array(fits, pa.int64())]
 

@@ -12,9 +12,10 @@ Symbols are characters. For byte-level vocabularies each byte stands as the char
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
-PAIRS = 2_000_000  # remembered answers about pairs of tokens; the memory starts anew beyond
+STEPS = 400_000  # remembered steps of the automaton besides its own
+PAIRS = 400_000  # remembered answers about pairs of tokens; the memory starts anew beyond
 
 
 class Merges:
@@ -26,19 +27,45 @@ class Merges:
     def __init__(self, rank: dict[str, int]):
         self.rank = rank
         self.token = {r: t for t, r in rank.items()}
+        self._widths = {r: len(t) for t, r in rank.items()}
         self.longest = max(map(len, rank), default=1)
         self._split: dict[int, tuple[int, int]] = {}
         self._pairs: dict[tuple[int, int], bool] = {}
-        self._next: dict[tuple[int, str], int] = {}  # trie of tokens read from their end
-        self._ends: list[int] = [-1]
         reachable = [t for t in rank if len(t) == 1 or self._derive(t)]
-        for t in reachable:
-            node = 0
-            for c in reversed(t):
-                node = self._next.setdefault((node, c), len(self._ends))
-                if node == len(self._ends):
-                    self._ends.append(-1)
-            self._ends[node] = rank[t]
+        self._build_automaton(reachable)
+
+    def _build_automaton(self, tokens: list[str]) -> None:
+        """States are beginnings of tokens; the state at a position is the longest one that ends there.
+
+        `_ends[state]` lists the tokens that end there, the longest first, each with its length.
+        """
+        step: dict[tuple[int, str], int] = {}
+        own, parent = [-1], [(0, "")]
+        for token in tokens:
+            state = 0
+            for c in token:
+                following = step.get((state, c))
+                if following is None:
+                    following = step[state, c] = len(own)
+                    own.append(-1)
+                    parent.append((state, c))
+                state = following
+            own[state] = self.rank[token]
+        depth = [0] * len(own)
+        for state in range(1, len(own)):
+            depth[state] = depth[parent[state][0]] + 1
+        self._fallback = fallback = [0] * len(own)
+        self._ends: list[tuple] = [()] * len(own)
+        for state in sorted(range(1, len(own)), key=depth.__getitem__):
+            before, c = parent[state]
+            while before:
+                before = fallback[before]
+                if (before, c) in step:
+                    fallback[state] = step[before, c]
+                    break
+            shorter = self._ends[fallback[state]]
+            self._ends[state] = ((own[state], depth[state]), *shorter) if own[state] >= 0 else shorter
+        self._step, self._steps = step, len(step)
 
     def _derive(self, token: str) -> bool:
         """Note the last merge that makes `token`; False if merging never makes it."""
@@ -61,17 +88,14 @@ class Merges:
                 return parts
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
 
-    def follows(self, left: int, right: int) -> bool:
-        """Whether the encoding of both tokens' symbols is these two tokens."""
-        key = (left, right)
-        known = self._pairs.get(key)
-        if known is None:
-            if len(self._pairs) >= PAIRS:
-                self._pairs.clear()
-            known = self._pairs[key] = self._follows(left, right)
+    def _follows_noted(self, left: int, right: int) -> bool:
+        if len(self._pairs) >= PAIRS:
+            self._pairs.clear()
+        known = self._pairs[left, right] = self.follows(left, right)
         return known
 
-    def _follows(self, left: int, right: int) -> bool:
+    def follows(self, left: int, right: int) -> bool:
+        """Whether the encoding of both tokens' symbols is these two tokens."""
         # Take the two tokens apart, the youngest merge first. What meets at the border at each time
         # must not have merged before the merge just undone; of equal ranks the left one came first.
         rank, token, split = self.rank, self.token, self._split
@@ -90,41 +114,76 @@ class Merges:
             else:
                 until_right, right = right, split[right][0]
 
-    def last_tokens(self, text: str, last: list[int] | None = None, until: int | None = None) -> list[int]:
+    def last_tokens(self, text: str, last: list[int] | None = None, until: int | None = None, states: list[int] | None = None) -> list[int]:
         """The last token of every prefix of `text`; -1 - c for an unknown character c.
 
         `last` may hold the answer for a prefix of `text`; it is extended in place, to `until` positions.
+        `states`, if given, goes with `last`: the automaton's state at every position.
         """
         if last is None:
             last = []
-        step, ends, follows = self._next.get, self._ends, self.follows
-        for i in range(len(last), len(text) if until is None else until):
-            node, k, found = step((0, text[i])), i, []
-            while node is not None:
-                if ends[node] >= 0:
-                    found.append((k, ends[node]))
-                k -= 1
+        start = len(last)
+        if states is None:
+            states, state = [], 0
+            for c in text[max(0, start - self.longest):start]:
+                state = self._walk(state, c)
+        else:
+            state = states[start - 1] if start else 0
+        step, walk, ends, pairs, follows, i = self._step.get, self._walk, self._ends, self._pairs.get, self._follows_noted, start
+        for c in text[start:until]:
+            following = step((state, c))
+            state = walk(state, c) if following is None else following
+            states.append(state)
+            for t, width in ends[state]:
+                k = i - width
                 if k < 0:
+                    last.append(t)
                     break
-                node = step((node, text[k]))
-            for k, t in reversed(found):
-                if k == 0 or follows(last[k - 1], t):
+                known = pairs((last[k], t))
+                if known or known is None and follows(last[k], t):
                     last.append(t)
                     break
             else:
-                last.append(-1 - ord(text[i]))
+                last.append(-1 - ord(c))
+            i += 1
         return last
 
+    def _walk(self, state: int, c: str) -> int:
+        """The state behind `state` and `c`, by way of shorter ends; noted, so that it is one look-up from then on."""
+        step, shorter = self._step, state
+        while shorter and (shorter, c) not in step:
+            shorter = self._fallback[shorter]
+        found = step.get((shorter, c), 0)
+        if len(step) < self._steps + STEPS:
+            step[state, c] = found
+        return found
+
+    def encode_all(self, texts: list[str]) -> Iterator[list[int]]:
+        """Encodings of texts in sorted order: what two neighbours begin with is worked out once."""
+        before, last, states = "", [], []
+        for text in texts:
+            same = 0
+            for a, b in zip(before, text):
+                if a != b:
+                    break
+                same += 1
+            del last[same:], states[same:]
+            self.last_tokens(text, last, None, states)
+            before = text
+            yield self.path(last)
+
     def width(self, t: int) -> int:
-        return 1 if t < 0 else len(self.token[t])
+        return 1 if t < 0 else self._widths[t]
 
     def path(self, last: Sequence[int]) -> list[int]:
         """The tokens of the whole text that `last` belongs to."""
-        out, i = [], len(last)
+        out, i, widths = [], len(last), self._widths
         while i:
-            out.append(last[i - 1])
-            i -= self.width(out[-1])
-        return out[::-1]
+            t = last[i - 1]
+            out.append(t)
+            i -= widths[t] if t >= 0 else 1
+        out.reverse()
+        return out
 
     def encode(self, text: str) -> list[int]:
         return self.path(self.last_tokens(text))
@@ -145,12 +204,15 @@ class Merges:
         """
         text = old[:start] + new + old[stop:]
         fresh, shift, alike = list(last[:start]), len(text) - len(old), 0
-        for i in range(start, len(text)):
-            self.last_tokens(text, fresh, i + 1)
-            alike = alike + 1 if i - shift >= stop and fresh[-1] == last[i - shift] else 0
-            if alike == self.longest:
-                fresh += last[i - shift + 1:]
-                break
+        position = start
+        while position < len(text):
+            until = min(position + self.longest, len(text))
+            self.last_tokens(text, fresh, until)
+            for i in range(position, until):
+                alike = alike + 1 if i - shift >= stop and fresh[i] == last[i - shift] else 0
+                if alike == self.longest:
+                    return text, fresh[:i + 1] + list(last[i - shift + 1:])
+            position = until
         return text, fresh
 
 

@@ -32,12 +32,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martwright.llm.batches import slabs, texts_of
+from martwright.llm.remembered import Remembered, per_text
+from martwright.llm.words import word_ranges
 from martwright.session import scratch_path
 
 MAGIC = b"DACFILE1"
 CHUNK, BLOCK = 8, 512  # bits of an id on each level; bits that one entry of a rank directory covers
 TOKENS_PER_FILE = 4 << 20  # a file ends with the document that reaches this
-CACHED = 400_000  # words whose ids a Python worker remembers; the memory starts anew beyond
+PIECE = 1 << 20  # bytes that are cut into words at a time, or one text
 _ONES = np.bitwise_count(np.arange(256, dtype=np.uint8)).astype(np.uint8)
 
 
@@ -122,37 +124,46 @@ class TokenFile:
         return self.between(int(self.starts[k]), int(self.starts[k + 1]))
 
 
-class Words(dict):
+class Words:
     """Ids of words between ASCII white space, by a tokenizer that drops white space and joins nothing over it.
 
     So the ids of a text are those of its words, one after the other, and each word is encoded once.
     """
 
     def __init__(self, model: str):
-        super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
+        self.remembered = Remembered(self.learn, np.uint32)
 
-    def learn(self, words: list[bytes]) -> None:
+    def learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Encode many words in one call; each token goes to the word that its place in the line is in."""
+        ids, counts = [], []
         for first in range(0, len(words), 2000):
             some = [w.decode() for w in words[first:first + 2000]]
             found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
             begins = np.cumsum([0] + [len(w) + 1 for w in some])
-            cuts = np.searchsorted(np.array([a for a, _ in found.offsets], np.int64), begins)
-            ids = np.array(found.ids, np.uint32)
-            for k, w in enumerate(words[first:first + 2000]):
-                self[w] = ids[cuts[k]:cuts[k + 1]].tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.encode().split() for t in texts]  # bytes are split at ASCII white space only
-        missing = {w for words in split for w in words if w not in self}
-        if len(self) + len(missing) > CACHED:
-            self.clear()
-            missing = {w for words in split for w in words}
-        self.learn(list(missing))
-        return [b"".join(map(self.__getitem__, words)) for words in split]
+            ids.append(np.array(found.ids, np.uint32))
+            counts.append(np.diff(np.searchsorted(np.array([a for a, _ in found.offsets], np.int64), begins)))
+        return np.concatenate(ids), np.concatenate(counts)
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and the number of ids of each."""
+        found, counts, i = [np.zeros(0, np.uint32)], np.zeros(len(texts), np.int64), 0
+        data = [t.encode() for t in texts]
+        while i < len(data):
+            j, size = i + 1, len(data[i])
+            while j < len(data) and size + len(data[j]) < PIECE:
+                size += len(data[j]) + 1
+                j += 1
+            raw = np.frombuffer(b"\n".join(data[i:j]), np.uint8)
+            starts, ends = word_ranges(raw)
+            begins = np.cumsum([0] + [len(t) + 1 for t in data[i:j]])
+            ids, of = self.remembered(raw, starts, ends)
+            counts[i:j] = per_text(of, np.diff(np.searchsorted(starts, begins)))
+            found.append(ids)
+            i = j
+        return np.concatenate(found), counts
 
 
 @lru_cache(4)
@@ -174,26 +185,26 @@ def write(df: DataFrame, folder: str, model: str, end: int, doc_id: str = "doc_i
         system, base = fs.FileSystem.from_uri(where if "://" in where else f"file://{where}")
         system.create_dir(base, recursive=True)
         own, place = words(spec), TaskContext.get().partitionId() << 32
-        closing = np.uint32(end).tobytes()
-        ids: list[bytes] = []
+        ids: list[np.ndarray] = []
+        counts: list[np.ndarray] = []
         docs: list[int | None] = []
         held = 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal ids, docs, held, place
+            nonlocal ids, counts, docs, held, place
             name = f"{base}/{uuid.uuid4().hex}.dac"
-            counts = np.array([len(x) // 4 for x in ids], np.int64)
             with system.open_output_stream(name) as out:
-                out.write(pack(docs, counts, np.frombuffer(b"".join(ids), np.uint32)))
-            row = pa.RecordBatch.from_pydict({"place": [place], "file": [name], "n_docs": [len(docs)], "n_tokens": [int(counts.sum())]})
-            ids, docs, held, place = [], [], 0, place + 1
+                out.write(pack(docs, np.concatenate(counts), np.concatenate(ids)))
+            row = pa.RecordBatch.from_pydict({"place": [place], "file": [name], "n_docs": [len(docs)], "n_tokens": [held]})
+            ids, counts, docs, held, place = [], [], [], 0, place + 1
             return row
 
         for part in slabs(batches, text):
             docs += part.column(0).to_pylist()
-            found = own.encode(texts_of(part, text))
-            ids += [x + closing for x in found]
-            held += sum(map(len, found)) // 4 + len(found)
+            found, of = own.encode_all(texts_of(part, text))
+            ids.append(np.insert(found, np.cumsum(of), end))
+            counts.append(of + 1)
+            held += len(ids[-1])
             if held >= TOKENS_PER_FILE:
                 yield flush()
         if docs:

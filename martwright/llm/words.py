@@ -17,7 +17,8 @@ PIECE = 1 << 20  # bytes hashed at a time; a longer text is cut at a space
 _random = np.random.default_rng(20240229)
 _BASE = int(_random.integers(1 << 62, 1 << 63)) | 1
 _VALUE = _random.integers(1, 1 << 63, 256, dtype=np.uint64)
-_VALUE[65:91] = _VALUE[97:123]
+_LOWER_VALUE = _VALUE.copy()  # in which A to Z count as a to z
+_LOWER_VALUE[65:91] = _VALUE[97:123]
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACES)] = True
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -43,16 +44,26 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _hash_piece(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    raw = np.frombuffer(data, np.uint8)
+def range_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = _VALUE) -> np.ndarray:
+    """Hashes of the given ranges of bytes."""
+    power, inverse = _power_tables(len(raw))
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(values[raw] * power[:len(raw)], out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * inverse[starts])
+
+
+def word_ranges(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words start and end."""
     gap = np.ones(len(raw) + 2, bool)
     gap[1:-1] = _IS_SPACE[raw]
     edges = np.flatnonzero(gap[1:] != gap[:-1])
-    starts, ends = edges[::2], edges[1::2]
-    power, inverse = _power_tables(len(raw))
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_VALUE[raw] * power[:len(raw)], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * inverse[starts]), starts
+    return edges[::2], edges[1::2]
+
+
+def _hash_piece(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(data, np.uint8)
+    starts, ends = word_ranges(raw)
+    return range_hashes(raw, starts, ends, _LOWER_VALUE), starts
 
 
 def _pieces(data: bytes) -> Iterator[bytes]:
