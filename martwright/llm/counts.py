@@ -7,9 +7,7 @@ whether a text fits a budget, and where it has to end to fit, needs no encoding
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
 from functools import lru_cache
-from itertools import accumulate
 from pathlib import Path
 
 import numpy as np
@@ -103,24 +101,24 @@ class Counter:
 
     def fitting(self, text: str, budget: int) -> int:
         """The largest number of leading characters that need at most `budget` tokens."""
-        words = self.words(text)
-        sums = list(accumulate(sum(map(self.weight, self.merges.encode(w))) for w in words))
-        full = bisect_right(sums, budget)
-        if full == len(words):
+        raw, starts, ends, _ = stretches([(" " + text).encode()])
+        counts = self.remembered(raw, starts, ends)[0]
+        sums = np.cumsum(counts, dtype=np.int64)
+        full = int(np.searchsorted(sums, budget, "right"))
+        if full == len(sums):
             return len(text)
-        # A prefix may need more tokens than a longer one, so look at all prefixes of the words that can fit.
-        reach = bisect_right(sums, budget + max(map(len, words[full:full + 1])) * 4) + 1
-        position, before, best = -1, (sums[full - 1] if full else 0), 0
-        position += sum(map(len, words[:full]))
-        best = max(position, 0)
-        for word in words[full:reach]:
-            inner = self.merges.prefix_counts(self.merges.last_tokens(word), self.weight)
-            for c in inner:
+        # A prefix may need more tokens than a longer one, but no fewer than its whole words. So the end
+        # is in the first word that does not fit, or in a word that begins before the budget is used up.
+        best = position = len(raw[:starts[full]].tobytes().decode()) - 1
+        before, word = int(sums[full] - counts[full]), full
+        while word < len(sums) and before <= budget:
+            piece = raw[starts[word]:ends[word]].tobytes().decode().replace(" ", SPACE)
+            for c in self.merges.prefix_counts(self.merges.last_tokens(piece), self.weight):
                 position += 1
                 if before + c <= budget:
                     best = max(best, position)
-            before += inner[-1]
-        return best
+            before, word = int(sums[word]), word + 1
+        return max(best, 0)
 
 
 @lru_cache(4)

@@ -14,8 +14,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
 
-STEPS = 400_000  # remembered steps of the automaton besides its own
-PAIRS = 400_000  # remembered answers about pairs of tokens; the memory starts anew beyond
+STEPS = 150_000  # remembered steps of the automaton besides its own
+PAIRS = 150_000  # remembered answers about pairs of tokens; the memory starts anew beyond
 
 
 class Merges:

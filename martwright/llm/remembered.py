@@ -13,7 +13,7 @@ import numpy as np
 from martwright.llm.words import range_hashes
 
 LONGEST = 64  # bytes; longer stretches are not remembered
-MOST = 3 << 19  # stretches; the memory starts anew beyond
+MOST = 1 << 20  # stretches; the memory starts anew beyond
 
 
 class Remembered:

@@ -1,4 +1,4 @@
-"""Making this package importable in Python workers that were started without it."""
+"""Getting a session ready for operators that run Python functions of this package on texts."""
 
 from __future__ import annotations
 
@@ -8,15 +8,18 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+ROWS = "1000"  # of texts that travel between Spark and a Python worker at a time, where nothing else is set
 _shipped: set[str] = set()  # applications
 
 
 def ship(spark: SparkSession) -> None:
     """Send the package to all executors once per application, as `spark-submit --py-files` would.
 
-    Operators run Python functions of this package in the executors. Not needed where the package is
-    installed on all machines.
+    Not needed where the package is installed on all machines. Also makes batches of rows smaller than
+    Spark's own 10,000, which for texts may be hundreds of megabytes; any other setting stays.
     """
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS)
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = Path(__file__).resolve().parent.parent
