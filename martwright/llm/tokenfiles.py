@@ -241,7 +241,8 @@ def read(files: DataFrame, scheme: str = "file") -> DataFrame:
                          pa.array(counts, pa.int64()), pa.array([file.document(i).astype("<u4").tobytes() for i in some], pa.binary())],
                         names=["doc_id", "start", "n_tokens", "ids"])
 
-    return placed.repartition("file").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    tasks = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # the list is small, the files are not
+    return placed.repartition(tasks, "file").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def write_and_read(spark: SparkSession, df: DataFrame, model: str, end: int) -> DataFrame:
