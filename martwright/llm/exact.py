@@ -82,7 +82,8 @@ def deduplicate(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     """
     rows = cut(identities(df, doc_id, text))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("_null"), "doc_id", "row")).alias("_first")
-    groups = rows.groupBy("n_blocks", "name").agg(first, F.count("*").alias("group_size"))
+    # Written, so that the join deals both sides anew and Spark can split a group with many copies.
+    groups = cut(rows.groupBy("n_blocks", "name").agg(first, F.count("*").alias("group_size")))
     return rows.join(groups, ["n_blocks", "name"]).select(
         "doc_id", F.col("_first.doc_id").alias("keep_id"), "group_size", (F.col("_first.row") == F.col("row")).alias("kept"), "text_sha256")
 

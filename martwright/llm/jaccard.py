@@ -302,7 +302,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     groups = first.select("digest", "copies").join(named.select("digest", label.alias("label"), "links"), "digest", "left")
     groups = groups.select("digest", F.coalesce("label", F.hex("digest")).alias("label"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     labelled = cut(filled.select("doc_id", "n", "digest").join(groups, "digest").select("doc_id", "n", "label", "n_links"))
-    least = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    # Written, so that the join deals both sides anew and Spark can split a label with many rows.
+    least = cut(labelled.groupBy("label").agg(F.min("doc_id").alias("component_id")))
     full = labelled.join(least, "label").select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "n_links")
     empty = docs.filter("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
     return full.unionByName(empty)
