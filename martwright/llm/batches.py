@@ -46,8 +46,10 @@ def lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
 
 
-def with_columns(df: DataFrame, text: str, fields: str, make: Callable[[pa.RecordBatch], list]) -> DataFrame:
-    """`df` with the columns of `fields` (a DDL string), made by `make` from one slice of rows at a time.
+def with_columns(df: DataFrame, text: str, fields: str, make: Callable[[pa.RecordBatch], list],
+                 limit: int = SLAB) -> DataFrame:
+    """`df` with the columns of `fields` (a DDL string), made by `make` from one slice of rows
+    (`limit` bytes of text) at a time.
 
     All other columns pass through; one that has a new column's name gives way to it.
     """
@@ -57,7 +59,7 @@ def with_columns(df: DataFrame, text: str, fields: str, make: Callable[[pa.Recor
     read = df.select(*[f.name for f in kept], *([] if text in [f.name for f in kept] else [text]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slabs(batches, text):
+        for part in slabs(batches, text, limit):
             columns = [part.column(i) for i in range(len(kept))]
             yield pa.RecordBatch.from_arrays(columns + make(part), names=names)
 
