@@ -166,19 +166,27 @@ def spellings(ranks: bytes) -> dict[int, bytes]:
     return {r: t.encode("latin-1") for t, r in from_ranks(ranks.splitlines()).items()}
 
 
-def encode(df: DataFrame, ranks: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
+def encode(df: DataFrame, ranks: str, pattern: str, text: str = "text", out: str = "ids", decoded: str | None = None) -> DataFrame:
     """`df` with the token ids of each whole text as array<int>.
 
     Null and empty texts get no ids. A column named `out` gives way. `ranks` is a file of base64
     tokens and ranks; the driver reads it (its size is that of a vocabulary) and sends it with the tasks.
+    With `decoded` the ids are decoded as well, in the same task, into a binary column of that name.
     """
     table = Path(ranks).read_bytes()
 
     def make(part: pa.RecordBatch) -> list:
         ids, counts = codec(table, pattern).encode_all(texts_of(part, text))
-        return [lists(ids, counts, pa.int32())]
+        columns = [lists(ids, counts, pa.int32())]
+        if decoded:
+            columns.append(pa.array([decoded_bytes(table, x.tolist()) for x in np.split(ids, np.cumsum(counts)[:-1])], pa.binary()))
+        return columns
 
-    return with_columns(df, text, f"`{out}` array<int>", make)
+    return with_columns(df, text, f"`{out}` array<int>" + (f", `{decoded}` binary" if decoded else ""), make)
+
+
+def decoded_bytes(ranks: bytes, ids: list[int]) -> bytes:
+    return b"".join(map(spellings(ranks).__getitem__, ids))
 
 
 def decode(df: DataFrame, ranks: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -188,9 +196,8 @@ def decode(df: DataFrame, ranks: str, ids: str = "ids", out: str = "decoded") ->
     names = [f.name for f in kept] + [out]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bytes_of = spellings(table).__getitem__
         for part in slabs(batches, ids, SLAB // 8):
-            found = [b"".join(map(bytes_of, x or ())) for x in part.column(part.schema.get_field_index(ids)).to_pylist()]
+            found = [decoded_bytes(table, x or []) for x in part.column(part.schema.get_field_index(ids)).to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column(n) for n in names[:-1]] + [pa.array(found, pa.binary())], names=names)
 
     return df.select(*names[:-1]).mapInArrow(run, StructType([*kept, StructField(out, BinaryType())]))

@@ -29,8 +29,7 @@ def _texts(spark: SparkSession, folder: str, *more: str) -> DataFrame:
 
 def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path(BYTE_RANKS)
-    ids = bpe.encode(_texts(spark, folder), ranks, public_tokenizers.PATTERN).drop("text")
-    both = bpe.decode(ids, ranks)
+    both = bpe.encode(_texts(spark, folder), ranks, public_tokenizers.PATTERN, decoded="decoded")
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -94,11 +94,12 @@ def test_each_prefix_has_its_last_token(codec):
 def test_encode_and_decode_columns(spark, library):
     rows = [(i, t, "kept", "clash") for i, t in enumerate(strange_texts(50, 6))] + [(None, None, None, None), (3, "twice", "a", "b"), (3, "twice", "a", "b")]
     df = spark.createDataFrame(rows, "doc_id long, text string, other string, ids string")
-    both = bpe.decode(bpe.encode(df, RANKS, public_tokenizers.PATTERN), RANKS).collect()
+    one = bpe.encode(df, RANKS, public_tokenizers.PATTERN, decoded="at_once")
+    both = bpe.decode(one, RANKS).collect()
     assert len(both) == len(rows)
     for row in both:
         assert list(row.ids) == library.encode_ordinary(row.text or "")
-        assert bytes(row.decoded) == (row.text or "").encode()
+        assert bytes(row.decoded) == bytes(row.at_once) == (row.text or "").encode()
     empty = bpe.encode(df.limit(0), RANKS, public_tokenizers.PATTERN)
     assert empty.count() == 0 and "other" in empty.columns
 
