@@ -44,8 +44,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their token ids, and whether these decode to the text."""
     ship(spark)
-    ranks = public_tokenizers.path(RANKS)
-    both = bpe.decode(bpe.encode(docs.select(*COLUMNS), ranks, public_tokenizers.PATTERN), ranks)
+    both = bpe.encode(docs.select(*COLUMNS), public_tokenizers.path(RANKS), public_tokenizers.PATTERN, decoded="decoded")
     return both.select(
         *COLUMNS, "ids", F.size("ids").cast("long").alias("n_tokens"),
         (F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")).alias("round_trip"))
