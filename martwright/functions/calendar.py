@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from martwright.functions.numeric import col
 
 CALENDAR_EPOCH = dt.date(1970, 1, 1)
-CALENDAR_END = dt.date(2099, 12, 31)
 
 
 def date_key(value: Column | str, epoch: dt.date = CALENDAR_EPOCH) -> Column:

@@ -57,9 +57,9 @@ def mean_amount(sum_in_cents: Column | str, count: Column | str) -> Column:
 
 
 def sale_total(quantity: Column | str, unit_price: Column | str, discount: Column | str) -> Column:
-    """quantity x price x (1 - discount) in decimal arithmetic, to the cent."""
-    gross = col(quantity).cast("decimal(10,0)") * col(unit_price).cast(MONEY)
-    return (gross * (F.lit(1).cast("decimal(4,2)") - col(discount).cast("decimal(4,2)"))).cast(MONEY)
+    """quantity x price x (1 - discount) in decimal arithmetic; only the product is rounded, to the cent."""
+    gross = col(quantity).cast("decimal(10,0)") * col(unit_price).cast("decimal(16,6)")
+    return (gross * (F.lit(1).cast("decimal(1,0)") - col(discount).cast("decimal(8,6)"))).cast(MONEY)
 
 
 def first_digit(value: Column | str) -> Column:

@@ -35,10 +35,15 @@ def split(typed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def customers(df: DataFrame, strict: bool = False) -> DataFrame:
-    """Trim everything, title-case names and places, lower-case the address."""
+    """Trim everything, title-case names and places, lower-case the address.
+
+    A signup date that is none becomes NULL: the customer stays, and so do the sales.
+    """
     titled = {c: title_case(strip_ws(c)) for c in ("first_name", "last_name", "country", "city")}
     tidy = df.withColumns({**titled, "email": F.lower(strip_ws("email")), "age_group": strip_ws("age_group")})
-    return _typed(tidy, {"customer_id": "bigint", "signup_date": "date"}, strict)
+    typed = _typed(tidy, {"customer_id": "bigint"}, strict)
+    day = F.col("signup_date")
+    return typed.withColumn("signup_date", day.cast("date") if strict else day.try_cast("date"))
 
 
 def products(df: DataFrame, strict: bool = False) -> DataFrame:
@@ -58,8 +63,9 @@ def channels(df: DataFrame, strict: bool = False) -> DataFrame:
 def sales(df: DataFrame, strict: bool = False) -> DataFrame:
     """Cast the measures and compute the amount anew; the profit is taken as landed."""
     keys = dict.fromkeys(("sale_id", "customer_id", "product_id", "date_id", "channel_id"), "bigint")
-    measures = {"quantity": "int", "unit_price": MONEY, "discount": "decimal(4,2)", "profit": MONEY}
-    return recompute_sales(_typed(df, {**keys, **measures}, strict))
+    landed = {"quantity": "int", "unit_price": "decimal(16,6)", "discount": "decimal(8,6)", "profit": MONEY}
+    exact = recompute_sales(_typed(df, {**keys, **landed}, strict))  # from the values as landed
+    return exact.withColumns({"unit_price": F.col("unit_price").cast(MONEY), "discount": F.col("discount").cast("decimal(4,2)")})
 
 
 def recompute_sales(df: DataFrame) -> DataFrame:

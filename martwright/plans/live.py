@@ -175,7 +175,7 @@ def ingest(spark: SparkSession, landing: str, root: str, sources: Sequence[Sourc
                 table, root, source.table, snapshot, schemas.names(schemas.LIVE[source.table]))
             store.commit(spark, root, snapshot, [source.table])
         except Exception as error:  # isolated per source: the log carries the reason
-            status, rows, problem = "FAILED", 0, str(error)[:2000]
+            status, rows, problem = "FAILED", 0, str(error)
         outcomes.append((source.label, status, rows, problem, started, dt.datetime.now(dt.timezone.utc)))
     log = spark.createDataFrame(outcomes, schemas.INGESTION_LOG)
     store.append(log.coalesce(1), f"{root.rstrip('/')}/api_ingestion_log")
@@ -234,12 +234,13 @@ def countries_by_region(countries: DataFrame) -> DataFrame:
 
 def weather_current(weather: DataFrame) -> DataFrame:
     return weather.select(
-        "city", "country", "temperature_c", "wind_speed_kmh", "humidity_pct", "weather_desc", "measured_at").orderBy("city")
+        "city", "country", "temperature_c", "wind_speed_kmh", "humidity_pct", "weather_desc", "measured_at").orderBy(
+        "city", "measured_at", "country", "temperature_c", "wind_speed_kmh", "humidity_pct", "weather_desc")
 
 
 def exchange_rates(rates: DataFrame, only: Sequence[str] | None = None) -> DataFrame:
     chosen = rates.filter(F.col("target_currency").isin(list(only))) if only else rates
-    return chosen.select("target_currency", "rate", "rate_date").orderBy("target_currency")
+    return chosen.select("target_currency", "rate", "rate_date").orderBy("target_currency", "rate_date", "rate")
 
 
 def github_ranked(repos: DataFrame) -> DataFrame:

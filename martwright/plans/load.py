@@ -65,7 +65,7 @@ def load_star(spark: SparkSession, raw_folder: str, root: str, strict: bool = Fa
         for table in schemas.STAR:
             run.note("extracted", table, loaded[table] + rejected.get(table, 0))
     except Exception as error:
-        run.note("failed", "", None, str(error)[:2000])
+        run.note("failed", "", None, str(error))
         raise
     finally:
         store.append(run.frame(spark).coalesce(1), f"{root.rstrip('/')}/etl_run_log")

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martwright.operators import cleaning, keyed, quality, scd
-from martwright.oracle import SEGMENT_TIERS
 from martwright.plans import advanced, audit, live, load, sales, views
 from martwright.session import scratch_path
 from martwright.sources import schemas
@@ -18,6 +17,7 @@ from martwright.sources.star import Star, as_stream_event, with_repeats
 from martwright.streaming import events as ev
 from martwright.streaming import run
 
+SEGMENT_TIERS = (3000000, 2000000, 1500000)  # spent, for platinum, gold and silver
 AS_OF = dt.date(2001, 8, 1)  # reference day of recency, after the last order
 
 Query = Callable[[Star], DataFrame]
@@ -261,7 +261,8 @@ def _event_queries() -> dict[str, Query]:
 
     def stream(s: Star) -> DataFrame:
         """The events file as a stream, sent like `Star.stream_events`."""
-        source = s.spark.readStream.schema(schemas.TABLES["events"]).option("pathGlobFilter", "events.parquet").parquet(s.folder)
+        # A pattern of one name: the table may be a file or a folder of files.
+        source = s.spark.readStream.schema(schemas.TABLES["events"]).parquet(f"{s.folder}/events.parque[t]")
         return with_repeats(as_stream_event(source)).withColumn("event_id", F.col("event_id").cast("string"))
 
     def streamed(s: Star, start, read, *args, **options) -> DataFrame:
@@ -283,9 +284,9 @@ def _event_queries() -> dict[str, Query]:
         "stream_summary": lambda s: ev.stream_summary(s.stream_events(), unique(s), late(s), windows(s)),
         "insert_ignore": inserted,
         "upsert_replace": upserted,
-        "stream_events_sink": lambda s: streamed(s, run.run_events, run.read_events),
-        "stream_events_sink_bounded": lambda s: streamed(s, run.run_events, run.read_events, delay="1 hour"),
-        "stream_windows_sink": lambda s: streamed(s, run.run_windows, run.read_windows, size="10 minutes"),
+        "stream_events_sink": lambda s: streamed(s, run.run_events, run.read_events, order=order),
+        "stream_events_sink_bounded": lambda s: streamed(s, run.run_events, run.read_events, order=order),
+        "stream_windows_sink": lambda s: streamed(s, run.run_windows, run.read_windows, size="10 minutes", order=order),
         "stream_lateness": lambda s: streamed(s, run.run_lateness, run.read_lateness, order),
     }
 

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.functions.calendar import CALENDAR_END, CALENDAR_EPOCH, build_dim_date, date_key
+from martwright.functions.calendar import build_dim_date, date_key
 from martwright.functions.numeric import MONEY
 from martwright.sources import schemas
 
@@ -98,14 +98,14 @@ class Star:
         )
 
     def calendar(self) -> DataFrame:
-        """A wide fixed calendar to look dates up in."""
-        return build_dim_date(self.spark, CALENDAR_EPOCH, CALENDAR_END, STAR_EPOCH)
+        """The calendar that sales look dates up in: it reaches as far as the orders do."""
+        return self.dates()
 
     def dates(self) -> DataFrame:
         """The date dimension proper: first to last order day (two values reach the driver)."""
         bounds = self.raw("orders").agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi")).first()
         if bounds.lo is None:
-            return self.calendar().limit(0)
+            return build_dim_date(self.spark, STAR_EPOCH, STAR_EPOCH).limit(0)
         return build_dim_date(self.spark, bounds.lo.date(), bounds.hi.date(), STAR_EPOCH)
 
     def channels(self) -> DataFrame:
@@ -203,7 +203,9 @@ class Star:
         }
 
 
-ARRIVAL_MOD = 1000003  # arrival order is a fixed permutation of the event id
+# Arrival order is a fixed permutation of all event ids from 0 up to this prime, the largest below 2^62.
+ARRIVAL_MOD = 4611686018427387847
+ARRIVAL_STEP = 2850178706419532849
 
 
 def as_stream_event(events: DataFrame) -> DataFrame:
@@ -222,7 +224,8 @@ def as_stream_event(events: DataFrame) -> DataFrame:
         F.concat(F.lit("/page/"), F.get_json_object("props", "$.k")).alias("page"),
         F.concat(F.lit("sess_"), F.col("user_id").cast("string")).alias("session_id"),
         F.when(kind == "purchase", F.col("value")).alias("value"),
-        ((F.col("event_id") * 7919) % ARRIVAL_MOD).alias("arrival"),
+        (F.col("event_id").cast("decimal(19,0)") * F.lit(ARRIVAL_STEP).cast("decimal(19,0)") % F.lit(ARRIVAL_MOD).cast("decimal(19,0)"))
+        .cast("bigint").alias("arrival"),
     )
 
 

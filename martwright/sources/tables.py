@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from martwright.sources import schemas
 
 COMMITS = "_commits"
+# Quotes are doubled inside quotes, and a quoted value may hold line breaks.
+CSV = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
 COMMIT_SCHEMA = "snapshot string, committed_at timestamp, tables array<string>"
 
 
@@ -44,7 +46,7 @@ def read_parquet(spark: SparkSession, path: str, ddl: str) -> DataFrame:
 
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """The named columns of a headered UTF-8 CSV as text; the cleaning step casts them."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path).select(*columns)
+    return spark.read.options(**CSV).option("inferSchema", False).csv(path).select(*columns)
 
 
 def read_csv_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -56,7 +58,7 @@ def read_csv_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
 
 
 def read_json_landing(spark: SparkSession, path: str | list[str], ddl: str) -> DataFrame:

@@ -40,18 +40,6 @@ def dedup_events(df: DataFrame, key: str = "event_id", order: Column | str = "pr
     return keyed.first_by(df, [key], order)
 
 
-def dedup_stream(df: DataFrame, key: str = "event_id", time: str = "event_time", delay: str | None = None) -> DataFrame:
-    """Stream: one arrival of every event id, the first over micro-batches. Copies within one
-    micro-batch are interchangeable: any of them may be the one that stays.
-
-    With a `delay` ids are forgotten once the watermark has passed them, which bounds the state.
-    Without one every id is remembered, and nothing counts as too late.
-    """
-    if delay is None:
-        return df.dropDuplicates([key])
-    return df.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
-
-
 def minute_bucket(time: Column | str, seconds: int) -> Column:
     """Window start that floors the seconds within their minute.
 

@@ -2,24 +2,25 @@
 
 A micro-batch writes the folder that carries its batch id, replacing what an earlier try of the same
 batch left there. With the query's checkpoint that makes every result exactly-once. Readers fold
-the folders: window cells by the newest batch, lateness by its sum.
+the folders: window cells and lateness by their sums. No run keeps state in the stream.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from martwright.operators import keyed
-from martwright.session import cut
 from martwright.sources import schemas
 from martwright.sources.tables import read_parquet
 from martwright.streaming import events as ev
 
 CELLS = ("window_start timestamp, customer_id bigint, channel string, event_type string, n bigint, "
          "amount decimal(28,2), batch bigint")
-LATENESS = "processed bigint, late_events bigint, last_event_time timestamp, batch bigint"
+LATENESS = "processed bigint, late_events bigint, last_event_time timestamp"
+ARRIVAL = ("processing_time", "event_id")
 
 
 def _batch_folder(sink: str, part: str, batch_id: int) -> str:
@@ -33,52 +34,64 @@ def _start(df: DataFrame, write, mode: str, checkpoint: str, available_now: bool
     return writer.start()
 
 
-def run_events(stream: DataFrame, sink: str, checkpoint: str, delay: str | None = None,
+def _fresh(batch: DataFrame, batch_id: int, folder: str, order: Sequence[str]) -> DataFrame:
+    """The first copy, by arrival, of each event of a micro-batch that no earlier batch stored; stored itself.
+
+    What is known of earlier events is the stored table and no state of the stream, so events of any
+    age are told apart and none is dropped for being late.
+    """
+    spark = batch.sparkSession
+    first = ev.dedup_events(batch, order=F.struct(*order))
+    earlier = read_parquet(spark, folder, "event_id string, batch bigint").filter(F.col("batch") < batch_id)
+    path = f"{folder}/batch={batch_id}"
+    first.join(earlier.select("event_id"), "event_id", "left_anti").write.mode("overwrite").parquet(path)
+    return spark.read.schema(batch.schema).parquet(path)
+
+
+def run_events(stream: DataFrame, sink: str, checkpoint: str, order: Sequence[str] = ARRIVAL,
                available_now: bool = True) -> StreamingQuery:
-    """Deduplicated events, each stored once."""
+    """Deduplicated events, each stored once: the copy that came first."""
     columns = schemas.names(schemas.STREAM_EVENTS)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.select(*columns).write.mode("overwrite").parquet(_batch_folder(sink, "stream_events", batch_id))
+        _fresh(batch.select(*dict.fromkeys([*columns, *order])), batch_id, f"{sink.rstrip('/')}/stream_events", order)
 
-    return _start(ev.dedup_stream(stream, delay=delay), write, "append", checkpoint, available_now)
+    return _start(stream, write, "append", checkpoint, available_now)
 
 
 def run_windows(stream: DataFrame, sink: str, checkpoint: str, size: str = "10 seconds", slide: str | None = None,
-                delay: str | None = None, available_now: bool = True) -> StreamingQuery:
+                order: Sequence[str] = ARRIVAL, available_now: bool = True) -> StreamingQuery:
     """Window cells of the deduplicated stream.
 
-    Update mode emits each cell that a batch has touched with its new total, so late events change
-    their window for as long as its state lives: until the watermark passes (`delay`), else for good.
+    Each batch stores the cells of its own new events; readers add them up, so an event that comes late
+    changes its window however old that is.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(_batch_folder(sink, "window_cells", batch_id))
+        fresh = _fresh(batch, batch_id, f"{sink.rstrip('/')}/windows_events", order)
+        ev.window_cells(fresh, size, slide).write.mode("overwrite").parquet(_batch_folder(sink, "window_cells", batch_id))
 
-    cells = ev.window_cells(ev.dedup_stream(stream, delay=delay), size, slide)
-    return _start(cells, write, "update", checkpoint, available_now)
+    return _start(stream, write, "append", checkpoint, available_now)
 
 
-def run_lateness(stream: DataFrame, sink: str, checkpoint: str, order: list[str], delay: str | None = None,
+def run_lateness(stream: DataFrame, sink: str, checkpoint: str, order: Sequence[str] = ARRIVAL,
                  available_now: bool = True) -> StreamingQuery:
     """Late events per micro-batch, in arrival order across batches.
 
-    The only state between batches is the time of the last event, kept in the sink.
+    All that one batch takes from those before it is the time of the last event, in the row of the
+    batch before.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        before = read_parquet(spark, f"{sink.rstrip('/')}/lateness", LATENESS).filter(
-            (F.col("batch") < batch_id) & F.col("last_event_time").isNotNull())
-        carried = before.agg(F.max_by("last_event_time", "batch")).scalar()
-        last = F.struct(*order)
-        seen = ev.late_events(cut(batch), order)  # sorting reads its input twice: run the stream once
+        fresh = _fresh(batch, batch_id, f"{sink.rstrip('/')}/lateness_events", order)
+        before = read_parquet(batch.sparkSession, _batch_folder(sink, "lateness", batch_id - 1), LATENESS)
+        carried = before.agg(F.max("last_event_time")).scalar()
         late = F.coalesce(F.col("event_time") < F.coalesce("watermark", carried), F.lit(False))
-        seen.withColumn("late", late).agg(
+        ev.late_events(fresh, order).withColumn("late", late).agg(
             F.count("*").alias("processed"),
             F.count_if("late").alias("late_events"),
-            F.max_by("event_time", last).alias("last_event_time"),
+            F.coalesce(F.max_by("event_time", F.struct(*order)), carried).alias("last_event_time"),
         ).write.mode("overwrite").parquet(_batch_folder(sink, "lateness", batch_id))
 
-    return _start(ev.dedup_stream(stream, delay=delay), write, "append", checkpoint, available_now)
+    return _start(stream, write, "append", checkpoint, available_now)
 
 
 def read_events(spark: SparkSession, sink: str) -> DataFrame:
@@ -86,8 +99,9 @@ def read_events(spark: SparkSession, sink: str) -> DataFrame:
 
 
 def read_cells(spark: SparkSession, sink: str) -> DataFrame:
-    """The newest total of every window cell."""
-    return keyed.last_by(read_parquet(spark, f"{sink.rstrip('/')}/window_cells", CELLS), ev.CELL, "batch").drop("batch")
+    """Every window cell, summed over the batches that added to it."""
+    cells = read_parquet(spark, f"{sink.rstrip('/')}/window_cells", CELLS)
+    return cells.groupBy(*ev.CELL).agg(F.sum("n").alias("n"), F.sum("amount").alias("amount"))
 
 
 def read_windows(spark: SparkSession, sink: str) -> DataFrame:
@@ -95,6 +109,6 @@ def read_windows(spark: SparkSession, sink: str) -> DataFrame:
 
 
 def read_lateness(spark: SparkSession, sink: str) -> DataFrame:
-    return read_parquet(spark, f"{sink.rstrip('/')}/lateness", LATENESS).agg(
+    return read_parquet(spark, f"{sink.rstrip('/')}/lateness", LATENESS + ", batch bigint").agg(
         F.coalesce(F.sum("processed"), F.lit(0)).alias("processed"),
         F.coalesce(F.sum("late_events"), F.lit(0)).alias("late_events"))

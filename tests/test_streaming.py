@@ -149,10 +149,27 @@ def test_a_repeated_micro_batch_is_stored_once(spark, landed, tmp_path):
     assert rows(run.read_events(spark, sink)) == before
 
 
-def test_bounded_dedup(spark, landed, tmp_path):
-    sink = str(tmp_path / "sink")
-    run.run_events(stream(spark, landed), sink, f"{sink}/c1", delay="1 hour").awaitTermination()
-    assert run.read_events(spark, sink).count() == 120
+def test_old_events_and_copies_out_of_order(spark, tmp_path):
+    """Three batches: a copy that came first stands last in its file, and the last event is two hours old."""
+    folder, sink = tmp_path / "in", str(tmp_path / "sink")
+    folder.mkdir()
+    base = make(1)[0]
+
+    def event(name, minutes, arrival):
+        at = START + dt.timedelta(hours=5, minutes=minutes)
+        return {**base, "event_id": name, "event_time": at.isoformat(), "processing_time": (START + dt.timedelta(days=1, seconds=arrival)).isoformat()}
+
+    write(folder, "0.json", [event("a", 10, 9), event("b", 11, 5), event("a", 10, 1)])
+    write(folder, "1.json", [event("c", 12, 11)])
+    write(folder, "2.json", [event("d", -120, 12), event("b", 11, 13)])
+    run.run_events(stream(spark, folder), sink, f"{sink}/c1").awaitTermination()
+    run.run_windows(stream(spark, folder), sink, f"{sink}/c2").awaitTermination()
+    run.run_lateness(stream(spark, folder), sink, f"{sink}/c3").awaitTermination()
+    unique = ev.dedup_events(batch(spark, folder))
+    columns = schemas.names(schemas.STREAM_EVENTS)
+    assert rows(run.read_events(spark, sink), *columns) == rows(unique, *columns)
+    assert run.read_windows(spark, sink).count() == 4
+    assert run.read_lateness(spark, sink).first() == (4, expected_late(unique)) == (4, 1)
 
 
 def test_reading_before_any_run(spark, tmp_path):
