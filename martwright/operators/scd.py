@@ -49,7 +49,7 @@ def scd2_apply(history: DataFrame, changes: DataFrame, key: str, tracked: Sequen
     A NULL or missing tracked column leaves the value as it is; values compare as text. A change has
     no effect when its key is unknown, when it alters nothing, or when it is not later than the start
     of the current version; a replayed batch therefore changes nothing. `tie_break` orders changes of
-    one key and time; by default their values do.
+    one key and time; by default their values do. `scd2_late` gives the changes that came too late.
     """
     tracked = [c for c in tracked if c in changes.columns]  # the others never change
     batch = changes.filter(F.col(key).isNotNull()).select(
@@ -116,6 +116,24 @@ def scd2_apply(history: DataFrame, changes: DataFrame, key: str, tracked: Sequen
     return after, log
 
 
+def scd2_late(history: DataFrame, changes: DataFrame, key: str, tracked: Sequence[str], at: str) -> DataFrame:
+    """The rows of `changes` that `scd2_apply` leaves out because they are not later than the current version.
+
+    A change that the history holds already, as a version with its time and values, is a replay and not
+    late. Late changes can be kept, or be applied by building the history anew from all changes.
+    """
+    tracked = [c for c in tracked if c in changes.columns]
+    since = scd_current(history).select(F.col(key).alias("_key"), F.col("effective_from").alias("_since"))
+    moment = F.col(at).cast("timestamp")
+    late = changes.join(since, (F.col(key) == F.col("_key")) & (moment <= F.col("_since")), "left_semi")
+    held = history.select(F.col(key).alias("_key"), F.col("effective_from").alias("_since"), *[F.col(c).cast("string").alias(f"_{c}") for c in tracked])
+    same = [F.col(c).isNull() | F.col(c).cast("string").eqNullSafe(F.col(f"_{c}")) for c in tracked]
+    replay = (F.col(key) == F.col("_key")) & (moment == F.col("_since"))
+    for condition in same:
+        replay &= condition
+    return late.join(held, replay, "left_anti")
+
+
 def scd_history(history: DataFrame, key: str, value) -> DataFrame:
     """All versions of one key in order."""
     return history.filter(F.col(key) == F.lit(value)).orderBy("version")

@@ -46,7 +46,7 @@ def load_tables(spark: SparkSession, tables: Mapping[str, DataFrame], root: str,
     return run
 
 
-def load_star(spark: SparkSession, raw_folder: str, root: str, strict: bool = False) -> DataFrame:
+def load_star(spark: SparkSession, raw_folder: str, root: str, strict: bool = False, line_breaks: bool = False) -> DataFrame:
     """Load the six landing CSVs into the warehouse and return the run's row counts.
 
     Rows that do not cast go to `<table>_quarantine`; with `strict` the first one fails the load.
@@ -55,7 +55,7 @@ def load_star(spark: SparkSession, raw_folder: str, root: str, strict: bool = Fa
     run = LoadRun()
     try:
         good, bad = {}, {}
-        for table, landed in store.read_csv_star(spark, raw_folder).items():
+        for table, landed in store.read_csv_star(spark, raw_folder, line_breaks).items():
             good[table], rejected = cleaning.split(cleaning.CLEANERS[table](landed, strict))
             if not strict:
                 bad[table] = rejected

@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 from martwright.sources import schemas
 
 COMMITS = "_commits"
-# Quotes are doubled inside quotes, and a quoted value may hold line breaks.
-CSV = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
+CSV = {"header": True, "quote": '"', "escape": '"'}  # quotes are doubled inside quotes
 COMMIT_SCHEMA = "snapshot string, committed_at timestamp, tables array<string>"
 
 
@@ -44,21 +43,24 @@ def read_parquet(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     return spark.createDataFrame([], ddl)
 
 
-def read_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """The named columns of a headered UTF-8 CSV as text; the cleaning step casts them."""
-    return spark.read.options(**CSV).option("inferSchema", False).csv(path).select(*columns)
+def read_csv(spark: SparkSession, path: str, columns: Sequence[str], line_breaks: bool = False) -> DataFrame:
+    """The named columns of a headered UTF-8 CSV as text; the cleaning step casts them.
+
+    `line_breaks` allows them in quoted values. Such files cannot be split: each is read by one task.
+    """
+    return spark.read.options(**CSV, multiLine=line_breaks, inferSchema=False).csv(path).select(*columns)
 
 
-def read_csv_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def read_csv_star(spark: SparkSession, folder: str, line_breaks: bool = False) -> dict[str, DataFrame]:
     """The six landing files of the star by warehouse table name."""
     return {
-        table: read_csv(spark, f"{folder.rstrip('/')}/{file}", schemas.names(schemas.STAR[table]))
+        table: read_csv(spark, f"{folder.rstrip('/')}/{file}", schemas.names(schemas.STAR[table]), line_breaks)
         for table, file in schemas.STAR_FILES.items()
     }
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
+    df.write.mode("overwrite").options(**CSV).csv(path)
 
 
 def read_json_landing(spark: SparkSession, path: str | list[str], ddl: str) -> DataFrame:

@@ -76,3 +76,20 @@ def test_customers(spark):
         "age_group string, signup_date string")
     got = cleaning.split(cleaning.customers(df))[0].first()
     assert tuple(got) == (1, "John", "O'Neil", "a@b.com", "United States", "New York", "25-34", dt.date(2024, 1, 31))
+
+
+def test_amounts_are_rounded_once(spark):
+    landed = spark.createDataFrame(
+        [("1", "1", "1", "1", "1", "8", "100.00", "0.125", "1"), ("2", "1", "1", "1", "1", "3", "10.005", "0", "1")],
+        "sale_id string, customer_id string, product_id string, date_id string, channel_id string, quantity string, unit_price string, "
+        "discount string, profit string")
+    good, bad = cleaning.split(cleaning.sales(landed))
+    assert rows(good, "sale_id", "total_amount") == [(1, Decimal("700.00")), (2, Decimal("30.02"))] and bad.count() == 0
+
+
+def test_a_customer_without_a_date_stays(spark):
+    landed = spark.createDataFrame(
+        [("1", "a", "b", "E@X", "c", "d", "e", "no date"), ("x", "a", "b", "c", "c", "d", "e", "2024-01-01")],
+        "customer_id string, first_name string, last_name string, email string, country string, city string, age_group string, signup_date string")
+    good, bad = cleaning.split(cleaning.customers(landed))
+    assert rows(good, "customer_id", "signup_date") == [(1, None)] and rows(bad, "problem") == [("customer_id",)]

@@ -119,3 +119,14 @@ def test_every_report_runs_on_a_loaded_warehouse(spark, landing, tmp_path):
     ddl = "year int, month int, month_name string, category string, channel_name string, total_orders bigint, total_revenue double"
     kept = store.read_table(spark, root, "v_monthly_sales", ddl).first()
     assert (kept.category, kept.total_orders, kept.total_revenue) == ("home", 1, 27.0)
+
+
+def test_quotes_in_csv(spark, tmp_path):
+    from martwright.sources import tables
+
+    (tmp_path / "c.csv").write_text('id,name,kind\n1,"say ""hi"", you",Online\n2,"two\nlines",Direct\n')
+    read = tables.read_csv(spark, str(tmp_path / "c.csv"), ["id", "name", "kind"], line_breaks=True)
+    wanted = [("1", 'say "hi", you', "Online"), ("2", "two\nlines", "Direct")]
+    assert sorted(map(tuple, read.collect())) == wanted
+    tables.write_csv(read, str(tmp_path / "out"))
+    assert sorted(map(tuple, tables.read_csv(spark, str(tmp_path / "out"), ["id", "name", "kind"], line_breaks=True).collect())) == wanted

@@ -139,3 +139,12 @@ def test_surrogate_keys_are_stable(spark, history):
     after, _ = apply(keyed, changes(spark, [(1, "Lyon", None, day(1))]))
     assert after.select("surrogate_key").distinct().count() == after.count() == 4
     assert keyed.join(after, "surrogate_key", "left_anti").count() == 0
+
+
+def test_late_changes_are_named_and_replays_are_not(spark, history):
+    batch = changes(spark, [(1, "Lyon", None, day(60)), (2, "Oslo", "NO", day(31))])
+    after, _ = apply(history, batch)
+    late = [(1, "Nice", None, day(31)), (2, "Turin", None, day(31)), (9, "Bern", None, day(1))]
+    again = changes(spark, late + [(1, "Lyon", None, day(60)), (2, "Oslo", "NO", day(31)), (3, "Kiel", None, day(90))])
+    found = scd.scd2_late(after, again, "customer_id", TRACKED, "changed_at")
+    assert rows(found) == sorted(late[:2], key=repr)
