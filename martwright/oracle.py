@@ -731,7 +731,7 @@ EVENT_SQL = {
     "insert_ignore": star("SELECT * FROM sent WHERE channel <> 'web'"),
     "upsert_replace": star("""
         SELECT * FROM mobile UNION ALL SELECT * FROM web WHERE window_start NOT IN (SELECT window_start FROM mobile)""",
-        web=windows_sql("1 hour", "sent WHERE channel = 'web'"),
+        web=windows_sql("1 hour", "sent WHERE channel <> 'mobile'"),
         mobile=windows_sql("1 hour", "sent WHERE channel = 'mobile'")),
     "stream_events_sink": star(STORED),
     "stream_events_sink_bounded": star(STORED),

@@ -100,7 +100,7 @@ def sales_by_country(sales: DataFrame, customers: DataFrame, limit: int | None =
         .agg(F.count("*").alias("customers"), F.sum("n").alias("orders"), total("amount").alias("revenue"))
         .orderBy(F.desc("revenue"), "country")
     )
-    return rows.limit(limit) if limit else rows
+    return rows if limit is None else rows.limit(limit)
 
 
 def daily_pattern(sales: DataFrame, dates: DataFrame) -> DataFrame:

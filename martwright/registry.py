@@ -250,10 +250,10 @@ def _event_queries() -> dict[str, Query]:
         return ev.late_events(unique(s), order)
 
     def upserted(s: Star) -> DataFrame:
-        def of(channel: str) -> DataFrame:
-            return ev.window_aggregate(unique(s).filter(F.col("channel") == channel), "1 hour")
+        def of(*channels: str) -> DataFrame:
+            return ev.window_aggregate(unique(s).filter(F.col("channel").isin(*channels)), "1 hour")
 
-        return keyed.upsert(of("web"), of("mobile"), ["window_start"], "window_start")
+        return keyed.upsert(of("web", "api"), of("mobile"), ["window_start"], "window_start")
 
     def inserted(s: Star) -> DataFrame:
         target = unique(s).filter(F.col("channel") == "web")
