@@ -13,10 +13,14 @@ def col(value: Column | str) -> Column:
 
 
 def half_up(value: Column | str, places: int = 2) -> Column:
-    """Round a double half away from zero as `floor(|x| * 10^n + 0.5) / 10^n`."""
+    """Round a double half away from zero as `floor(|x| * 10^n + 0.5) / 10^n`.
+
+    From 2^53 units of the last place on a double has no digits to round.
+    """
     scale = float(10**places)
     x = col(value).cast("double")
-    return F.signum(x) * F.floor(F.abs(x) * scale + 0.5) / F.lit(scale) + F.lit(0.0)  # no negative zero
+    rounded = F.signum(x) * F.floor(F.abs(x) * scale + 0.5) / F.lit(scale) + F.lit(0.0)  # no negative zero
+    return F.when(F.abs(x) * scale < float(2**53), rounded).otherwise(x)
 
 
 def ratio(numerator: Column | str, denominator: Column | str) -> Column:

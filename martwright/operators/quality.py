@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType, StructType
 
 from martwright.functions.numeric import first_digit, half_up, percent, ratio
 from martwright.functions.text import blank
-from martwright.operators.quantiles import MEDIAN, QUARTILES, ValueCounts, order_statistics
+from martwright.operators.quantiles import MEDIAN, QUARTILES, describe
 
 CHECK = ["category", "check", "status", "severity", "details"]
 
@@ -79,17 +79,21 @@ def referential_integrity(child: DataFrame, child_table: str, child_key: str,
         F.when(F.col("n") > 0, "CRITICAL").otherwise("INFO"), _text(F.col("n"), " orphan records")))
 
 
+def _valid(df: DataFrame, column: str) -> Column:
+    """A number as a double without NaN."""
+    return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
+
+
 def iqr_bounds(df: DataFrame, column: str, k: float = 1.5) -> DataFrame:
     """One row: rows, quartiles v[n/4] and v[3n/4], fences and the number of values beyond them."""
-    counts = ValueCounts.of(df, [column])
-    quartiles = order_statistics(counts, QUARTILES).get(column, {})
-    q1, q3 = (F.lit(quartiles.get(q)).cast("double") for q in ("q1", "q3"))
+    quartiles = describe(df, {column: (F.col(column), QUARTILES)})[column].at
+    q1, q3 = (F.lit(float(quartiles[q].value) if quartiles else None).cast("double") for q in ("q1", "q3"))
     low, high = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
-    value = F.col("value").cast("double")
-    return counts.rows.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+    value = _valid(df, column)
+    return df.agg(
+        F.count(value).alias("rows"),
         q1.alias("q1"), q3.alias("q3"), low.alias("lower_bound"), high.alias("upper_bound"),
-        F.coalesce(F.sum(F.when((value < low) | (value > high), F.col("n"))), F.lit(0)).alias("outliers"))
+        F.count_if((value < low) | (value > high)).alias("outliers"))
 
 
 def iqr_outliers(df: DataFrame, column: str, name: str, k: float = 1.5) -> DataFrame:
@@ -193,43 +197,33 @@ def row_count_equals(df: DataFrame, table: str, expected: int) -> DataFrame:
 def profile_numeric(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
     """Count, range, mean, median, deviation, total and skewness per column.
 
-    Deviation and skewness are taken about the mean rounded to 2 digits. The table is scanned once;
-    both passes run over its distinct values.
+    Deviation and skewness are taken about the mean rounded to 2 digits. A column without values has
+    count 0 and no figures.
     """
-    counts = ValueCounts.of(df, columns)
-    medians = order_statistics(counts, MEDIAN)
-    known = [
-        (column, counts.count(column), min(b.min for b in buckets), max(b.max for b in buckets),
-         sum(b.total for b in buckets), medians[column]["median_lo"], medians[column]["median_hi"])
-        for column, buckets in counts.totals.items()]
-    exact = "decimal(38,4)"
-    figures = df.sparkSession.createDataFrame(
-        known, f"column string, count bigint, min {exact}, max {exact}, total {exact}, median_lo {exact}, median_hi {exact}")
-    figures = figures.select(
-        "column", "count", half_up("min").alias("min"), half_up("max").alias("max"), half_up("total").alias("total"),
-        half_up(ratio("total", "count"), 2).alias("mean"),
-        half_up((F.col("median_lo").cast("double") + F.col("median_hi").cast("double")) / 2).alias("median"))
-    distance = F.col("value").cast("double") - F.col("mean")
-    std = F.sqrt("m2")
-    return (
-        counts.rows.join(F.broadcast(figures), "column")  # one row per profiled column
-        .groupBy(*figures.columns)
-        .agg(
-            ratio(F.sum(F.pow(distance, F.lit(2.0)) * F.col("n")), F.col("count")).alias("m2"),
-            ratio(F.sum(F.pow(distance, F.lit(3.0)) * F.col("n")), F.col("count")).alias("m3"),
-        )
-        .select(
-            F.concat(F.lit(f"{table}."), F.col("column")).alias("column"),
-            "count",
-            "min",
-            "max",
-            "mean",
-            "median",
+    known = describe(df, {c: (F.col(c), MEDIAN) for c in columns})
+    number = lambda v: F.lit(None if v is None else float(v)).cast("double")
+
+    def figures(column: str) -> Column:
+        of = known[column]
+        middle = [of.at[m].value if of.at else None for m in MEDIAN]
+        count, mean = F.lit(of.count).cast("bigint"), half_up(ratio(number(of.total), F.lit(of.count)), 2)
+        distance = _valid(df, column) - mean
+        std = F.sqrt(ratio(F.sum(F.pow(distance, F.lit(2.0))), count))
+        third = ratio(F.sum(F.pow(distance, F.lit(3.0))), count)
+        skewness = half_up(ratio(third, F.pow(F.nullif(std, F.lit(0.0)), F.lit(3.0))), 3)
+        return F.struct(
+            F.lit(f"{table}.{column}").alias("column"),
+            count.alias("count"),
+            half_up(number(of.min)).alias("min"),
+            half_up(number(of.max)).alias("max"),
+            mean.alias("mean"),
+            half_up((number(middle[0]) + number(middle[1])) / 2).alias("median"),
             half_up(std).alias("std"),
-            "total",
-            F.coalesce(half_up(ratio("m3", F.pow(F.nullif(std, F.lit(0.0)), F.lit(3.0))), 3), F.lit(0.0)).alias("skewness"),
+            half_up(number(of.total)).alias("total"),
+            F.when(count > 0, F.coalesce(skewness, F.lit(0.0))).alias("skewness"),
         )
-    )
+
+    return df.agg(F.array(*[figures(c) for c in columns]).alias("listed")).select(F.inline("listed"))
 
 
 def checks_by_category(checks: DataFrame) -> DataFrame:

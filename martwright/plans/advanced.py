@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from martwright.functions.numeric import cents, half_up, mean, mean_amount, percent, ratio, units
 from martwright.operators.basket import pair_counts
-from martwright.operators.ordered import Ordered, ntile
+from martwright.operators.ordered import Ordered
+from martwright.operators.quantiles import ntile_by_borders
 from martwright.plans.views import full_name
+from martwright.session import cut
 
 
 def _monthly(sales: DataFrame, dates: DataFrame) -> DataFrame:
@@ -80,7 +82,8 @@ def cohort_retention(customers: DataFrame, sales: DataFrame, dates: DataFrame,
 def rfm(customers: DataFrame, sales: DataFrame, dates: DataFrame, as_of: dt.date, tiles: int = 5) -> DataFrame:
     """Recency, frequency and monetary quintiles per customer, and the segment they give.
 
-    Each quintile is a global ranking of all customers; ties are broken by customer id.
+    Each quintile is a global ranking of all customers; ties are broken by customer id. Only the first
+    customers of the tiles are looked for, nothing is sorted.
     """
     bought = sales.groupBy("customer_id").agg(
         F.max("date_id").alias("date_id"),
@@ -96,8 +99,8 @@ def rfm(customers: DataFrame, sales: DataFrame, dates: DataFrame, as_of: dt.date
         "frequency",
         "monetary",
     )
-    for order, score in ((F.desc("recency_days"), "r_score"), (F.asc("frequency"), "f_score"), (F.asc("monetary"), "m_score")):
-        scored = ntile(scored, [order, F.asc("customer_id")], tiles, score)
+    scores = {"r_score": -F.col("recency_days"), "f_score": F.col("frequency"), "m_score": F.col("monetary")}
+    scored = ntile_by_borders(cut(scored), scores, "customer_id", tiles)
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     segment = (
         F.when((r >= 4) & (f >= 4) & (m >= 4), "Champions")

@@ -1,43 +1,98 @@
 import random
 from decimal import Decimal
 
-from martwright.operators import quality
-from martwright.operators.quantiles import MEDIAN, QUARTILES, ValueCounts, order_statistics
+import pytest
+from pyspark.sql import functions as F
+
+from martwright.operators import quality, quantiles
+from martwright.operators.quantiles import MEDIAN, QUARTILES, describe, ntile_by_borders
 
 
 def frame(spark, values):
     return spark.createDataFrame([(Decimal(str(v)),) for v in values], "v decimal(18,2)")
 
 
+def at(df, column, ranks):
+    found = describe(df, {column: (F.col(column), ranks)})[column]
+    return {name: hit.value for name, hit in found.at.items()}
+
+
 def test_order_statistics_by_rank(many_buckets):
     rng = random.Random(1)
-    for size in (1, 2, 3, 4, 5, 9, 100, 101):
+    for size in (1, 2, 3, 4, 5, 9, 101):
         # A third of the values is the same.
         values = [5 if rng.random() < 0.34 else rng.randrange(1000) for _ in range(size)]
-        counts = ValueCounts.of(frame(many_buckets, values), ["v"])
-        got = order_statistics(counts, {**MEDIAN, **QUARTILES})["v"]
+        got = describe(frame(many_buckets, values), {"v": (F.col("v"), {**MEDIAN, **QUARTILES})})["v"]
         s, n = sorted(values), size
-        assert (got["q1"], got["q3"]) == (s[n // 4], s[3 * n // 4])
-        assert (got["median_lo"], got["median_hi"]) == (s[(n - 1) // 2], s[n // 2])
-        assert counts.count("v") == n
+        assert (got.at["q1"].value, got.at["q3"].value) == (s[n // 4], s[3 * n // 4])
+        assert (got.at["median_lo"].value, got.at["median_hi"].value) == (s[(n - 1) // 2], s[n // 2])
+        assert (got.count, got.min, got.max, got.total) == (n, s[0], s[-1], sum(s))
+        for hit, rank in ((got.at["q1"], n // 4), (got.at["median_hi"], n // 2)):
+            assert hit.rows == s.count(hit.value) and hit.place == rank - s.index(hit.value)
+
+
+def test_a_sketch_that_misses_does_no_harm(spark, monkeypatch):
+    """With a sketch of two values every bracket is wrong at first."""
+    monkeypatch.setattr(quantiles, "ACCURACY", 2)
+    values = [(i * 7919) % 5003 for i in range(5003)]
+    df = spark.createDataFrame([(v,) for v in values], "v int")
+    assert at(df, "v", {**MEDIAN, **QUARTILES}) == {"median_lo": 2501, "median_hi": 2501, "q1": 1250, "q3": 3752}
+
+
+def test_more_rows_than_the_sketch_keeps(spark):
+    df = spark.range(300_000).select(((F.col("id") * 7919) % 300_007).alias("v"))
+    s = sorted(i * 7919 % 300_007 for i in range(300_000))
+    assert at(df, "v", QUARTILES) == {"q1": s[75_000], "q3": s[225_000]}
 
 
 def test_several_columns_at_once(many_buckets):
     data = [(i, 100 - i, None if i % 2 else i) for i in range(60)]
     df = many_buckets.createDataFrame(data, "a int, b int, c int")
-    counts = ValueCounts.of(df, ["a", "b", "c"])
-    got = order_statistics(counts, MEDIAN)
-    assert got["a"]["median_lo"] == 29 and got["b"]["median_hi"] == 71
-    assert counts.count("c") == 30 and got["c"]["median_lo"] == 28
+    got = describe(df, {c: (F.col(c), MEDIAN) for c in "abc"})
+    assert got["a"].at["median_lo"].value == 29 and got["b"].at["median_hi"].value == 71
+    assert got["c"].count == 30 and got["c"].at["median_lo"].value == 28
+
+
+def test_every_digit_counts(spark):
+    """Very large, very small and mixed types keep their values."""
+    big = [10**15, 2**62, 2**62 + 1, 2**62 + 2, 2**63 - 1]
+    tiny = [1e-5, 2e-5, 4e-5, 1e300, float("nan")]
+    fine = [Decimal("0.000000000001"), Decimal("0.000000000002"), Decimal("0.000000000003"), Decimal("5"), None]
+    df = spark.createDataFrame(list(zip(big, tiny, fine)), "big bigint, tiny double, fine decimal(30,12)")
+    assert at(df, "big", MEDIAN) == {"median_lo": 2**62 + 1, "median_hi": 2**62 + 1}
+    assert at(df, "tiny", MEDIAN) == {"median_lo": 2e-5, "median_hi": 4e-5}
+    assert at(df, "fine", MEDIAN) == {"median_lo": fine[1], "median_hi": fine[2]}
+    profile = {r["column"]: r for r in quality.profile_numeric(df, "t", ["big", "tiny", "fine"]).collect()}
+    assert (profile["t.big"]["max"], profile["t.big"]["min"]) == (float(2**63 - 1), 1e15)
+    assert (profile["t.tiny"]["count"], profile["t.fine"]["count"]) == (4, 4)
 
 
 def test_no_values(spark):
-    assert order_statistics(ValueCounts.of(frame(spark, []), ["v"]), MEDIAN) == {}
-    assert quality.profile_numeric(frame(spark, []), "t", ["v"]).count() == 0
+    got = describe(frame(spark, []), {"v": (F.col("v"), MEDIAN)})["v"]
+    assert (got.count, got.min, got.total, got.at) == (0, None, None, {})
+    empty = quality.profile_numeric(frame(spark, []), "t", ["v"]).first()
+    assert tuple(empty) == ("t.v", 0, *[None] * 7)
     check = quality.iqr_outliers(frame(spark, []), "v", "empty").first()
     assert (check.status, check.details) == ("SKIPPED", "no rows")
 
 
+@pytest.mark.parametrize("size", [0, 1, 3, 5, 7, 100])
+def test_ntile_by_borders(spark, size):
+    rng = random.Random(size)
+    data = [(i, 4 if rng.random() < 0.4 else rng.randrange(9), rng.random()) for i in range(size)]
+    df = spark.createDataFrame(data, "id bigint, a int, b double")
+    got = {r.id: (r.ra, r.rb) for r in ntile_by_borders(df, {"ra": -F.col("a"), "rb": F.col("b")}, "id", 5).collect()}
+
+    def tiles(key):
+        ranked = [r[0] for r in sorted(data, key=key)]
+        small, extra = divmod(size, 5)
+        sizes = [small + (t < extra) for t in range(5)]
+        return dict(zip(ranked, [t + 1 for t in range(5) for _ in range(sizes[t])]))
+
+    ra, rb = tiles(lambda r: (-r[1], r[0])), tiles(lambda r: (r[2], r[0]))
+    assert got == {i: (ra[i], rb[i]) for i in range(size)}
+
+
 def test_fences_are_strict(spark):
     # q1 = 10, q3 = 20: fences at -5 and 35.
     df = frame(spark, [-5, 10, 10, 15, 20, 20, 35])
