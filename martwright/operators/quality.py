@@ -1,7 +1,8 @@
 """Data-quality rules as DataFrames of check rows.
 
-Every rule returns (category, check, status, severity, details). Rules over one table share one
-aggregate; nothing is pulled to the driver.
+Every rule returns (category, check, status, severity, details). A rule that rests on sums over a table
+comes in two parts, the aggregates (`..._figures`) and the check on their row, so that an audit works out
+the figures of all rules in one scan. Rules on a key take the rows per key.
 """
 
 from __future__ import annotations
@@ -36,19 +37,32 @@ def _fixed(value: Column, places: int) -> Column:
     return F.format_string(f"%.{places}f", half_up(value, places))
 
 
-def completeness(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    """NULL or blank share per column: none passes, below 5 % warns."""
-    types = df.schema
-    missing = {
-        c: F.count_if(blank(c) if isinstance(types[c].dataType, StringType) else F.col(c).isNull()) for c in columns}
-    counts = df.agg(F.count("*").alias("_rows"), *[n.alias(c) for c, n in missing.items()])
-    cells = counts.unpivot(["_rows"], list(columns), "column", "missing")
-    pct = F.coalesce(percent("missing", "_rows", 2), F.lit(0.0))
+def completeness_figures(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
+    """Aggregates that `completeness_checks` needs, to be worked out with those of other rules."""
+    text = {c for c in columns if isinstance(df.schema[c].dataType, StringType)}
+    missing = {f"missing_{c}": F.count_if(blank(c) if c in text else F.col(c).isNull()) for c in columns}
+    return {"rows": F.count("*"), **missing}
+
+
+def completeness_checks(figures: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
+    listed = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"missing_{c}").alias("missing")) for c in columns])
+    cells = figures.select("rows", F.inline(listed))
+    pct = F.coalesce(percent("missing", "rows", 2), F.lit(0.0))
     status = F.when(pct == 0, "PASS").when(pct < 5, "WARN").otherwise("FAIL")
     severity = F.when(pct == 0, "INFO").when(pct < 5, "MEDIUM").otherwise("HIGH")
     return cells.select(*_check(
         "Completeness", _text(f"{table}.", F.col("column"), " null check"), status, severity,
-        _text(F.col("missing"), "/", F.col("_rows"), " nulls (", pct, "%)")))
+        _text(F.col("missing"), "/", F.col("rows"), " nulls (", pct, "%)")))
+
+
+def completeness(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
+    """NULL or blank share per column: none passes, below 5 % warns."""
+    return completeness_checks(figures_of(df, completeness_figures(df, columns)), table, columns)
+
+
+def figures_of(df: DataFrame, figures: dict[str, Column]) -> DataFrame:
+    """One row with the named aggregates."""
+    return df.agg(*[value.alias(name) for name, value in figures.items()])
 
 
 def uniqueness(df: DataFrame, table: str, column: str) -> DataFrame:
@@ -60,20 +74,26 @@ def uniqueness(df: DataFrame, table: str, column: str) -> DataFrame:
         F.when(F.col("n") > 0, "HIGH").otherwise("INFO"), _text(F.col("n"), " duplicates found")))
 
 
-def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Number of child rows without a parent, as `n`.
+def rows_by_key(child: DataFrame, key: str) -> DataFrame:
+    """(id, n): rows per value of a key, so that a key with a third of all rows goes on as one row."""
+    return child.groupBy(F.col(key).alias("id")).agg(F.count("*").alias("n"))
 
-    Children are counted per key first, so a key with a third of all rows joins as one row. A NULL
-    key has no parent.
-    """
-    keys = child.groupBy(F.col(child_key).alias("_key")).agg(F.count("*").alias("_rows"))
-    lost = keys.join(parent.select(F.col(parent_key).alias("_key")), "_key", "left_anti")
-    return lost.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n"))
+
+def orphans(keys: DataFrame, parent: DataFrame, parent_key: str) -> DataFrame:
+    """Number of child rows without a parent, as `n`, from the rows per key. A NULL key has no parent."""
+    lost = keys.select("id", "n").join(parent.select(F.col(parent_key).alias("id")), "id", "left_anti")
+    return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
 
 
 def referential_integrity(child: DataFrame, child_table: str, child_key: str,
                           parent: DataFrame, parent_table: str, parent_key: str) -> DataFrame:
-    return orphans(child, child_key, parent, parent_key).select(*_check(
+    return references(rows_by_key(child, child_key), child_table, child_key, parent, parent_table, parent_key)
+
+
+def references(keys: DataFrame, child_table: str, child_key: str,
+               parent: DataFrame, parent_table: str, parent_key: str) -> DataFrame:
+    """The check of `referential_integrity` from the rows per key."""
+    return orphans(keys, parent, parent_key).select(*_check(
         "Referential Integrity", f"{child_table}.{child_key} -> {parent_table}.{parent_key}",
         F.when(F.col("n") == 0, "PASS").otherwise("FAIL"),
         F.when(F.col("n") > 0, "CRITICAL").otherwise("INFO"), _text(F.col("n"), " orphan records")))
@@ -107,10 +127,15 @@ def iqr_outliers(df: DataFrame, column: str, name: str, k: float = 1.5) -> DataF
         "Outliers", name, status, F.when(pct > 5, "MEDIUM").otherwise("INFO"), F.coalesce(details, F.lit("no rows"))))
 
 
-def zscore_outliers(df: DataFrame, column: str, name: str, z: float = 3.0) -> DataFrame:
+def zscore_figures(column: str) -> dict[str, Column]:
+    value = F.col(column).cast("double")
+    return {"known": F.count(value), "mean": F.avg(value), "std": F.stddev_pop(value)}
+
+
+def zscore_outliers(df: DataFrame, column: str, name: str, z: float = 3.0, figures: DataFrame | None = None) -> DataFrame:
     """Values more than `z` population deviations from the mean; a constant column has none."""
     value = F.col(column).cast("double")
-    stats = df.agg(F.count(value).alias("rows"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"))
+    stats = figures if figures is not None else figures_of(df, zscore_figures(column))
     mean, std = (stats.select(c).scalar() for c in ("mean", "std"))
     beyond = F.count_if(F.abs(ratio(value - mean, F.nullif(std, F.lit(0.0)))) > z)
     found = df.agg(F.count(value).alias("rows"), mean.alias("mean"), std.alias("std"), beyond.alias("outliers"))
@@ -139,20 +164,27 @@ def hhi(shares: DataFrame, amount: str, name: str) -> DataFrame:
         _text("HHI=", _fixed(F.col("hhi"), 0), " (>2500=concentrated, <1500=diverse)")))
 
 
-def benford(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Largest gap between the first-digit shares of positive values and log10(1 + 1/d)."""
-    digits = df.filter(F.col(column) > 0).select(first_digit(column).alias("digit"))
-    found = digits.agg(F.count("digit").alias("rows"), *[F.count_if(F.col("digit") == d).alias(f"d{d}") for d in range(1, 10)])
-    gaps = [F.abs(ratio(f"d{d}", "rows") - F.log10(F.lit(1 + 1 / d))) for d in range(1, 10)]
-    found = found.select("rows", F.greatest(*gaps).alias("gap"))
-    status = F.when(F.col("rows") == 0, "SKIPPED").when(F.col("gap") < 0.05, "PASS").otherwise("WARN")
+def benford_figures(column: str) -> dict[str, Column]:
+    digit = F.when(F.col(column) > 0, first_digit(column))
+    return {"digits": F.count(digit), **{f"digit_{d}": F.count_if(digit == d) for d in range(1, 10)}}
+
+
+def benford_check(figures: DataFrame, name: str) -> DataFrame:
+    gaps = [F.abs(ratio(f"digit_{d}", "digits") - F.log10(F.lit(1 + 1 / d))) for d in range(1, 10)]
+    found = figures.select("digits", F.greatest(*gaps).alias("gap"))
+    status = F.when(F.col("digits") == 0, "SKIPPED").when(F.col("gap") < 0.05, "PASS").otherwise("WARN")
     details = _text("Max digit deviation=", _fixed(F.col("gap"), 4), " (threshold=0.05)")
     return found.select(*_check("Distribution", name, status, "INFO", F.coalesce(details, F.lit("no rows"))))
 
 
-def date_coverage(sales: DataFrame, dates: DataFrame, name: str = "Sales date coverage") -> DataFrame:
-    """Share of calendar days with sales, above 90 % passes."""
-    covered = sales.select("date_id").distinct().join(dates, "date_id").agg(F.countDistinct("full_date").alias("covered"))
+def benford(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Largest gap between the first-digit shares of positive values and log10(1 + 1/d)."""
+    return benford_check(figures_of(df, benford_figures(column)), name)
+
+
+def date_coverage(sold: DataFrame, dates: DataFrame, name: str = "Sales date coverage") -> DataFrame:
+    """Share of calendar days with sales, above 90 % passes; `sold` has the rows per date id."""
+    covered = sold.join(dates, F.col("id") == F.col("date_id")).agg(F.countDistinct("full_date").alias("covered"))
     found = covered.withColumn("days", dates.agg(F.count("*")).scalar())
     pct = percent("covered", "days")
     return found.select(*_check(
@@ -160,8 +192,9 @@ def date_coverage(sales: DataFrame, dates: DataFrame, name: str = "Sales date co
         _text(F.col("covered"), "/", F.col("days"), " dates covered (", F.coalesce(pct, F.lit(0.0)), "%)")))
 
 
-def weekend_ratio(sales: DataFrame, dates: DataFrame, name: str = "Weekend sales ratio") -> DataFrame:
-    by_date = sales.groupBy("date_id").agg(F.count("*").alias("n")).join(dates.select("date_id", "is_weekend"), "date_id")
+def weekend_ratio(sold: DataFrame, dates: DataFrame, name: str = "Weekend sales ratio") -> DataFrame:
+    """Share of rows on weekends; `sold` has the rows per date id."""
+    by_date = sold.join(dates.select("date_id", "is_weekend"), F.col("id") == F.col("date_id"))
     pct = percent(F.sum(F.when(F.col("is_weekend") == 1, F.col("n")).otherwise(0)), F.sum("n"))
     return by_date.agg(pct.alias("pct")).select(*_check(
         "Temporal", name, F.lit("PASS"), "INFO",
@@ -171,10 +204,15 @@ def weekend_ratio(sales: DataFrame, dates: DataFrame, name: str = "Weekend sales
 def rule(df: DataFrame, name: str, violation: Column, on_fail: str, details: str,
          severity: str | None = None, category: str = "Business Rules") -> DataFrame:
     """Rows that break a rule. Without a fixed `severity` a breach is HIGH and none is INFO."""
-    found = df.agg(F.count_if(violation).alias("n"))
-    level = severity or F.when(F.col("n") > 0, "HIGH").otherwise("INFO")
-    return found.select(*_check(
-        category, name, F.when(F.col("n") == 0, "PASS").otherwise(on_fail), level, _text(F.col("n"), f" {details}")))
+    return rule_check(df.agg(F.count_if(violation).alias("n")), "n", name, on_fail, details, severity, category)
+
+
+def rule_check(figures: DataFrame, broken: str, name: str, on_fail: str, details: str,
+               severity: str | None = None, category: str = "Business Rules") -> DataFrame:
+    """The check of `rule` from a column with the number of rows that break it."""
+    n = F.col(broken)
+    level = severity or F.when(n > 0, "HIGH").otherwise("INFO")
+    return figures.select(*_check(category, name, F.when(n == 0, "PASS").otherwise(on_fail), level, _text(n, f" {details}")))
 
 
 def emails_valid(df: DataFrame, table: str, column: str = "email") -> DataFrame:

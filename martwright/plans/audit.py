@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martwright.functions.numeric import half_up, ratio
 from martwright.operators import quality as q
+from martwright.session import cut
 from martwright.sources.tables import pick
 
 # The columns, keys and measures that the audit covers.
@@ -39,105 +40,195 @@ MEASURES = {
     "fact_sales": ["total_amount", "quantity", "profit", "discount"],
     "fact_user_activity": ["session_duration_sec", "pages_viewed"],
 }
+BENFORD = "Benford's Law compliance (sales amounts)"
+
+# The rules on rows, by table: name, severity of a breach, outcome and wording.
+RULES = {
+    "fact_sales": [
+        ("No negative sale amounts", None, "FAIL", "negative sales found"),
+        ("Positive sale quantities", None, "FAIL", "zero/negative quantities"),
+    ],
+    "dim_products": [("Product margin validation (cost < price)", None, "WARN", "products with cost >= price")],
+    "fact_user_activity": [
+        ("Bounce sessions page view check (<= 3)", "MEDIUM", "WARN", "bounce sessions with >3 pages")],
+}
 
 Tables = Mapping[str, DataFrame]
 
 
+def _broken() -> dict[str, tuple[list[str], list[Column]]]:
+    """By table: the columns that its rules read, and what breaks each rule."""
+    return {
+        "fact_sales": (["total_amount", "quantity"], [F.col("total_amount") < 0, F.col("quantity") <= 0]),
+        "dim_products": (["unit_price", "cost_price"], [F.col("cost_price") >= F.col("unit_price")]),
+        "fact_user_activity": (["bounce", "pages_viewed"], [(F.col("bounce") == 1) & (F.col("pages_viewed") > 3)]),
+    }
+
+
 def _all(checks) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)
 
 
+class Shared:
+    """What the families of one audit have in common, each worked out once and written.
+
+    `figures` has one row per table with the sums that all families ask for, from one scan. `keys` has
+    the rows (and amounts) per value of every foreign key of a table, from one more.
+    """
+
+    def __init__(self, tables: Tables, families: Collection[str]):
+        self.tables, self.families = tables, set(families)
+        self._figures: dict[str, DataFrame] = {}
+        self._keys: dict[str, DataFrame] = {}
+
+    def figures(self, table: str) -> DataFrame:
+        if table not in self._figures:
+            columns: list[str] = []
+            wanted: dict[str, Column] = {}
+            if "completeness" in self.families and table in COMPLETE:
+                columns += COMPLETE[table]
+                wanted |= q.completeness_figures(pick(self.tables, table, *COMPLETE[table]), COMPLETE[table])
+            if "distribution" in self.families and table == "fact_sales":
+                columns.append("total_amount")
+                wanted |= q.benford_figures("total_amount")
+            if "outliers" in self.families and table == "fact_user_activity":
+                columns.append("session_duration_sec")
+                wanted |= q.zscore_figures("session_duration_sec")
+            if "business_rules" in self.families and table in RULES:
+                read, broken = _broken()[table]
+                columns += read
+                wanted |= {f"broken_{i}": F.count_if(violation) for i, violation in enumerate(broken)}
+            rows = pick(self.tables, table, *dict.fromkeys(columns))
+            self._figures[table] = cut(q.figures_of(rows, wanted))
+        return self._figures[table]
+
+    def keys(self, table: str, key: str) -> DataFrame:
+        """(id, n, amount) of one foreign key; the amount only where the table has sales."""
+        if table not in self._keys:
+            names = [k for child, k, _ in FOREIGN_KEYS if child == table]
+            amount = ["total_amount"] if table == "fact_sales" and self.families & {"distribution"} else []
+            cells = pick(self.tables, table, *names, *amount).select(
+                *[F.col(k).cast("bigint").alias(k) for k in names], *amount).unpivot(amount, names, "key", "id")
+            sums = [F.sum(a).alias("amount") for a in amount]
+            self._keys[table] = cut(cells.groupBy("key", "id").agg(F.count("*").alias("n"), *sums))
+        return self._keys[table].filter(F.col("key") == key).drop("key")
+
+
+def _completeness(shared: Shared) -> list[DataFrame]:
+    return [q.completeness_checks(shared.figures(t), t, columns) for t, columns in COMPLETE.items()]
+
+
+def _uniqueness(shared: Shared) -> list[DataFrame]:
+    return [q.uniqueness(pick(shared.tables, t, c), t, c) for t, c in UNIQUE]
+
+
+def _referential_integrity(shared: Shared) -> list[DataFrame]:
+    return [
+        q.references(shared.keys(child, key), child, key, pick(shared.tables, parent, key), parent, key)
+        for child, key, parent in FOREIGN_KEYS]
+
+
+def _outliers(shared: Shared) -> list[DataFrame]:
+    sessions = pick(shared.tables, "fact_user_activity", "session_duration_sec")
+    return [
+        q.iqr_outliers(pick(shared.tables, "fact_sales", "total_amount"), "total_amount", "Sales amount IQR outliers"),
+        q.zscore_outliers(sessions, "session_duration_sec", "Session duration Z-score outliers (|z|>3)",
+                          figures=shared.figures("fact_user_activity")),
+    ]
+
+
+def _category_cv(tables: Tables, by_product: DataFrame) -> DataFrame:
+    products = pick(tables, "dim_products", "product_id", "category")
+    sizes = by_product.join(products, F.col("id") == F.col("product_id")).groupBy("category").agg(F.sum("n").alias("n"))
+    return q.group_cv(sizes, "n", "Category sales distribution (CV)")
+
+
+def _hhi(tables: Tables, by_customer: DataFrame) -> DataFrame:
+    customers = pick(tables, "dim_customers", "customer_id", "country")
+    spent = by_customer.join(customers, F.col("id") == F.col("customer_id")).groupBy("country").agg(F.sum("amount").alias("amount"))
+    return q.hhi(spent, "amount", "Revenue concentration (HHI index)")
+
+
+def _distribution(shared: Shared) -> list[DataFrame]:
+    return [
+        _category_cv(shared.tables, shared.keys("fact_sales", "product_id")),
+        _hhi(shared.tables, shared.keys("fact_sales", "customer_id")),
+        q.benford_check(shared.figures("fact_sales"), BENFORD),
+    ]
+
+
+def _temporal(shared: Shared) -> list[DataFrame]:
+    sold = shared.keys("fact_sales", "date_id")
+    return [
+        q.date_coverage(sold, pick(shared.tables, "dim_date", "date_id", "full_date")),
+        q.weekend_ratio(sold, pick(shared.tables, "dim_date", "date_id", "is_weekend")),
+    ]
+
+
+def _business_rules(shared: Shared) -> list[DataFrame]:
+    return [
+        q.rule_check(shared.figures(table), f"broken_{i}", name, on_fail, details, severity)
+        for table, rules in RULES.items() for i, (name, severity, on_fail, details) in enumerate(rules)]
+
+
+FAMILIES = {
+    "completeness": _completeness,
+    "uniqueness": _uniqueness,
+    "referential_integrity": _referential_integrity,
+    "outliers": _outliers,
+    "distribution": _distribution,
+    "temporal": _temporal,
+    "business_rules": _business_rules,
+}
+
+
+def audit(tables: Tables, families: Collection[str] = tuple(FAMILIES)) -> DataFrame:
+    """All checks of the named families, in their order."""
+    shared = Shared(tables, families)
+    return _all(check for name in FAMILIES if name in families for check in FAMILIES[name](shared))
+
+
 def completeness(tables: Tables) -> DataFrame:
-    return _all(q.completeness(pick(tables, t, *columns), t, columns) for t, columns in COMPLETE.items())
+    return audit(tables, ["completeness"])
 
 
 def uniqueness(tables: Tables) -> DataFrame:
-    return _all(q.uniqueness(pick(tables, t, c), t, c) for t, c in UNIQUE)
+    return audit(tables, ["uniqueness"])
 
 
 def referential_integrity(tables: Tables) -> DataFrame:
-    return _all(
-        q.referential_integrity(pick(tables, child, key), child, key, pick(tables, parent, key), parent, key)
-        for child, key, parent in FOREIGN_KEYS)
+    return audit(tables, ["referential_integrity"])
 
 
 def outliers(tables: Tables) -> DataFrame:
-    sessions = pick(tables, "fact_user_activity", "session_duration_sec")
-    return _all([
-        q.iqr_outliers(pick(tables, "fact_sales", "total_amount"), "total_amount", "Sales amount IQR outliers"),
-        q.zscore_outliers(sessions, "session_duration_sec", "Session duration Z-score outliers (|z|>3)"),
-    ])
-
+    return audit(tables, ["outliers"])
 
-def category_sizes(tables: Tables) -> DataFrame:
-    sold = pick(tables, "fact_sales", "product_id").groupBy("product_id").agg(F.count("*").alias("n"))
-    return sold.join(pick(tables, "dim_products", "product_id", "category"), "product_id").groupBy("category").agg(
-        F.sum("n").alias("n"))
 
-
-def country_revenue(tables: Tables) -> DataFrame:
-    spent = pick(tables, "fact_sales", "customer_id", "total_amount").groupBy("customer_id").agg(
-        F.sum("total_amount").alias("amount"))
-    return spent.join(pick(tables, "dim_customers", "customer_id", "country"), "customer_id").groupBy("country").agg(
-        F.sum("amount").alias("amount"))
+def business_rules(tables: Tables) -> DataFrame:
+    return audit(tables, ["business_rules"])
 
 
 def category_cv(tables: Tables) -> DataFrame:
-    return q.group_cv(category_sizes(tables), "n", "Category sales distribution (CV)")
+    return _category_cv(tables, q.rows_by_key(pick(tables, "fact_sales", "product_id"), "product_id"))
 
 
 def hhi_concentration(tables: Tables) -> DataFrame:
-    return q.hhi(country_revenue(tables), "amount", "Revenue concentration (HHI index)")
+    spent = pick(tables, "fact_sales", "customer_id", "total_amount").groupBy(F.col("customer_id").alias("id"))
+    return _hhi(tables, spent.agg(F.sum("total_amount").alias("amount")))
 
 
 def benford(tables: Tables) -> DataFrame:
-    return q.benford(pick(tables, "fact_sales", "total_amount"), "total_amount", "Benford's Law compliance (sales amounts)")
-
-
-def distribution(tables: Tables) -> DataFrame:
-    return _all([category_cv(tables), hhi_concentration(tables), benford(tables)])
+    return q.benford(pick(tables, "fact_sales", "total_amount"), "total_amount", BENFORD)
 
 
 def date_coverage(tables: Tables) -> DataFrame:
-    return q.date_coverage(pick(tables, "fact_sales", "date_id"), pick(tables, "dim_date", "date_id", "full_date"))
+    sold = q.rows_by_key(pick(tables, "fact_sales", "date_id"), "date_id")
+    return q.date_coverage(sold, pick(tables, "dim_date", "date_id", "full_date"))
 
 
 def weekend_ratio(tables: Tables) -> DataFrame:
-    return q.weekend_ratio(pick(tables, "fact_sales", "date_id"), pick(tables, "dim_date", "date_id", "is_weekend"))
-
-
-def temporal(tables: Tables) -> DataFrame:
-    return _all([date_coverage(tables), weekend_ratio(tables)])
-
-
-def business_rules(tables: Tables) -> DataFrame:
-    sales = pick(tables, "fact_sales", "total_amount", "quantity")
-    products = pick(tables, "dim_products", "unit_price", "cost_price")
-    activity = pick(tables, "fact_user_activity", "bounce", "pages_viewed")
-    return _all([
-        q.rule(sales, "No negative sale amounts", F.col("total_amount") < 0, "FAIL", "negative sales found"),
-        q.rule(sales, "Positive sale quantities", F.col("quantity") <= 0, "FAIL", "zero/negative quantities"),
-        q.rule(products, "Product margin validation (cost < price)", F.col("cost_price") >= F.col("unit_price"), "WARN",
-               "products with cost >= price"),
-        q.rule(activity, "Bounce sessions page view check (<= 3)", (F.col("bounce") == 1) & (F.col("pages_viewed") > 3),
-               "WARN", "bounce sessions with >3 pages", severity="MEDIUM"),
-    ])
-
-
-FAMILIES = {
-    "completeness": completeness,
-    "uniqueness": uniqueness,
-    "referential_integrity": referential_integrity,
-    "outliers": outliers,
-    "distribution": distribution,
-    "temporal": temporal,
-    "business_rules": business_rules,
-}
-
-
-def audit(tables: Tables) -> DataFrame:
-    """All checks in order of the families."""
-    return _all(family(tables) for family in FAMILIES.values())
+    sold = q.rows_by_key(pick(tables, "fact_sales", "date_id"), "date_id")
+    return q.weekend_ratio(sold, pick(tables, "dim_date", "date_id", "is_weekend"))
 
 
 def profiles(tables: Tables) -> DataFrame:
@@ -161,7 +252,7 @@ def post_load_validate(tables: Tables) -> DataFrame:
         "Total revenue": F.col("revenue"),
         "Total profit": F.col("profit"),
         "Orphan sales (should be 0)":
-            q.orphans(pick(tables, "fact_sales", "customer_id"), "customer_id", customer_ids, "customer_id").scalar(),
+            q.orphans(q.rows_by_key(pick(tables, "fact_sales", "customer_id"), "customer_id"), customer_ids, "customer_id").scalar(),
         "Avg session duration": of_activity.select("duration").scalar(),
     }
     listed = F.array(*[

@@ -8,7 +8,7 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 
 from martwright.operators import quality as q
 from martwright.plans import audit
-from martwright.sources import schemas
+from martwright.sources import schemas, star
 from martwright.sources import tables as store
 
 
@@ -154,3 +154,19 @@ def test_summary(spark):
     checks = spark.createDataFrame([("a", "PASS"), ("a", "WARN"), ("b", "PASS")], "category string, status string")
     assert tuple(q.audit_summary(checks).first()) == (3, 2, 1, 0, 66.7)
     assert rows(q.checks_by_category(checks)) == [("a", 2), ("b", 1)]
+
+
+def test_an_audit_reads_each_fact_few_times(spark):
+    """Rules share scans: figures, keys and repeats are one read each; the quartiles take three of one column."""
+    tables, reads = star.Star(spark, "/root/testdata/sf0.001").tables(), []
+
+    def counted(table, source):
+        def read(*columns):
+            reads.append(table)
+            return source(*columns) if callable(source) else source.select(*columns)
+        return read
+
+    checks = audit.audit({t: counted(t, source) for t, source in tables.items()})
+    assert checks.count() == 44
+    # Completeness is picked once more for its types only.
+    assert reads.count("fact_sales") <= 5 and reads.count("fact_user_activity") <= 5
