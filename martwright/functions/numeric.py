@@ -68,5 +68,5 @@ def sale_total(quantity: Column | str, unit_price: Column | str, discount: Colum
 
 def first_digit(value: Column | str) -> Column:
     """First significant digit of a number; NULL when it has none."""
-    digit = F.regexp_extract(F.abs(col(value)).cast("string"), "[1-9]", 0)
-    return F.when(digit != "", digit.cast("int"))
+    digit = F.substring(F.ltrim(F.abs(col(value)).cast("string"), F.lit("0.")), 1, 1)
+    return F.when(digit.between("1", "9"), digit.cast("int"))

@@ -164,9 +164,14 @@ def hhi(shares: DataFrame, amount: str, name: str) -> DataFrame:
         _text("HHI=", _fixed(F.col("hhi"), 0), " (>2500=concentrated, <1500=diverse)")))
 
 
-def benford_figures(column: str) -> dict[str, Column]:
-    digit = F.when(F.col(column) > 0, first_digit(column))
-    return {"digits": F.count(digit), **{f"digit_{d}": F.count_if(digit == d) for d in range(1, 10)}}
+def leading_digit(column: str) -> Column:
+    """First digit of a positive value."""
+    return F.when(F.col(column) > 0, first_digit(column))
+
+
+def benford_figures(digit: str) -> dict[str, Column]:
+    """Counts of a column with `leading_digit`, which is worked out once for all nine of them."""
+    return {"digits": F.count(digit), **{f"digit_{d}": F.count_if(F.col(digit) == d) for d in range(1, 10)}}
 
 
 def benford_check(figures: DataFrame, name: str) -> DataFrame:
@@ -179,7 +184,7 @@ def benford_check(figures: DataFrame, name: str) -> DataFrame:
 
 def benford(df: DataFrame, column: str, name: str) -> DataFrame:
     """Largest gap between the first-digit shares of positive values and log10(1 + 1/d)."""
-    return benford_check(figures_of(df, benford_figures(column)), name)
+    return benford_check(figures_of(df.select(leading_digit(column).alias("digit")), benford_figures("digit")), name)
 
 
 def date_coverage(sold: DataFrame, dates: DataFrame, name: str = "Sales date coverage") -> DataFrame:

@@ -90,7 +90,7 @@ class Shared:
                 wanted |= q.completeness_figures(pick(self.tables, table, *COMPLETE[table]), COMPLETE[table])
             if "distribution" in self.families and table == "fact_sales":
                 columns.append("total_amount")
-                wanted |= q.benford_figures("total_amount")
+                wanted |= q.benford_figures("_digit")
             if "outliers" in self.families and table == "fact_user_activity":
                 columns.append("session_duration_sec")
                 wanted |= q.zscore_figures("session_duration_sec")
@@ -99,6 +99,8 @@ class Shared:
                 columns += read
                 wanted |= {f"broken_{i}": F.count_if(violation) for i, violation in enumerate(broken)}
             rows = pick(self.tables, table, *dict.fromkeys(columns))
+            if "digits" in wanted:
+                rows = rows.withColumn("_digit", q.leading_digit("total_amount"))
             self._figures[table] = cut(q.figures_of(rows, wanted))
         return self._figures[table]
 
