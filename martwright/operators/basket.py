@@ -1,115 +1,84 @@
-"""Product pairs that are bought together, exact and without pairing up huge baskets.
+"""Product pairs that are bought together, exact and without forming pairs that cannot matter.
 
 A basket is what one customer buys on one day. Its lines are first reduced to (basket, product, n);
 a pair then co-occurs n_a * n_b times in it, the number of line pairs.
 
-* Ordinary baskets (up to `wide` products) are joined with themselves: a row meets at most `wide`
-  partners.
-* A wide basket could hold a third of all rows, and its pairs grow with the square. Most of them can
-  never reach the report. The count of a pair over all wide baskets is at most
-  sqrt(w_a * w_b), where w is the sum of n^2 of a product over the wide baskets (Cauchy-Schwarz).
-  A pair that is absent from the ordinary baskets and cannot reach the threshold by that bound is
-  out; a pair that is present there is looked up in the wide baskets one by one.
-
-The threshold is the count of the k-th best pair found so far (at least `min_count`), a true lower
-bound of the k-th best overall; a pair that can at best tie with it stays only if it comes first in
-the report's order. So nothing that belongs into the report is lost to the pruning.
+With w the sum of n^2 of a product over all baskets, the count of a pair is at most sqrt(w_a * w_b)
+(Cauchy-Schwarz). The pairs among the heaviest products give a floor: the `top`-th best of them is a
+true lower bound of the `top`-th best of all. A product whose bound with the heaviest one stays below
+the floor leaves before the join, a pair whose bound does leaves inside it. A pair that can at best tie
+with the floor stays only if it comes first in the report's order.
+
+A basket may own a third of all rows, and its pairs grow with the square. Its products are spread over
+parts, one for every `share` of them, and the other side goes to each part: the share decides how many
+tasks work on a basket and nothing else. Pair counts never carry customers; these are counted
+afterwards, for the pairs of the report alone.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martwright.session import cut
 
 BASKET = ["customer_id", "date_id"]
 PAIR = ["product_id_a", "product_id_b"]
-WIDE = 256  # distinct products from which on a basket counts as wide
-SPLIT = 16  # tasks that share the pairs of one wide basket
+SHARE = 256  # products of a basket that one task pairs with all the others
 
 
-def _pairs(left: DataFrame, right: DataFrame, on: list[str], keep=None) -> DataFrame:
-    """(pair, customer, co) from two sides of the same basket rows."""
-    a = left.withColumnsRenamed({"product_id": "product_id_a", "n": "n_a", "w": "w_a"})
-    b = right.withColumnsRenamed({"product_id": "product_id_b", "n": "n_b", "w": "w_b"})
-    rows = a.join(b, on).filter(F.col("product_id_a") < F.col("product_id_b"))
-    if keep is not None:
-        rows = rows.filter(keep)
-    return rows.select(*PAIR, "customer_id", (F.col("n_a") * F.col("n_b")).alias("co"))
+def _sides(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Basket lines as left and right side of a pair."""
+    return tuple(
+        lines.withColumnsRenamed({c: f"{c}_{side}" for c in ("product_id", "n", "w") if c in lines.columns}) for side in "ab")
 
 
-def _per_customer(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy(*PAIR, "customer_id").agg(F.sum("co").alias("co"))
+def _counted(lines: DataFrame, share: int, keep: Column | None = None) -> DataFrame:
+    """(pair, co_occurrence) of basket lines, of those pairs that `keep` lets through."""
+    widths = lines.groupBy(*BASKET).agg(F.count("*").alias("width")).filter(F.col("width") > share)
+    parts = F.ceil(F.coalesce("width", F.lit(1)) / F.lit(share)).cast("int")
+    spread = lines.join(widths, BASKET, "left").withColumn("parts", parts).drop("width")
+    left, right = _sides(spread)
+    left = left.withColumn("part", F.pmod(F.xxhash64("product_id_a"), F.col("parts")).cast("int")).drop("parts")
+    right = right.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    pairs = left.join(right, [*BASKET, "part"]).filter(F.col("product_id_a") < F.col("product_id_b"))
+    if keep is not None:
+        pairs = pairs.filter(keep)
+    return pairs.groupBy(*PAIR).agg(F.sum(F.col("n_a") * F.col("n_b")).alias("co_occurrence"))
 
 
-def _per_pair(pairs: DataFrame) -> DataFrame:
-    """Pair counts from rows that name each customer of a pair once."""
-    return pairs.groupBy(*PAIR).agg(F.sum("co").alias("co_occurrence"), F.count("*").alias("unique_customers"))
+def _best(pairs: DataFrame, top: int, min_count: int) -> DataFrame:
+    enough = pairs.filter(F.col("co_occurrence") >= min_count)
+    return enough.orderBy(F.desc("co_occurrence"), *PAIR).limit(top)
 
 
-def _kth_best(pairs: DataFrame, top: int, min_count: int) -> tuple[int, int | None]:
-    """Count and first product of the `top`-th best pair; (`min_count`, None) when there are fewer."""
-    best = pairs.orderBy(F.desc("co_occurrence"), *PAIR).limit(top).collect()  # `top` rows, the size of the report
-    if len(best) < top or best[-1].co_occurrence < min_count:
-        return min_count, None
-    return best[-1].co_occurrence, best[-1].product_id_a
+def pair_counts(sales: DataFrame, min_count: int, top: int, share: int = SHARE) -> DataFrame:
+    """The `top` best pairs of at least `min_count`, by count and then product ids:
+    (product_id_a, product_id_b, co_occurrence, unique_customers)."""
+    known = [F.col(c).isNotNull() for c in (*BASKET, "product_id")]
+    lines = sales.filter(known[0] & known[1] & known[2])
+    basket = cut(lines.groupBy(*BASKET, "product_id").agg(F.count("*").alias("n")))
+    weight = cut(basket.groupBy("product_id").agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("w")))
 
+    heaviest = weight.orderBy(F.desc("w"), "product_id").limit(2 * top)  # bounded by the report's size
+    seed = basket.join(F.broadcast(heaviest.select("product_id")), "product_id", "left_semi")
+    seeded = _best(_counted(seed, share), top, min_count).collect()
+    floor, first = (seeded[-1].co_occurrence, seeded[-1].product_id_a) if len(seeded) == top else (min_count, None)
+    square, slack = float(floor) ** 2, 0.5 * floor  # whole numbers: half a count is no pair's distance to the floor
 
-def pair_counts(sales: DataFrame, min_count: int, top: int, wide: int = WIDE) -> DataFrame:
-    """(product_id_a, product_id_b, co_occurrence, unique_customers) of at least `min_count`: a
-    superset of the `top` best pairs in which every listed pair has its full count."""
-    lines = sales.filter(F.col("customer_id").isNotNull() & F.col("date_id").isNotNull())
-    basket = cut(lines.groupBy(*BASKET, "product_id").agg(F.count("*").alias("n")))
-    big = basket.groupBy(*BASKET).agg(F.count("*").alias("width")).filter(F.col("width") > wide).select(*BASKET)
-    if big.isEmpty():
-        return _per_pair(_per_customer(_pairs(basket, basket, BASKET))).filter(F.col("co_occurrence") >= min_count)
-
-    big = cut(big)
-    rest = basket.join(big, BASKET, "left_anti")
-    ordinary = cut(_per_customer(_pairs(rest, rest, BASKET)))
-    counted = _per_pair(ordinary)
-    huge = basket.join(big, BASKET, "left_semi")
-    weight = cut(huge.groupBy("product_id").agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("w")))
-    huge = cut(huge.join(weight, "product_id"))
-
-    # A lower bound of the k-th best: ordinary pairs, and the heaviest products of wide baskets.
-    heaviest = weight.orderBy(F.desc("w"), "product_id").limit(2 * top).select("product_id")
-    seed = huge.join(F.broadcast(heaviest), "product_id", "left_semi")
-    seeded = _per_pair(_per_customer(_pairs(seed, seed, BASKET)))
-    floor, first = max(
-        (_kth_best(pairs, top, min_count) for pairs in (counted, seeded)),
-        key=lambda found: (found[0], found[1] is not None, -(found[1] or 0)))
-    square, slack = float(floor) ** 2, 0.5 * floor
-
-    # Pairs of ordinary baskets that can still reach the floor, looked up in the wide baskets.
-    w_a, w_b = (weight.withColumnsRenamed({"product_id": f"product_id_{s}", "w": f"w_{s}"}) for s in "ab")
-    at_most = F.col("co_occurrence") + F.sqrt(F.coalesce("w_a", F.lit(0.0)) * F.coalesce("w_b", F.lit(0.0)))
-    known = cut(
-        counted.join(w_a, "product_id_a", "left").join(w_b, "product_id_b", "left")
-        .filter(at_most >= F.lit(floor - 0.5)).select(*PAIR))
-    lines_wide = huge.drop("w")
-    looked_up = (
-        known.join(lines_wide.withColumnsRenamed({"product_id": "product_id_a", "n": "n_a"}), "product_id_a")
-        .join(lines_wide.withColumnsRenamed({"product_id": "product_id_b", "n": "n_b"}), [*BASKET, "product_id_b"])
-        .select(*PAIR, "customer_id", (F.col("n_a") * F.col("n_b")).alias("co"))
-    )
-
-    # Pairs that only wide baskets hold and that can still reach the floor. One that can at best tie
-    # with it must come before the k-th pair in the report's order. The products of a basket are
-    # spread over SPLIT tasks on the left, and the right side is sent to all of them.
-    def reaches(bound, first_product):
-        beats = bound > F.lit(square + slack)
+    def reaches(bound: Column, product_a: Column) -> Column:
         ties = bound >= F.lit(square - slack)
-        return ties if first is None else beats | (ties & (first_product <= F.lit(first)))
-
-    heaviest_w = weight.agg(F.max("w")).scalar()
-    part = F.explode(F.sequence(F.lit(0), F.lit(SPLIT - 1))).alias("part")
-    left = huge.filter(reaches(F.col("w") * heaviest_w, F.col("product_id"))).withColumn(
-        "part", F.pmod(F.xxhash64("product_id"), F.lit(SPLIT)).cast("int"))
-    right = huge.filter(F.col("w") * heaviest_w >= F.lit(square - slack)).select("*", part)
-    only_wide = _pairs(left, right, [*BASKET, "part"], reaches(F.col("w_a") * F.col("w_b"), F.col("product_id_a")))
-    only_wide = only_wide.join(ordinary.select(*PAIR).distinct(), PAIR, "left_anti")
-
-    together = ordinary.join(known, PAIR, "left_semi").unionByName(looked_up).unionByName(only_wide)
-    return _per_pair(_per_customer(together)).filter(F.col("co_occurrence") >= min_count)
+        return ties if first is None else (bound > F.lit(square + slack)) | (ties & (product_a <= F.lit(first)))
+
+    peak = weight.agg(F.max("w")).scalar()
+    hopeful = weight.filter(F.col("w") * peak >= F.lit(square - slack))
+    rows = basket.join(hopeful, "product_id")
+    counted = _counted(rows, share, reaches(F.col("w_a") * F.col("w_b"), F.col("product_id_a")))
+    best = cut(_best(counted, top, min_count))
+
+    # Customers of the chosen pairs: for a product of a pair, the baskets' lines of both products meet.
+    chosen = F.broadcast(best.select(*PAIR))  # `top` rows
+    left, right = _sides(basket.drop("n"))
+    who = left.join(chosen, "product_id_a").join(right.join(chosen, "product_id_b"), [*BASKET, *PAIR])
+    customers = who.groupBy(*PAIR).agg(F.countDistinct("customer_id").alias("unique_customers"))
+    return best.join(customers, PAIR)
