@@ -655,6 +655,12 @@ LATEST = """
     SELECT customer_id, max_by(city, (changed_at, o_orderkey)) FILTER (WHERE city IS NOT NULL) AS new_city,
            max_by(age_group, (changed_at, o_orderkey)) FILTER (WHERE age_group IS NOT NULL) AS new_age
     FROM changes GROUP BY customer_id"""
+CHANGES = f"""
+        SELECT customer_id AS record_id, 'UPDATE' AS change_type,
+               concat_ws(',', CASE WHEN city IS DISTINCT FROM old_city THEN 'city' END,
+                         CASE WHEN age_group IS DISTINCT FROM old_age THEN 'age_group' END) AS changed_fields,
+               {json_pairs('old_city', 'old_age')} AS old_values, {json_pairs('city', 'age_group')} AS new_values, moment AS changed_at
+        FROM effective WHERE version > 1"""
 HISTORY_SQL = {
     "scd2_initial_load": star("SELECT * FROM initial", initial=INITIAL),
     "scd2_initial_load_products": star("""
@@ -663,12 +669,9 @@ HISTORY_SQL = {
                1 AS is_current, 1 AS version, 'INSERT' AS change_type
         FROM dim_products"""),
     "scd2_apply_changes": star("SELECT * FROM history", **HISTORY_PARTS),
-    "scd_change_log": star(f"""
-        SELECT customer_id AS record_id, 'UPDATE' AS change_type,
-               concat_ws(',', CASE WHEN city IS DISTINCT FROM old_city THEN 'city' END,
-                         CASE WHEN age_group IS DISTINCT FROM old_age THEN 'age_group' END) AS changed_fields,
-               {json_pairs('old_city', 'old_age')} AS old_values, {json_pairs('city', 'age_group')} AS new_values, moment AS changed_at
-        FROM effective WHERE version > 1""", **HISTORY_PARTS),
+    "scd_change_log": star(CHANGES, **HISTORY_PARTS),
+    "stored_change_log": star(
+        f"SELECT 'dim_customers' AS table_name, * REPLACE (CAST(record_id AS VARCHAR) AS record_id) FROM ({CHANGES})", **HISTORY_PARTS),
     "scd_current": star("SELECT * FROM history WHERE is_current = 1", **HISTORY_PARTS),
     "scd_history": star("SELECT * FROM history WHERE customer_id = 1 ORDER BY version", **HISTORY_PARTS),
     "scd_as_of": star("""
@@ -736,6 +739,7 @@ EVENT_SQL = {
     "stream_events_sink": star(STORED),
     "stream_events_sink_bounded": star(STORED),
     "stream_windows_sink": star(windows_sql("10 minutes")),
+    "stored_stream_windows": star(windows_sql("10 minutes")),
     "stream_lateness": star(f"SELECT count(*) AS processed, count(*) FILTER (WHERE is_late) AS late_events FROM ({LATE.replace('arrival, event_id', 'arrival, CAST(event_id AS VARCHAR)')})"),
 }
 

@@ -159,7 +159,7 @@ SOURCES = (
 
 
 def ingest(spark: SparkSession, landing: str, root: str, sources: Sequence[Source] = SOURCES) -> DataFrame:
-    """Replace each live table by the newest landed file of its source and log the outcome.
+    """Replace each live table by the newest landing run of its source, of one file or many, and log the outcome.
 
     A source that fails is logged with its error and keeps its old table; the others go on.
     """
@@ -168,8 +168,10 @@ def ingest(spark: SparkSession, landing: str, root: str, sources: Sequence[Sourc
         started = dt.datetime.now(dt.timezone.utc)
         status, rows, problem = "SUCCESS", 0, None
         try:
-            raw = store.read_json_landing(spark, f"{landing.rstrip('/')}/{source.files}", source.ddl)
-            table = source.flatten(store.latest_file(raw), started)
+            files = store.latest_run(store.landed_files(spark, f"{landing.rstrip('/')}/{source.files}"))
+            if not files:
+                raise FileNotFoundError(f"nothing landed as {source.files}")
+            table = source.flatten(store.read_json_landing(spark, files, source.ddl), started)
             snapshot = started.strftime("%Y%m%d%H%M%S%f")
             rows = store.write_snapshot(
                 table, root, source.table, snapshot, schemas.names(schemas.LIVE[source.table]))

@@ -13,16 +13,13 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from martwright.operators import scd
-from martwright.plans import advanced, live, load, sales, views
+from martwright.plans import advanced, history, live, load, sales, views
 from martwright.sources import schemas
 from martwright.sources import tables as store
 from martwright.streaming import events as ev
 
 RFM_AS_OF = dt.date(2024, 12, 31)  # fixed value: reference day of recency unless one is given
 
-HISTORY = schemas.STAR["dim_customers"] + (
-    ", effective_from timestamp, effective_to timestamp, is_current int, version int, change_type string")
-
 Tables = Mapping[str, DataFrame]
 
 
@@ -30,7 +27,8 @@ def open_warehouse(spark: SparkSession, root: str) -> Tables:
     """Every table the reports read; those never written are empty."""
     return {
         **store.read_warehouse(spark, root),
-        **store.read_warehouse(spark, root, {"dim_customers_history": HISTORY, "stream_windows": schemas.STREAM_WINDOWS}),
+        **store.read_warehouse(spark, root, {"stream_windows": schemas.STREAM_WINDOWS}),
+        **{f"{table}_history": history.open_history(spark, root, table) for table in schemas.HISTORY},
         **live.read_live(spark, root),
     }
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martwright.operators import cleaning, keyed, quality, scd
-from martwright.plans import advanced, audit, live, load, sales, views
+from martwright.plans import advanced, audit, history, live, load, sales, views
 from martwright.session import scratch_path
 from martwright.sources import schemas
 from martwright.sources import tables as store
@@ -211,10 +211,21 @@ def _history_queries() -> dict[str, Query]:
     def applied(s: Star) -> tuple[DataFrame, DataFrame]:
         return scd.scd2_apply(initial(s), changes(s), "customer_id", tracked, "changed_at", tie_break=["o_orderkey"])
 
+    def stored(s: Star) -> str:
+        """A warehouse that holds the history of customers after all changes."""
+        root, dim = scratch_path(s.spark, "warehouse"), s.customers()
+        history.start(s.spark, root, "dim_customers", dim, start)
+        history.apply(s.spark, root, "dim_customers", changes(s), "customer_id", tracked, "changed_at", ["o_orderkey"],
+                      initial(s).schema)
+        return root
+
+    def versions(s: Star) -> DataFrame:
+        return history.open_history(s.spark, stored(s), "dim_customers", initial(s).schema)
+
     def joined(s: Star) -> DataFrame:
         facts = s.raw("orders").select("o_orderkey", F.col("o_custkey").alias("customer_id"),
                                        F.col("o_orderdate").cast("timestamp").alias("ordered_at"))
-        return scd.scd_join_as_of(facts, applied(s)[0], "customer_id", "ordered_at")
+        return scd.scd_join_as_of(facts, versions(s), "customer_id", "ordered_at")
 
     return {
         "scd2_initial_load": initial,
@@ -222,9 +233,10 @@ def _history_queries() -> dict[str, Query]:
             s.products().withColumns({c: F.col(c).cast("double") for c in ("unit_price", "cost_price")}), start),
         "scd2_apply_changes": lambda s: applied(s)[0],
         "scd_change_log": lambda s: applied(s)[1],
-        "scd_current": lambda s: scd.scd_current(applied(s)[0]),
-        "scd_history": lambda s: scd.scd_history(applied(s)[0], "customer_id", 1),
-        "scd_as_of": lambda s: scd.scd_as_of(applied(s)[0], dt.datetime(1998, 1, 1)),
+        "stored_change_log": lambda s: history.change_log(s.spark, stored(s)),
+        "scd_current": lambda s: scd.scd_current(versions(s)),
+        "scd_history": lambda s: scd.scd_history(versions(s), "customer_id", 1),
+        "scd_as_of": lambda s: scd.scd_as_of(versions(s), dt.datetime(1998, 1, 1)),
         "scd_join_as_of": joined,
         "scd1_apply": lambda s: scd.scd1_apply(s.customers(), changes(s).withColumn(
             "changed_at", F.struct("changed_at", "o_orderkey")), "customer_id", tracked, "changed_at"),
@@ -270,6 +282,13 @@ def _event_queries() -> dict[str, Query]:
         start(stream(s), sink, f"{sink}/checkpoint", *args, **options).awaitTermination()
         return read(s.spark, sink)
 
+    def published(s: Star) -> DataFrame:
+        def read(spark: SparkSession, sink: str) -> DataFrame:
+            run.publish_windows(spark, sink, f"{sink}/warehouse")
+            return store.read_table(spark, f"{sink}/warehouse", "stream_windows", schemas.STREAM_WINDOWS)
+
+        return streamed(s, run.run_windows, read, size="10 minutes", order=order)
+
     return {
         "dedup_events": unique,
         "window_aggregate": windows,
@@ -287,6 +306,7 @@ def _event_queries() -> dict[str, Query]:
         "stream_events_sink": lambda s: streamed(s, run.run_events, run.read_events, order=order),
         "stream_events_sink_bounded": lambda s: streamed(s, run.run_events, run.read_events, order=order),
         "stream_windows_sink": lambda s: streamed(s, run.run_windows, run.read_windows, size="10 minutes", order=order),
+        "stored_stream_windows": published,
         "stream_lateness": lambda s: streamed(s, run.run_lateness, run.read_lateness, order),
     }
 

@@ -118,6 +118,13 @@ STREAM_WINDOWS = (
     "window_start timestamp, total_events bigint, total_revenue double, unique_customers bigint, page_views bigint, "
     "purchases bigint, add_to_cart bigint, searches bigint")
 
+VERSION = "effective_from timestamp, effective_to timestamp, is_current int, version int, change_type string"
+HISTORY = {table: f"{STAR[table]}, {VERSION}" for table in ("dim_customers", "dim_products")}
+CHANGE_LOG = (
+    "table_name string, record_id string, change_type string, changed_fields string, old_values string, "
+    "new_values string, changed_at timestamp")
+LATE_CHANGES = "table_name string, record_id string, given_values string, changed_at timestamp"
+
 QUALITY_REPORT = (
     "audit_timestamp string, total_checks bigint, passed bigint, warnings bigint, failures bigint, "
     "checks array<struct<timestamp:string,category:string,check:string,status:string,severity:string,details:string>>, "

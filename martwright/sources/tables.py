@@ -8,10 +8,12 @@ failed one leaves no trace, and several tables commit together.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from martwright.sources import schemas
 
@@ -36,7 +38,7 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(context._jsc.hadoopConfiguration()).exists(where)
 
 
-def read_parquet(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+def read_parquet(spark: SparkSession, path: str, ddl: str | StructType) -> DataFrame:
     """A Parquet folder of a declared type; an empty frame when nothing was written there yet."""
     if exists(spark, path):
         return spark.read.schema(ddl).parquet(path)
@@ -71,13 +73,32 @@ def read_json_landing(spark: SparkSession, path: str | list[str], ddl: str) -> D
     return spark.read.schema(ddl).option("multiLine", True).json(path).withColumn("_file", F.input_file_name())
 
 
-def latest_file(df: DataFrame) -> DataFrame:
-    """Rows of the file whose name sorts last (file names carry their time stamp)."""
-    return df.filter(F.col("_file") == df.agg(F.max("_file")).scalar())
+def landed_files(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that a pattern of landing files names, in order; none when there are none."""
+    context = spark.sparkContext
+    where = context._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = where.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(where)
+    return sorted(status.getPath().toString() for status in found or [])
+
+
+def latest_run(files: Sequence[str]) -> list[str]:
+    """The files of the newest landing run.
+
+    A run is named by the time stamp in its files' names (`weather_20240101_120000.json`); what follows
+    the stamp tells the files of one run apart (`..._120000_part2.json`). A name without stamp is a run.
+    """
+    def run(file: str) -> str:
+        stamp = re.search(r"\d{8}_\d{6}", name := file.rsplit("/", 1)[-1])
+        return stamp.group() if stamp else name
+
+    newest = max(map(run, files), default=None)
+    return [file for file in files if run(file) == newest]
 
 
 def read_quality_reports(spark: SparkSession, folder: str) -> DataFrame:
-    return latest_file(read_json_landing(spark, folder, schemas.QUALITY_REPORT))
+    """The newest report of a folder of reports, by file name."""
+    df = read_json_landing(spark, folder, schemas.QUALITY_REPORT)
+    return df.filter(F.col("_file") == df.agg(F.max("_file")).scalar())
 
 
 def read_lineage(spark: SparkSession, path: str) -> DataFrame:
@@ -125,7 +146,7 @@ def current_snapshot(spark: SparkSession, root: str, table: str) -> str | None:
     return mine.agg(F.max_by("snapshot", "committed_at").alias("snapshot")).first().snapshot
 
 
-def read_table(spark: SparkSession, root: str, table: str, ddl: str) -> DataFrame:
+def read_table(spark: SparkSession, root: str, table: str, ddl: str | StructType) -> DataFrame:
     """The committed rows of a table; an empty frame of the declared type when there are none."""
     snapshot = current_snapshot(spark, root, table)
     if snapshot is None:
@@ -133,6 +154,14 @@ def read_table(spark: SparkSession, root: str, table: str, ddl: str) -> DataFram
     return read_parquet(spark, snapshot_path(root, table, snapshot), ddl)
 
 
+def read_all(spark: SparkSession, root: str, table: str, ddl: str) -> DataFrame:
+    """The rows of all committed snapshots of a table whose snapshots add to one another."""
+    commits = read_parquet(spark, f"{root.rstrip('/')}/{COMMITS}", COMMIT_SCHEMA)
+    mine = commits.filter(F.array_contains("tables", table)).select("snapshot").distinct().collect()  # one row per batch
+    paths = [snapshot_path(root, table, row.snapshot) for row in mine]
+    return spark.read.schema(ddl).parquet(*paths) if paths else spark.createDataFrame([], ddl)
+
+
 def read_warehouse(spark: SparkSession, root: str, ddls: Mapping[str, str] = schemas.STAR) -> dict[str, DataFrame]:
     return {table: read_table(spark, root, table, ddl) for table, ddl in ddls.items()}
 

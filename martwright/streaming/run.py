@@ -7,6 +7,7 @@ the folders: window cells and lateness by their sums. No run keeps state in the
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martwright.sources import schemas
+from martwright.sources import tables as store
 from martwright.sources.tables import read_parquet
 from martwright.streaming import events as ev
 
@@ -108,6 +110,17 @@ def read_windows(spark: SparkSession, sink: str) -> DataFrame:
     return ev.window_summary(read_cells(spark, sink))
 
 
+def publish_windows(spark: SparkSession, sink: str, root: str) -> int:
+    """Commit the windows as they stand to the warehouse table `stream_windows`; returns their number.
+
+    Run it after any batch: the reports read the committed table, whole and of one moment.
+    """
+    snapshot = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
+    rows = store.write_snapshot(read_windows(spark, sink), root, "stream_windows", snapshot, schemas.names(schemas.STREAM_WINDOWS))
+    store.commit(spark, root, snapshot, ["stream_windows"])
+    return rows
+
+
 def read_lateness(spark: SparkSession, sink: str) -> DataFrame:
     return read_parquet(spark, f"{sink.rstrip('/')}/lateness", LATENESS + ", batch bigint").agg(
         F.coalesce(F.sum("processed"), F.lit(0)).alias("processed"),

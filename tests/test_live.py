@@ -114,3 +114,14 @@ def test_lineage(spark, tmp_path):
     (tmp_path / "lineage.json").write_text(json.dumps({"dag_id": "d", "lineage": [task, {**task, "task_id": "t2", "status": "failed", "duration_sec": None, "error": "boom"}]}, indent=2))
     got = rows(live.lineage_summary(store.read_lineage(spark, str(tmp_path / "lineage.json"))))
     assert got == [("t1", "x", "success", 1, 0.5, None), ("t2", "x", "failed", 1, 0.0, "boom")]
+
+
+def test_a_run_may_land_in_several_files(spark, tmp_path):
+    for name, code in {"20240501_120000": "OLD", "20240502_120000_part1": "EUR", "20240502_120000_part2": "GBP"}.items():
+        doc = {"amount": 1.0, "base": "USD", "date": "2024-05-02", "rates": {code: 0.9}}
+        (tmp_path / f"exchange_rates_{name}.json").write_text(json.dumps(doc))
+    log = live.ingest(spark, str(tmp_path), str(tmp_path / "w")).collect()
+    assert {r.source: (r.status, r.records_count) for r in log}["Frankfurter"] == ("SUCCESS", 2)
+    assert {r.status for r in log if r.source != "Frankfurter"} == {"FAILED"}  # nothing landed
+    rates = live.read_live(spark, str(tmp_path / "w"))["api_exchange_rates"]
+    assert sorted(r.target_currency for r in rates.collect()) == ["EUR", "GBP"]

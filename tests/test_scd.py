@@ -6,6 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from martwright.operators import scd
+from martwright.plans import history as stored
 
 TRACKED = ["city", "country"]
 T0 = dt.datetime(2024, 1, 1)
@@ -148,3 +149,28 @@ def test_late_changes_are_named_and_replays_are_not(spark, history):
     again = changes(spark, late + [(1, "Lyon", None, day(60)), (2, "Oslo", "NO", day(31)), (3, "Kiel", None, day(90))])
     found = scd.scd2_late(after, again, "customer_id", TRACKED, "changed_at")
     assert rows(found) == sorted(late[:2], key=repr)
+
+
+def test_stored_history(spark, tmp_path):
+    """Batches add versions, log entries and late changes; a repeated batch adds none."""
+    root, day = str(tmp_path), lambda m: dt.datetime(2024, m, 1)
+    ddl = "id int, city string"
+    stored.start(spark, root, "dim_x", spark.createDataFrame([(1, "a"), (2, "b")], ddl), day(1))
+    schema = scd.scd2_init(spark.createDataFrame([], ddl), day(1)).schema
+
+    def apply(*rows):
+        changes = spark.createDataFrame(rows, "id int, city string, at timestamp")
+        return stored.apply(spark, root, "dim_x", changes, "id", ["city"], "at", ddl=schema)
+
+    assert apply((1, "c", day(3)), (2, "b", day(3))) == 1
+    assert apply((1, "c", day(3))) == 0 and stored.late_changes(spark, root).count() == 0
+    assert apply((1, "d", day(2)), (2, "e", day(4))) == 1
+    versions = stored.open_history(spark, root, "dim_x", schema).orderBy("id", "version").collect()
+    assert [(r.id, r.city, r.version, r.is_current) for r in versions] == [
+        (1, "a", 1, 0), (1, "c", 2, 1), (2, "b", 1, 0), (2, "e", 2, 1)]
+    log = stored.change_log(spark, root).orderBy("record_id").collect()
+    assert [(r.table_name, r.record_id, r.new_values) for r in log] == [
+        ("dim_x", "1", '{"city":"c"}'), ("dim_x", "2", '{"city":"e"}')]
+    late = stored.late_changes(spark, root).collect()
+    assert [(r.record_id, r.given_values, r.changed_at) for r in late] == [("1", '{"city":"d"}', day(2))]
+    assert stored.open_history(spark, root, "dim_customers").count() == 0
