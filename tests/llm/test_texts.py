@@ -320,6 +320,55 @@ def test_leaks_are_found_and_nothing_else(spark):
     assert decontaminate.find_leaks(df.limit(0), bench).count() == 0
 
 
+def brute_leaks(docs, items):
+    """(document, item) by the longest common subsequence of every stretch and passage."""
+    passages, found = decontaminate.Passages(items), set()
+    for d, text in enumerate(docs):
+        words, _ = decontaminate.plain_words([text])
+        known = np.concatenate(([0], np.cumsum(np.isin(passages.flat, words))))
+        for k in np.flatnonzero(known[passages.ends] - known[passages.begins] >= 0.8 * np.subtract(passages.ends, passages.begins)):
+            target, answer = passages.words(k), passages.answer[k]
+            length = -(-(len(target) + 8) // 16) * 16
+            for start in range(0, len(words), 8):
+                stretch = words[max(0, start - 8):start + length + 8]
+                if decontaminate.common(target, stretch) >= 0.8 * len(target) and (
+                        not answer or decontaminate.common(target[-answer:], stretch) >= int(0.8 * answer)):
+                    found.add((d, passages.item[k]))
+    return found
+
+
+def found_leaks(spark, docs, items):
+    df = table(spark, docs).repartition(3)
+    rows = decontaminate.find_leaks(df, spark.createDataFrame(items, "item_id long, text string")).collect()
+    return {(r.doc_id, x.item_id) for r in rows for x in r.leaks}
+
+
+def reworded(rng, text, share, word):
+    """`text` with so many of its words changed, the last three left."""
+    own = text.split()
+    for i in rng.sample(range(len(own) - 3), int(share * len(own))):
+        own[i] = word()
+    return own
+
+
+@pytest.mark.parametrize("meetings", [decontaminate.MEETINGS, 100])
+def test_leaks_of_many_items_are_the_brute_force_ones(spark, monkeypatch, meetings):
+    monkeypatch.setattr(decontaminate, "MEETINGS", meetings)
+    rng = random.Random(9)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(3000)]
+    word = lambda: vocabulary[int(3000 * rng.random() ** 3)]
+    prose = lambda n: [word() for _ in range(n)]
+    items = [(k, " ".join(prose(rng.randint(9, 60))) + ". " + " ".join(prose(3))) for k in range(1200)]
+    docs = []
+    for d in range(150):
+        body = prose(rng.choice([0, 5, 60]))
+        body[len(body) // 2:len(body) // 2] = reworded(rng, items[d * 8][1], rng.choice([0, 0.1, 0.2, 0.22]), word)
+        docs.append(" ".join(body))
+    wanted = brute_leaks(docs, items)
+    assert len(wanted) > 100
+    assert found_leaks(spark, docs, items) == wanted
+
+
 def test_a_benchmark_in_parts_gives_the_same(spark, monkeypatch):
     bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     docs = documents(spark).select("doc_id", "text")
