@@ -369,6 +369,25 @@ def test_leaks_of_many_items_are_the_brute_force_ones(spark, monkeypatch, meetin
     assert found_leaks(spark, docs, items) == wanted
 
 
+def test_leaks_do_not_depend_on_the_size_of_the_corpus(spark):
+    rng = random.Random(10)
+    steady = ["".join(rng.choice("abcde") for _ in range(4)) for _ in range(80)]
+    other = lambda: "".join(rng.choice("fghij") for _ in range(8))
+    items = [(k, " ".join(rng.choice(steady) for _ in range(40)) + ".") for k in range(30)]
+    docs = []
+    for d in range(40):
+        own = [other() for _ in range(30)]
+        own[15:15] = reworded(rng, items[d % 30][1], 0.19, other)
+        docs.append(" ".join(own))
+    wanted = brute_leaks(docs, items)
+    assert len(wanted) > 30
+    # More documents, in which the words of the benchmark stay as frequent as they were.
+    more = [" ".join([*rng.sample(steady, 60), *(other() for _ in range(20))]) for _ in range(4000)]
+    assert found_leaks(spark, docs, items) == wanted
+    found = found_leaks(spark, docs + more, items)
+    assert {(d, k) for d, k in found if d < len(docs)} == wanted
+
+
 def test_a_benchmark_in_parts_gives_the_same(spark, monkeypatch):
     bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     docs = documents(spark).select("doc_id", "text")
