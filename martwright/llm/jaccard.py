@@ -18,6 +18,7 @@ Tokens are 64-bit hashes of shingles; classes are told apart by 128-bit digests
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -68,8 +69,11 @@ def digest(tokens: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(tokens.tobytes())
 
 
-def _sketches(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """One row for each chunk of documents: chunk, ids, sizes, digests, leading tokens under the order of hashes."""
+def _sketches(df: DataFrame, doc_id: str, text: str, bodies: bool = False) -> DataFrame:
+    """One row for each chunk of documents: chunk, ids, sizes, digests, leading tokens under the order of hashes.
+
+    If `bodies` is set, also the MD5 of each text.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -81,14 +85,16 @@ def _sketches(df: DataFrame, doc_id: str, text: str) -> DataFrame:
                 digests.append(digest(tokens) if len(tokens) else b"")
                 heads.append(tokens[:leading(len(tokens))] if len(tokens) else tokens)
             ids = part.column(0)
+            more = [pa.array([[hashlib.md5(t).digest() for t in texts]], pa.list_(pa.binary()))] if bodies else []
             yield pa.RecordBatch.from_arrays(
                 [pa.array([number], pa.int64()), pa.array([ids.to_pylist()], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32())),
-                 pa.array([digests], pa.list_(pa.binary())), lists(np.concatenate(heads).view(np.int64), np.array([sum(map(len, heads))]), pa.int64())],
-                names=["chunk", "ids", "sizes", "digests", "heads"])
+                 pa.array([digests], pa.list_(pa.binary())), lists(np.concatenate(heads).view(np.int64), np.array([sum(map(len, heads))]), pa.int64()), *more],
+                names=["chunk", "ids", "sizes", "digests", "heads", *["bodies"] * bodies])
             number += 1
 
     read = df.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias(text))
-    return cut(read.mapInArrow(run, "chunk long, ids array<long>, sizes array<int>, digests array<binary>, heads array<long>"))
+    kind = "chunk long, ids array<long>, sizes array<int>, digests array<binary>, heads array<long>"
+    return cut(read.mapInArrow(run, kind + ", bodies array<binary>" * bodies))
 
 
 def _flat(column: pa.Array, row: int) -> np.ndarray:
@@ -274,17 +280,13 @@ def _links(classes: DataFrame, families: DataFrame) -> DataFrame:
     return cut(placed.groupBy("place", "alone", "a", "b").applyInArrow(compare, "cls long, root long, links long"))
 
 
-def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each row of `df`: doc_id, n_shingles, component_id, n_links.
-
-    A row's set holds the distinct shingles of five words of its text; with fewer words the whole
-    sequence. Null texts and texts without words have an empty set, link with nothing and are their own
-    component. component_id is the smallest doc_id that links lead to; null ids do not count. n_links
-    is the number of other rows with a linked set; rows with equal sets link. Ids are long integers.
-    """
-    chunks = _sketches(df, doc_id, text)
-    docs = chunks.select("chunk", F.posexplode(F.arrays_zip("ids", "sizes", "digests")).alias("place", "d")).select(
-        "chunk", "place", F.col("d.ids").alias("doc_id"), F.col("d.sizes").alias("n"), F.col("d.digests").alias("digest"))
+def _labelled(df: DataFrame, doc_id: str, text: str, bodies: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The rows with a set: doc_id, n, label (equal in a component), n_links, if asked for body, the text's MD5; and all rows."""
+    chunks = _sketches(df, doc_id, text, bodies)
+    lists_of_rows = ["ids", "sizes", "digests", *["bodies"] * bodies]
+    docs = chunks.select("chunk", F.posexplode(F.arrays_zip(*lists_of_rows)).alias("place", "d")).select(
+        "chunk", "place", F.col("d.ids").alias("doc_id"), F.col("d.sizes").alias("n"), F.col("d.digests").alias("digest"), *[F.col("d.bodies").alias("body")] * bodies)
+    more = ["body"] * bodies
     filled = docs.filter("n > 0")
     # A class is looked at where its first copy is.
     first = filled.groupBy("digest").agg(F.min(F.struct("chunk", "place", "doc_id", "n")).alias("f"), F.count("*").alias("copies"))
@@ -301,7 +303,19 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     label = F.coalesce(F.col("root"), F.col("cls")).cast("string")
     groups = first.select("digest", "copies").join(named.select("digest", label.alias("label"), "links"), "digest", "left")
     groups = groups.select("digest", F.coalesce("label", F.hex("digest")).alias("label"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    labelled = cut(filled.select("doc_id", "n", "digest").join(groups, "digest").select("doc_id", "n", "label", "n_links"))
+    labelled = cut(filled.select("doc_id", "n", "digest", *more).join(groups, "digest").select("doc_id", "n", "label", "n_links", *more))
+    return labelled, docs
+
+
+def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row for each row of `df`: doc_id, n_shingles, component_id, n_links.
+
+    A row's set holds the distinct shingles of five words of its text; with fewer words the whole
+    sequence. Null texts and texts without words have an empty set, link with nothing and are their own
+    component. component_id is the smallest doc_id that links lead to; null ids do not count. n_links
+    is the number of other rows with a linked set; rows with equal sets link. Ids are long integers.
+    """
+    labelled, docs = _labelled(df, doc_id, text)
     # Written, so that the join deals both sides anew and Spark can split a label with many rows.
     least = cut(labelled.groupBy("label").agg(F.min("doc_id").alias("component_id")))
     full = labelled.join(least, "label").select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "n_links")
@@ -310,7 +324,19 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 
 
 def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `df` whose id is the smallest of their component; rows without an id stay."""
-    found = near_duplicates(df, doc_id, text)
-    others = found.filter(F.col("doc_id") > F.col("component_id")).select(F.col("doc_id").alias("_dropped")).distinct()
-    return df.join(others, F.col(doc_id).cast("long") == F.col("_dropped"), "left_anti")
+    """The rows of `df` whose id is the smallest of their component; rows without an id or a set stay.
+
+    If rows of a component share that id, one of them stays. A row goes by its id and text, so one that
+    shares no more than its id with another stays when that one goes.
+    """
+    rows = _labelled(df, doc_id, text, bodies=True)[0].filter("doc_id IS NOT NULL").select("label", F.struct("doc_id", "body").alias("key"))
+    first = cut(rows.groupBy("label").agg(F.min("key").alias("first")))
+    others = rows.join(first, "label").filter("key != first").select("key").distinct()
+    keyed = df.withColumn("_key", F.struct(F.col(doc_id).cast("long").alias("doc_id"), F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))).alias("body")))
+    same = lambda keys: (F.col("_key.doc_id") == keys["key.doc_id"]) & (F.col("_key.body") == keys["key.body"])
+    left = keyed.join(others, same(others), "left_anti")
+    repeated = cut(rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"))
+    if not repeated.isEmpty():  # rows with equal id and text
+        once = left.join(repeated, same(repeated), "left_semi").dropDuplicates(["_key"])
+        left = left.join(repeated, same(repeated), "left_anti").unionByName(once)
+    return left.drop("_key")

@@ -260,6 +260,17 @@ def test_links_of_odd_rows(spark):
     assert jaccard.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_one_of_each_with_repeated_ids(spark):
+    base, clean = [f"w{i}" for i in range(60)], " ".join(f"c{i}" for i in range(40))
+    near = lambda k: " ".join([*base[:-1], f"x{k}"])
+    rows = [(1, near(1)), (2, near(2)), (2, clean),  # the near copy of id 2 goes, the other text of id 2 stays
+            (3, clean.upper() + " end"), (7, "a b c d e f g"), (7, "A b c d e f g"), (8, "z y x"), (8, "z y x"), (9, ""), (9, None), (None, near(3))]
+    left = [tuple(r) for r in jaccard.one_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()]
+    wanted = [(1, near(1)), (2, clean), (8, "z y x"), (9, ""), (9, None), (None, near(3))]
+    assert sorted((r for r in left if r[0] != 7), key=str) == sorted(wanted, key=str)
+    assert len([r for r in left if r[0] == 7]) == 1
+
+
 def test_components(spark):
     rng = random.Random(6)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1100)] + [(7, 7)]
