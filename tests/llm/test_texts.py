@@ -399,6 +399,14 @@ def test_leaks_do_not_depend_on_the_size_of_the_corpus(spark):
     assert {(d, k) for d, k in found if d < len(docs)} == wanted
 
 
+@pytest.mark.parametrize("n", [65, 100, 200, 203])
+def test_a_run_of_a_long_item_has_enough_of_a_passage(n):
+    passages = decontaminate.Passages([(1, " ".join(f"w{i}" for i in range(n)))])
+    words, run = passages.flat, decontaminate.needed(decontaminate.PASSAGE)
+    for start in range(n - run + 1):
+        assert any(decontaminate.common(passages.words(k), words[start:start + run]) >= decontaminate.needed(len(passages.words(k))) for k in range(len(passages)))
+
+
 def test_a_benchmark_in_parts_gives_the_same(spark, monkeypatch):
     bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     docs = documents(spark).select("doc_id", "text")
