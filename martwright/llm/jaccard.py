@@ -6,8 +6,8 @@ Two sets with similarity of at least `PERCENT` share at least l tokens among the
 1. under the order of hashes, sets whose leading tokens are too seldom shared with any other set
    have no partner and drop out (most do);
 2. of what is left, sets meet that share one of their leading tokens under the order of rarity;
-3. pairs that met must also share a leading token under the order of hashes and under a third
-   order; what passes all is verified on whole sets.
+3. pairs must also share a leading token under the order of hashes and under a third order; if any
+   pair of a block does, the whole sets of the block are counted and those pairs verified.
 
 Equal sets are one class from the start. Sets that meet, directly or by way of others, form a family,
 and a family is compared in square blocks of classes, so pairs are never rows and no task holds more
