@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.llm import bpe, chat, counts, decontaminate, exact, jaccard, langid, lm, tokenfiles, urls
+from martwright.llm import bpe, chat, counts, decontaminate, exact, jaccard, langid, lm, merkle, tokenfiles, urls
 from martwright.llm.shipping import ship
 
 BYTE_RANKS, WORD_MODEL, PIECE_MODEL = "byte_bpe_multi_50k.tiktoken", "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -80,7 +80,18 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, merkle.digest_of("doc_id", "source", "lang", "n_chars", lower))
+    rows = merkle.manifest(_table(spark, folder, "documents"), fields, "lang", "doc_id", {"doc_id": F.col("doc_id"), "tampered": tampered})
+    rows = rows.withColumn("folded_root", merkle.folded(F.coalesce("tampered", "leaf"), F.col("proof")))
+    return rows.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_bpe, op2_token_files, op3_chat_format, op4_decontaminate, op5_lm_score, op6_language, op7_exact_dedup, op8_jaccard_join,
-        op9_token_counts, op10_url_filter)}
+        op9_token_counts, op10_url_filter, op11_manifest)}

@@ -65,6 +65,54 @@ SELECT s.page_id, s.host, s.path, k.rule, coalesce(k.verdict, 'allow') AS verdic
 FROM split s LEFT JOIN ranked k ON k.page_id = s.page_id AND k.k = 1
 """
 
+_MERKLE_LEAF = "sha256(" + " || ".join(
+    f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+
+MANIFEST = rf"""
+WITH RECURSIVE table_of AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c FROM range(256) r(i))),
+crc AS (
+  SELECT doc_id, xor(4294967295, list_reduce(
+    list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295)) AS crc FROM documents, table_of),
+leaves AS (
+  SELECT d.doc_id, lang, {_MERKLE_LEAF.format(text="text")} AS leaf,
+         CASE WHEN crc % 3 = 0 THEN {_MERKLE_LEAF.format(text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS tampered
+  FROM documents d JOIN crc USING (doc_id)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST) - 1 AS pos, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree
+  FROM leaves),
+nodes(tree, level, pos, digest, n) AS (
+  SELECT tree, 0, pos, leaf, count(*) OVER (PARTITION BY tree) FROM placed
+  UNION ALL
+  SELECT tree, level + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)), (max(n) + 7) // 8
+  FROM nodes WHERE n > 1 GROUP BY tree, level, pos // 8),
+subroots AS (SELECT tree, digest AS subroot, level AS top FROM nodes WHERE n = 1),
+uppers(level, pos, digest, n) AS (
+  SELECT 0, tree, subroot, (SELECT count(*) FROM subroots) FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)), (max(n) + 7) // 8 FROM uppers WHERE n > 1 GROUP BY level, pos // 8),
+siblings AS (
+  SELECT p.doc_id, n.level, string_agg(n.digest, '' ORDER BY n.pos) FILTER (n.pos < p.pos // (8 ** n.level)::BIGINT) AS l,
+         string_agg(n.digest, '' ORDER BY n.pos) FILTER (n.pos > p.pos // (8 ** n.level)::BIGINT) AS r
+  FROM placed p JOIN nodes n ON n.tree = p.tree AND n.n > 1 AND n.pos // 8 = p.pos // (8 ** (n.level + 1))::BIGINT GROUP BY 1, 2
+  UNION ALL
+  SELECT p.doc_id, s.top + n.level, string_agg(n.digest, '' ORDER BY n.pos) FILTER (n.pos < p.tree // (8 ** n.level)::BIGINT),
+         string_agg(n.digest, '' ORDER BY n.pos) FILTER (n.pos > p.tree // (8 ** n.level)::BIGINT)
+  FROM placed p JOIN subroots s USING (tree) JOIN uppers n ON n.n > 1 AND n.pos // 8 = p.tree // (8 ** (n.level + 1))::BIGINT GROUP BY 1, 2),
+folds(doc_id, level, digest) AS (
+  SELECT doc_id, 0, coalesce(tampered, leaf) FROM placed
+  UNION ALL
+  SELECT f.doc_id, f.level + 1, sha256(coalesce(l, '') || f.digest || coalesce(r, '')) FROM folds f JOIN siblings s USING (doc_id, level)),
+proofs AS (SELECT doc_id, string_agg(coalesce(l, '') || coalesce(r, ''), '' ORDER BY level) AS proof FROM siblings GROUP BY doc_id),
+last_folds AS (SELECT doc_id, arg_max(digest, level) AS folded_root FROM folds GROUP BY doc_id),
+whole AS (SELECT digest AS root FROM uppers WHERE n = 1)
+SELECT p.doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM placed p JOIN subroots USING (tree) JOIN last_folds USING (doc_id) LEFT JOIN proofs USING (doc_id), whole
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_format": CHAT, "op7_exact_dedup": EXACT, "op8_jaccard_join": JACCARD, "op10_url_filter": URLS}
+    return {"op3_chat_format": CHAT, "op7_exact_dedup": EXACT, "op8_jaccard_join": JACCARD, "op10_url_filter": URLS,
+            "op11_manifest": MANIFEST}
