@@ -112,7 +112,35 @@ SELECT p.doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha25
 FROM placed p JOIN subroots USING (tree) JOIN last_folds USING (doc_id) LEFT JOIN proofs USING (doc_id), whole
 """
 
+DIVERGENCE = rf"""
+WITH docs AS (SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_LOWER} AS text FROM documents),
+words AS (SELECT doc, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS total FROM words GROUP BY lang, term HAVING count(DISTINCT doc) >= 10),
+of_lang AS (SELECT lang, count(*) AS v, sum(total) AS total FROM kept GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY ALL),
+sums AS (SELECT lang, source, sum(n) AS total FROM counts GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+shares AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n,
+         1 + 1000000000::HUGEINT * (coalesce(n, 0) + 2) // (coalesce(s.total, 0) + 2 * v)::HUGEINT AS p,
+         1 + 1000000000::HUGEINT * (k.total + 2) // (l.total + 2 * v)::HUGEINT AS q
+  FROM groups JOIN kept k USING (lang) JOIN of_lang l USING (lang) LEFT JOIN sums s USING (lang, source) LEFT JOIN counts USING (lang, source, term)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item,
+         coalesce(CAST(sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS BIGINT), 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY ALL),
+terms AS (SELECT lang, source, term AS item, CAST((p - q) * (p - q) // (p + q) AS BIGINT) AS value FROM shares WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value,
+       CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM pairs
+UNION ALL
+SELECT lang, source, 'term', item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM terms QUALIFY rank <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {"op3_chat_format": CHAT, "op7_exact_dedup": EXACT, "op8_jaccard_join": JACCARD, "op10_url_filter": URLS,
-            "op11_manifest": MANIFEST}
+            "op11_manifest": MANIFEST, "op12_divergence": DIVERGENCE}
