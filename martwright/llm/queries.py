@@ -8,13 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.llm import bpe, chat, counts, decontaminate, divergence, exact, jaccard, langid, lm, merkle, tokenfiles, urls
+from martwright.llm import bpe, chat, counts, decontaminate, divergence, exact, jaccard, langid, lm, merkle, neighbours, tokenfiles, urls
 from martwright.llm.shipping import ship
 
 BYTE_RANKS, WORD_MODEL, PIECE_MODEL = "byte_bpe_multi_50k.tiktoken", "word_bpe_49k.json", "piece_bpe_32k.model"
 END_ID = 2
 TOKEN_LIMIT = 4096
-KEPT_FROM, BEST_TERMS = 10, 10  # documents of a language that a term is in; terms of a source
+KEPT_FROM, BEST_TERMS, NEAREST = 10, 10, 20  # documents of a language that a term is in; terms of a source; neighbours
 URL_RULES = [
     ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
@@ -96,7 +96,11 @@ def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.divergence(_table(spark, folder, "documents").select("lang", "source", "text"), KEPT_FROM, BEST_TERMS)
 
 
+def op13_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, folder, "embeddings"), NEAREST)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_bpe, op2_token_files, op3_chat_format, op4_decontaminate, op5_lm_score, op6_language, op7_exact_dedup, op8_jaccard_join,
-        op9_token_counts, op10_url_filter, op11_manifest, op12_divergence)}
+        op9_token_counts, op10_url_filter, op11_manifest, op12_divergence, op13_nearest)}
