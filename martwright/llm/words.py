@@ -10,31 +10,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import xxhash
 
 SPACES = (9, 10, 11, 12, 13, 32)
 PIECE = 1 << 20  # bytes hashed at a time; a longer text is cut at a space
 
-_random = np.random.default_rng(20240229)
-_BASE = int(_random.integers(1 << 62, 1 << 63)) | 1
-_VALUE = _random.integers(1, 1 << 63, 256, dtype=np.uint64)
-_LOWER_VALUE = _VALUE.copy()  # in which A to Z count as a to z
-_LOWER_VALUE[65:91] = _VALUE[97:123]
+SHORT = 64  # bytes; stretches up to here are hashed eight bytes at a time, longer ones by XXH3
+
+_BASE = 0x9E6C63D0676A9A99
+_LOWER = np.arange(256, dtype=np.uint8)  # in which A to Z count as a to z
+_LOWER[65:91] += 32
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACES)] = True
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = max(PIECE, 1 << int(n - 1).bit_length()) + 1
-    if size not in _powers:
-        tables = []
-        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-            factors = np.full(size, base, np.uint64)
-            factors[0] = 1
-            tables.append(np.cumprod(factors))
-        _powers.clear()
-        _powers[size] = (tables[0], tables[1])
-    return _powers[size]
+MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -44,12 +32,33 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def range_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = _VALUE) -> np.ndarray:
-    """Hashes of the given ranges of bytes."""
-    power, inverse = _power_tables(len(raw))
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(values[raw] * power[:len(raw)], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * inverse[starts])
+def eights(raw: np.ndarray) -> np.ndarray:
+    """For every place of `raw` the eight bytes from there on as one number; behind the end come zeros."""
+    return np.ndarray((len(raw) + 1,), "<u8", np.concatenate((raw, np.zeros(8, np.uint8))), strides=(1,))
+
+
+def range_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the given ranges of bytes.
+
+    Two chains of 64 bits, of different build, take in a short range; no power of a fixed base is in them, so there are
+    no words whose hashes are equal by construction. Ranges that must not be taken for each other are still compared.
+    """
+    length = ends - starts
+    one, two = mixed(length.astype(np.uint64) + np.uint64(_BASE)), length.astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
+    eight = eights(raw)
+    some = np.flatnonzero((length > 0) & (length <= SHORT))
+    at, left = starts[some], length[some]
+    while len(some):
+        part = eight[at] & MASKS[np.minimum(left, 8)]
+        one[some] = mixed(one[some] ^ part)
+        folded = (two[some] + part) * np.uint64(0xE7037ED1A0B428DB)
+        two[some] = (folded << np.uint64(23) | folded >> np.uint64(41)) ^ part * np.uint64(0x8EBC6AF09C88C6E3)
+        more = left > 8
+        some, at, left = some[more], at[more] + 8, left[more] - 8
+    for k in np.flatnonzero(length > SHORT).tolist():
+        whole = xxhash.xxh3_128_intdigest(raw[starts[k]:ends[k]].tobytes())
+        one[k], two[k] = whole >> 64, whole & (1 << 64) - 1
+    return mixed(one + mixed(two))
 
 
 def word_ranges(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -61,9 +70,9 @@ def word_ranges(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _hash_piece(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    raw = np.frombuffer(data, np.uint8)
+    raw = _LOWER[np.frombuffer(data, np.uint8)]
     starts, ends = word_ranges(raw)
-    return range_hashes(raw, starts, ends, _LOWER_VALUE), starts
+    return range_hashes(raw, starts, ends), starts
 
 
 def _pieces(data: bytes) -> Iterator[bytes]:
