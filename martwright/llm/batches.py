@@ -13,6 +13,14 @@ from pyspark.sql.types import StructType
 SLAB = 4 << 20  # bytes of text that one call of a batch function sees; one longer text comes alone
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that `df` does not have, made from `name`."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def sizes(column: pa.Array) -> np.ndarray:
     """Bytes of every text or binary value, elements of every list; a null has none."""
     kind = column.type

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martwright.llm.batches import slabs, texts_of, with_columns
+from martwright.llm.batches import slabs, texts_of, unused, with_columns
 from martwright.llm.words import word_hashes
 
 PASSAGE, OVERLAP = 64, 52  # words of a passage, words that two passages of an item share: each run of so many lies in one
@@ -375,7 +375,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", out: s
         if not len(passages):
             continue
         space = latent_space(some, docs, passages, text)
-        name = f"{out}_{k}"
+        name = unused(plain, f"{out}_{k}")
         found.append(name)
         plain = with_columns(plain, text, f"`{name}` {LEAK}", _finder(space, text), SLAB)
     every = F.concat(*found) if found else F.array().cast(LEAK)
@@ -389,5 +389,5 @@ def _finder(space: Space, text: str):
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The rows of `docs` whose texts hold no benchmark item."""
-    found = find_leaks(docs, benchmark, text, "_leaks")
-    return found.filter(F.size("_leaks") == 0).drop("_leaks")
+    leaks = unused(docs, "_leaks")
+    return find_leaks(docs, benchmark, text, leaks).filter(F.size(leaks) == 0).drop(leaks)

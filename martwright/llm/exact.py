@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martwright.llm.batches import unused
 from martwright.session import cut
 
 BLOCK = 4096  # bytes
@@ -89,8 +90,9 @@ def deduplicate(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
 
 
 def distinct_texts(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `df` that `deduplicate` keeps, with their columns; of rows with equal id and text one."""
-    kept = deduplicate(df, doc_id, text).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    marked = df.withColumn("_text_sha", F.sha2(normalised(F.col(text)).cast("binary"), 256))
-    same = F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_text_sha") == F.col("_sha"))
-    return marked.join(kept, same, "left_semi").dropDuplicates([doc_id, "_text_sha"]).drop("_text_sha")
+    """The rows of `df` that `deduplicate` keeps, with all their columns; of rows with equal id and text one."""
+    sha, kept_id, kept_sha = (unused(df, name) for name in ("_text_sha", "_id", "_sha"))
+    kept = deduplicate(df.select(doc_id, text), doc_id, text).filter("kept").select(F.col("doc_id").alias(kept_id), F.col("text_sha256").alias(kept_sha))
+    marked = df.withColumn(sha, F.sha2(normalised(F.col(text)).cast("binary"), 256))
+    same = F.col(doc_id).eqNullSafe(F.col(kept_id)) & (F.col(sha) == F.col(kept_sha))
+    return marked.join(kept, same, "left_semi").dropDuplicates([doc_id, sha]).drop(sha)

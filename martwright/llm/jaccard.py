@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martwright.llm.batches import lists, slabs, texts_of
+from martwright.llm.batches import lists, slabs, texts_of, unused
 from martwright.llm.components import components
 from martwright.llm.words import mixed, shingle_hashes, word_hashes
 from martwright.session import cut
@@ -332,11 +332,12 @@ def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     rows = _labelled(df, doc_id, text, bodies=True)[0].filter("doc_id IS NOT NULL").select("label", F.struct("doc_id", "body").alias("key"))
     first = cut(rows.groupBy("label").agg(F.min("key").alias("first")))
     others = rows.join(first, "label").filter("key != first").select("key").distinct()
-    keyed = df.withColumn("_key", F.struct(F.col(doc_id).cast("long").alias("doc_id"), F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))).alias("body")))
-    same = lambda keys: (F.col("_key.doc_id") == keys["key.doc_id"]) & (F.col("_key.body") == keys["key.body"])
-    left = keyed.join(others, same(others), "left_anti")
-    repeated = cut(rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"))
+    mine, went = unused(df, "_key"), unused(df, "_went")
+    keyed = df.withColumn(mine, F.struct(F.col(doc_id).cast("long").alias("doc_id"), F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))).alias("body")))
+    same = (F.col(f"{mine}.doc_id") == F.col(f"{went}.doc_id")) & (F.col(f"{mine}.body") == F.col(f"{went}.body"))
+    left = keyed.join(others.withColumnRenamed("key", went), same, "left_anti")
+    repeated = cut(rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("key").alias(went)))
     if not repeated.isEmpty():  # rows with equal id and text
-        once = left.join(repeated, same(repeated), "left_semi").dropDuplicates(["_key"])
-        left = left.join(repeated, same(repeated), "left_anti").unionByName(once)
-    return left.drop("_key")
+        once = left.join(repeated, same, "left_semi").dropDuplicates([mine])
+        left = left.join(repeated, same, "left_anti").unionByName(once)
+    return left.drop(mine)
