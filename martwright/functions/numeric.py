@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
+PRICE, SHARE = "decimal(16,6)", "decimal(8,6)"  # of a sale, as landed
 
 
 def col(value: Column | str) -> Column:
@@ -62,8 +63,8 @@ def mean_amount(sum_in_cents: Column | str, count: Column | str) -> Column:
 
 def sale_total(quantity: Column | str, unit_price: Column | str, discount: Column | str) -> Column:
     """quantity x price x (1 - discount) in decimal arithmetic; only the product is rounded, to the cent."""
-    gross = col(quantity).cast("decimal(10,0)") * col(unit_price).cast("decimal(16,6)")
-    return (gross * (F.lit(1).cast("decimal(1,0)") - col(discount).cast("decimal(8,6)"))).cast(MONEY)
+    gross = col(quantity).cast("decimal(10,0)") * col(unit_price).cast(PRICE)
+    return (gross * (F.lit(1).cast("decimal(1,0)") - col(discount).cast(SHARE))).cast(MONEY)
 
 
 def first_digit(value: Column | str) -> Column:

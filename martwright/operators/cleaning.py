@@ -9,28 +9,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martwright.functions.numeric import MONEY, sale_total
+from martwright.functions.numeric import MONEY, PRICE, SHARE, sale_total
 from martwright.functions.text import strip_ws, title_case
+from martwright.sources.csv_records import CORRUPT
 
 PROBLEM = "problem"
+EXACT = (PRICE, SHARE)  # types whose values must not lose digits
 
 
 def _typed(df: DataFrame, types: dict[str, str], strict: bool) -> DataFrame:
     """Cast `types` and add `problem`, the list of columns that did not cast.
 
-    Casts ignore white space around a value.
+    Casts ignore white space around a value. A price or share with more digits than its type keeps does not cast. A record
+    that the reader marked as corrupt has the problem `record` alone.
     """
+    wide = "decimal(38,18)"
+    corrupt = F.col(CORRUPT) if CORRUPT in df.columns else F.lit(None).cast("string")
     if strict:
-        return df.withColumns({c: F.col(c).cast(t) for c, t in types.items()}).withColumn(
-            PROBLEM, F.array().cast("array<string>"))
+        stop = F.when(corrupt.isNotNull(), F.raise_error(F.concat(F.lit("malformed record: "), corrupt)).cast("string"))
+        return df.withColumn(PROBLEM, F.array_compact(F.array(stop))).withColumns({c: F.col(c).cast(t) for c, t in types.items()})
     cast = {c: F.col(c).try_cast(t) for c, t in types.items()}
-    failed = F.array_compact(F.array(*[F.when(v.isNull(), F.lit(c)) for c, v in cast.items()]))
-    return df.withColumn(PROBLEM, failed).withColumns(cast)
+    lost = {c: v.isNull() | (v != F.col(c).try_cast(wide)) if t in EXACT else v.isNull() for (c, v), t in zip(cast.items(), types.values())}
+    failed = F.array_compact(F.array(*[F.when(F.coalesce(bad, F.lit(True)), F.lit(c)) for c, bad in lost.items()]))
+    return df.withColumn(PROBLEM, F.when(corrupt.isNotNull(), F.array(F.lit("record"))).otherwise(failed)).withColumns(cast)
 
 
 def split(typed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows without and with a problem."""
-    good = typed.filter(F.size(PROBLEM) == 0).drop(PROBLEM)
+    good = typed.filter(F.size(PROBLEM) == 0).drop(PROBLEM, CORRUPT)
     return good, typed.filter(F.size(PROBLEM) > 0).withColumn(PROBLEM, F.array_join(PROBLEM, ","))
 
 
@@ -61,11 +67,10 @@ def channels(df: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def sales(df: DataFrame, strict: bool = False) -> DataFrame:
-    """Cast the measures and compute the amount anew; the profit is taken as landed."""
+    """Cast the measures and compute the amount anew from price and discount as landed, which are kept as they are;
+    the profit is taken as landed."""
     keys = dict.fromkeys(("sale_id", "customer_id", "product_id", "date_id", "channel_id"), "bigint")
-    landed = {"quantity": "int", "unit_price": "decimal(16,6)", "discount": "decimal(8,6)", "profit": MONEY}
-    exact = recompute_sales(_typed(df, {**keys, **landed}, strict))  # from the values as landed
-    return exact.withColumns({"unit_price": F.col("unit_price").cast(MONEY), "discount": F.col("discount").cast("decimal(4,2)")})
+    return recompute_sales(_typed(df, {**keys, "quantity": "int", "unit_price": PRICE, "discount": SHARE, "profit": MONEY}, strict))
 
 
 def recompute_sales(df: DataFrame) -> DataFrame:

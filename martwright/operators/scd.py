@@ -116,22 +116,52 @@ def scd2_apply(history: DataFrame, changes: DataFrame, key: str, tracked: Sequen
     return after, log
 
 
+def scd2_splice(history: DataFrame, known: DataFrame, changes: DataFrame, key: str, tracked: Sequence[str], at: str,
+                tie_break: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """History, change log and rebuilt keys after `changes` that may lie anywhere in time.
+
+    `known` holds all changes given before, with the columns of `changes`, those without effect too: a change that repeated a value
+    matters as soon as an earlier one with another value turns up. The versions of a key are an outcome of its first version and the set of
+    its changes, whatever the order they come in. A key whose new changes are all later than what it knows goes on from its current version;
+    the others are split and joined anew from their first version on, and their log entries, which are all given, replace the
+    former ones. Changes that are known already have no effect; nor have those that are not later than the first version.
+    """
+    columns = list(dict.fromkeys([key, at, *tracked, *tie_break]))
+    known, fresh = known.select(*columns), changes.select(*columns).filter(F.col(key).isNotNull()).distinct()
+    same = F.lit(True)
+    for c in columns:
+        same &= F.col(f"new.{c}").eqNullSafe(F.col(f"old.{c}"))
+    fresh = fresh.alias("new").join(known.alias("old"), same, "left_anti")
+    latest = known.groupBy(key).agg(F.max(at).cast("timestamp").alias("_latest"))
+    since = history.filter(F.col("is_current") == 1).select(key, F.col("effective_from").alias("_since"))
+    first = fresh.groupBy(key).agg(F.min(at).cast("timestamp").alias("_first"))
+    rebuilt = first.join(since, key).join(latest, key, "left").filter(
+        F.col("_first") <= F.greatest("_since", F.coalesce("_latest", "_since"))).select(key)
+
+    untouched = history.join(rebuilt, key, "left_anti")
+    reopened = history.filter(F.col("version") == 1).join(rebuilt, key, "left_semi").withColumns({"effective_to": _open_end(), "is_current": F.lit(1)})
+    every = fresh.unionByName(known.join(rebuilt, key, "left_semi"))
+    after, log = scd2_apply(untouched.unionByName(reopened), every, key, tracked, at, tie_break)
+    return after, log, rebuilt
+
+
 def scd2_late(history: DataFrame, changes: DataFrame, key: str, tracked: Sequence[str], at: str) -> DataFrame:
     """The rows of `changes` that `scd2_apply` leaves out because they are not later than the current version.
 
-    A change that the history holds already, as a version with its time and values, is a replay and not
-    late. Late changes can be kept, or be applied by building the history anew from all changes.
+    A change that gives the values which were valid at its time, be it a replay or without effect from the start, is not
+    late. Late changes can be kept, or be applied by `scd2_splice`.
     """
     tracked = [c for c in tracked if c in changes.columns]
     since = scd_current(history).select(F.col(key).alias("_key"), F.col("effective_from").alias("_since"))
     moment = F.col(at).cast("timestamp")
     late = changes.join(since, (F.col(key) == F.col("_key")) & (moment <= F.col("_since")), "left_semi")
-    held = history.select(F.col(key).alias("_key"), F.col("effective_from").alias("_since"), *[F.col(c).cast("string").alias(f"_{c}") for c in tracked])
-    same = [F.col(c).isNull() | F.col(c).cast("string").eqNullSafe(F.col(f"_{c}")) for c in tracked]
-    replay = (F.col(key) == F.col("_key")) & (moment == F.col("_since"))
-    for condition in same:
-        replay &= condition
-    return late.join(held, replay, "left_anti")
+    placed = scd_join_as_of(late, history, key, at, "_version")
+    held = history.select(
+        F.col(key).alias("_key"), F.col("version").alias("_of"), *[F.col(c).cast("string").alias(f"_{c}") for c in tracked])
+    valid = (F.col(key) == F.col("_key")) & (F.col("_version") == F.col("_of"))
+    for c in tracked:
+        valid &= F.col(c).isNull() | F.col(c).cast("string").eqNullSafe(F.col(f"_{c}"))
+    return placed.join(held, valid, "left_anti").drop("_version")
 
 
 def scd_history(history: DataFrame, key: str, value) -> DataFrame:

@@ -589,21 +589,33 @@ LOAD_SQL = {
                {title_sql('city')} AS city, age_group, signup_date
         FROM dim_customers"""),
     "clean_sales": star(f"""
-        SELECT * EXCLUDE (l_returnflag, cost_price), {SALE_TOTAL} AS total_amount FROM landed WHERE l_returnflag <> 'R'""", landed=LANDED),
+        SELECT * EXCLUDE (l_returnflag, cost_price) REPLACE (CAST(unit_price AS DECIMAL(16,6)) AS unit_price, CAST(discount AS DECIMAL(8,6)) AS discount),
+               {SALE_TOTAL} AS total_amount FROM landed WHERE l_returnflag <> 'R'""", landed=LANDED),
     "quarantined_sales": star("""
-        SELECT * EXCLUDE (l_returnflag, cost_price) REPLACE (CAST(NULL AS INTEGER) AS quantity),
+        SELECT * EXCLUDE (l_returnflag, cost_price) REPLACE (
+                 CAST(NULL AS INTEGER) AS quantity, CAST(unit_price AS DECIMAL(16,6)) AS unit_price, CAST(discount AS DECIMAL(8,6)) AS discount),
                CAST(NULL AS DECIMAL(18,2)) AS total_amount, 'quantity' AS problem
         FROM landed WHERE l_returnflag = 'R'""", landed=LANDED),
     "derive_sale_amounts": star(f"""
         SELECT sale_id, product_id, quantity, unit_price, discount, cost_price, total_amount,
                CAST(total_amount - CAST(quantity * cost_price AS DECIMAL(18,2)) AS DECIMAL(18,2)) AS profit
         FROM (SELECT *, {SALE_TOTAL} AS total_amount FROM landed)""", landed=LANDED),
+    "read_back_sales": star("""
+        SELECT sale_id, customer_id, product_id, date_id, channel_id, quantity, CAST(unit_price AS DECIMAL(16,6)) AS unit_price,
+               CAST(discount AS DECIMAL(8,6)) AS discount, """ + SALE_TOTAL + """ AS total_amount, profit FROM fact_sales"""),
+    "quarantined_customers": star("""
+        SELECT 'record' AS problem, customer_id, CAST(NULL AS VARCHAR) AS email FROM dim_customers WHERE customer_id % 3 = 0 UNION ALL
+        SELECT 'customer_id', NULL, email FROM dim_customers WHERE customer_id % 3 = 1 AND customer_id % 5 = 0"""),
     "full_refresh_load": star(LOADED),
+    "etl_run_log": star(f"{LOADED} UNION ALL {LOADED.replace(chr(39) + 'loaded', chr(39) + 'extracted')} UNION ALL " + " UNION ALL ".join(
+        f"SELECT 'quarantined', '{t}', 0" for t in ["dim_customers", "dim_products", "dim_date", "dim_channels", "fact_sales", "fact_user_activity"])),
+    "create_if_absent": star(LOADED.replace("'loaded' AS phase, ", "") + " UNION ALL SELECT 'stream_windows', 0"),
     "materialize_views": star(f"""
         SELECT 'materialized' AS phase, 'v_customer_summary' AS table_name, count(*) AS rows FROM dim_customers UNION ALL
         SELECT 'materialized', 'v_product_performance', count(*) FROM dim_products UNION ALL
         SELECT 'materialized', 'v_monthly_sales', count(DISTINCT (year, month, category, channel_id))
         FROM {BY_DATE} JOIN dim_products p ON s.product_id = p.product_id"""),
+    **{f"kept_{name}": SALES_SQL[name] for name in ("v_monthly_sales", "v_customer_summary", "v_product_performance")},
     "load_star_from_csv": star(VALIDATE.replace("fact_sales", "reloaded").replace("dim_customers", "known"), reloaded=f"""
         SELECT * REPLACE ({SALE_TOTAL} AS total_amount) FROM fact_sales""",
         known="SELECT * FROM dim_customers"),
@@ -672,6 +684,9 @@ HISTORY_SQL = {
     "scd_change_log": star(CHANGES, **HISTORY_PARTS),
     "stored_change_log": star(
         f"SELECT 'dim_customers' AS table_name, * REPLACE (CAST(record_id AS VARCHAR) AS record_id) FROM ({CHANGES})", **HISTORY_PARTS),
+    "scd2_late_applied": star("SELECT * FROM history", **HISTORY_PARTS),
+    "spliced_change_log": star(
+        f"SELECT 'dim_customers' AS table_name, * REPLACE (CAST(record_id AS VARCHAR) AS record_id) FROM ({CHANGES})", **HISTORY_PARTS),
     "scd_current": star("SELECT * FROM history WHERE is_current = 1", **HISTORY_PARTS),
     "scd_history": star("SELECT * FROM history WHERE customer_id = 1 ORDER BY version", **HISTORY_PARTS),
     "scd_as_of": star("""
@@ -741,6 +756,15 @@ EVENT_SQL = {
     "stream_windows_sink": star(windows_sql("10 minutes")),
     "stored_stream_windows": star(windows_sql("10 minutes")),
     "stream_lateness": star(f"SELECT count(*) AS processed, count(*) FILTER (WHERE is_late) AS late_events FROM ({LATE.replace('arrival, event_id', 'arrival, CAST(event_id AS VARCHAR)')})"),
+    "stream_lateness_in_batches": star(f"SELECT count(*) AS processed, count(*) FILTER (WHERE is_late) AS late_events FROM ({LATE.replace('arrival, event_id', 'arrival, CAST(event_id AS VARCHAR)')})"),
+    "stream_windows_in_batches": star(windows_sql("10 minutes")),
+    "window_maps": star("""
+        WITH cells AS (SELECT time_bucket(INTERVAL '1 hour', event_time) AS window_start, event_type, channel FROM sent)
+        SELECT a.window_start, events_by_type, channels FROM (
+          SELECT window_start, string_agg(event_type || '=' || n, ',' ORDER BY event_type) AS events_by_type
+          FROM (SELECT window_start, event_type, count(*) AS n FROM cells GROUP BY ALL) GROUP BY window_start) a
+        JOIN (SELECT window_start, string_agg(channel || '=' || n, ',' ORDER BY channel) AS channels
+              FROM (SELECT window_start, channel, count(*) AS n FROM cells GROUP BY ALL) GROUP BY window_start) b ON a.window_start = b.window_start"""),
 }
 
 INGESTED = "TIMESTAMP '2024-01-01' AS ingested_at"

@@ -1,4 +1,8 @@
-"""Stored histories of dimensions: versions, change log and late changes, through snapshot commits."""
+"""Stored histories of dimensions: versions in buckets of the key, all given changes and the change log.
+
+A batch reads and writes only the buckets that its keys are in. Versions, given changes, log entries and changes that
+come before the first version become visible in one commit.
+"""
 
 from __future__ import annotations
 
@@ -10,56 +14,77 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from martwright.operators import scd
+from martwright.session import cut
 from martwright.sources import schemas
 from martwright.sources import tables as store
 
-LOG, LATE = "scd_change_log", "scd_late_changes"
+BUCKETS = 64  # of a history; a number that its tables keep for good
+BUCKET = "bucket"
+
+
+def bucket_of(key: str) -> Column:
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(BUCKETS)).cast("int")
 
 
-def _snapshot() -> str:
-    return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
+def _write(df: DataFrame, root: str, name: str, snapshot: str) -> int:
+    """Write rows that have their bucket, in a few files each."""
+    dealt = df.repartition(BUCKET, F.pmod(F.xxhash64(*[c for c in df.columns if c != BUCKET][:2]), F.lit(8)))
+    return store.write_snapshot(dealt, root, name, snapshot, partition_by=[BUCKET])
 
 
-def open_history(spark: SparkSession, root: str, table: str, ddl: str | StructType | None = None) -> DataFrame:
+def open_history(spark: SparkSession, root: str, table: str, ddl: str | StructType | None = None, buckets: Sequence[int] | None = None) -> DataFrame:
     """The committed versions of a dimension; none when its history was not started."""
-    return store.read_table(spark, root, f"{table}_history", ddl or schemas.HISTORY[table])
+    return store.read_parts(spark, root, f"{table}_history", ddl or schemas.HISTORY[table], BUCKET, buckets).drop(BUCKET)
 
 
-def start(spark: SparkSession, root: str, table: str, dim: DataFrame, at: Column | dt.datetime) -> int:
-    """Store version 1 of every row of a dimension; returns how many there are."""
-    snapshot = _snapshot()
-    rows = store.write_snapshot(scd.scd2_init(dim, at), root, f"{table}_history", snapshot)
-    store.commit(spark, root, snapshot, [f"{table}_history"])
+def start(spark: SparkSession, root: str, table: str, dim: DataFrame, at: Column | dt.datetime, key: str | None = None) -> int:
+    """Store version 1 of every row of a dimension, whose key is its first column if not named; returns how many there are."""
+    snapshot = store.new_snapshot()
+    first = scd.scd2_init(dim, at).withColumn(BUCKET, bucket_of(key or dim.columns[0]))
+    rows = _write(first, root, f"{table}_history", snapshot)
+    every = list(range(BUCKETS))
+    store.commit_parts(spark, root, snapshot, {f"{table}_{part}": every for part in ("history", "changes", "log")})
     return rows
 
 
 def apply(spark: SparkSession, root: str, table: str, changes: DataFrame, key: str, tracked: Sequence[str], at: str,
           tie_break: Sequence[str] = (), ddl: str | StructType | None = None) -> int:
-    """Apply a batch of changes to the stored history; returns how many took effect.
+    """Apply a batch of changes, of any time, to the stored history; returns how many entries of the log it wrote.
 
-    The new history, the entries of the log and the changes that came too late to be applied become
-    visible in one commit. A failed or repeated batch changes nothing.
+    The same changes give the same history in whatever batches and order they come; a failed or repeated batch changes nothing.
+    Changes that are not later than the first version of their key are kept aside (`late_changes`). A tracked column that a batch
+    does not have is NULL in all its rows, which leaves the value as it is.
     """
-    before, snapshot = open_history(spark, root, table, ddl), _snapshot()
-    after, log = scd.scd2_apply(before, changes, key, tracked, at, tie_break)
-    late = scd.scd2_late(before, changes, key, tracked, at)
-    given = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in tracked if c in changes.columns]))
-    entry = [F.lit(table).alias("table_name"), F.col("record_id").cast("string").alias("record_id")]
-    store.write_snapshot(after, root, f"{table}_history", snapshot)
-    applied = store.write_snapshot(
-        log.select(*entry, *[c for c in log.columns if c != "record_id"]), root, LOG, snapshot)
-    store.write_snapshot(late.select(
-        F.lit(table).alias("table_name"), F.col(key).cast("string").alias("record_id"), given.alias("given_values"),
-        F.col(at).cast("timestamp").alias("changed_at")), root, LATE, snapshot)
-    store.commit(spark, root, snapshot, [f"{table}_history", LOG, LATE])
-    return applied
-
-
-def change_log(spark: SparkSession, root: str) -> DataFrame:
-    """The changes of all batches."""
-    return store.read_all(spark, root, LOG, schemas.CHANGE_LOG)
-
-
-def late_changes(spark: SparkSession, root: str) -> DataFrame:
-    """The changes of all batches that were not later than the version they met."""
-    return store.read_all(spark, root, LATE, schemas.LATE_CHANGES)
+    types = {f.name: f.dataType for f in open_history(spark, root, table, ddl, []).schema.fields}
+    given = {c: F.col(c) if c in changes.columns else F.lit(None) for c in dict.fromkeys([key, at, *tracked, *tie_break])}
+    batch = changes.select(*[v.cast(types[c]).alias(c) if c in tracked else v.alias(c) for c, v in given.items()])
+    batch = cut(batch.filter(F.col(key).isNotNull()).distinct().withColumn(BUCKET, bucket_of(key)))
+    touched = sorted(r[0] for r in batch.select(BUCKET).distinct().collect())
+    snapshot, given = store.new_snapshot(), batch.drop(BUCKET)
+    before = open_history(spark, root, table, ddl, touched)
+    known = store.read_parts(spark, root, f"{table}_changes", given.schema, BUCKET, touched)
+    after, log, rebuilt = scd.scd2_splice(before, known, given, key, tracked, at, tie_break)
+    old_log = store.read_parts(spark, root, f"{table}_log", schemas.CHANGE_LOG, BUCKET, touched)
+    log = cut(log.withColumn(BUCKET, bucket_of("record_id")).select(
+        F.lit(table).alias("table_name"), F.col("record_id").cast("string").alias("record_id"), *[c for c in log.columns if c != "record_id"], BUCKET))
+    again = rebuilt.select(F.col(key).cast("string").alias("record_id"))
+
+    _write(after.withColumn(BUCKET, bucket_of(key)), root, f"{table}_history", snapshot)
+    _write(known.unionByName(batch).distinct(), root, f"{table}_changes", snapshot)
+    _write(old_log.join(again, "record_id", "left_anti").unionByName(log), root, f"{table}_log", snapshot)
+    store.commit_parts(spark, root, snapshot, {f"{table}_{part}": touched for part in ("history", "changes", "log")})
+    return log.count()
+
+
+def change_log(spark: SparkSession, root: str, table: str = "dim_customers") -> DataFrame:
+    """The changes that have effect, of all batches."""
+    return store.read_parts(spark, root, f"{table}_log", schemas.CHANGE_LOG, BUCKET).drop(BUCKET)
+
+
+def late_changes(spark: SparkSession, root: str, table: str, key: str, at: str, changes: str | StructType, ddl: str | StructType | None = None) -> DataFrame:
+    """The given changes that have no place in the history because they are not later than the first version of their key.
+
+    `changes` is the type of the stored changes."""
+    given = store.read_parts(spark, root, f"{table}_changes", changes, BUCKET).drop(BUCKET)
+    first = open_history(spark, root, table, ddl).filter("version = 1").select(F.col(key).alias("_key"), F.col("effective_from").alias("_since"))
+    return given.join(first, (F.col(key) == F.col("_key")) & (F.col(at).cast("timestamp") <= F.col("_since")), "left_semi")

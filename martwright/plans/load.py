@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from martwright.operators import cleaning
 from martwright.plans import views
 from martwright.plans.audit import post_load_validate
+from martwright.session import cut
 from martwright.sources import schemas
 from martwright.sources import tables as store
 
@@ -37,7 +38,7 @@ def load_tables(spark: SparkSession, tables: Mapping[str, DataFrame], root: str,
     run = run or LoadRun()
     snapshot = run.at.strftime("%Y%m%d%H%M%S%f")
     for table, ddl in schemas.STAR.items():
-        rows = store.write_snapshot(store.pick(tables, table, *schemas.names(ddl)), root, table, snapshot)
+        rows = store.write_snapshot(store.typed(store.pick(tables, table, *schemas.names(ddl)), ddl), root, table, snapshot)
         run.note("loaded", table, rows)
     for table, bad in (quarantine or {}).items():
         rows = store.write_snapshot(bad, root, f"{table}_quarantine", snapshot)
@@ -46,17 +47,18 @@ def load_tables(spark: SparkSession, tables: Mapping[str, DataFrame], root: str,
     return run
 
 
-def load_star(spark: SparkSession, raw_folder: str, root: str, strict: bool = False, line_breaks: bool = False) -> DataFrame:
+def load_star(spark: SparkSession, raw_folder: str, root: str, strict: bool = False, line_breaks: bool = True) -> DataFrame:
     """Load the six landing CSVs into the warehouse and return the run's row counts.
 
-    Rows that do not cast go to `<table>_quarantine`; with `strict` the first one fails the load.
+    Rows that do not cast and malformed records go to `<table>_quarantine`; with `strict` the first one fails the load.
+    Each file is parsed and cleaned once; good and bad rows are taken from what that gave.
     A failed load is logged and leaves the committed warehouse as it was.
     """
     run = LoadRun()
     try:
         good, bad = {}, {}
         for table, landed in store.read_csv_star(spark, raw_folder, line_breaks).items():
-            good[table], rejected = cleaning.split(cleaning.CLEANERS[table](landed, strict))
+            good[table], rejected = cleaning.split(cut(cleaning.CLEANERS[table](landed, strict)))
             if not strict:
                 bad[table] = rejected
         load_tables(spark, good, root, run, bad)

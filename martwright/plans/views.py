@@ -16,22 +16,36 @@ def full_name() -> Column:
     return F.concat("first_name", F.lit(" "), "last_name")
 
 
-def monthly_sales_view(sales: DataFrame, dates: DataFrame, products: DataFrame, channels: DataFrame) -> DataFrame:
-    """Orders, units, revenue, profit and average order by month, category and channel.
+MONTH = ["year", "month", "month_name"]
 
-    The calendar is the one dimension that is always small, so the month is looked up first and the
-    fact leaves the map side as (month, product, channel).
-    """
-    month = ["year", "month", "month_name"]
-    by_key = sales.join(dates.select("date_id", *month), "date_id").groupBy(*month, "product_id", "channel_id").agg(
+
+def sales_by_product(sales: DataFrame, *by: str) -> DataFrame:
+    """Sums of sales by `by`, product and channel. Sums of such rows are sums of all their sales."""
+    return sales.groupBy(*by, "product_id", "channel_id").agg(
         F.count("sale_id").alias("n"), F.sum("quantity").alias("units"),
         F.count(cents(sales, "total_amount")).alias("n_amount"),
         F.sum(cents(sales, "total_amount")).alias("revenue"), F.sum(cents(sales, "profit")).alias("profit"))
-    keys = [*month, "category", "channel_name"]
+
+
+def sales_by_customer(sales: DataFrame, *by: str) -> DataFrame:
+    """Distinct sales and their amount by `by` and customer."""
+    return sales.groupBy(*by, "customer_id").agg(
+        F.countDistinct("sale_id").alias("orders"), F.sum(cents(sales, "total_amount")).alias("revenue"))
+
+
+def sessions_by_customer(activity: DataFrame, *by: str) -> DataFrame:
+    """Sessions, and the sums and counts of what is known of them, by `by` and customer."""
+    return activity.groupBy(*by, "customer_id").agg(
+        F.count("*").alias("n_sessions"), F.sum("session_duration_sec").alias("seconds"),
+        F.count("session_duration_sec").alias("n_seconds"), F.sum("pages_viewed").alias("pages"), F.count("pages_viewed").alias("n_pages"))
+
+
+def monthly_sales_of(by_product: DataFrame, products: DataFrame, channels: DataFrame) -> DataFrame:
+    """The monthly view from `sales_by_product` rows with the columns of MONTH."""
     return (
-        by_key.join(products.select("product_id", "category"), "product_id")
+        by_product.join(products.select("product_id", "category"), "product_id")
         .join(channels.select("channel_id", "channel_name"), "channel_id")
-        .groupBy(*keys)
+        .groupBy(*MONTH, "category", "channel_name")
         .agg(
             F.sum("n").alias("total_orders"),
             F.sum("units").alias("total_units"),
@@ -42,19 +56,22 @@ def monthly_sales_view(sales: DataFrame, dates: DataFrame, products: DataFrame,
     )
 
 
-def customer_summary_view(customers: DataFrame, sales: DataFrame, activity: DataFrame, fan_out: bool = True) -> DataFrame:
-    """Per customer: orders, lifetime value, average session and pages.
+def monthly_sales_view(sales: DataFrame, dates: DataFrame, products: DataFrame, channels: DataFrame) -> DataFrame:
+    """Orders, units, revenue, profit and average order by month, category and channel.
 
-    Joining both facts to the customer repeats each sale once per session, which inflates the
-    lifetime value. `fan_out` keeps that figure by multiplying with the number of sessions;
-    without it the value is the true revenue. Neither variant builds the sale x session product.
+    The calendar is the one dimension that is always small, so the month is looked up first and the
+    fact leaves the map side as (month, product, channel).
     """
-    bought = sales.groupBy("customer_id").agg(
-        F.countDistinct("sale_id").alias("total_orders"), F.sum(cents(sales, "total_amount")).alias("revenue"))
-    sessions = activity.groupBy("customer_id").agg(
-        F.count("*").alias("n_sessions"),
-        mean(F.sum("session_duration_sec"), F.count("session_duration_sec"), 0).alias("avg_session_sec"),
-        mean(F.sum("pages_viewed"), F.count("pages_viewed"), 1).alias("avg_pages_viewed"))
+    return monthly_sales_of(sales_by_product(sales.join(dates.select("date_id", *MONTH), "date_id"), *MONTH), products, channels)
+
+
+def customer_summary_of(customers: DataFrame, bought: DataFrame, sessions: DataFrame, fan_out: bool = True) -> DataFrame:
+    """The customer view from rows of `sales_by_customer` and `sessions_by_customer`, one a customer or more."""
+    bought = bought.groupBy("customer_id").agg(F.sum("orders").alias("total_orders"), F.sum("revenue").alias("revenue"))
+    sessions = sessions.groupBy("customer_id").agg(
+        F.sum("n_sessions").alias("n_sessions"),
+        mean(F.sum("seconds"), F.sum("n_seconds"), 0).alias("avg_session_sec"),
+        mean(F.sum("pages"), F.sum("n_pages"), 1).alias("avg_pages_viewed"))
     repeats = F.coalesce("n_sessions", F.lit(1)) if fan_out else F.lit(1)
     return (
         customers.join(bought, "customer_id", "left")
@@ -72,11 +89,20 @@ def customer_summary_view(customers: DataFrame, sales: DataFrame, activity: Data
     )
 
 
-def product_performance_view(products: DataFrame, sales: DataFrame) -> DataFrame:
-    """Per product, sold or not: times sold, units, revenue, profit and margin."""
-    sold = sales.groupBy("product_id").agg(
-        F.count("sale_id").alias("n"), F.sum("quantity").alias("total_units_sold"),
-        F.sum(cents(sales, "total_amount")).alias("revenue"), F.sum(cents(sales, "profit")).alias("profit"))
+def customer_summary_view(customers: DataFrame, sales: DataFrame, activity: DataFrame, fan_out: bool = True) -> DataFrame:
+    """Per customer: orders, lifetime value, average session and pages.
+
+    Joining both facts to the customer repeats each sale once per session, which inflates the
+    lifetime value. `fan_out` keeps that figure by multiplying with the number of sessions;
+    without it the value is the true revenue. Neither variant builds the sale x session product.
+    """
+    return customer_summary_of(customers, sales_by_customer(sales), sessions_by_customer(activity), fan_out)
+
+
+def product_performance_of(products: DataFrame, by_product: DataFrame) -> DataFrame:
+    """The product view from rows of `sales_by_product`."""
+    sold = by_product.groupBy("product_id").agg(
+        F.sum("n").alias("n"), F.sum("units").alias("total_units_sold"), F.sum("revenue").alias("revenue"), F.sum("profit").alias("profit"))
     return products.join(sold, "product_id", "left").select(
         "product_id",
         "product_name",
@@ -90,6 +116,14 @@ def product_performance_view(products: DataFrame, sales: DataFrame) -> DataFrame
     )
 
 
+def product_performance_view(products: DataFrame, sales: DataFrame) -> DataFrame:
+    """Per product, sold or not: times sold, units, revenue, profit and margin."""
+    sold = sales.groupBy("product_id").agg(
+        F.count("sale_id").alias("n"), F.sum("quantity").alias("units"),
+        F.sum(cents(sales, "total_amount")).alias("revenue"), F.sum(cents(sales, "profit")).alias("profit"))
+    return product_performance_of(products, sold)
+
+
 def products_by_category(performance: DataFrame, products: DataFrame) -> DataFrame:
     """Catalogue size, average price and average margin per category."""
     priced = products.select("product_id", "unit_price")

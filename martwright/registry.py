@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martwright.operators import cleaning, keyed, quality, scd
-from martwright.plans import advanced, audit, history, live, load, sales, views
+from martwright.plans import advanced, audit, history, live, load, monthly, sales, views
 from martwright.session import scratch_path
 from martwright.sources import schemas
 from martwright.sources import tables as store
-from martwright.sources.star import Star, as_stream_event, with_repeats
+from martwright.sources.star import ARRIVAL_MOD, Star, as_stream_event, with_repeats
 from martwright.streaming import events as ev
 from martwright.streaming import run
 
@@ -170,13 +171,59 @@ def _load_queries() -> dict[str, Query]:
         root = scratch_path(s.spark, "warehouse")
         return load.materialize_views(s.spark, s.tables(), root).frame(s.spark).select("phase", "table_name", "rows")
 
-    def from_csv(s: Star) -> DataFrame:
+    def kept_up(name: str) -> Query:
+        """A view after a first load of all months, of one with half its sales, and a second load of that month alone."""
+        def query(s: Star) -> DataFrame:
+            root, tables = scratch_path(s.spark, "warehouse"), s.tables()
+            facts = {t: store.pick(tables, t, *schemas.names(ddl)) for t, ddl in monthly.FACTS.items()}
+            days = s.dates()
+            changed = facts["fact_sales"].join(days.filter("year = 1998 AND month = 2").select("date_id"), "date_id", "left_semi")
+            first = facts["fact_sales"].join(days.filter("year = 1998 AND month = 2 AND day_of_week > 2").select("date_id"), "date_id", "left_anti")
+            monthly.load_months(s.spark, root, {**facts, "fact_sales": first}, days)
+            monthly.load_months(s.spark, root, {"fact_sales": changed}, days)
+            return monthly.view(s.spark, root, tables, name)
+
+        return query
+
+    def loaded(s: Star) -> str:
+        """A warehouse loaded from CSV files of all tables."""
         landing, root = scratch_path(s.spark, "landing"), scratch_path(s.spark, "warehouse")
         tables = s.tables()
         for table, ddl in schemas.STAR.items():
             store.write_csv(store.pick(tables, table, *schemas.names(ddl)), f"{landing}/{schemas.STAR_FILES[table]}")
         load.load_star(s.spark, landing, root)
-        return load.validate(s.spark, root)
+        return root
+
+    def from_csv(s: Star) -> DataFrame:
+        return load.validate(s.spark, loaded(s))
+
+    def run_log(s: Star) -> DataFrame:
+        """What the log of a load says, read back."""
+        return store.read_parquet(s.spark, f"{loaded(s)}/etl_run_log", load.RUN_LOG).select("phase", "table_name", "rows")
+
+    def created(s: Star) -> DataFrame:
+        """Rows of all tables after tables were declared that were loaded before, and some that were not."""
+        root = scratch_path(s.spark, "warehouse")
+        load.load_tables(s.spark, s.tables(), root)
+        ddls = {**schemas.STAR, "stream_windows": schemas.STREAM_WINDOWS}
+        store.create_if_absent(s.spark, root, ddls)
+        counts = [df.agg(F.lit(t).alias("table_name"), F.count("*").alias("rows")) for t, df in store.read_warehouse(s.spark, root, ddls).items()]
+        return reduce(DataFrame.unionByName, counts)
+
+    def quarantined_customers(s: Star) -> DataFrame:
+        """Customers whose names have line breaks; a third is cut off in the second field, some have no number for an id."""
+        columns = schemas.names(schemas.STAR["dim_customers"])
+        landing, number = scratch_path(s.spark, "landing"), F.col("customer_id")
+        people = s.customers(signup=True).select(*columns)
+        broken = people.filter(number % 3 == 0).select(F.concat_ws(",", "customer_id", "first_name").alias("value"))
+        header = s.spark.createDataFrame([(",".join(columns),)], "value string")
+        header.withColumn("at", F.lit(0)).unionByName(broken.withColumn("at", F.lit(1))).coalesce(1).sortWithinPartitions("at").select(
+            "value").write.text(landing)
+        shown = F.when((number % 3 == 1) & (number % 5 == 0), F.concat(F.lit("x"), number)).otherwise(number.cast("string"))
+        people.filter(number % 3 > 0).withColumns({
+            "customer_id": shown, "last_name": F.concat("last_name", F.lit("\n"), "last_name")}).write.mode("append").options(**store.CSV).csv(landing)
+        landed = store.read_csv(s.spark, landing, columns)
+        return cleaning.split(cleaning.customers(landed))[1].select("problem", "customer_id", "email")
 
     return {
         "build_dim_date": lambda s: s.dates(),
@@ -185,8 +232,13 @@ def _load_queries() -> dict[str, Query]:
         "quarantined_sales": lambda s: clean_sales(s, 1),
         "derive_sale_amounts": derived,
         "full_refresh_load": full_refresh,
+        "etl_run_log": run_log,
+        "create_if_absent": created,
         "materialize_views": materialized,
+        **{f"kept_{name}": kept_up(name) for name in load.VIEWS},
         "load_star_from_csv": from_csv,
+        "read_back_sales": lambda s: store.read_table(s.spark, loaded(s), "fact_sales", schemas.STAR["fact_sales"]),
+        "quarantined_customers": quarantined_customers,
     }
 
 
@@ -219,6 +271,14 @@ def _history_queries() -> dict[str, Query]:
                       initial(s).schema)
         return root
 
+    def spliced(s: Star) -> str:
+        """The same warehouse from two batches whose changes lie between one another."""
+        root, every, odd = scratch_path(s.spark, "warehouse"), changes(s), F.col("o_orderkey") % 2
+        history.start(s.spark, root, "dim_customers", s.customers(), start)
+        for some in (every.filter(odd == 1), every.filter(odd == 0)):
+            history.apply(s.spark, root, "dim_customers", some, "customer_id", tracked, "changed_at", ["o_orderkey"], initial(s).schema)
+        return root
+
     def versions(s: Star) -> DataFrame:
         return history.open_history(s.spark, stored(s), "dim_customers", initial(s).schema)
 
@@ -234,6 +294,8 @@ def _history_queries() -> dict[str, Query]:
         "scd2_apply_changes": lambda s: applied(s)[0],
         "scd_change_log": lambda s: applied(s)[1],
         "stored_change_log": lambda s: history.change_log(s.spark, stored(s)),
+        "scd2_late_applied": lambda s: history.open_history(s.spark, spliced(s), "dim_customers", initial(s).schema),
+        "spliced_change_log": lambda s: history.change_log(s.spark, spliced(s)),
         "scd_current": lambda s: scd.scd_current(versions(s)),
         "scd_history": lambda s: scd.scd_history(versions(s), "customer_id", 1),
         "scd_as_of": lambda s: scd.scd_as_of(versions(s), dt.datetime(1998, 1, 1)),
@@ -277,6 +339,23 @@ def _event_queries() -> dict[str, Query]:
         source = s.spark.readStream.schema(schemas.TABLES["events"]).parquet(f"{s.folder}/events.parque[t]")
         return with_repeats(as_stream_event(source)).withColumn("event_id", F.col("event_id").cast("string"))
 
+    def landed(s: Star) -> str:
+        """A folder of four event files that land one after the other, in order of arrival; copies come files later."""
+        folder, quarter = scratch_path(s.spark, "events"), ARRIVAL_MOD // 2
+        sent = s.stream_events().withColumn("event_id", F.col("event_id").cast("string"))
+        for k in range(4):
+            sent.filter(F.floor(F.col("arrival") / F.lit(quarter)).cast("int") == k if k < 3 else F.col("arrival") >= 3 * quarter).coalesce(
+                1).write.mode("append").parquet(folder)
+        return folder
+
+    def in_batches(s: Star, read) -> DataFrame:
+        """All results of a stream of four micro-batches, one file each."""
+        folder, sink = landed(s), scratch_path(s.spark, "stream")
+        ddl = schemas.STREAM_EVENTS + ", arrival bigint"
+        source = ev.event_source(s.spark, folder, ddl, files_per_batch=1, file_format="parquet")
+        run.run_all(source, sink, f"{sink}/checkpoint", size="10 minutes", order=order).awaitTermination()
+        return read(s.spark, sink)
+
     def streamed(s: Star, start, read, *args, **options) -> DataFrame:
         sink = scratch_path(s.spark, "stream")
         start(stream(s), sink, f"{sink}/checkpoint", *args, **options).awaitTermination()
@@ -304,7 +383,11 @@ def _event_queries() -> dict[str, Query]:
         "insert_ignore": inserted,
         "upsert_replace": upserted,
         "stream_events_sink": lambda s: streamed(s, run.run_events, run.read_events, order=order),
-        "stream_events_sink_bounded": lambda s: streamed(s, run.run_events, run.read_events, order=order),
+        "stream_events_sink_bounded": lambda s: in_batches(s, run.read_events),
+        "stream_windows_in_batches": lambda s: in_batches(s, run.read_windows),
+        "stream_lateness_in_batches": lambda s: in_batches(s, run.read_lateness),
+        "window_maps": lambda s: ev.window_maps(cells(s)).select(
+            "window_start", *[F.array_join(F.transform(F.map_entries(c), lambda e: F.concat_ws("=", e["key"], e["value"])), ",").alias(c) for c in ("events_by_type", "channels")]),
         "stream_windows_sink": lambda s: streamed(s, run.run_windows, run.read_windows, size="10 minutes", order=order),
         "stored_stream_windows": published,
         "stream_lateness": lambda s: streamed(s, run.run_lateness, run.read_lateness, order),

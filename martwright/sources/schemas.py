@@ -50,7 +50,7 @@ STAR = {
     "dim_channels": "channel_id bigint, channel_name string, channel_type string",
     "fact_sales": (
         "sale_id bigint, customer_id bigint, product_id bigint, date_id bigint, channel_id bigint, quantity int, "
-        "unit_price decimal(18,2), discount decimal(4,2), total_amount decimal(18,2), profit decimal(18,2)"),
+        "unit_price decimal(16,6), discount decimal(8,6), total_amount decimal(18,2), profit decimal(18,2)"),
     "fact_user_activity": (
         "activity_id bigint, customer_id bigint, date_id bigint, channel_id bigint, session_duration_sec int, "
         "pages_viewed int, actions_taken int, bounce int"),
@@ -123,7 +123,6 @@ HISTORY = {table: f"{STAR[table]}, {VERSION}" for table in ("dim_customers", "di
 CHANGE_LOG = (
     "table_name string, record_id string, change_type string, changed_fields string, old_values string, "
     "new_values string, changed_at timestamp")
-LATE_CHANGES = "table_name string, record_id string, given_values string, changed_at timestamp"
 
 QUALITY_REPORT = (
     "audit_timestamp string, total_checks bigint, passed bigint, warnings bigint, failures bigint, "

@@ -13,12 +13,15 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructType
 
 from martwright.sources import schemas
+from martwright.sources.csv_records import CORRUPT, read_records, with_mark
 
 COMMITS = "_commits"
 CSV = {"header": True, "quote": '"', "escape": '"'}  # quotes are doubled inside quotes
+PART_COMMITS = "_part_commits"
+PART_COMMIT_SCHEMA = "snapshot string, committed_at timestamp, table_name string, parts array<int>"
 COMMIT_SCHEMA = "snapshot string, committed_at timestamp, tables array<string>"
 
 
@@ -31,6 +34,12 @@ def pick(tables: Mapping, table: str, *columns: str) -> DataFrame:
     return source(*columns) if callable(source) else source.select(*columns)
 
 
+def typed(df: DataFrame, ddl: str) -> DataFrame:
+    """The columns of a declared type, cast to it."""
+    fields = StructType.fromDDL(ddl).fields
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on whichever file system it names."""
     context = spark.sparkContext
@@ -45,15 +54,23 @@ def read_parquet(spark: SparkSession, path: str, ddl: str | StructType) -> DataF
     return spark.createDataFrame([], ddl)
 
 
-def read_csv(spark: SparkSession, path: str, columns: Sequence[str], line_breaks: bool = False) -> DataFrame:
-    """The named columns of a headered UTF-8 CSV as text; the cleaning step casts them.
+def read_csv(spark: SparkSession, path: str, columns: Sequence[str], line_breaks: bool = True) -> DataFrame:
+    """The named columns of a headered UTF-8 CSV as text, and the text of records whose number of fields is not the
+    header's in `_corrupt`; the cleaning step casts the columns and puts corrupt records into quarantine.
 
-    `line_breaks` allows them in quoted values. Such files cannot be split: each is read by one task.
+    Quoted values may hold line breaks. Without `line_breaks`, for files known to have none, each line is a record and the
+    pass that counts quotes is spared; pieces of a broken record are then corrupt records.
     """
-    return spark.read.options(**CSV, multiLine=line_breaks, inferSchema=False).csv(path).select(*columns)
+    if line_breaks:
+        return read_records(spark, path, CSV, columns)
+    header = spark.read.options(**CSV, inferSchema=False).csv(path).columns
+    schema, mark = with_mark(header)
+    # A reader of fewer columns would not notice that a record has too few.
+    reader = spark.read.options(**CSV, columnNameOfCorruptRecord=mark, columnPruning=False).schema(schema)
+    return reader.csv(path).select(*columns, F.col(mark).alias(CORRUPT))
 
 
-def read_csv_star(spark: SparkSession, folder: str, line_breaks: bool = False) -> dict[str, DataFrame]:
+def read_csv_star(spark: SparkSession, folder: str, line_breaks: bool = True) -> dict[str, DataFrame]:
     """The six landing files of the star by warehouse table name."""
     return {
         table: read_csv(spark, f"{folder.rstrip('/')}/{file}", schemas.names(schemas.STAR[table]), line_breaks)
@@ -114,6 +131,11 @@ def write_json_report(report: DataFrame, path: str) -> None:
 # snapshots --------------------------------------------------------------------------------------
 
 
+def new_snapshot() -> str:
+    """A snapshot's name, by the time."""
+    return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
+
+
 def snapshot_path(root: str, table: str, snapshot: str) -> str:
     return f"{root.rstrip('/')}/{table}/snapshot={snapshot}"
 
@@ -154,7 +176,7 @@ def read_table(spark: SparkSession, root: str, table: str, ddl: str | StructType
     return read_parquet(spark, snapshot_path(root, table, snapshot), ddl)
 
 
-def read_all(spark: SparkSession, root: str, table: str, ddl: str) -> DataFrame:
+def read_all(spark: SparkSession, root: str, table: str, ddl: str | StructType) -> DataFrame:
     """The rows of all committed snapshots of a table whose snapshots add to one another."""
     commits = read_parquet(spark, f"{root.rstrip('/')}/{COMMITS}", COMMIT_SCHEMA)
     mine = commits.filter(F.array_contains("tables", table)).select("snapshot").distinct().collect()  # one row per batch
@@ -162,6 +184,42 @@ def read_all(spark: SparkSession, root: str, table: str, ddl: str) -> DataFrame:
     return spark.read.schema(ddl).parquet(*paths) if paths else spark.createDataFrame([], ddl)
 
 
+# tables in parts --------------------------------------------------------------------------------
+#
+# A table in parts (months, or buckets of a key) replaces some of them at a time. A snapshot holds the new parts, and a commit
+# row names them; a reader takes each part from the newest commit that has it. Parts that a write does not touch are
+# neither read nor written. (Overwriting partitions in place would change one table after the other.)
+
+
+def commit_parts(spark: SparkSession, root: str, snapshot: str, parts: Mapping[str, Sequence[int]]) -> None:
+    """Make the snapshot's parts of all its tables visible at once."""
+    at = dt.datetime.now(dt.timezone.utc)
+    rows = spark.createDataFrame([(snapshot, at, table, list(some)) for table, some in parts.items()], PART_COMMIT_SCHEMA)
+    rows.coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/{PART_COMMITS}")
+
+
+def held_parts(spark: SparkSession, root: str, table: str) -> dict[int, str]:
+    """The newest committed snapshot of every part of a table: as many entries as the table has parts."""
+    commits = read_parquet(spark, f"{root.rstrip('/')}/{PART_COMMITS}", PART_COMMIT_SCHEMA).filter(F.col("table_name") == table)
+    newest = commits.select(F.explode("parts").alias("part"), "snapshot", "committed_at").groupBy("part").agg(
+        F.max_by("snapshot", F.struct("committed_at", "snapshot")).alias("snapshot"))
+    return {row.part: row.snapshot for row in newest.collect()}
+
+
+def read_parts(spark: SparkSession, root: str, table: str, ddl: str | StructType, column: str, parts: Sequence[int] | None = None) -> DataFrame:
+    """The rows of all parts, or of those asked for, with the partition `column`; a part without rows has none."""
+    schema = StructType(StructType.fromDDL(ddl).fields if isinstance(ddl, str) else list(ddl.fields)).add(column, IntegerType())
+    by_snapshot: dict[str, list[int]] = {}
+    for part, snapshot in held_parts(spark, root, table).items():
+        if parts is None or part in parts:
+            by_snapshot.setdefault(snapshot, []).append(part)
+    found = spark.createDataFrame([], schema)
+    for snapshot, mine in sorted(by_snapshot.items()):  # as many as writes whose parts still stand
+        rows = read_parquet(spark, snapshot_path(root, table, snapshot), schema)
+        found = found.unionByName(rows.filter(F.col(column).isin(sorted(mine))))
+    return found
+
+
 def read_warehouse(spark: SparkSession, root: str, ddls: Mapping[str, str] = schemas.STAR) -> dict[str, DataFrame]:
     return {table: read_table(spark, root, table, ddl) for table, ddl in ddls.items()}
 

@@ -84,18 +84,38 @@ def run_lateness(stream: DataFrame, sink: str, checkpoint: str, order: Sequence[
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         fresh = _fresh(batch, batch_id, f"{sink.rstrip('/')}/lateness_events", order)
-        before = read_parquet(batch.sparkSession, _batch_folder(sink, "lateness", batch_id - 1), LATENESS)
-        carried = before.agg(F.max("last_event_time")).scalar()
-        late = F.coalesce(F.col("event_time") < F.coalesce("watermark", carried), F.lit(False))
-        ev.late_events(fresh, order).withColumn("late", late).agg(
-            F.count("*").alias("processed"),
-            F.count_if("late").alias("late_events"),
-            F.coalesce(F.max_by("event_time", F.struct(*order)), carried).alias("last_event_time"),
-        ).write.mode("overwrite").parquet(_batch_folder(sink, "lateness", batch_id))
+        _write_lateness(fresh, sink, batch_id, order)
 
     return _start(stream, write, "append", checkpoint, available_now)
 
 
+def run_all(stream: DataFrame, sink: str, checkpoint: str, size: str = "10 seconds", slide: str | None = None,
+            order: Sequence[str] = ARRIVAL, available_now: bool = True) -> StreamingQuery:
+    """Events, window cells and lateness by one query: the stream is read once, and each event is stored and told from its copies once.
+
+    Read the results with `read_events`, `read_windows` and `read_lateness`.
+    """
+    columns = schemas.names(schemas.STREAM_EVENTS)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        fresh = _fresh(batch.select(*dict.fromkeys([*columns, *order])), batch_id, f"{sink.rstrip('/')}/stream_events", order)
+        ev.window_cells(fresh, size, slide).write.mode("overwrite").parquet(_batch_folder(sink, "window_cells", batch_id))
+        _write_lateness(fresh, sink, batch_id, order)
+
+    return _start(stream, write, "append", checkpoint, available_now)
+
+
+def _write_lateness(fresh: DataFrame, sink: str, batch_id: int, order: Sequence[str]) -> None:
+    before = read_parquet(fresh.sparkSession, _batch_folder(sink, "lateness", batch_id - 1), LATENESS)
+    carried = before.agg(F.max("last_event_time")).scalar()
+    late = F.coalesce(F.col("event_time") < F.coalesce("watermark", carried), F.lit(False))
+    ev.late_events(fresh, order).withColumn("late", late).agg(
+        F.count("*").alias("processed"),
+        F.count_if("late").alias("late_events"),
+        F.coalesce(F.max_by("event_time", F.struct(*order)), carried).alias("last_event_time"),
+    ).write.mode("overwrite").parquet(_batch_folder(sink, "lateness", batch_id))
+
+
 def read_events(spark: SparkSession, sink: str) -> DataFrame:
     return read_parquet(spark, f"{sink.rstrip('/')}/stream_events", schemas.STREAM_EVENTS + ", batch bigint").drop("batch")
 

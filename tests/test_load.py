@@ -136,6 +136,6 @@ def test_quotes_in_csv(spark, tmp_path):
     (tmp_path / "c.csv").write_text('id,name,kind\n1,"say ""hi"", you",Online\n2,"two\nlines",Direct\n')
     read = tables.read_csv(spark, str(tmp_path / "c.csv"), ["id", "name", "kind"], line_breaks=True)
     wanted = [("1", 'say "hi", you', "Online"), ("2", "two\nlines", "Direct")]
-    assert sorted(map(tuple, read.collect())) == wanted
+    assert sorted(map(tuple, read.drop("_corrupt").collect())) == wanted
     tables.write_csv(read, str(tmp_path / "out"))
-    assert sorted(map(tuple, tables.read_csv(spark, str(tmp_path / "out"), ["id", "name", "kind"], line_breaks=True).collect())) == wanted
+    assert sorted(map(tuple, tables.read_csv(spark, str(tmp_path / "out"), ["id", "name", "kind"]).drop("_corrupt").collect())) == wanted

@@ -151,26 +151,67 @@ def test_late_changes_are_named_and_replays_are_not(spark, history):
     assert rows(found) == sorted(late[:2], key=repr)
 
 
-def test_stored_history(spark, tmp_path):
-    """Batches add versions, log entries and late changes; a repeated batch adds none."""
-    root, day = str(tmp_path), lambda m: dt.datetime(2024, m, 1)
-    ddl = "id int, city string"
-    stored.start(spark, root, "dim_x", spark.createDataFrame([(1, "a"), (2, "b")], ddl), day(1))
-    schema = scd.scd2_init(spark.createDataFrame([], ddl), day(1)).schema
-
-    def apply(*rows):
-        changes = spark.createDataFrame(rows, "id int, city string, at timestamp")
-        return stored.apply(spark, root, "dim_x", changes, "id", ["city"], "at", ddl=schema)
-
-    assert apply((1, "c", day(3)), (2, "b", day(3))) == 1
-    assert apply((1, "c", day(3))) == 0 and stored.late_changes(spark, root).count() == 0
-    assert apply((1, "d", day(2)), (2, "e", day(4))) == 1
-    versions = stored.open_history(spark, root, "dim_x", schema).orderBy("id", "version").collect()
-    assert [(r.id, r.city, r.version, r.is_current) for r in versions] == [
-        (1, "a", 1, 0), (1, "c", 2, 1), (2, "b", 1, 0), (2, "e", 2, 1)]
-    log = stored.change_log(spark, root).orderBy("record_id").collect()
-    assert [(r.table_name, r.record_id, r.new_values) for r in log] == [
-        ("dim_x", "1", '{"city":"c"}'), ("dim_x", "2", '{"city":"e"}')]
-    late = stored.late_changes(spark, root).collect()
-    assert [(r.record_id, r.given_values, r.changed_at) for r in late] == [("1", '{"city":"d"}', day(2))]
+def test_a_replay_of_a_change_without_effect_is_not_late(spark, history):
+    batch = changes(spark, [(1, "Paris", None, day(31)), (1, "Lyon", None, day(60))])
+    after, _ = apply(history, batch)
+    assert scd.scd2_late(after, batch, "customer_id", TRACKED, "changed_at").count() == 0
+
+
+SCHEMA = "id int, city string, zip string"
+GIVEN = [  # some give one column, some repeat a value, some share a time, one is before the first version
+    (1, "b", None, dt.datetime(2024, 3, 1)), (1, "a", None, dt.datetime(2024, 4, 1)), (1, None, "9", dt.datetime(2024, 4, 1)),
+    (1, "a", "1", dt.datetime(2024, 2, 1)), (1, "z", None, dt.datetime(2023, 1, 1)), (2, "x", None, dt.datetime(2024, 2, 1)), (7, "q", None, dt.datetime(2024, 2, 1))]
+
+
+def by_hand(given):
+    """Versions and log of id 1 and 2, by going through the changes in order."""
+    versions, log = [], []
+    for key, city, code in ((1, "a", "1"), (2, "b", "2")):
+        now, since, n = {"city": city, "zip": code}, dt.datetime(2024, 1, 1), 1
+        for g in sorted({g for g in given if g[0] == key and g[3] > since}, key=lambda g: (g[3], [(x is not None, x or "") for x in g[1:3]])):
+            new = {c: v if v is not None else now[c] for c, v in zip(("city", "zip"), g[1:3])}
+            if new != now:
+                versions.append((key, *now.values(), since, g[3], 0, n))
+                log.append((str(key), g[3], ",".join(c for c in new if new[c] != now[c])))
+                now, since, n = new, g[3], n + 1
+        versions.append((key, *now.values(), since, dt.datetime(9999, 12, 31), 1, n))
+    return sorted(versions), sorted(log)
+
+
+def stored_after(spark, root, batches):
+    first = spark.createDataFrame([(1, "a", "1"), (2, "b", "2")], SCHEMA)
+    stored.start(spark, root, "dim_x", first, dt.datetime(2024, 1, 1))
+    schema = scd.scd2_init(first, dt.datetime(2024, 1, 1)).schema
+    wrote = [stored.apply(spark, root, "dim_x", spark.createDataFrame(b, SCHEMA + ", at timestamp"), "id", ["city", "zip"], "at", ddl=schema) for b in batches]
+    found = stored.open_history(spark, root, "dim_x", schema)
+    versions = sorted(tuple(r) for r in found.select("id", "city", "zip", "effective_from", "effective_to", "is_current", "version").collect())
+    log = sorted((r.record_id, r.changed_at, r.changed_fields) for r in stored.change_log(spark, root, "dim_x").collect())
+    return versions, log, wrote, schema
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_any_order_of_changes_gives_one_history(spark, tmp_path, seed):
+    import random
+
+    given = random.Random(seed).sample(GIVEN, len(GIVEN))
+    batches = [given[:4 - seed], given[4 - seed:], given[:3]]  # the last is a replay
+    versions, log, wrote, schema = stored_after(spark, str(tmp_path), batches)
+    assert (versions, log) == by_hand(GIVEN) and wrote[-1] == 0
+    late = stored.late_changes(spark, str(tmp_path), "dim_x", "id", "at", SCHEMA + ", at timestamp", schema).collect()
+    assert [tuple(r) for r in late] == [(1, "z", None, dt.datetime(2023, 1, 1))] or sorted(r.city for r in late) == ["z"]
+
+
+def test_a_batch_of_one_key_writes_one_bucket(spark, tmp_path):
+    root = str(tmp_path)
+    first = spark.range(500).selectExpr("cast(id as int) id", "'a' city", "'1' zip")
+    stored.start(spark, root, "dim_x", first, dt.datetime(2024, 1, 1))
+    schema = scd.scd2_init(first, dt.datetime(2024, 1, 1)).schema
+    before = set(tmp_path.rglob("*.parquet"))
+    one = spark.createDataFrame([(7, "b", dt.datetime(2024, 2, 1))], "id int, city string, at timestamp")  # without the other tracked column
+    assert stored.apply(spark, root, "dim_x", one, "id", ["city", "zip"], "at", ddl=schema) == 1
+    new = set(tmp_path.rglob("*.parquet")) - before
+    buckets = {p.parent.name for p in new if p.parent.name.startswith("bucket=")}
+    assert len(buckets) == 1
+    found = stored.open_history(spark, root, "dim_x", schema)
+    assert found.count() == 501 and rows(found.filter("id = 7"), "city", "zip", "version") == [("a", "1", 1), ("b", "1", 2)]
     assert stored.open_history(spark, root, "dim_customers").count() == 0
