@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-from martwright.llm.words import MASKS, eights, range_hashes
+from martwright.llm.words import AT_ONCE, MASKS, eights, range_hashes
 
 LONGEST = 64  # bytes; longer stretches are not remembered
 MOST = 1 << 20  # stretches; the memory starts anew beyond
@@ -28,6 +28,19 @@ def same_bytes(a: np.ndarray, a_starts: np.ndarray, b: np.ndarray, b_starts: np.
     return same
 
 
+def _unlike(mine: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray, back: np.ndarray) -> np.ndarray:
+    """Which stretches are longer than those remembered, or not equal to the first of their hash."""
+    odd = np.empty(len(starts), bool)
+    for k in range(0, len(starts), AT_ONCE):
+        at = slice(k, k + AT_ONCE)
+        one = first[back[at]]
+        length = ends[at] - starts[at]
+        odd[at] = (length != ends[one] - starts[one]) | (length > LONGEST)
+        like = np.flatnonzero(~odd[at])
+        odd[k + like] = ~same_bytes(mine, starts[at][like], mine, starts[one[like]], length[like])
+    return odd
+
+
 class Remembered:
     """`learn` gives the values of distinct stretches, as flat values and the number of values of each."""
 
@@ -42,11 +55,9 @@ class Remembered:
 
     def __call__(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Values of the given ranges of `raw`, one after the other, and the number of values of each range."""
-        lengths, mine = ends - starts, eights(raw)
+        mine = eights(raw)
         distinct, first, back = np.unique(range_hashes(raw, starts, ends), return_index=True, return_inverse=True)
-        # Who is not equal to the first of its hash stands alone, with all longer ones.
-        odd = (lengths != lengths[first][back]) | (lengths > LONGEST)
-        odd[~odd] = ~same_bytes(mine, starts[~odd], mine, starts[first][back][~odd], lengths[~odd])
+        odd = _unlike(mine, starts, ends, first, back)  # these stand alone
         if odd.any():
             keep, at = np.flatnonzero(~odd), np.flatnonzero(odd)
             alone: dict[bytes, int] = {}
@@ -57,14 +68,15 @@ class Remembered:
             back[keep], back[at] = back_kept, len(used) + np.array(numbers)
             distinct, first = distinct[used], np.concatenate((first[used], at[np.unique(numbers, return_index=True)[1]]))
         n = len(distinct)  # those behind it are not remembered
+        lengths = ends[first] - starts[first]
         at = np.searchsorted(self.keys, distinct)
         known = np.zeros(len(first), bool)
         known[:n] = at < len(self.keys)
         hit = np.flatnonzero(known)
-        known[hit] = (self.keys[at[hit]] == distinct[hit]) & (self.lengths[at[hit]] == lengths[first[hit]])
+        known[hit] = (self.keys[at[hit]] == distinct[hit]) & (self.lengths[at[hit]] == lengths[hit])
         hit = np.flatnonzero(known)
         kept = np.ndarray((len(self.bytes) - 7,), "<u8", self.bytes, strides=(1,))
-        known[hit] = same_bytes(mine, starts[first[hit]], kept, self.places[at[hit]], lengths[first[hit]])
+        known[hit] = same_bytes(mine, starts[first[hit]], kept, self.places[at[hit]], lengths[hit])
         hit = np.flatnonzero(known)
         new = np.flatnonzero(~known)
         where, counts = np.zeros(len(first), np.int64), np.zeros(len(first), np.int32)

@@ -15,6 +15,7 @@ import xxhash
 SPACES = (9, 10, 11, 12, 13, 32)
 PIECE = 1 << 20  # bytes hashed at a time; a longer text is cut at a space
 
+AT_ONCE = 1 << 15  # stretches hashed or compared at a time
 SHORT = 64  # bytes; stretches up to here are hashed eight bytes at a time, longer ones by XXH3
 
 _BASE = 0x9E6C63D0676A9A99
@@ -43,9 +44,14 @@ def range_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     Two chains of 64 bits, of different build, take in a short range; no power of a fixed base is in them, so there are
     no words whose hashes are equal by construction. Ranges that must not be taken for each other are still compared.
     """
-    length = ends - starts
+    eight, out = eights(raw), np.empty(len(starts), np.uint64)
+    for k in range(0, len(starts), AT_ONCE):
+        out[k:k + AT_ONCE] = _hashes(raw, eight, starts[k:k + AT_ONCE], ends[k:k + AT_ONCE] - starts[k:k + AT_ONCE])
+    return out
+
+
+def _hashes(raw: np.ndarray, eight: np.ndarray, starts: np.ndarray, length: np.ndarray) -> np.ndarray:
     one, two = mixed(length.astype(np.uint64) + np.uint64(_BASE)), length.astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
-    eight = eights(raw)
     some = np.flatnonzero((length > 0) & (length <= SHORT))
     at, left = starts[some], length[some]
     while len(some):
@@ -56,7 +62,7 @@ def range_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         more = left > 8
         some, at, left = some[more], at[more] + 8, left[more] - 8
     for k in np.flatnonzero(length > SHORT).tolist():
-        whole = xxhash.xxh3_128_intdigest(raw[starts[k]:ends[k]].tobytes())
+        whole = xxhash.xxh3_128_intdigest(raw[starts[k]:starts[k] + length[k]].tobytes())
         one[k], two[k] = whole >> 64, whole & (1 << 64) - 1
     return mixed(one + mixed(two))
 
