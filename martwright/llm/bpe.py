@@ -16,7 +16,7 @@ from martwright.llm.batches import SLAB, lists, slabs, texts_of, with_columns
 from martwright.llm.prefix_bpe import Merges, bytes_as_text, from_ranks
 from martwright.llm.remembered import Remembered, per_text
 
-PIECE = 1 << 20  # bytes that are cut into stretches at a time, or one text
+PIECE = 1 << 19  # bytes that are cut into stretches at a time, or one text
 
 # First bytes of white space: ASCII, and those of U+0085, U+00A0, U+1680, U+2000 to U+205F, U+3000.
 _MAY_BE_SPACE = np.zeros(256, bool)
