@@ -759,12 +759,12 @@ EVENT_SQL = {
     "stream_lateness_in_batches": star(f"SELECT count(*) AS processed, count(*) FILTER (WHERE is_late) AS late_events FROM ({LATE.replace('arrival, event_id', 'arrival, CAST(event_id AS VARCHAR)')})"),
     "stream_windows_in_batches": star(windows_sql("10 minutes")),
     "window_maps": star("""
-        WITH cells AS (SELECT time_bucket(INTERVAL '1 hour', event_time) AS window_start, event_type, channel FROM sent)
         SELECT a.window_start, events_by_type, channels FROM (
           SELECT window_start, string_agg(event_type || '=' || n, ',' ORDER BY event_type) AS events_by_type
           FROM (SELECT window_start, event_type, count(*) AS n FROM cells GROUP BY ALL) GROUP BY window_start) a
         JOIN (SELECT window_start, string_agg(channel || '=' || n, ',' ORDER BY channel) AS channels
-              FROM (SELECT window_start, channel, count(*) AS n FROM cells GROUP BY ALL) GROUP BY window_start) b ON a.window_start = b.window_start"""),
+              FROM (SELECT window_start, channel, count(*) AS n FROM cells GROUP BY ALL) GROUP BY window_start) b ON a.window_start = b.window_start""",
+        cells="SELECT time_bucket(INTERVAL '1 hour', event_time) AS window_start, event_type, channel FROM sent"),
 }
 
 INGESTED = "TIMESTAMP '2024-01-01' AS ingested_at"
