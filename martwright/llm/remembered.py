@@ -14,7 +14,7 @@ import numpy as np
 from martwright.llm.words import AT_ONCE, MASKS, eights, range_hashes
 
 LONGEST = 64  # bytes; longer stretches are not remembered
-MOST = 1 << 19  # stretches; the memory starts anew beyond
+MOST = 1 << 18  # stretches; the memory starts anew beyond
 
 
 def same_bytes(a: np.ndarray, a_starts: np.ndarray, b: np.ndarray, b_starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
