@@ -56,12 +56,34 @@ def lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array
 
 
 def give_back() -> None:
-    """Hand freed memory of this Python worker, which goes on to other tasks, back to the machine, where the C library can."""
+    """Hand freed memory of this Python worker, which goes on to other tasks, back to the machine: Arrow's, and the C library's where it can."""
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:
         trim(0)
 
 
+def batchwise(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """`run` for `mapInArrow`; what it held is handed back when its task ends."""
+
+    def task(batches):
+        yield from run(batches)
+        give_back()
+
+    return task
+
+
+def groupwise(make: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """`make` for `applyInArrow`; what it held is handed back after each group."""
+
+    def group(table):
+        made = make(table)
+        give_back()
+        return made
+
+    return group
+
+
 def with_columns(df: DataFrame, text: str, fields: str, make: Callable[[pa.RecordBatch], list],
                  limit: int = SLAB) -> DataFrame:
     """`df` with the columns of `fields` (a DDL string), made by `make` from one slice of rows
@@ -78,6 +100,5 @@ def with_columns(df: DataFrame, text: str, fields: str, make: Callable[[pa.Recor
         for part in slabs(batches, text, limit):
             columns = [part.column(i) for i in range(len(kept))]
             yield pa.RecordBatch.from_arrays(columns + make(part), names=names)
-        give_back()
 
-    return read.mapInArrow(run, StructType(kept + added.fields))
+    return read.mapInArrow(batchwise(run), StructType(kept + added.fields))

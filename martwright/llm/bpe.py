@@ -12,7 +12,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from martwright.llm.batches import SLAB, lists, slabs, texts_of, with_columns
+from martwright.llm.batches import SLAB, batchwise, lists, slabs, texts_of, with_columns
 from martwright.llm.prefix_bpe import Merges, bytes_as_text, from_ranks
 from martwright.llm.remembered import Remembered, per_text
 
@@ -200,4 +200,4 @@ def decode(df: DataFrame, ranks: str, ids: str = "ids", out: str = "decoded") ->
             found = [decoded_bytes(table, x or []) for x in part.column(part.schema.get_field_index(ids)).to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column(n) for n in names[:-1]] + [pa.array(found, pa.binary())], names=names)
 
-    return df.select(*names[:-1]).mapInArrow(run, StructType([*kept, StructField(out, BinaryType())]))
+    return df.select(*names[:-1]).mapInArrow(batchwise(run), StructType([*kept, StructField(out, BinaryType())]))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martwright.llm.batches import slabs, texts_of, unused, with_columns
+from martwright.llm.batches import batchwise, slabs, texts_of, unused, with_columns
 from martwright.llm.words import word_hashes
 
 PASSAGE, OVERLAP = 64, 52  # words of a passage, words that two passages of an item share: each run of so many lies in one
@@ -116,7 +116,7 @@ def _document_frequencies(docs: DataFrame, passages: Passages, text: str) -> tup
         filled = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(filled), pa.array(sums[filled])], names=["term", "n"])
 
-    counted = docs.select(text).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    counted = docs.select(text).mapInArrow(batchwise(run), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     found = np.zeros(len(passages.terms) + 1, np.int64)
     for term, n in counted.collect():  # one row for each term of a part of the benchmark at most
         found[term] = n
@@ -344,7 +344,7 @@ def latent_space(benchmark: DataFrame, docs: DataFrame, passages: Passages, text
                     share[term] += row[:, None] * (row @ directions[term])[None, :]
             yield pa.RecordBatch.from_arrays([pa.array([share.tobytes()], pa.binary())], names=["share"])
 
-        shares = rows.mapInArrow(run, "share binary").toLocalIterator()
+        shares = rows.mapInArrow(batchwise(run), "share binary").toLocalIterator()
         return sum((np.frombuffer(s[0]).reshape(directions.shape) for s in shares), np.zeros_like(directions))
 
     directions = np.random.default_rng(7).standard_normal((len(held), min(dimensions + EXTRA, len(held))))

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martwright.llm.batches import lists, slabs, texts_of, unused
+from martwright.llm.batches import batchwise, groupwise, lists, slabs, texts_of, unused
 from martwright.llm.components import components
 from martwright.llm.words import mixed, shingle_hashes, word_hashes
 from martwright.session import cut
@@ -94,7 +94,7 @@ def _sketches(df: DataFrame, doc_id: str, text: str, bodies: bool = False) -> Da
 
     read = df.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias(text))
     kind = "chunk long, ids array<long>, sizes array<int>, digests array<binary>, heads array<long>"
-    return cut(read.mapInArrow(run, kind + ", bodies array<binary>" * bodies))
+    return cut(read.mapInArrow(batchwise(run), kind + ", bodies array<binary>" * bodies))
 
 
 def _flat(column: pa.Array, row: int) -> np.ndarray:
@@ -134,8 +134,8 @@ def _shared_heads(chunks: DataFrame) -> DataFrame:
         found = [p[s] for p, s in zip(parts, np.split(shared, np.cumsum([len(p) for p in parts])[:-1]))]
         return pa.table({"chunk": table.column("chunk"), "tokens": pa.array([f.tobytes() for f in found], pa.binary())})
 
-    dealt = chunks.select("chunk", "sizes", "heads", "active").mapInArrow(deal, "shard long, chunk long, tokens binary, several binary")
-    return dealt.groupBy("shard").applyInArrow(meet, "chunk long, tokens binary").filter(F.length("tokens") > 0)
+    dealt = chunks.select("chunk", "sizes", "heads", "active").mapInArrow(batchwise(deal), "shard long, chunk long, tokens binary, several binary")
+    return dealt.groupBy("shard").applyInArrow(groupwise(meet), "chunk long, tokens binary").filter(F.length("tokens") > 0)
 
 
 def _active(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, list[tuple[int, int, np.ndarray]]]:
@@ -165,7 +165,7 @@ def _possible(chunks: DataFrame, shared: DataFrame) -> DataFrame:
                     [pa.array([batch.column(0)[row].as_py()] * len(left), pa.int64()), pa.array(left, pa.int32())], names=["chunk", "place"])
 
     found = shared.groupBy("chunk").agg(F.collect_list("tokens").alias("found"))  # no more than the chunk's own tokens
-    return chunks.join(found, "chunk").select("chunk", "sizes", "heads", "active", "found").mapInArrow(run, "chunk long, place int")
+    return chunks.join(found, "chunk").select("chunk", "sizes", "heads", "active", "found").mapInArrow(batchwise(run), "chunk long, place int")
 
 
 def _class_sets(df: DataFrame, possible: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -183,7 +183,7 @@ def _class_sets(df: DataFrame, possible: DataFrame, doc_id: str, text: str) -> D
                 [pa.array([digest(s) if len(s) else b"" for s in sets], pa.binary()),
                  lists(np.concatenate(sets).view(np.int64), np.array([len(s) for s in sets]), pa.int64())], names=["digest", "tokens"])
 
-    sets = docs.mapInArrow(run, "digest binary, tokens array<long>").join(possible.select("digest", "copies"), "digest")
+    sets = docs.mapInArrow(batchwise(run), "digest binary, tokens array<long>").join(possible.select("digest", "copies"), "digest")
     return cut(sets.dropDuplicates(["digest"]).withColumn("cls", F.monotonically_increasing_id()))
 
 
@@ -277,7 +277,7 @@ def _links(classes: DataFrame, families: DataFrame) -> DataFrame:
             out.append((cls[a:b], cls[a:b][near], degree.astype(np.int64)))
         return pa.table({k: pa.array(np.concatenate([o[i] for o in out])) for i, k in enumerate(("cls", "root", "links"))})
 
-    return cut(placed.groupBy("place", "alone", "a", "b").applyInArrow(compare, "cls long, root long, links long"))
+    return cut(placed.groupBy("place", "alone", "a", "b").applyInArrow(groupwise(compare), "cls long, root long, links long"))
 
 
 def _labelled(df: DataFrame, doc_id: str, text: str, bodies: bool = False) -> tuple[DataFrame, DataFrame]:

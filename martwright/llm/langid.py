@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martwright.llm.batches import slabs, texts_of, with_columns
+from martwright.llm.batches import batchwise, slabs, texts_of, with_columns
 from martwright.llm.words import PIECE, _pieces
 
 PROFILE = 400  # n-grams in a language's profile
@@ -98,7 +98,7 @@ def learn(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(codes)), pa.array(codes), pa.array(counts)], names=["lang", "code", "n"])
 
     known = df.filter(F.col(lang).isNotNull()).select(F.col(lang).alias(lang), text)
-    counts = known.mapInArrow(run, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    counts = known.mapInArrow(batchwise(run), "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code")) - 1
     return counts.withColumn("place", place).filter(F.col("place") < PROFILE).select("lang", "code", "place")
 
