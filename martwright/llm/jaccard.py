@@ -36,7 +36,7 @@ from martwright.session import cut
 PERCENT = 80  # sets link from this similarity on
 SHINGLE = 5
 CHUNK = 16 << 20  # bytes of text whose documents' leading tokens travel as one row
-SHARD = 1 << 21  # leading tokens that one task compares
+SHARD = 1 << 19  # leading tokens that one task compares
 SQUARE = 512  # classes on each side of a block of comparisons
 BUNDLE = 1024  # classes of small families that share a task
 COLUMNS = 2048  # tokens of a block that are multiplied at a time
