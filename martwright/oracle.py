@@ -249,6 +249,12 @@ SALES_SQL = {
         SELECT {MONTH}, count(sale_id) AS orders, {dbl('sum(total_amount)')} AS revenue, {dbl('sum(profit)')} AS profit,
                count(DISTINCT customer_id) AS unique_customers
         FROM {BY_DATE} GROUP BY {MONTH} ORDER BY year, month"""),
+    "approximate_reach": star("""
+        SELECT CAST(year * 100 + month AS BIGINT) AS year_month, CAST(NULL AS BIGINT) AS channel_id, count(DISTINCT customer_id) AS unique_customers,
+               TRUE AS within_error
+        FROM fact_sales JOIN dim_date USING (date_id) GROUP BY 1
+        UNION ALL SELECT NULL, channel_id, count(DISTINCT customer_id), TRUE FROM fact_sales GROUP BY channel_id
+        UNION ALL SELECT NULL, NULL, count(DISTINCT customer_id), TRUE FROM fact_sales"""),
     "sales_by_category": star(f"""
         SELECT category, count(sale_id) AS orders, {dbl('sum(total_amount)')} AS revenue, {dbl('sum(profit)')} AS profit,
                {pct('sum(profit)', 'sum(total_amount)')} AS margin_pct

@@ -18,9 +18,18 @@ from martwright.plans import views
 from martwright.sources import schemas
 from martwright.sources import tables as store
 
+LG_K = 14  # a sketch of distinct customers has 2^LG_K registers of 6 bits at most, whatever it has seen
+REACH_ERROR = 3 * 1.04 / 2 ** (LG_K / 2)  # three standard errors of a merged sketch, as a share of the count
 MONTH = "year_month"  # year * 100 + month; 0 for facts whose date the calendar does not have
 
 FACTS = {"fact_sales": schemas.STAR["fact_sales"], "fact_user_activity": schemas.STAR["fact_user_activity"]}
+
+
+def customer_sketches(sales: DataFrame, *by: str) -> DataFrame:
+    """Sketches of the distinct customers by `by` and channel; sketches of such rows can be merged in any grouping."""
+    return sales.groupBy(*by, "channel_id").agg(F.hll_sketch_agg("customer_id", LG_K).alias("customers"))
+
+
 PARTIALS = {
     "sales_by_product": (
         "fact_sales", views.sales_by_product,
@@ -29,6 +38,7 @@ PARTIALS = {
     "sessions_by_customer": (
         "fact_user_activity", views.sessions_by_customer,
         "customer_id bigint, n_sessions bigint, seconds bigint, n_seconds bigint, pages bigint, n_pages bigint"),
+    "customers_by_channel": ("fact_sales", customer_sketches, "channel_id bigint, customers binary"),
 }
 
 
@@ -64,6 +74,16 @@ def load_months(spark: SparkSession, root: str, facts: Mapping[str, DataFrame],
     return touched
 
 
+def reach(spark: SparkSession, root: str, *by: str) -> DataFrame:
+    """About how many distinct customers bought, by month (`year_month`), channel (`channel_id`), both, or in all.
+
+    Opt-in beside the exact counts, which have to see every sale again: only the stored sketches are read, one a month and
+    channel, and merged. The count is off by at most REACH_ERROR but for about one count in 370. Unknown customers are not counted.
+    """
+    merged = F.hll_sketch_estimate(F.hll_union_agg("customers"))
+    return read_months(spark, root, "customers_by_channel").groupBy(*by).agg(F.coalesce(merged, F.lit(0).cast("bigint")).alias("customers"))
+
+
 def view(spark: SparkSession, root: str, dims: Mapping, name: str) -> DataFrame:
     """A semantic view from the partial sums of all months and the dimensions as they are."""
     dim = lambda table: store.pick(dims, table, *schemas.names(schemas.STAR[table]))

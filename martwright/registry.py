@@ -171,19 +171,33 @@ def _load_queries() -> dict[str, Query]:
         root = scratch_path(s.spark, "warehouse")
         return load.materialize_views(s.spark, s.tables(), root).frame(s.spark).select("phase", "table_name", "rows")
 
+    def in_months(s: Star, *tables: str) -> str:
+        """A warehouse after a first load of all months, of one with half its sales, and a second load of that month alone."""
+        root, days = scratch_path(s.spark, "warehouse"), s.dates()
+        facts = {t: store.pick(s.tables(), t, *schemas.names(monthly.FACTS[t])) for t in tables or monthly.FACTS}
+        changed = facts["fact_sales"].join(days.filter("year = 1998 AND month = 2").select("date_id"), "date_id", "left_semi")
+        first = facts["fact_sales"].join(days.filter("year = 1998 AND month = 2 AND day_of_week > 2").select("date_id"), "date_id", "left_anti")
+        monthly.load_months(s.spark, root, {**facts, "fact_sales": first}, days)
+        monthly.load_months(s.spark, root, {"fact_sales": changed}, days)
+        return root
+
     def kept_up(name: str) -> Query:
-        """A view after a first load of all months, of one with half its sales, and a second load of that month alone."""
-        def query(s: Star) -> DataFrame:
-            root, tables = scratch_path(s.spark, "warehouse"), s.tables()
-            facts = {t: store.pick(tables, t, *schemas.names(ddl)) for t, ddl in monthly.FACTS.items()}
-            days = s.dates()
-            changed = facts["fact_sales"].join(days.filter("year = 1998 AND month = 2").select("date_id"), "date_id", "left_semi")
-            first = facts["fact_sales"].join(days.filter("year = 1998 AND month = 2 AND day_of_week > 2").select("date_id"), "date_id", "left_anti")
-            monthly.load_months(s.spark, root, {**facts, "fact_sales": first}, days)
-            monthly.load_months(s.spark, root, {"fact_sales": changed}, days)
-            return monthly.view(s.spark, root, tables, name)
-
-        return query
+        return lambda s: monthly.view(s.spark, in_months(s), s.tables(), name)
+
+    def reach(s: Star) -> DataFrame:
+        """Exact distinct customers by month, by channel and in all, and whether the merged sketches are within their error."""
+        root, by = in_months(s, "fact_sales"), (monthly.MONTH, "channel_id")
+        sold = monthly.read_months(s.spark, root, "fact_sales")
+
+        def level(*keys: str) -> DataFrame:
+            exact = sold.groupBy(*keys).agg(F.countDistinct("customer_id").alias("exact"))
+            about = monthly.reach(s.spark, root, *keys)
+            both = exact.join(about, list(keys)) if keys else exact.withColumn("customers", about.scalar())
+            within = F.abs(F.col("customers") - F.col("exact")) <= F.ceil(F.col("exact") * monthly.REACH_ERROR)
+            return both.select(
+                *[(F.col(k) if k in keys else F.lit(None)).cast("bigint").alias(k) for k in by], F.col("exact").alias("unique_customers"), within.alias("within_error"))
+
+        return level(by[0]).unionByName(level(by[1])).unionByName(level())
 
     def loaded(s: Star) -> str:
         """A warehouse loaded from CSV files of all tables."""
@@ -236,6 +250,7 @@ def _load_queries() -> dict[str, Query]:
         "create_if_absent": created,
         "materialize_views": materialized,
         **{f"kept_{name}": kept_up(name) for name in load.VIEWS},
+        "approximate_reach": reach,
         "load_star_from_csv": from_csv,
         "read_back_sales": lambda s: store.read_table(s.spark, loaded(s), "fact_sales", schemas.STAR["fact_sales"]),
         "quarantined_customers": quarantined_customers,

@@ -93,3 +93,22 @@ def test_a_load_that_fails_changes_nothing(spark, tmp_path, dims):
 def test_nothing_loaded(spark, tmp_path, dims):
     assert monthly.read_months(spark, str(tmp_path), "fact_sales").count() == 0
     assert monthly.view(spark, str(tmp_path), dims, "v_monthly_sales").count() == 0
+
+
+def test_reach_within_its_error(spark, tmp_path, dims):
+    """Distinct customers from merged sketches, many of them in several months and channels; a second load replaces a month's sketch."""
+    root, n = str(tmp_path / "w"), 60_000
+    sold = spark.range(3 * n).selectExpr(
+        "id sale_id", f"if(id % 50 > 0, id % {n}, null) customer_id", f"case when id < {n} then 1L when id < {2 * n} then 40L else 70L end date_id",
+        "1 + id % 2 channel_id", "1L product_id", "1 quantity", "cast(5 as decimal(16,6)) unit_price", "cast(0 as decimal(8,6)) discount",
+        "cast(5 as decimal(18,2)) total_amount", "cast(1 as decimal(18,2)) profit")
+    monthly.load_months(spark, root, {"fact_sales": sold}, dims["dim_date"])
+    monthly.load_months(spark, root, {"fact_sales": sold.filter("date_id = 40 AND customer_id < 1000")}, dims["dim_date"])
+    left = sold.filter("date_id != 40 OR customer_id < 1000").withColumn(
+        "year_month", F.when(F.col("date_id") == 1, 202401).when(F.col("date_id") == 40, 202402).otherwise(202403))
+    for by in ([], ["channel_id"], ["year_month"], ["year_month", "channel_id"]):
+        exact = {tuple(r)[:-1]: r[-1] for r in left.groupBy(*by).agg(F.countDistinct("customer_id")).collect()}
+        about = {tuple(r)[:-1]: r[-1] for r in monthly.reach(spark, root, *by).collect()}
+        assert exact.keys() == about.keys()
+        assert all(abs(about[k] - n) <= n * monthly.REACH_ERROR for k, n in exact.items())
+    assert monthly.reach(spark, str(tmp_path / "none")).first().customers == 0
