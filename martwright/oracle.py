@@ -249,6 +249,17 @@ SALES_SQL = {
         SELECT {MONTH}, count(sale_id) AS orders, {dbl('sum(total_amount)')} AS revenue, {dbl('sum(profit)')} AS profit,
                count(DISTINCT customer_id) AS unique_customers
         FROM {BY_DATE} GROUP BY {MONTH} ORDER BY year, month"""),
+    "landed_schema_versions": """
+        SELECT * FROM (VALUES
+            ('v0', 'customer_id', 'same'), ('v0', 'email', 'same'), ('v0', 'credit', 'widened'), ('v0', 'phone', 'missing'),
+            ('v1', 'customer_id', 'same'), ('v1', 'email', 'same'), ('v1', 'credit', 'widened'), ('v1', 'phone', 'missing'), ('v1', 'city', 'added'),
+            ('v2', 'customer_id', 'same'), ('v2', 'email', 'same'), ('v2', 'credit', 'changed'), ('v2', 'phone', 'missing')) t(version, field, verdict)""",
+    "landed_in_declared_schema": star("""
+        SELECT customer_id, email, CASE WHEN customer_id % 3 = 0 THEN CAST(customer_id AS DOUBLE) ELSE customer_id + CAST(0.5 AS DOUBLE) END AS credit,
+               CAST(NULL AS VARCHAR) AS phone
+        FROM dim_customers WHERE customer_id % 3 < 2"""),
+    "landed_in_other_schema": star("""
+        SELECT customer_id, 'credit: double became STRING' AS problem FROM dim_customers WHERE customer_id % 3 = 2"""),
     "approximate_reach": star("""
         SELECT CAST(year * 100 + month AS BIGINT) AS year_month, CAST(NULL AS BIGINT) AS channel_id, count(DISTINCT customer_id) AS unique_customers,
                TRUE AS within_error

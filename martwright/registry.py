@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from martwright.operators import cleaning, keyed, quality, scd
 from martwright.plans import advanced, audit, history, live, load, monthly, sales, views
 from martwright.session import scratch_path
-from martwright.sources import schemas
+from martwright.sources import evolution, schemas
 from martwright.sources import tables as store
 from martwright.sources.star import ARRIVAL_MOD, Star, as_stream_event, with_repeats
 from martwright.streaming import events as ev
@@ -239,7 +239,27 @@ def _load_queries() -> dict[str, Query]:
         landed = store.read_csv(s.spark, landing, columns)
         return cleaning.split(cleaning.customers(landed))[1].select("problem", "customer_id", "email")
 
+    def evolving(s: Star) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Customers landed in three files' schemas: whole credits, credits with a point and a city, credits as text."""
+        landing, number = scratch_path(s.spark, "landing"), F.col("customer_id")
+        shapes = {
+            "v0": [number.alias("customer_id"), F.col("email"), number.alias("credit")],
+            "v1": [number.alias("customer_id"), F.col("email"), (number + F.lit("0.5").cast("decimal(2,1)")).alias("credit"), F.lit("Rome").alias("city")],
+            "v2": [number.alias("customer_id"), F.col("email"), F.concat(number, F.lit(" EUR")).alias("credit")]}
+        for k, (version, columns) in enumerate(shapes.items()):
+            s.customers().filter(number % 3 == k).select(F.to_json(F.struct(*columns)).alias("value")).write.text(f"{landing}/{version}")
+        return evolution.read_evolving(s.spark, f"{landing}/*", "customer_id bigint, email string, credit double, phone string")
+
+    def evolving_versions(s: Star) -> DataFrame:
+        return evolving(s)[2].select(F.regexp_extract("file", "/(v[0-9])/[^/]*$", 1).alias("version"), F.col("column").alias("field"), "verdict").distinct()
+
+    def evolving_quarantine(s: Star) -> DataFrame:
+        return evolving(s)[1].select(F.get_json_object("value", "$.customer_id").cast("bigint").alias("customer_id"), "problem")
+
     return {
+        "landed_schema_versions": evolving_versions,
+        "landed_in_declared_schema": lambda s: evolving(s)[0],
+        "landed_in_other_schema": evolving_quarantine,
         "build_dim_date": lambda s: s.dates(),
         "clean_customers": clean_customers,
         "clean_sales": lambda s: clean_sales(s, 0),
