@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martwright.operators.ordered import Ordered
@@ -19,6 +19,7 @@ from martwright.operators.ordered import Ordered
 OPEN_END = "9999-12-31 00:00:00"
 VALIDITY = ["effective_from", "effective_to", "is_current", "version", "change_type"]
 SEQUENCE = "_sequence"
+SLICE = 64  # versions of a key that stand in one row of the as-of join
 
 
 def _open_end() -> Column:
@@ -180,22 +181,27 @@ def scd_as_of(history: DataFrame, at: Column | dt.datetime | str) -> DataFrame:
 
 
 def scd_join_as_of(facts: DataFrame, history: DataFrame, key: str, at: str, out: str = "version") -> DataFrame:
-    """Facts with the version that was valid at their time; NULL before the first one.
+    """Facts with the version that was valid at their time; NULL before the first one, without a key and without a time.
 
-    Versions and facts are sorted together and the last version is carried forward, so a key with
-    many facts and many versions costs their sum and not their product.
+    The versions of a key are cut into slices of SLICE by their number, which rises with their time as in all histories of
+    this module. A slice is one row with the time it begins and the time the next one does, so that one slice at most fits a
+    fact. Facts are shuffled once, on their key, and not sorted as a whole; the slices of a key with many facts go to as many
+    tasks as its facts are split into. Within the slice the version is the last one that begins in time.
     """
-    moment = F.col(at).cast("timestamp")
-    payload = F.struct(*facts.columns)
-    events = facts.select(key, moment.alias("_at"), F.lit(1).alias("_side"), F.lit(None).cast("int").alias(out), payload.alias("_fact"))
-    starts = history.select(
-        key, F.col("effective_from").alias("_at"), F.lit(0).alias("_side"), F.col("version").cast("int").alias(out),
-        F.lit(None).cast(events.schema["_fact"].dataType).alias("_fact"))
-    keyed = events.filter(F.col(key).isNotNull()).unionByName(starts)
-    rows = Ordered.of(keyed, [key, "_at", "_side", out, "_fact"], by=[key]).fill_forward([out])
-    found = rows.plain().filter(F.col("_side") == 1).select("_fact.*", out)
-    lost = facts.filter(F.col(key).isNull()).withColumn(out, F.lit(None).cast("int"))
-    return found.unionByName(lost)
+    begins, number = F.col("effective_from"), F.col("version").cast("int")
+    slices = (
+        history.filter(F.col(key).isNotNull() & begins.isNotNull())
+        .groupBy(F.col(key).alias("_key"), F.floor(number / SLICE).alias("_slice"))
+        .agg(F.min(begins).alias("_first"), F.collect_set(F.struct(begins.alias("begins"), number.alias("number"))).alias("_starts"))
+    )
+    following = F.lead("_first").over(Window.partitionBy("_key").orderBy("_slice"))  # one row a slice
+    slices = slices.withColumn("_until", following)
+    fact = F.col("_fact")
+    moment = fact[at].cast("timestamp")
+    fits = (fact[key] == F.col("_key")) & (moment >= F.col("_first")) & (F.col("_until").isNull() | (moment < F.col("_until")))
+    placed = facts.select(F.struct(*facts.columns).alias("_fact")).join(slices, fits, "left")
+    last = F.array_max(F.filter("_starts", lambda start: start["begins"] <= moment))
+    return placed.select("_fact.*", last["number"].alias(out))
 
 
 def scd1_apply(dim: DataFrame, changes: DataFrame, key: str, tracked: Sequence[str], at: str) -> DataFrame:

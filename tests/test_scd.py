@@ -124,6 +124,35 @@ def test_join_as_of(many_buckets, spark, history):
     assert got[100] is None and got[101] is None
 
 
+def test_join_as_of_over_many_slices(spark):
+    """Keys of 1, 63, 64, 65 and 400 versions; some share a start, one does so across the border of two slices."""
+    rng, starts = random.Random(5), []
+    for key, n in ((1, 1), (2, 63), (3, 64), (4, 65), (5, 400)):
+        at = 0
+        for version in range(1, n + 1):
+            starts.append((key, day(at), version))
+            at += 0 if version in (63, 70, 127) else rng.randrange(1, 4)
+    versions = spark.createDataFrame(starts, "customer_id int, effective_from timestamp, version int")
+    given = [(i, rng.choice([1, 2, 3, 4, 5, 5, 5, 6, None]), rng.choice([None, *[day(rng.randrange(-3, 900)) for _ in range(9)]])) for i in range(1500)]
+    facts = spark.createDataFrame(given, "_key int, customer_id int, at timestamp").withColumn("_slice", F.col("_key"))
+    found = scd.scd_join_as_of(facts, versions, "customer_id", "at", "valid")
+    assert found.columns == ["_key", "customer_id", "at", "_slice", "valid"]
+
+    def brute(key, at):
+        return max((((s, v)) for k, s, v in starts if k == key and at is not None and s <= at), default=(None, None))[1]
+
+    assert {r["_key"]: r.valid for r in found.collect()} == {i: brute(key, at) for i, key, at in given}
+    assert scd.scd_join_as_of(facts, versions.limit(0), "customer_id", "at").filter("version IS NULL").count() == 1500
+    assert scd.scd_join_as_of(facts.limit(0), versions, "customer_id", "at").count() == 0
+
+
+def test_join_as_of_shuffles_facts_once(spark):
+    facts = spark.range(1000).selectExpr("id", "cast(id % 7 as int) customer_id", "timestamp_seconds(id) at")
+    versions = spark.range(70).selectExpr("cast(id % 7 as int) customer_id", "timestamp_seconds(id * 10) effective_from", "cast(id div 7 + 1 as int) version")
+    plan = scd.scd_join_as_of(facts, versions.hint("merge"), "customer_id", "at")._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
 def test_types_one_and_three(spark, history):
     dim = scd.scd_current(history).select("customer_id", "city", "country")
     batch = changes(spark, [(1, "Lyon", None, day(1)), (1, "Nice", None, day(2)), (2, "Rome", "CH", day(1))])
