@@ -770,6 +770,8 @@ EVENT_SQL = {
         mobile=windows_sql("1 hour", "sent WHERE channel = 'mobile'")),
     "stream_events_sink": star(STORED),
     "stream_events_sink_bounded": star(STORED),
+    "stream_events_by_slot": star(STORED),
+    "stream_windows_by_slot": star(windows_sql("10 minutes")),
     "stream_windows_sink": star(windows_sql("10 minutes")),
     "stored_stream_windows": star(windows_sql("10 minutes")),
     "stream_lateness": star(f"SELECT count(*) AS processed, count(*) FILTER (WHERE is_late) AS late_events FROM ({LATE.replace('arrival, event_id', 'arrival, CAST(event_id AS VARCHAR)')})"),

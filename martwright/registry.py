@@ -383,12 +383,12 @@ def _event_queries() -> dict[str, Query]:
                 1).write.mode("append").parquet(folder)
         return folder
 
-    def in_batches(s: Star, read) -> DataFrame:
+    def in_batches(s: Star, read, copies_slot: int | None = None) -> DataFrame:
         """All results of a stream of four micro-batches, one file each."""
         folder, sink = landed(s), scratch_path(s.spark, "stream")
         ddl = schemas.STREAM_EVENTS + ", arrival bigint"
         source = ev.event_source(s.spark, folder, ddl, files_per_batch=1, file_format="parquet")
-        run.run_all(source, sink, f"{sink}/checkpoint", size="10 minutes", order=order).awaitTermination()
+        run.run_all(source, sink, f"{sink}/checkpoint", size="10 minutes", order=order, copies_slot=copies_slot).awaitTermination()
         return read(s.spark, sink)
 
     def streamed(s: Star, start, read, *args, **options) -> DataFrame:
@@ -419,6 +419,8 @@ def _event_queries() -> dict[str, Query]:
         "upsert_replace": upserted,
         "stream_events_sink": lambda s: streamed(s, run.run_events, run.read_events, order=order),
         "stream_events_sink_bounded": lambda s: in_batches(s, run.read_events),
+        "stream_events_by_slot": lambda s: in_batches(s, run.read_events, 86400),
+        "stream_windows_by_slot": lambda s: in_batches(s, run.read_windows, 86400),
         "stream_windows_in_batches": lambda s: in_batches(s, run.read_windows),
         "stream_lateness_in_batches": lambda s: in_batches(s, run.read_lateness),
         "window_maps": lambda s: ev.window_maps(cells(s)).select(

@@ -172,6 +172,43 @@ def test_old_events_and_copies_out_of_order(spark, tmp_path):
     assert run.read_lateness(spark, sink).first() == (4, expected_late(unique)) == (4, 1)
 
 
+def test_a_batch_reads_only_the_slots_it_can_hit(spark, tmp_path):
+    """Ten batches of one hour each, the last with copies of its own and of the first hour's events."""
+    folder, sink = tmp_path / "in", str(tmp_path / "sink")
+    folder.mkdir()
+    base, sent = make(1)[0], 0
+
+    def event(hour, k, **other):
+        nonlocal sent
+        sent += 1
+        at = None if hour is None else (START + dt.timedelta(hours=hour, minutes=k)).isoformat()
+        return {**base, "event_id": f"e{hour}-{k}", "event_time": at, "processing_time": (START + dt.timedelta(days=1, seconds=sent)).isoformat(), **other}
+
+    for hour in range(9):
+        write(folder, f"{hour}.json", [event(hour, k) for k in range(20)] + [event(hour, 3, channel="again")])
+    write(folder, "9.json", [event(9, k) for k in range(20)] + [event(0, 5, channel="again"), event(9, 1, channel="again"), event(None, 1), event(None, 1, channel="again")])
+    columns = [*schemas.names(schemas.STREAM_EVENTS)]
+    run.run_all(stream(spark, folder), sink, f"{sink}/c", copies_slot=3600).awaitTermination()
+    unique = ev.dedup_events(batch(spark, folder))
+    assert unique.count() == 201 and rows(run.read_events(spark, sink), *columns) == rows(unique, *columns)
+    assert run.read_windows(spark, sink).agg(F.sum("total_events")).first()[0] == 200  # one has no time
+    assert run.read_lateness(spark, sink).first() == (201, expected_late(unique.filter("event_time IS NOT NULL")))
+
+    stored, hour = f"{sink}/stream_events", int(START.replace(tzinfo=dt.timezone.utc).timestamp()) // 3600
+    hit = run.stored_slots(spark, stored, "event_id string", [hour, hour + 9, run.NO_TIME])
+    assert {f.split("/slot=")[1].split("/")[0] for f in hit.inputFiles()} == {str(hour), str(hour + 9), str(run.NO_TIME)}
+    assert hit.select("event_id").count() == 41 and len(hit.inputFiles()) < len(run.read_events(spark, sink).inputFiles()) / 2
+    assert run.stored_slots(spark, stored, "event_id string", [hour + 99]).count() == 0
+
+
+def test_slots_beyond_the_limit_give_the_same_rows(spark, landed, tmp_path, monkeypatch):
+    monkeypatch.setattr(run, "MAX_SLOTS", 3)
+    sink = str(tmp_path / "sink")
+    run.run_events(stream(spark, landed), sink, f"{sink}/c1", slot=5).awaitTermination()
+    unique, columns = ev.dedup_events(batch(spark, landed)), schemas.names(schemas.STREAM_EVENTS)
+    assert rows(run.read_events(spark, sink), *columns) == rows(unique, *columns)
+
+
 def test_reading_before_any_run(spark, tmp_path):
     assert run.read_windows(spark, str(tmp_path)).count() == 0
     assert tuple(run.read_lateness(spark, str(tmp_path)).first()) == (0, 0)
