@@ -105,3 +105,28 @@ def test_fences_are_strict(spark):
 def test_profile_of_a_constant_column(spark):
     got = quality.profile_numeric(frame(spark, [3, 3, 3]), "t", ["v"]).first()
     assert (got["count"], got["min"], got["mean"], got["median"], got["std"], got["skewness"]) == (3, 3.0, 3.0, 3.0, 0.0, 0.0)
+
+
+def test_profile_about_the_rounded_mean(spark):
+    """Far from zero, near it, constant with digits beyond the mean's, and without values."""
+    rng = random.Random(8)
+    data = [(1e6 + rng.gauss(0, 0.4), rng.expovariate(3), 3.333, None, float("nan") if i % 5 == 0 else rng.choice([1.0, 1.0, 7.0])) for i in range(400)]
+    df = spark.createDataFrame(data, "far double, near double, same double, none double, holes double")
+    got = {r["column"][2:]: r for r in quality.profile_numeric(df, "t", df.columns).collect()}
+    for i, name in enumerate(df.columns):
+        values = [row[i] for row in data if row[i] is not None and row[i] == row[i]]
+        assert got[name]["count"] == len(values)
+        if values:
+            mean = round(sum(values) / len(values), 2)
+            std = (sum((v - mean) ** 2 for v in values) / len(values)) ** 0.5
+            third = sum((v - mean) ** 3 for v in values) / len(values)
+            assert got[name]["std"] == pytest.approx(std, abs=0.0051)
+            assert got[name]["skewness"] == pytest.approx(third / std**3, abs=0.00051)
+    assert got["none"]["std"] is None and got["none"]["skewness"] is None
+
+
+def test_few_values_are_counted_and_not_sorted(spark, monkeypatch):
+    df = frame(spark, [v for v in (1, 2, 2, 2, 5) for _ in range(4000)])
+    monkeypatch.setattr(quantiles.Ordered, "of", lambda *_: pytest.fail("sorted"))
+    got = at(df, "v", MEDIAN | QUARTILES)
+    assert got == {"median_lo": 2, "median_hi": 2, "q1": 2, "q3": 2}
