@@ -15,9 +15,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from martwright.operators.ordered import Ordered
 from martwright.session import cut
 
-STRETCH = 256  # turns that a window or a rendered part holds at most
+STRETCH = 256  # turns that a rendered part holds at most, and numbers of turns that are ordered by one window
+ONE_WINDOW = 1 << 16  # rows that one window orders; more of them, as turns without or with one number may be, are sorted over many tasks
+NO_NUMBER = -1 << 62  # stands for the stretch of turns without a number; it comes first
 OPENING, BETWEEN, CLOSING = "<|im_start|>", "\n", "<|im_end|>\n"
 
 
@@ -31,19 +34,31 @@ def placed(turns: DataFrame) -> DataFrame:
     Turns without conv_id belong to no conversation and are left out. Null roles and texts count as
     empty. Turns are ordered by turn (nulls first), then role and text; repeated rows all count.
     """
+    group = ["conv_id", "_part"]
     known = turns.filter(F.col("conv_id").isNotNull()).select(
         "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     # Numbers within a stretch of turn numbers first, then the sizes of the stretches before it.
-    part = known.withColumn("_part", F.floor(F.col("turn") / STRETCH))
-    sizes = part.groupBy("conv_id", "_part").agg(F.count("*").alias("_size"))
-    earlier = Window.partitionBy("conv_id").orderBy(F.col("_part").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    part = known.withColumn("_part", F.coalesce(F.floor(F.col("turn") / STRETCH).cast("long"), F.lit(NO_NUMBER)))
+    sizes = cut(part.groupBy(*group).agg(F.count("*").alias("_size")))
+    earlier = Window.partitionBy("conv_id").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     before = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
-    inside = Window.partitionBy("conv_id", "_part").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
-    numbered = part.withColumn("_row", F.row_number().over(inside) - 1)
-    same = [F.col("n.conv_id") == F.col("b.conv_id"), F.col("n._part").eqNullSafe(F.col("b._part"))]
-    joined = numbered.alias("n").join(before.alias("b"), same[0] & same[1])
+    inside = Window.partitionBy(*group).orderBy("turn", "role", "text")
+    large = sizes.filter(F.col("_size") > ONE_WINDOW).select(*group)
+    if large.isEmpty():
+        numbered = part.withColumn("_row", F.row_number().over(inside) - 1)
+    else:
+        numbered = part.join(large, group, "left_anti").withColumn("_row", F.row_number().over(inside) - 1).unionByName(
+            _numbered(cut(part.join(large, group, "left_semi")), group))
+    joined = numbered.join(before, group)
     place = F.col("_row") + F.col("_before")
-    return joined.select("n.conv_id", "turn", "role", "text", place.cast("long").alias("place"), F.floor(place / STRETCH).cast("long").alias("part"))
+    return joined.select("conv_id", "turn", "role", "text", place.cast("long").alias("place"), F.floor(place / STRETCH).cast("long").alias("part"))
+
+
+def _numbered(part: DataFrame, group: list[str]) -> DataFrame:
+    """Rows of a written table with their place in their group, `_row`, whatever share of the rows one group has."""
+    rows = part.withColumns({"_id": F.monotonically_increasing_id(), "_one": F.lit(1)})  # the id tells repeated rows apart
+    ordered = Ordered.of(rows, [*group, "turn", "role", "text", "_id"], by=group).running_sum("_one", "_row")
+    return ordered.plain().withColumn("_row", F.col("_row") - 1).drop("_id", "_one")
 
 
 def rolled(turns: DataFrame) -> DataFrame:

@@ -436,6 +436,26 @@ def test_snapshots_collapse(spark, monkeypatch):
     assert chat.format_chats(df.limit(0)).count() == 0
 
 
+def test_conversations_whose_turns_have_no_or_one_number(spark, monkeypatch):
+    """Groups of turns too large for one window, with repeated rows, beside small ones: the places are those of one sort."""
+    monkeypatch.setattr(chat, "ONE_WINDOW", 20)
+    monkeypatch.setattr(chat, "STRETCH", 16)
+    rng = random.Random(4)
+    rows = [(1, None, rng.choice(["user", None, "a"]), rng.choice(["x", "", None, f"t{k}"])) for k in range(150)]
+    rows += [(1, rng.choice([-3, 7, 40, 41]), "user", f"u{k}") for k in range(40)] + [(2, 5, "user", "same")] * 90
+    rows += [(3, k, "user", f"v{k}") for k in range(50)] + [(None, 1, "user", "lost")]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    found = [(r.conv_id, r.place, r.part, r.turn, r.role, r.text) for r in chat.placed(df).orderBy("conv_id", "place").collect()]
+    want, filled = [], [(c, t, r or "", x or "") for c, t, r, x in rows if c is not None]
+    for c in (1, 2, 3):
+        ordered = sorted((r for r in filled if r[0] == c), key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3]))
+        want += [(c, k, k // 16, *r[1:]) for k, r in enumerate(ordered)]
+    assert found == want
+    whole = {r.conv_id: r.n_turns for r in chat.format_chats(df).collect()}
+    assert whole == {1: 190, 2: 90, 3: 50}
+
+
 # ---- URL rules ----
 
 def test_url_rules(spark):
