@@ -856,7 +856,12 @@ LIVE_SQL = {
         SELECT CAST(o_orderkey AS VARCHAR) AS task_id, o_orderpriority AS description, o_orderstatus AS status, 1 AS attempt,
                CASE WHEN o_orderstatus <> 'P' THEN o_totalprice ELSE {dbl('0')} END AS duration_sec, CAST(NULL AS VARCHAR) AS error
         FROM orders""",
+    "ingested_crypto": f"SELECT * EXCLUDE (ingested_at) FROM ({CRYPTO})",
+    "ingestion_log": """
+        SELECT 'CoinGecko' AS source, 'SUCCESS' AS status, count(*) AS records_count, false AS failed, true AS in_order FROM part
+        UNION ALL SELECT 'GitHub', 'FAILED', 0, true, true""",
 }
+LIVE_SQL["read_lineage"] = LIVE_SQL["lineage_summary"]
 
 
 def oracle_sql() -> dict[str, str]:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -440,14 +440,36 @@ def _live_queries() -> dict[str, Query]:
     at = dt.datetime(2024, 1, 1)
     c = F.col
 
-    def crypto(s: Star) -> DataFrame:
+    def coin() -> dict[str, Column]:
         price, size = c("p_retailprice"), c("p_size").cast("double")
         change = (c("p_partkey") % 21 - 10).cast("double")
-        return live.flatten_crypto(_as_landed(
-            s.raw("part"), schemas.RAW_CRYPTO, id=c("p_partkey").cast("string"), symbol=c("p_brand"), name=c("p_name"),
+        return dict(
+            id=c("p_partkey").cast("string"), symbol=c("p_brand"), name=c("p_name"),
             current_price=price, market_cap=size * 1000.0, total_volume=size * 10.0, price_change_24h=change,
             price_change_percentage_24h=change / 4.0, high_24h=price, low_24h=price, circulating_supply=size,
-            market_cap_rank=(c("p_partkey") + 1).cast("int"), last_updated=c("p_type")), at)
+            market_cap_rank=(c("p_partkey") + 1).cast("int"), last_updated=c("p_type"))
+
+    def crypto(s: Star) -> DataFrame:
+        return live.flatten_crypto(_as_landed(s.raw("part"), schemas.RAW_CRYPTO, **coin()), at)
+
+    def land(rows: DataFrame, key: str, record: Column, path: str, around: str = "%s") -> None:
+        """Records as JSON files of one page each; a page holds the array of the records of 500 keys."""
+        page = F.floor(c(key) / 500).alias("page")
+        pages = rows.groupBy(page).agg(F.to_json(F.collect_list(record)).alias("records"))
+        pages.select("page", F.format_string(around, "records").alias("value")).write.partitionBy("page").text(path)
+
+    def ingested(s: Star) -> Mapping[str, DataFrame]:
+        """Live tables after two landing runs, of which the second counts, and a source that landed nothing."""
+        landing, root = scratch_path(s.spark, "landing"), scratch_path(s.spark, "live")
+        record = F.struct(*[v.alias(k) for k, v in coin().items()])
+        land(s.raw("part").withColumn("p_retailprice", F.lit(0.0)), "p_partkey", record, f"{landing}/crypto_20240101_120000.json")
+        land(s.raw("part"), "p_partkey", record, f"{landing}/crypto_20240102_120000.json")
+        live.ingest(s.spark, landing, root, [source for source in live.SOURCES if source.label in ("CoinGecko", "GitHub")])
+        return live.read_live(s.spark, root)
+
+    def logged(s: Star) -> DataFrame:
+        return live.ingestion_log(ingested(s)["api_ingestion_log"]).select(
+            "source", "status", "records_count", c("error_message").isNotNull().alias("failed"), (c("completed_at") >= c("started_at")).alias("in_order"))
 
     def countries(s: Star) -> DataFrame:
         rows = s.raw("customer").join(s.raw("nation"), c("c_nationkey") == c("n_nationkey")).join(
@@ -488,15 +510,23 @@ def _live_queries() -> dict[str, Query]:
             c("source").alias("html_url"))
         return live.flatten_github(_as_landed(s.raw("documents"), schemas.RAW_GITHUB, items=F.array(item)), at)
 
-    def lineage(s: Star) -> DataFrame:
-        task = F.struct(
+    def task() -> Column:
+        return F.struct(
             F.lit("nightly").alias("dag_id"), c("o_orderkey").cast("string").alias("task_id"), c("o_orderpriority").alias("description"),
             c("o_orderstatus").alias("status"), F.lit(1).alias("attempt"), F.lit(None).cast("string").alias("start_time"),
             F.lit(None).cast("string").alias("end_time"), F.when(c("o_orderstatus") != "P", c("o_totalprice")).alias("duration_sec"),
             F.lit(None).cast("string").alias("error"))
-        docs = _as_landed(s.raw("orders"), schemas.LINEAGE, dag_id=F.lit("nightly"), lineage=F.array(task))
+
+    def lineage(s: Star) -> DataFrame:
+        docs = _as_landed(s.raw("orders"), schemas.LINEAGE, dag_id=F.lit("nightly"), lineage=F.array(task()))
         return live.lineage_summary(docs.select(F.inline("lineage")))
 
+    def landed_lineage(s: Star) -> DataFrame:
+        """The same run records, by way of files that hold up to 500 of them."""
+        path = scratch_path(s.spark, "lineage")
+        land(s.raw("orders"), "o_orderkey", task(), path, '{"dag_id": "nightly", "lineage": %s}')
+        return live.lineage_summary(store.read_lineage(s.spark, path))
+
     return {
         "flatten_crypto": crypto,
         "flatten_countries": countries,
@@ -513,6 +543,9 @@ def _live_queries() -> dict[str, Query]:
         "github_ranked": lambda s: live.github_ranked(github(s)),
         "github_by_language": lambda s: live.github_by_language(github(s)),
         "lineage_summary": lineage,
+        "read_lineage": landed_lineage,
+        "ingested_crypto": lambda s: ingested(s)["api_crypto_prices"].drop("ingested_at"),
+        "ingestion_log": logged,
     }
 
 
