@@ -566,6 +566,7 @@ QUALITY_SQL = {
                  r"NOT coalesce(regexp_matches(email, '^[^@\s]+@[^@\s]+\.[^@\s]+$'), false)", "FAIL", "malformed addresses")])),
     "profile_numeric": star(PROFILES),
     "audit": star(AUDIT),
+    "quality_report_json": star(AUDIT),
     "audit_summary": star(f"""
         SELECT count(*) AS total_checks, count(*) FILTER (WHERE status = 'PASS') AS passed,
                count(*) FILTER (WHERE status = 'WARN') AS warnings, count(*) FILTER (WHERE status = 'FAIL') AS failures,

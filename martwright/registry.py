@@ -98,6 +98,13 @@ def _quality_queries() -> dict[str, Query]:
         before, after = lines.filter(F.col("l_shipdate") < middle), lines.filter(F.col("l_shipdate") >= middle)
         return quality.distribution_drift(before, after, "l_returnflag")
 
+    def reported(s: Star) -> DataFrame:
+        """The checks of an audit, written as a JSON report and read back as the newest one of a folder."""
+        folder = scratch_path(s.spark, "reports")
+        store.write_json_report(audit.report(s.tables(), "2024-01-02T00:00:00"), f"{folder}/quality_report_20240102")
+        newest = store.read_quality_reports(s.spark, f"{folder}/*")
+        return newest.select(F.inline("checks")).select(*quality.CHECK)
+
     return {
         "completeness": of_star(audit.completeness),
         "completeness_documents": lambda s: quality.completeness(
@@ -116,6 +123,7 @@ def _quality_queries() -> dict[str, Query]:
         "business_rules": of_star(audit.business_rules),
         "email_rules": emails,
         "profile_numeric": of_star(audit.profiles),
+        "quality_report_json": reported,
         "audit": of_star(audit.audit),
         "audit_summary": lambda s: quality.audit_summary(audit.audit(s.tables())),
         "checks_by_category": lambda s: quality.checks_by_category(audit.audit(s.tables())),
