@@ -2,8 +2,8 @@
 
 One scan counts each column and brackets every wanted rank between two values with a sketch. A second
 scan counts the values below each bracket and reduces those inside to (value, count); only these, a
-few of 10,000, are sorted. A bracket of one value, as columns of few values have, needs counts and no
-sort. A rank that falls outside its bracket is looked for again between the column's ends, so no result
+few of 10,000, are sorted. Brackets that all hold one value, as those of columns of few values do, need
+counts and no sort. A rank that falls outside its bracket is looked for again between the column's ends, so no result
 rests on the sketch. Values keep their own type and all their digits.
 """
 
@@ -43,8 +43,6 @@ class Described:
     max: object
     total: object
     at: Mapping[str, Found]
-    variance: float | None = None  # about the mean, of the population
-    skewness: float | None = None  # None for a constant column
 
 
 def _known(df: DataFrame, value: Column) -> tuple[Column, DataType]:
@@ -61,11 +59,10 @@ def _summable(value: Column, kind: DataType) -> Column:
     return value.cast("decimal(20,0)") if isinstance(kind, IntegralType) else value
 
 
-def describe(df: DataFrame, columns: Mapping[str, tuple[Column, Mapping[str, Rank]]], moments: bool = False) -> dict[str, Described]:
+def describe(df: DataFrame, columns: Mapping[str, tuple[Column, Mapping[str, Rank]]]) -> dict[str, Described]:
     """Count, range, sum and the values at the named ranks of every labelled numeric expression.
 
-    NULL and NaN are left out; an expression without values has count 0 and no ranks. `moments` adds variance
-    and skewness of the values as doubles, by the first scan, as their central sums can be merged.
+    NULL and NaN are left out; an expression without values has count 0 and no ranks.
     """
     exprs = {label: _known(df, value) for label, (value, _) in columns.items()}
     shares = {label: sorted({share for share, _ in ranks.values()}) for label, (_, ranks) in columns.items()}
@@ -73,8 +70,6 @@ def describe(df: DataFrame, columns: Mapping[str, tuple[Column, Mapping[str, Ran
     for i, (label, (value, kind)) in enumerate(exprs.items()):
         aggs += [F.count(value).alias(f"n{i}"), F.min(value).alias(f"min{i}"), F.max(value).alias(f"max{i}"),
                  F.sum(_summable(value, kind)).alias(f"sum{i}")]
-        if moments:
-            aggs += [F.var_pop(value.cast("double")).alias(f"var{i}"), F.skewness(value.cast("double")).alias(f"skew{i}")]
         if shares[label]:
             around = [end for s in shares[label] for end in (max(s - MARGIN, 0.0), min(s + MARGIN, 1.0))]
             aggs.append(F.percentile_approx(value, around, ACCURACY).alias(f"around{i}"))
@@ -102,8 +97,7 @@ def describe(df: DataFrame, columns: Mapping[str, tuple[Column, Mapping[str, Ran
                 missed.append((label, share, *ends[label]))
         wanted = missed
     return {
-        label: Described(row[f"n{i}"], row[f"min{i}"], row[f"max{i}"], row[f"sum{i}"], found[label],
-                         *([row[f"var{i}"], row[f"skew{i}"]] if moments else []))
+        label: Described(row[f"n{i}"], row[f"min{i}"], row[f"max{i}"], row[f"sum{i}"], found[label])
         for i, label in enumerate(columns)}
 
 
@@ -116,11 +110,11 @@ class _Bracket:
     ranks: Mapping[str, int]
 
 
-def _families(brackets: list[_Bracket], among: list[int]) -> list[tuple[str, list[int]]]:
+def _families(brackets: list[_Bracket]) -> list[tuple[str, list[int]]]:
     """Brackets that share one exact type: the decimals and whole numbers where they fit, the doubles."""
-    exact = [i for i in among if not isinstance(brackets[i].kind, DoubleType)]
+    exact = [i for i, b in enumerate(brackets) if not isinstance(b.kind, DoubleType)]
     digits = {i: (k.precision - k.scale, k.scale) if isinstance(k := brackets[i].kind, DecimalType) else (20, 0) for i in exact}
-    families = [("double", [i for i in among if isinstance(brackets[i].kind, DoubleType)])]
+    families = [("double", [i for i, b in enumerate(brackets) if isinstance(b.kind, DoubleType)])]
     scale = max((s for _, s in digits.values()), default=0)
     if max((whole for whole, _ in digits.values()), default=0) + scale <= 38:
         families.append((f"decimal(38,{scale})", exact))
@@ -132,15 +126,15 @@ def _families(brackets: list[_Bracket], among: list[int]) -> list[tuple[str, lis
 def _search(df: DataFrame, brackets: list[_Bracket]) -> list[dict[str, Found]]:
     """For each bracket the ranks that fall into it."""
     found: list[dict[str, Found]] = [{} for _ in brackets]
-    single = [i for i, b in enumerate(brackets) if b.low == b.high]
-    if single:
+    if all(b.low == b.high for b in brackets):
         known = df.agg(*[
-            F.count_if(place).alias(f"{name}{i}") for i in single
-            for name, place in (("below", brackets[i].value < F.lit(brackets[i].low)), ("same", brackets[i].value == F.lit(brackets[i].low)))]).first()
-        for i in single:
+            F.count_if(place).alias(f"{name}{i}") for i, b in enumerate(brackets)
+            for name, place in (("below", b.value < F.lit(b.low)), ("same", b.value == F.lit(b.low)))]).first()
+        for i, b in enumerate(brackets):
             below, same = known[f"below{i}"], known[f"same{i}"]
-            found[i] = {name: Found(brackets[i].low, same, rank - below) for name, rank in brackets[i].ranks.items() if below <= rank < below + same}
-    for kind, members in _families(brackets, [i for i in range(len(brackets)) if i not in single]):
+            found[i] = {name: Found(b.low, same, rank - below) for name, rank in b.ranks.items() if below <= rank < below + same}
+        return found
+    for kind, members in _families(brackets):
         def cell(key: int, value) -> Column:
             return F.struct(F.lit(key).alias("key"), value.cast(kind).alias("value"))
 
