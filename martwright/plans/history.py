@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from martwright.operators import scd
-from martwright.session import cut
+from martwright.session import ROWS_A_TASK, cut, dealt_by_rows
 from martwright.sources import schemas
 from martwright.sources import tables as store
 
@@ -26,9 +26,10 @@ def bucket_of(key: str) -> Column:
     return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(BUCKETS)).cast("int")
 
 
-def _write(df: DataFrame, root: str, name: str, snapshot: str) -> int:
-    """Write rows that have their bucket, in a few files each."""
-    dealt = df.repartition(BUCKET, F.pmod(F.xxhash64(*[c for c in df.columns if c != BUCKET][:2]), F.lit(8)))
+def _write(df: DataFrame, root: str, name: str, snapshot: str, most: int) -> int:
+    """Write rows that have their bucket, `most` of them at most, in a few files each or as many as their number asks for."""
+    files = max(8, -(-most // (BUCKETS * ROWS_A_TASK)))
+    dealt = df.repartition(BUCKET, F.pmod(F.xxhash64(*[c for c in df.columns if c != BUCKET][:2]), F.lit(files)))
     return store.write_snapshot(dealt, root, name, snapshot, partition_by=[BUCKET])
 
 
@@ -41,7 +42,8 @@ def start(spark: SparkSession, root: str, table: str, dim: DataFrame, at: Column
     """Store version 1 of every row of a dimension, whose key is its first column if not named; returns how many there are."""
     snapshot = store.new_snapshot()
     first = scd.scd2_init(dim, at).withColumn(BUCKET, bucket_of(key or dim.columns[0]))
-    rows = _write(first, root, f"{table}_history", snapshot)
+    with dealt_by_rows(spark, most := dim.count()):
+        rows = _write(first, root, f"{table}_history", snapshot, most)
     every = list(range(BUCKETS))
     store.commit_parts(spark, root, snapshot, {f"{table}_{part}": every for part in ("history", "changes", "log")})
     return rows
@@ -58,20 +60,23 @@ def apply(spark: SparkSession, root: str, table: str, changes: DataFrame, key: s
     types = {f.name: f.dataType for f in open_history(spark, root, table, ddl, []).schema.fields}
     given = {c: F.col(c) if c in changes.columns else F.lit(None) for c in dict.fromkeys([key, at, *tracked, *tie_break])}
     batch = changes.select(*[v.cast(types[c]).alias(c) if c in tracked else v.alias(c) for c, v in given.items()])
-    batch = cut(batch.filter(F.col(key).isNotNull()).distinct().withColumn(BUCKET, bucket_of(key)))
+    with dealt_by_rows(spark, changes.count()):
+        batch = cut(batch.filter(F.col(key).isNotNull()).distinct().withColumn(BUCKET, bucket_of(key)))
     touched = sorted(r[0] for r in batch.select(BUCKET).distinct().collect())
     snapshot, given = store.new_snapshot(), batch.drop(BUCKET)
     before = open_history(spark, root, table, ddl, touched)
     known = store.read_parts(spark, root, f"{table}_changes", given.schema, BUCKET, touched)
-    after, log, rebuilt = scd.scd2_splice(before, known, given, key, tracked, at, tie_break)
-    old_log = store.read_parts(spark, root, f"{table}_log", schemas.CHANGE_LOG, BUCKET, touched)
-    log = cut(log.withColumn(BUCKET, bucket_of("record_id")).select(
-        F.lit(table).alias("table_name"), F.col("record_id").cast("string").alias("record_id"), *[c for c in log.columns if c != "record_id"], BUCKET))
-    again = rebuilt.select(F.col(key).cast("string").alias("record_id"))
-
-    _write(after.withColumn(BUCKET, bucket_of(key)), root, f"{table}_history", snapshot)
-    _write(known.unionByName(batch).distinct(), root, f"{table}_changes", snapshot)
-    _write(old_log.join(again, "record_id", "left_anti").unionByName(log), root, f"{table}_log", snapshot)
+    most = batch.count() + before.count() + known.count()  # each change makes one version and one entry of the log at most
+    with dealt_by_rows(spark, most):
+        after, log, rebuilt = scd.scd2_splice(before, known, given, key, tracked, at, tie_break)
+        old_log = store.read_parts(spark, root, f"{table}_log", schemas.CHANGE_LOG, BUCKET, touched)
+        log = cut(log.withColumn(BUCKET, bucket_of("record_id")).select(
+            F.lit(table).alias("table_name"), F.col("record_id").cast("string").alias("record_id"), *[c for c in log.columns if c != "record_id"], BUCKET))
+        again = rebuilt.select(F.col(key).cast("string").alias("record_id"))
+
+        _write(after.withColumn(BUCKET, bucket_of(key)), root, f"{table}_history", snapshot, most)
+        _write(known.unionByName(batch).distinct(), root, f"{table}_changes", snapshot, most)
+        _write(old_log.join(again, "record_id", "left_anti").unionByName(log), root, f"{table}_log", snapshot, most)
     store.commit_parts(spark, root, snapshot, {f"{table}_{part}": touched for part in ("history", "changes", "log")})
     return log.count()
 

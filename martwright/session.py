@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +35,37 @@ def build_session(app: str = "martwright", master: str | None = None, shuffle_pa
     return builder.getOrCreate()
 
 
+ROWS_A_TASK = 1 << 17  # rows that one task of a shuffle gets, on average
+FEW_ROWS = 1 << 12  # no task gets fewer only to keep another core busy
+SPLIT = "8m"  # of a file that one task reads, where nothing else than Spark's 128 MB is set
+
+
+def tasks_for(spark: SparkSession, rows: int) -> int:
+    """How many tasks a shuffle of so many rows is dealt to."""
+    return max(1, -(-rows // ROWS_A_TASK), min(spark.sparkContext.defaultParallelism, rows // FEW_ROWS))
+
+
+@contextmanager
+def dealt_by_rows(spark: SparkSession, rows: int) -> Iterator[int]:
+    """Shuffles that run inside are dealt to as many tasks as `rows`, the most that any of them carries, ask for; scans read smaller splits.
+
+    AQE joins shuffle partitions by their compressed bytes, or by the number of cores. Keys, dates and short repeated texts are a
+    few bytes a row there and hundreds once a task sorts and joins them, so that a task's memory would grow with the input. Skewed
+    joins are still split by AQE. Frames that are made inside and run later have the session's own settings.
+    """
+    held = {"spark.sql.shuffle.partitions": str(tasks := tasks_for(spark, rows)), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    if spark.conf.get("spark.sql.files.maxPartitionBytes") == f"{128 << 20}b":
+        held["spark.sql.files.maxPartitionBytes"] = SPLIT
+    before = {key: spark.conf.get(key) for key in held}
+    for key, value in held.items():
+        spark.conf.set(key, value)
+    try:
+        yield tasks
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 _LOCAL_FOLDERS: dict[str, str] = {}  # by application, for local sessions without a setting
 
 

@@ -5,6 +5,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from martwright import session as sessions
 from martwright.operators import scd
 from martwright.plans import history as stored
 
@@ -244,3 +245,19 @@ def test_a_batch_of_one_key_writes_one_bucket(spark, tmp_path):
     found = stored.open_history(spark, root, "dim_x", schema)
     assert found.count() == 501 and rows(found.filter("id = 7"), "city", "zip", "version") == [("a", "1", 1), ("b", "1", 2)]
     assert stored.open_history(spark, root, "dim_customers").count() == 0
+
+
+def test_tasks_of_a_batch_follow_its_rows(spark, tmp_path, monkeypatch):
+    """3,000 changes and 60 versions are dealt to 7 tasks, whatever few bytes they shrink to."""
+    monkeypatch.setattr(sessions, "ROWS_A_TASK", 500)
+    monkeypatch.setattr(stored, "ROWS_A_TASK", 500)
+    shuffles, splice = [], scd.scd2_splice
+    monkeypatch.setattr(scd, "scd2_splice", lambda *a, **b: shuffles.append(spark.range(3000).groupBy(F.col("id") * 7).count().rdd.getNumPartitions()) or splice(*a, **b))
+    first = spark.range(60).selectExpr("cast(id as int) id", "'a' city", "'1' zip")
+    stored.start(spark, str(tmp_path), "dim_x", first, T0)
+    batch = spark.range(3000).selectExpr("cast(id % 60 as int) id", "cast(id as string) city", "timestamp '2024-02-01 00:00:00' + make_dt_interval(id) at")
+    schema = scd.scd2_init(first, T0).schema
+    assert stored.apply(spark, str(tmp_path), "dim_x", batch, "id", ["city", "zip"], "at", ddl=schema) == 3000
+    found = stored.open_history(spark, str(tmp_path), "dim_x", schema)
+    assert found.count() == 3060 and found.filter("is_current = 1").count() == 60
+    assert shuffles == [7]

@@ -1,8 +1,10 @@
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
-from martwright.session import cut, scratch_path, shared_folder
+from martwright import session as sessions
+from martwright.session import cut, dealt_by_rows, scratch_path, shared_folder
 
 
 def session(master, setting=None, checkpoint=None):
@@ -31,3 +33,16 @@ def test_cut_keeps_rows_and_schema(spark):
     written = cut(df)
     assert written.schema.simpleString() == df.schema.simpleString()
     assert sorted(written.collect()) == sorted(df.collect())
+
+
+def test_shuffles_are_dealt_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(sessions, "ROWS_A_TASK", 100)
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.files.maxPartitionBytes")
+    before = [spark.conf.get(k) for k in keys]
+    with dealt_by_rows(spark, 2500) as tasks:
+        assert tasks == 25 and spark.conf.get(keys[2]) == "8m"
+        assert cut(spark.range(2500).groupBy((F.col("id") * 7).alias("key")).count().withColumn("task", F.spark_partition_id())).select("task").distinct().count() == 25
+    with pytest.raises(ZeroDivisionError), dealt_by_rows(spark, 0) as tasks:
+        assert tasks == 1
+        raise ZeroDivisionError
+    assert [spark.conf.get(k) for k in keys] == before
