@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martwright.session import cut
+from martwright.session import cut, dealt_by_rows
 
 BASKET = ["customer_id", "date_id"]
 PAIR = ["product_id_a", "product_id_b"]
@@ -52,9 +52,17 @@ def _best(pairs: DataFrame, top: int, min_count: int) -> DataFrame:
     return enough.orderBy(F.desc("co_occurrence"), *PAIR).limit(top)
 
 
-def pair_counts(sales: DataFrame, min_count: int, top: int, share: int = SHARE) -> DataFrame:
+def pair_counts(sales: DataFrame, min_count: int, top: int, share: int = SHARE, rows: int | None = None) -> DataFrame:
     """The `top` best pairs of at least `min_count`, by count and then product ids:
-    (product_id_a, product_id_b, co_occurrence, unique_customers)."""
+    (product_id_a, product_id_b, co_occurrence, unique_customers).
+
+    `rows` is the number of `sales`, for callers that know it without a pass over them.
+    """
+    with dealt_by_rows(sales.sparkSession, sales.count() if rows is None else rows):
+        return _pair_counts(sales, min_count, top, share)
+
+
+def _pair_counts(sales: DataFrame, min_count: int, top: int, share: int) -> DataFrame:
     known = [F.col(c).isNotNull() for c in (*BASKET, "product_id")]
     lines = sales.filter(known[0] & known[1] & known[2])
     basket = cut(lines.groupBy(*BASKET, "product_id").agg(F.count("*").alias("n")))

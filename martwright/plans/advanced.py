@@ -12,7 +12,7 @@ from martwright.operators.basket import pair_counts
 from martwright.operators.ordered import Ordered
 from martwright.operators.quantiles import ntile_by_borders
 from martwright.plans.views import full_name
-from martwright.session import cut
+from martwright.session import cut, dealt_by_rows
 
 
 def _monthly(sales: DataFrame, dates: DataFrame) -> DataFrame:
@@ -132,11 +132,16 @@ def rfm_summary(scored: DataFrame) -> DataFrame:
     )
 
 
-def market_basket(sales: DataFrame, products: DataFrame, min_count: int = 3, top: int = 20, **tuning) -> DataFrame:
-    """The `top` product pairs that the same customer buys on the same day, with their support."""
-    pairs = pair_counts(sales, min_count, top, **tuning)
+def market_basket(sales: DataFrame, products: DataFrame, min_count: int = 3, top: int = 20, rows: int | None = None, **tuning) -> DataFrame:
+    """The `top` product pairs that the same customer buys on the same day, with their support.
+
+    `rows` is the number of `sales`, for callers that know it without a pass over them.
+    """
+    rows = sales.count() if rows is None else rows
+    pairs = pair_counts(sales, min_count, top, rows=rows, **tuning)
     best = pairs.orderBy(F.desc("co_occurrence"), "product_id_a", "product_id_b").limit(top)
-    orders = sales.agg(F.countDistinct("sale_id")).scalar()
+    with dealt_by_rows(sales.sparkSession, rows):
+        orders = F.lit(sales.agg(F.countDistinct("sale_id")).first()[0]).cast("bigint")
 
     def named(side: str) -> DataFrame:
         return products.select(

@@ -72,7 +72,7 @@ def _advanced_queries() -> dict[str, Query]:
         "rfm": rfm,
         "rfm_summary": lambda s: advanced.rfm_summary(rfm(s)),
         "market_basket": lambda s: advanced.market_basket(
-            s.sales("customer_id", "date_id", "product_id", "sale_id"), s.products()),
+            s.sales("customer_id", "date_id", "product_id", "sale_id"), s.products(), rows=s.raw("lineitem").count()),
         "pareto": pareto,
         "pareto_sampled": lambda s: advanced.pareto_sampled(pareto(s)),
         "ts_decompose": lambda s: advanced.ts_decompose(s.sales("date_id", "total_amount_cents"), s.calendar()),

@@ -4,6 +4,8 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from martwright import session as sessions
+from martwright.operators import basket
 from martwright.operators.basket import pair_counts
 from martwright.plans.advanced import market_basket
 
@@ -72,3 +74,12 @@ def test_report(spark):
     products = spark.createDataFrame([(10, "lamp", "home"), (20, "rug", "home")], "product_id int, product_name string, category string")
     row = market_basket(sales, products).first()
     assert (row.product_a, row.product_b, row.co_occurrence, row.unique_customers, row.support_pct) == ("lamp", "rug", 3, 3, 50.0)
+
+
+def test_tasks_follow_the_number_of_sales(spark, monkeypatch):
+    monkeypatch.setattr(sessions, "ROWS_A_TASK", 50)
+    rng, written, cut = random.Random(3), [], basket.cut
+    lines = [(rng.randrange(60), rng.randrange(9), rng.randrange(12)) for _ in range(1500)]
+    monkeypatch.setattr(basket, "cut", lambda df: written.append(df.rdd.getNumPartitions()) or cut(df))
+    assert found(spark, lines, 3, 10, share=5) == brute_force(lines, 3, 10)
+    assert written[0] == 30  # basket lines
