@@ -20,6 +20,7 @@ from martwright.streaming import run
 
 SEGMENT_TIERS = (3000000, 2000000, 1500000)  # spent, for platinum, gold and silver
 AS_OF = dt.date(2001, 8, 1)  # reference day of recency, after the last order
+MOST_FILES = 1 << 20  # more than land at a time
 
 Query = Callable[[Star], DataFrame]
 
@@ -382,21 +383,17 @@ def _event_queries() -> dict[str, Query]:
         source = s.spark.readStream.schema(schemas.TABLES["events"]).parquet(f"{s.folder}/events.parque[t]")
         return with_repeats(as_stream_event(source)).withColumn("event_id", F.col("event_id").cast("string"))
 
-    def landed(s: Star) -> str:
-        """A folder of four event files that land one after the other, in order of arrival; copies come files later."""
-        folder, quarter = scratch_path(s.spark, "events"), ARRIVAL_MOD // 2
-        sent = s.stream_events().withColumn("event_id", F.col("event_id").cast("string"))
-        for k in range(4):
-            sent.filter(F.floor(F.col("arrival") / F.lit(quarter)).cast("int") == k if k < 3 else F.col("arrival") >= 3 * quarter).coalesce(
-                1).write.mode("append").parquet(folder)
-        return folder
-
     def in_batches(s: Star, read, copies_slot: int | None = None) -> DataFrame:
-        """All results of a stream of four micro-batches, one file each."""
-        folder, sink = landed(s), scratch_path(s.spark, "stream")
+        """All results of a stream of four micro-batches. Events land in order of arrival, a quarter after the other, copies quarters
+        later; the stream takes up each quarter, of any number of files, when it has landed, and goes on from its checkpoint."""
+        folder, sink, quarter = scratch_path(s.spark, "events"), scratch_path(s.spark, "stream"), ARRIVAL_MOD // 2
+        sent = s.stream_events().withColumn("event_id", F.col("event_id").cast("string"))
         ddl = schemas.STREAM_EVENTS + ", arrival bigint"
-        source = ev.event_source(s.spark, folder, ddl, files_per_batch=1, file_format="parquet")
-        run.run_all(source, sink, f"{sink}/checkpoint", size="10 minutes", order=order, copies_slot=copies_slot).awaitTermination()
+        for k in range(4):
+            sent.filter(F.floor(F.col("arrival") / F.lit(quarter)).cast("int") == k if k < 3 else F.col("arrival") >= 3 * quarter).write.mode(
+                "append").parquet(folder)
+            source = ev.event_source(s.spark, folder, ddl, files_per_batch=MOST_FILES, file_format="parquet")
+            run.run_all(source, sink, f"{sink}/checkpoint", size="10 minutes", order=order, copies_slot=copies_slot).awaitTermination()
         return read(s.spark, sink)
 
     def streamed(s: Star, start, read, *args, **options) -> DataFrame:

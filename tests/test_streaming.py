@@ -212,3 +212,20 @@ def test_slots_beyond_the_limit_give_the_same_rows(spark, landed, tmp_path, monk
 def test_reading_before_any_run(spark, tmp_path):
     assert run.read_windows(spark, str(tmp_path)).count() == 0
     assert tuple(run.read_lateness(spark, str(tmp_path)).first()) == (0, 0)
+
+
+def test_quarters_land_in_many_files_and_are_one_batch_each(spark, tmp_path, monkeypatch):
+    from martwright import registry
+
+    at = "timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id)"
+    events = spark.range(4000).selectExpr(
+        "id event_id", f"{at} ts", "id % 30 user_id", "'view' event_type", "cast(id as double) value", "'{\"k\": 1}' props")
+    events.repartition(4).write.parquet(str(tmp_path / "events.parquet"))
+    folders = iter(("landed", "sink"))
+    monkeypatch.setattr(registry, "scratch_path", lambda *_: str(tmp_path / next(folders)))
+    windows = registry.queries()["stream_windows_in_batches"](spark, str(tmp_path))
+    assert windows.agg(F.sum("total_events")).first()[0] == 4000
+    assert sum(1 for _ in (tmp_path / "landed").glob("*.parquet")) > 8  # one task wrote all of a quarter before
+    batches = run.read_parquet(spark, str(tmp_path / "sink/stream_events"), "arrival bigint, batch bigint").groupBy("batch").agg(
+        F.min("arrival"), F.max("arrival")).orderBy("batch").collect()
+    assert len(batches) == 4 and all(a[2] < b[1] for a, b in zip(batches, batches[1:]))
