@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from martwright.llm.batches import SLAB, batchwise, lists, slabs, texts_of, with_columns
-from martwright.llm.prefix_bpe import Merges, bytes_as_text, from_ranks
-from martwright.llm.remembered import Remembered, per_text
+from martwright.llm.prefix_bpe import ManyTexts, Merges, bytes_as_text, from_ranks
+from martwright.llm.remembered import Remembered, per_text, ranges
 
 PIECE = 1 << 19  # bytes that are cut into stretches at a time, or one text
 
@@ -28,34 +28,28 @@ class Codec:
 
     def __init__(self, ranks: bytes, pattern: str):
         self.merges = Merges(from_ranks(ranks.splitlines()))
+        self.many = ManyTexts(self.merges)
+        self.whole = {t.encode("latin-1"): self.merges.rank[t] for t in self.merges.unreached}
         self.pieces = regex.compile(pattern.replace(r"\S", r"\P{White_Space}").replace(r"\s", r"\p{White_Space}"))
         self.words = r"| ?\p{L}+|" in pattern  # a space and letters are one match, whatever stands around them
         self.remembered = Remembered(self.learn)
 
     def learn(self, stretches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of stretches: each match of the pattern is a whole token or else the encoding of its bytes."""
-        rank, parts, symbols = self.merges.rank, [], set()
-        for data in stretches:
-            text = data.decode()
-            if self.words and text[:1] == " " and text[1:].isalpha():
-                parts.append((bytes_as_text(data),))
+        number: dict[bytes, int] = {}  # of each different match
+        parts: list[int] = []
+        several = np.zeros(len(stretches), np.int64)
+        for k, data in enumerate(stretches):
+            if self.words and data[:1] == b" " and (data[1:].isalpha() or data[1:].decode().isalpha()):
+                parts.append(number.setdefault(data, len(number)))
+                several[k] = 1
             else:
-                parts.append(tuple(bytes_as_text(p.encode()) for p in self.pieces.findall(text)))
-            symbols.update(parts[-1])
-        rest = sorted(s for s in symbols if s not in rank)
-        ids = dict(zip(rest, self.merges.encode_all(rest)))
-        flat: list[int] = []
-        counts = np.zeros(len(parts), np.int32)
-        for k, several in enumerate(parts):
-            before = len(flat)
-            for s in several:
-                whole = rank.get(s)
-                if whole is None:
-                    flat += ids[s]
-                else:
-                    flat.append(whole)
-            counts[k] = len(flat) - before
-        return np.array(flat, np.int32), counts
+                found = self.pieces.findall(data.decode())
+                parts += [number.setdefault(p, len(number)) for p in map(str.encode, found)]
+                several[k] = len(found)
+        ids, counts = self.many.encode_all(list(number), self.whole)
+        ids, _ = ranges(ids, (np.cumsum(counts) - counts)[parts], counts[parts])
+        return ids, per_text(counts[parts], several).astype(np.int32)
 
     def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and the number of ids of each."""

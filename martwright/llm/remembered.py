@@ -2,7 +2,8 @@
 
 Texts repeat their words. A stretch is looked for by the 64-bit hash of its bytes and then compared by the bytes
 themselves; its values (token ids, say) stand in one flat array. Whatever is not known is worked out once for all its
-occurrences. Stretches whose hashes are equal and whose bytes are not are worked out each on its own.
+occurrences. Stretches whose hashes are equal and whose bytes are not are worked out each on its own. A full memory
+keeps what it met again: most words of a large corpus are rare, and the common ones need not be learnt anew.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import numpy as np
 from martwright.llm.words import AT_ONCE, MASKS, eights, range_hashes
 
 LONGEST = 64  # bytes; longer stretches are not remembered
-MOST = 1 << 18  # stretches; the memory starts anew beyond
+MOST = 1 << 19  # stretches; beyond, those not met again since the last time are let go, or all if those met again are over 3/4 of this
 
 
 def same_bytes(a: np.ndarray, a_starts: np.ndarray, b: np.ndarray, b_starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -51,6 +52,7 @@ class Remembered:
     def _forget(self) -> None:
         self.keys, self.starts, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.places, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int32)  # of a key's bytes
+        self.again = np.zeros(0, bool)  # met again
         self.values, self.bytes = np.zeros(0, self.kind), np.zeros(8, np.uint8)  # the bytes with eight zeros behind them
 
     def __call__(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -81,6 +83,7 @@ class Remembered:
         new = np.flatnonzero(~known)
         where, counts = np.zeros(len(first), np.int64), np.zeros(len(first), np.int32)
         where[hit], counts[hit] = self.starts[at[hit]], self.counts[at[hit]]
+        self.again[at[hit]] = True
         values = self.values
         if len(new):
             a, b = starts[first[new]], ends[first[new]]
@@ -93,20 +96,31 @@ class Remembered:
             found = np.searchsorted(self.keys, distinct[new[short]], "right") > at[new[short]]
             short = short[~found]  # a hash that another stretch has in the memory stays with that one
             if len(self.keys) + len(short) > MOST:
-                self._forget()
+                self._let_go()
             self._keep(distinct[new[short]], fresh, fresh_starts[short], fresh_counts[short], raw, a[short], (b - a)[short])
         counts = counts[back]
         offsets = np.cumsum(counts, dtype=np.int64) - counts
         gather = np.repeat(where[back] - offsets, counts) + np.arange(int(counts.sum()))
         return values[gather], counts
 
+    def _let_go(self) -> None:
+        """Keep only what was met again, or nothing if that is too much."""
+        kept = np.flatnonzero(self.again)
+        old = [column[kept] for column in (self.keys, self.starts, self.counts, self.places, self.lengths)]
+        keys, starts, counts, places, lengths = old
+        values, letters = self.values, self.bytes
+        self._forget()
+        if len(kept) <= MOST * 3 // 4:
+            self._keep(keys, values, starts, counts, letters, places, lengths)
+
     def _keep(self, keys: np.ndarray, values: np.ndarray, starts: np.ndarray, counts: np.ndarray, raw: np.ndarray, places: np.ndarray,
               lengths: np.ndarray) -> None:
         """Keep stretches in order of their keys, with only their own values and bytes."""
         at = np.searchsorted(self.keys, keys)
-        own, offsets = _ranges(values, starts, counts)
-        letters, begins = _ranges(raw, places, lengths)
+        own, offsets = ranges(values, starts, counts)
+        letters, begins = ranges(raw, places, lengths)
         self.keys = np.insert(self.keys, at, keys)
+        self.again = np.insert(self.again, at, False)
         self.starts = np.insert(self.starts, at, len(self.values) + offsets)
         self.counts = np.insert(self.counts, at, counts)
         self.places = np.insert(self.places, at, len(self.bytes) - 8 + begins)
@@ -115,7 +129,7 @@ class Remembered:
         self.bytes = np.concatenate((self.bytes[:-8], letters, np.zeros(8, np.uint8)))
 
 
-def _ranges(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def ranges(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The ranges of `flat` one after the other, and where each begins there."""
     offsets = np.cumsum(counts, dtype=np.int64) - counts
     return flat[np.repeat(starts - offsets, counts) + np.arange(int(counts.sum()))], offsets

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from martwright.llm import bpe, counts, queries, tokenfiles
-from martwright.llm.prefix_bpe import bytes_as_text, from_ranks
+from martwright.llm.prefix_bpe import ManyTexts, Merges, bytes_as_text, from_ranks
 
 RANKS = public_tokenizers.path(queries.BYTE_RANKS)
 PIECES = public_tokenizers.path(queries.PIECE_MODEL)
@@ -91,6 +91,60 @@ def test_each_prefix_has_its_last_token(codec):
         assert codec.merges.encode(text[:i])[-1] == last[i - 1]
 
 
+def test_texts_in_step_are_encoded_as_one_by_one(codec, monkeypatch):
+    from martwright.llm import prefix_bpe
+
+    rng = random.Random(11)
+    small = Merges({t: r for r, t in enumerate(["a", "b", "c", "d", "ab", "bc", "abc", "dd", "cd", "abcd", "bb", "aaa", "ca", "xyz"])})
+    assert small.unreached == {"aaa", "xyz"}  # no two tokens make these
+    monkeypatch.setattr(prefix_bpe, "WIDE", 30)
+    monkeypatch.setattr(prefix_bpe, "IN_STEP", 64)
+    monkeypatch.setattr(prefix_bpe, "NOTED", 3)
+    for merges, letters, n in ((small, "abcdx\xff", 800), (codec.merges, "etaonis h\xc3\xa9\xe2", 300)):
+        many = ManyTexts(merges)
+        texts = ["", *("".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(n)), "abcd"]
+        ids, counts = many.encode_all([t.encode("latin-1") for t in texts], {b"xyz": 13})
+        for text, own in zip(texts, np.split(ids, np.cumsum(counts)[:-1])):
+            assert own.tolist() == merges.encode(text), repr(text)
+        ids, counts = many.encode_all([b"xyz", b"xyza", b"abcd"], {b"xyz": 13})
+        assert ids[0] == 13 and counts[0] == 1 and ids[1:].tolist() == merges.encode("xyza") + merges.encode("abcd")
+    assert [a.tolist() for a in many.encode_all([], {})] == [[], []]
+
+
+def test_pairs_are_judged_together_as_one_by_one(codec):
+    rng, many = np.random.default_rng(12), ManyTexts(codec.merges)
+    left, right = rng.integers(0, 3000, 20000), rng.integers(0, 3000, 20000)
+    wanted = [codec.merges.follows(a, b) for a, b in zip(left.tolist(), right.tolist())]
+    assert many.follows(left, right).tolist() == wanted and not all(wanted)
+    for _ in range(2):
+        assert many._follows_noted(left, right).tolist() == wanted
+
+
+def test_a_full_memory_keeps_what_it_met_again(monkeypatch):
+    from martwright.llm import remembered
+
+    learnt = []
+
+    def learn(words):
+        learnt.extend(words)
+        return np.array([len(w) for w in words], np.int32), np.ones(len(words), np.int32)
+
+    def ask(words):
+        ends = np.cumsum([len(w) for w in words])
+        values, counts = memory(np.frombuffer(b"".join(words), np.uint8), np.append(0, ends[:-1]), ends)
+        assert values.tolist() == [len(w) for w in words] and counts.tolist() == [1] * len(words)
+
+    monkeypatch.setattr(remembered, "MOST", 20)
+    memory = remembered.Remembered(learn)
+    common = [b"often%d" % i + b"x" * i for i in range(8)]
+    for k in range(30):
+        ask(common + [b"rare%d_%d" % (k, i) for i in range(6)])
+        assert len(memory.keys) <= 20
+    assert all(learnt.count(w) == 1 for w in common) and len(learnt) == 8 + 30 * 6
+    for k in range(4):  # more met again than stay
+        ask([b"many%d" % i for i in range(19)])
+
+
 def test_encode_and_decode_columns(spark, library):
     rows = [(i, t, "kept", "clash") for i, t in enumerate(strange_texts(50, 6))] + [(None, None, None, None), (3, "twice", "a", "b"), (3, "twice", "a", "b")]
     df = spark.createDataFrame(rows, "doc_id long, text string, other string, ids string")
