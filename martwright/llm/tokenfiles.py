@@ -19,6 +19,7 @@ leaves files that no row names.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martwright.llm.batches import slabs, texts_of
-from martwright.llm.remembered import Remembered, per_text
+from martwright.llm.remembered import Remembered, per_text, ranges
 from martwright.llm.words import word_ranges
 from martwright.session import scratch_path
 
@@ -40,6 +41,8 @@ MAGIC = b"DACFILE1"
 CHUNK, BLOCK = 8, 512  # bits of an id on each level; bits that one entry of a rank directory covers
 TOKENS_PER_FILE = 4 << 20  # a file ends with the document that reaches this
 PIECE = 1 << 20  # bytes that are cut into words at a time, or one text
+LINE = 200  # words that are encoded in one call
+_PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch  # one word to any tokenizer that splits between letters and others
 _ONES = np.bitwise_count(np.arange(256, dtype=np.uint8)).astype(np.uint8)
 
 
@@ -137,15 +140,37 @@ class Words:
         self.remembered = Remembered(self.learn, np.uint32)
 
     def learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Encode many words in one call; each token goes to the word that its place in the line is in."""
-        ids, counts = [], []
-        for first in range(0, len(words), 2000):
-            some = [w.decode() for w in words[first:first + 2000]]
+        """Encode many words in one call; each token goes to the word that it is of.
+
+        Words of plain letters go by the tokenizer's own numbers of words, all others by the tokens' places in the line,
+        which take longer to get.
+        """
+        texts = [w.decode() for w in words]
+        plain = np.fromiter((_PLAIN(t) is not None for t in texts), bool, len(texts))
+        ids, counts = [np.zeros(0, np.uint32)], np.zeros(len(texts), np.int64)
+        order = np.concatenate((np.flatnonzero(plain), np.flatnonzero(~plain)))
+        for first in range(0, len(order), LINE):
+            at = order[first:first + LINE]
+            some = [texts[k] for k in at.tolist()]
             found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            begins = np.cumsum([0] + [len(w) + 1 for w in some])
             ids.append(np.array(found.ids, np.uint32))
-            counts.append(np.diff(np.searchsorted(np.array([a for a, _ in found.offsets], np.int64), begins)))
-        return np.concatenate(ids), np.concatenate(counts)
+            of = self._by_number(found) if plain[at[-1]] else ()
+            counts[at] = of if len(of) == len(some) else self._by_place(found, some)
+        flat, of = np.concatenate(ids), counts[order]
+        starts = np.empty(len(texts), np.int64)
+        starts[order] = np.cumsum(of) - of
+        return ranges(flat, starts, counts)[0], counts
+
+    @staticmethod
+    def _by_number(found) -> np.ndarray:
+        """Tokens of each word that the tokenizer saw in a line; none if some token is of no word."""
+        numbers = found.word_ids
+        return np.unique([] if None in numbers else numbers, return_counts=True)[1]
+
+    @staticmethod
+    def _by_place(found, words: list[str]) -> np.ndarray:
+        begins = np.cumsum([0] + [len(w) + 1 for w in words])
+        return np.diff(np.searchsorted(np.array([a for a, _ in found.offsets], np.int64), begins))
 
     def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and the number of ids of each."""

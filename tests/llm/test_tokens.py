@@ -196,6 +196,27 @@ def test_any_token_is_read_by_its_address():
     assert tokenfiles.TokenFile(tokenfiles.pack([], np.zeros(0, np.int64), np.zeros(0, np.int64))).tokens == 0
 
 
+def test_words_get_the_ids_of_their_own(monkeypatch):
+    library, own = Tokenizer.from_file(WORDS), tokenfiles.Words(open(WORDS).read())
+    plain = ["Straße", "naïve", "the", "THE", "øre", "Ångström", "xx" * 40] + [a + b for a in "abcdeé" for b in "xyzßÀ"] * 10
+    odd = ["İstanbul", "it's", "a1b22", "\u0085", "e\u0301", "\u200b", "<|endoftext|>", "x×y", "0", "...", "ﬁne", "ſ", "漢字", "a÷", "'s"]
+    words = [w for pair in zip(plain, odd * 20) for w in pair] + odd
+    monkeypatch.setattr(tokenfiles, "LINE", 7)
+    ids, counts = own.learn([w.encode() for w in words])
+    for word, found in zip(words, np.split(ids, np.cumsum(counts)[:-1])):
+        assert found.tolist() == library.encode(word, add_special_tokens=False).ids, repr(word)
+    monkeypatch.setattr(own, "_by_place", None)  # places take long to get; plain words do without
+    assert own.learn([w.encode() for w in plain])[1].tolist() == [len(library.encode(w, add_special_tokens=False).ids) for w in plain]
+
+
+def test_words_that_the_tokenizer_joins_or_splits_go_by_place(monkeypatch):
+    own = tokenfiles.Words(open(WORDS).read())
+    wanted = [a.tolist() for a in own.learn([b"seven", b"words", b"antidisestablishment"])]
+    for wrong in ([], [1, 2], [1, 1, 1, 1]):
+        monkeypatch.setattr(own, "_by_number", lambda found, wrong=wrong: np.array(wrong))
+        assert [a.tolist() for a in own.learn([b"seven", b"words", b"antidisestablishment"])] == wanted
+
+
 def test_token_files_hold_the_library_s_ids(spark, monkeypatch):
     library = Tokenizer.from_file(WORDS)
     texts = strange_texts(300, 10)
